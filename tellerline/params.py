@@ -128,7 +128,9 @@ class JobConfig:
 
     All roots must be on storage every executor can reach. ``key_buckets``
     is fixed when a table is created: choose it so that one bucket of open
-    dimension rows is a few hundred MB.
+    dimension rows is a few hundred MB. ``prune_by_date`` compares new visits
+    with stored visits of the batch's own date range only; a visit that comes
+    back under a date outside it is then stored twice.
     """
 
     stage_root: str

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tellerline.params import JobConfig
+from tellerline.params import JobConfig, Stamp
 from tellerline.schemas import TableSpec
 from tellerline.sources import files
 
-_SCHEMA = (
-    "table_name string, operation string, query_id string, batch_id long, input_rows long, "
-    "inserted long, updated long, closed long, kept long, run_ts timestamp"
-)
+_SCHEMA = StructType()
+for _column in ("table_name", "operation", "query_id"):
+    _SCHEMA.add(_column, "string")
+for _column in ("batch_id", "input_rows", "inserted", "updated", "closed", "kept"):
+    _SCHEMA.add(_column, "long")
+_SCHEMA.add("run_ts", "timestamp")
 
 
 def _path(config: JobConfig, layer: str) -> str:
@@ -33,9 +34,10 @@ def record_run(
 ) -> None:
     """Append one line to the log of the table's layer."""
     done = [counts.get(action, 0) for action in ("insert", "update", "close", "keep")]
-    now = dt.datetime.now(dt.timezone.utc)
-    line = (spec.name, operation, query_id, batch_id, input_rows, *done, now)
-    spark.createDataFrame([line], _SCHEMA).coalesce(1).write.mode("append").parquet(_path(config, spec.layer))
+    values = (spec.name, operation, query_id, batch_id, input_rows, *done)
+    columns = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, _SCHEMA)]
+    line = spark.range(0, 1, 1, 1).select(*columns, Stamp.at().ts.alias("run_ts"))
+    line.write.mode("append").parquet(_path(config, spec.layer))
 
 
 def history(spark: SparkSession, config: JobConfig, spec: TableSpec) -> DataFrame:

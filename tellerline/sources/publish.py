@@ -9,14 +9,12 @@ again. One writer per table; the swap is atomic per partition, not per table.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tellerline.functions.columns import NULL_KEY_BUCKET
-from tellerline.operators.merge import ACTION, CLOSE, INSERT, UPDATE
+from tellerline.operators.merge import ACTION, CLOSE, INSERT, KEEP, UPDATE
 from tellerline.params import JobConfig
 from tellerline.schemas import BUCKET_COLUMN, TableSpec
 from tellerline.sources import files
@@ -40,9 +38,10 @@ def _laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
 def append_rows(config: JobConfig, spec: TableSpec, rows: DataFrame) -> int:
     """Append rows to the table; returns how many, counted while writing."""
     seen = Observation()
-    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer = _laid_out(counted, spec).write.mode("append").partitionBy(*spec.partition_by)
-    writer.parquet(table_path(config, spec))
+    # Observed in the writing stage itself, after the shuffle: there a task that
+    # runs again is counted once.
+    counted = _laid_out(rows, spec).observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("append").partitionBy(*spec.partition_by).parquet(table_path(config, spec))
     return seen.get["rows"]
 
 
@@ -56,18 +55,38 @@ def publish_rewrite(spark: SparkSession, config: JobConfig, spec: TableSpec, mer
     pending = pending_path(config, spec)
     files.remove_dir(spark, f"{pending}/{_READY}")
     columns = merged.select(*spec.physical_schema.names, ACTION)
-    _laid_out(columns, spec).write.mode("overwrite").partitionBy(*spec.partition_by).parquet(pending)
-    counts = {row[ACTION]: row["count"] for row in _pending(spark, config, spec).groupBy(ACTION).count().collect()}
+    seen = Observation()
+    tallies = [F.count_if(F.col(ACTION) == a).alias(a) for a in (INSERT, UPDATE, CLOSE, KEEP)]
+    appended = F.count_if(_appended(spec)).alias("appended")
+    rewriting = F.count_if(_rewriting(spec)).alias("rewriting")
+    counted = _laid_out(columns, spec).observe(seen, *tallies, appended, rewriting)
+    counted.write.mode("overwrite").partitionBy(*spec.partition_by).parquet(pending)
     files.touch(spark, f"{pending}/{_READY}")
-    _apply(spark, config, spec, again=False)
-    return counts
+    counts = dict(seen.get)
+    append, rewrite = counts.pop("appended") > 0, counts.pop("rewriting") > 0
+    staged = _pending(spark, config, spec)
+    if append:
+        _append_staged(config, spec, _to_append(spec, staged))
+    if rewrite:
+        _rewrite_staged(config, spec, staged)
+    files.remove_dir(spark, pending)
+    return {action: n for action, n in counts.items() if n}
 
 
 def recover(spark: SparkSession, config: JobConfig, spec: TableSpec) -> bool:
     """Finish a publish that was interrupted; call before reading the table."""
-    if not files.exists(spark, f"{pending_path(config, spec)}/{_READY}"):
+    pending = pending_path(config, spec)
+    if not files.exists(spark, f"{pending}/{_READY}"):
         return False
-    _apply(spark, config, spec, again=True)
+    staged = _pending(spark, config, spec)
+    if spec.bucketed:
+        # Less what the interrupted run already appended, row for row.
+        rows = _to_append(spec, staged)
+        partitions = rows.select(*spec.partition_by).distinct()
+        stored = read_physical(spark, config, spec).join(partitions, list(spec.partition_by), "left_semi")
+        _append_staged(config, spec, rows.exceptAll(stored.select(*rows.columns)))
+    _rewrite_staged(config, spec, staged)
+    files.remove_dir(spark, pending)
     return True
 
 
@@ -76,34 +95,39 @@ def _pending(spark: SparkSession, config: JobConfig, spec: TableSpec) -> DataFra
     return spark.read.schema(schema).parquet(pending_path(config, spec))
 
 
-def _apply(spark: SparkSession, config: JobConfig, spec: TableSpec, again: bool) -> None:
-    staged = _pending(spark, config, spec)
-    append_only = F.col(ACTION) == CLOSE
-    if spec.bucketed:
-        append_only = append_only | (F.col(BUCKET_COLUMN) == NULL_KEY_BUCKET)
-    physical = spec.physical_schema.names
+def _never_merged(spec: TableSpec) -> Column:
+    """Closed versions and, in bucketed tables, rows without a key."""
+    if not spec.bucketed:
+        return F.lit(False)
+    return (F.col(ACTION) == CLOSE) | (F.col(BUCKET_COLUMN) == NULL_KEY_BUCKET)
 
-    if spec.bucketed:
-        appended = staged.where(append_only & F.col(ACTION).isin(CLOSE, INSERT)).select(*physical)
-        if again:
-            appended = _not_stored(read_physical(spark, config, spec), appended)
-        appended.write.mode("append").partitionBy(*spec.partition_by).parquet(table_path(config, spec))
 
-    rewritten = staged.where(~append_only)
+def _appended(spec: TableSpec) -> Column:
+    return _never_merged(spec) & F.col(ACTION).isin(CLOSE, INSERT)
+
+
+def _rewriting(spec: TableSpec) -> Column:
+    """Rows because of which their partition has to be rewritten."""
+    return ~_never_merged(spec) & F.col(ACTION).isin(INSERT, UPDATE)
+
+
+def _to_append(spec: TableSpec, staged: DataFrame) -> DataFrame:
+    return staged.where(_appended(spec)).select(*spec.physical_schema.names)
+
+
+def _append_staged(config: JobConfig, spec: TableSpec, rows: DataFrame) -> None:
+    rows.write.mode("append").partitionBy(*spec.partition_by).parquet(table_path(config, spec))
+
+
+def _rewrite_staged(config: JobConfig, spec: TableSpec, staged: DataFrame) -> None:
     # At most one row per partition of the table.
-    touched = rewritten.where(F.col(ACTION).isin(INSERT, UPDATE)).select(*spec.partition_by).distinct()
-    replaced = rewritten.join(touched, list(spec.partition_by), "left_semi").select(*physical)
+    touched = staged.where(_rewriting(spec)).select(*spec.partition_by).distinct()
+    rows = staged.where(~_never_merged(spec)).join(touched, list(spec.partition_by), "left_semi")
     (
-        replaced.sortWithinPartitions(*spec.partition_by, *spec.cluster_by)
+        rows.select(*spec.physical_schema.names)
+        .sortWithinPartitions(*spec.partition_by, *spec.cluster_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*spec.partition_by)
         .parquet(table_path(config, spec))
     )
-    files.remove_dir(spark, pending_path(config, spec))
-
-
-def _not_stored(stored: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows the table does not hold yet, compared over all columns."""
-    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in rows.columns]
-    return rows.alias("r").join(stored.alias("s"), reduce(lambda a, b: a & b, same), "left_anti")

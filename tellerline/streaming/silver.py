@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tellerline import schemas
-from tellerline.functions.columns import NULL_KEY_BUCKET, has_null, key_bucket, stamped
+from tellerline.functions.columns import NULL_KEY_BUCKET, key_bucket, stamped
 from tellerline.operators.conform import conform
 from tellerline.operators.dedupe import dedupe_earliest, dedupe_latest
 from tellerline.operators.history import scd2_apply
@@ -59,17 +59,18 @@ def apply_visits(spark: SparkSession, config: JobConfig, batch: DataFrame, stamp
     prepared = dedupe_earliest(prepare_visits(batch, stamp), spec.keys, INGEST_ORDER)
     updates = conform(prepared, spec.schema).persist()
     try:
-        key = F.col(spec.keys[0])
+        key, day = F.col(spec.keys[0]), F.col("transaction_dt")
         # Rows outside the batch's key range cannot match: an exact filter that
-        # skips files and row groups by their statistics. At most one row here.
-        low, high = updates.agg(F.min(key), F.max(key)).first()
+        # skips files and row groups by their statistics. One row comes back.
+        size, low, high, first, last = updates.agg(
+            F.count(F.lit(1)), F.min(key), F.max(key), F.min(day), F.max(day)
+        ).first()
         stored = read_table(spark, config, spec).where(key.between(F.lit(low), F.lit(high)))
         if config.prune_by_date:
-            dates = updates.select("transaction_dt").distinct()
-            stored = stored.join(dates, "transaction_dt", "left_semi")
+            stored = stored.where(day.between(F.lit(first), F.lit(last)) | day.isNull())
         held = matching_rows(stored, updates, spec.keys)
         inserted = append_rows(config, spec, insert_if_absent(held, updates, spec.keys))
-        return {"input": updates.count(), INSERT: inserted}
+        return {"input": size, INSERT: inserted}
     finally:
         updates.unpersist()
 
@@ -122,11 +123,11 @@ def _merge_buckets(
     updates = conform(prepared, spec.schema).withColumn(BUCKET_COLUMN, bucket).persist()
     try:
         # Bounded by the table's fixed number of buckets.
-        touched = [r[0] for r in updates.select(BUCKET_COLUMN).distinct().collect()]
-        with_key = [b for b in touched if b != NULL_KEY_BUCKET]
+        sizes = dict(updates.groupBy(BUCKET_COLUMN).count().collect())
+        with_key = [b for b in sizes if b != NULL_KEY_BUCKET]
         stored = read_physical(spark, config, spec).where(F.col(BUCKET_COLUMN).isin(with_key))
         counts = publish_rewrite(spark, config, spec, merge(stored, updates))
-        return {"input": updates.count(), **counts}
+        return {"input": sum(sizes.values()), **counts}
     finally:
         updates.unpersist()
 
@@ -146,7 +147,11 @@ def _run(
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         recover(session, config, target)
-        counts = step(session, config, batch, Stamp.at(as_of))
+        batch.persist()
+        try:
+            counts = step(session, config, batch, Stamp.at(as_of))
+        finally:
+            batch.unpersist()
         record_run(session, config, target, operation, counts, query.id if query else None, batch_id, counts["input"])
 
     query = None

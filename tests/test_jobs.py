@@ -1,0 +1,116 @@
+"""Stored gold summaries, layer tables and the run log."""
+
+import datetime as dt
+
+import pytest
+from helpers import DAY1, DAY2, DAY3, config, ingest, location, stage, table_rows, visit
+
+from tellerline import schemas
+from tellerline.params import DayWindow, MonthWindow
+from tellerline.plans import run_daily, run_monthly
+from tellerline.sources import create_layer_tables, history, read_table
+from tellerline.sources.tables import checkpoint_dir, refresh_catalog, table_path
+from tellerline.streaming import run_locations, run_visits
+
+DAILY, MONTHLY = schemas.GOLD_DAILY, schemas.GOLD_MONTHLY
+WINDOW = DayWindow.resolve("20240108")
+MONTH = MonthWindow.resolve("202402")
+
+
+def load(spark, cfg, name, visits, day):
+    stage(cfg, "atm_visits", name, visits)
+    stage(cfg, "atm_locations", name, [location(1)])
+    ingest(spark, cfg, "atm_visits", "atm_locations")
+    run_visits(spark, cfg, day)
+    run_locations(spark, cfg, day)
+
+
+def test_gold_follows_late_visits_and_reruns_change_nothing(spark, root):
+    cfg = config(root)
+    load(spark, cfg, "1", [visit(1), visit(2, day="2024-01-06", customer=None), visit(3, day="2023-12-01")], DAY1)
+    assert run_daily(spark, cfg, WINDOW, DAY1) == {"insert": 2}
+    assert run_monthly(spark, cfg, MONTH, DAY1) == {"insert": 2}
+    before = table_rows(spark, cfg, DAILY), table_rows(spark, cfg, MONTHLY)
+    assert run_daily(spark, cfg, WINDOW, DAY2) == {"keep": 2}
+    assert run_monthly(spark, cfg, MONTH, DAY2) == {"keep": 2}
+    assert (table_rows(spark, cfg, DAILY), table_rows(spark, cfg, MONTHLY)) == before
+
+    load(spark, cfg, "2", [visit(4, amount=5), visit(5, day="2024-01-07", atm=9, tag="deposit")], DAY2)
+    assert run_daily(spark, cfg, WINDOW, DAY3) == {"keep": 1, "update": 1, "insert": 1}
+    assert run_monthly(spark, cfg, MONTH, DAY3) == {"keep": 1, "update": 1}
+    day = dt.date
+    assert table_rows(spark, cfg, DAILY) == {
+        (day(2024, 1, 5), "north", 15, None, DAY1, DAY3): 1,
+        (day(2024, 1, 6), "north", 10, None, DAY1, DAY1): 1,
+        (day(2024, 1, 7), "UNKNOWN", None, 10, DAY3, DAY3): 1,
+    }
+    assert table_rows(spark, cfg, MONTHLY) == {
+        (202401, 1, 15, 10, DAY1, DAY3): 1,
+        (202401, None, 10, None, DAY1, DAY1): 1,
+    }
+    log = history(spark, cfg, DAILY).select("inserted", "updated", "kept").collect()
+    assert [tuple(r) for r in log] == [(1, 1, 1), (0, 0, 2), (2, 0, 0)]
+
+
+def test_rows_outside_the_window_stay(spark, root):
+    cfg = config(root)
+    load(spark, cfg, "1", [visit(1, day="2024-01-01"), visit(2, day="2024-01-08")], DAY1)
+    run_daily(spark, cfg, DayWindow.resolve("20240101"), DAY1)
+    run_daily(spark, cfg, WINDOW, DAY2)
+    days = table_rows(spark, cfg, DAILY, "transaction_dt")
+    assert days == {(dt.date(2024, 1, 1),): 1, (dt.date(2024, 1, 8),): 1}
+
+
+def test_literal_rerun_inserts_unchanged_rows_again(spark, root):
+    cfg = config(root)
+    load(spark, cfg, "1", [visit(1)], DAY1)
+    for day in (DAY1, DAY2):
+        run_daily(spark, cfg, WINDOW, day, literal=True)
+        run_monthly(spark, cfg, MONTH, day, literal=True)
+    first = dt.date(2024, 1, 5)
+    assert table_rows(spark, cfg, DAILY) == {(first, "north", 10, 10, d, d): 1 for d in (DAY1, DAY2)}
+    assert table_rows(spark, cfg, MONTHLY, "transaction_month", "customer_id") == {(1, 1): 2}
+
+
+def test_window_reads_only_its_partitions(spark, root):
+    cfg = config(root)
+    load(spark, cfg, "1", [visit(1), visit(2, day="2024-01-20")], DAY1)
+    table = read_table(spark, cfg, schemas.SILVER_VISITS)
+    pruned = table.where(WINDOW.contains(table.transaction_dt)).select("amount")
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "transaction_dt" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "ReadSchema: struct<amount:bigint>" in plan
+
+
+def test_layer_tables_can_be_queried_by_name(spark, root):
+    cfg = config(root, bronze_schema="b1", silver_schema="s1", gold_schema="g1")
+    for layer in ("bronze", "silver", "gold"):
+        names = create_layer_tables(spark, cfg, layer)
+        assert [spark.table(n).count() for n in names] == [0] * len(names)
+    load(spark, cfg, "1", [visit(1)], DAY1)
+    run_daily(spark, cfg, WINDOW, DAY1)
+    for layer in ("bronze", "silver", "gold"):
+        refresh_catalog(spark, cfg, layer)
+    assert spark.sql("SELECT bank, total_withdrawls FROM g1.daily_transaction_summary_by_bank").collect() == [("north", 10)]
+    assert spark.table("s1.atm_visits").count() == spark.table("b1.atm_visits").count() == 1
+    create_layer_tables(spark, cfg, "gold")
+    assert read_table(spark, cfg, DAILY).count() == 1
+    create_layer_tables(spark, cfg, "gold", reset=True)
+    assert read_table(spark, cfg, DAILY).count() == 0
+
+
+def test_paths():
+    cfg = config("/data")
+    assert table_path(cfg, DAILY) == "/data/gold/daily_transaction_summary_by_bank"
+    expected = "/data/_checkpoints/bronze-silver/bronze.a-silver.a"
+    assert checkpoint_dir(cfg, "bronze-silver", "bronze.a", "silver.a") == expected
+
+
+def test_history_of_an_untouched_table_is_empty(spark, root):
+    assert history(spark, config(root), DAILY).count() == 0
+
+
+@pytest.mark.parametrize("spec", [s for layer in schemas.LAYER_TABLES.values() for s in layer])
+def test_declared_layout(spec):
+    assert set(spec.partition_by) <= set(spec.physical_schema.names)
+    assert set(spec.keys) <= set(spec.schema.names)
