@@ -126,7 +126,9 @@ class TriggerMode(Enum):
 class JobConfig:
     """Locations and settings shared by the jobs of one pipeline.
 
-    All roots must be on storage every executor can reach. ``key_buckets``
+    All roots must be on storage every executor can reach. The first limit is
+    on staged files per micro-batch, the second on bronze files: merges cost
+    less per row in larger batches. ``key_buckets``
     is fixed when a table is created: choose it so that one bucket of open
     dimension rows is a few hundred MB. ``prune_by_date`` compares new visits
     with stored visits of the batch's own date range only; a visit that comes
@@ -143,6 +145,7 @@ class JobConfig:
     gold_schema: str = "gold"
     trigger_mode: TriggerMode = TriggerMode.BATCH
     max_files_per_trigger: int = 20
+    max_bronze_files_per_trigger: int = 1000
     key_buckets: int = 64
     time_zone: str = "UTC"
     prune_by_date: bool = False

@@ -86,6 +86,8 @@ FROM ({visits}) WHERE strftime(transaction_dt, '%Y%m') BETWEEN '{first}' AND '{l
 GROUP BY {key}, customer_id"""
 
 
+_VISIT_COLUMNS = "visit_id, customer_id, atm_id, withdrawl_or_deposit, amount, fraud_report, transaction_ts"
+
 # --- merges -------------------------------------------------------------------
 
 _CUSTOMER = "customer_id, card_number, checking_savings, first_name, last_name, customer_since_date, preferred"
@@ -127,9 +129,19 @@ WHERE NOT {known}
    OR EXISTS (SELECT 1 FROM t WHERE t.customer_id = u.customer_id AND {changed})"""
 
 
-_CHANGED = f"""
+
+def _changed(null_safe: bool = True) -> str:
+    return f"""
 SELECT u.* FROM u JOIN t ON u.customer_id = t.customer_id
-WHERE t."current" AND {_differs(_TRACKED)}"""
+WHERE t."current" AND {_differs(_TRACKED, null_safe)}"""
+
+
+def _first_visit(direction: str) -> str:
+    return f"""
+SELECT {_VISIT_COLUMNS}, date FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY transaction_ts {direction}, visit_id {direction}) AS r
+  FROM ({_visits()})) WHERE r = 1"""
+
 
 _INSERT_ONLY = f"""
 WITH t AS ({_dated(_visits(2))}), u AS ({_dated(_visits(3))})
@@ -204,8 +216,6 @@ SELECT 'atm_customers' AS table_name, 'scd2_apply' AS operation,
        CAST(COUNT(*) FILTER (WHERE NOT "current") AS BIGINT) AS closed
 FROM ({_type2(with_history=False)})"""
 
-_VISIT_COLUMNS = "visit_id, customer_id, atm_id, withdrawl_or_deposit, amount, fraud_report, transaction_ts"
-
 ORACLES: dict[str, str] = {
     "silver_visits_prepare": f"SELECT {_VISIT_COLUMNS}, date AS transaction_dt FROM ({_visits()})",
     "silver_locations_flatten": _locations(),
@@ -215,12 +225,11 @@ ORACLES: dict[str, str] = {
     "silver_customers_type2_literal": _type2(null_safe=False),
     "silver_customers_type2_since_date": _type2(since_date=True),
     "silver_customers_staged_updates": f"""{_customer_tables(True)}
-SELECT customer_id AS merge_key, * FROM u UNION ALL SELECT CAST(NULL AS BIGINT), * FROM ({_CHANGED})""",
-    "changed_current_customers": f"{_customer_tables(True)} {_CHANGED}",
-    "dedupe_latest_visits": f"""
-SELECT {_VISIT_COLUMNS}, date FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY transaction_ts DESC, visit_id DESC) AS r
-  FROM ({_visits()})) WHERE r = 1""",
+SELECT customer_id AS merge_key, * FROM u UNION ALL SELECT CAST(NULL AS BIGINT), * FROM ({_changed()})""",
+    "changed_current_customers": _customer_tables(True) + _changed(),
+    "changed_current_customers_literal": _customer_tables(True) + _changed(null_safe=False),
+    "dedupe_earliest_visits": _first_visit("ASC"),
+    "dedupe_latest_visits": _first_visit("DESC"),
     "visits_in_day_window": f"""
 SELECT * FROM ({_dated(_visits())}) WHERE transaction_dt BETWEEN DATE '2024-01-17' AND DATE '2024-01-20'""",
     "visits_in_month_window": f"""

@@ -17,6 +17,7 @@ from tellerline.functions.columns import split_amounts, stamped
 from tellerline.operators import (
     changed_current,
     conform,
+    dedupe_earliest,
     dedupe_latest,
     insert_if_absent,
     scd2_apply,
@@ -134,6 +135,14 @@ def changed_current_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed_current(*_customer_feeds(spark, sf_dir), "customer_id", TRACKED)
 
 
+def changed_current_customers_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changed_current(*_customer_feeds(spark, sf_dir), "customer_id", TRACKED, null_safe=False)
+
+
+def dedupe_earliest_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedupe_earliest(visits(spark, sf_dir), ["customer_id"], ["transaction_ts", "visit_id"])
+
+
 def dedupe_latest_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_latest(visits(spark, sf_dir), ["customer_id"], ["transaction_ts", "visit_id"])
 
@@ -154,12 +163,12 @@ def visit_amount_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distinct_atm_bank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.distinct_atm_bank(_flat_locations(spark, sf_dir))
+    return plans.distinct_atm_bank(locations(spark, sf_dir))
 
 
 def visits_with_bank(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = visits(spark, sf_dir).select("visit_id", "atm_id", "amount")
-    return with_bank(rows, _flat_locations(spark, sf_dir))
+    return with_bank(rows, locations(spark, sf_dir))
 
 
 # --- gold -------------------------------------------------------------------
@@ -170,7 +179,7 @@ def gold_daily_by_atm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _by_bank(spark: SparkSession, sf_dir: str, window: DayWindow, literal: bool = False) -> DataFrame:
-    return daily_by_bank(dated(visits(spark, sf_dir)), _flat_locations(spark, sf_dir), window, literal)
+    return daily_by_bank(dated(visits(spark, sf_dir)), locations(spark, sf_dir), window, literal)
 
 
 def gold_daily_by_bank(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,7 +198,7 @@ def _daily_upsert(spark: SparkSession, sf_dir: str, literal: bool) -> DataFrame:
     """Stored on the 25th at noon, recomputed on the 30th for the last 15 days:
     the first days are kept, the 25th changes, the days after it are new.
     """
-    rows, atms = dated(visits(spark, sf_dir)), _flat_locations(spark, sf_dir)
+    rows, atms = dated(visits(spark, sf_dir)), locations(spark, sf_dir)
     early = rows.where(F.col("transaction_ts") < _ts("2024-01-25 12:00:00"))
     stored = daily_by_bank(early, atms, DayWindow.resolve("20240125", 24))
     staged = daily_by_bank(rows, atms, DayWindow.resolve("20240130", 14))
@@ -270,6 +279,8 @@ _BATCH = (
     silver_customers_type2_since_date,
     silver_customers_staged_updates,
     changed_current_customers,
+    changed_current_customers_literal,
+    dedupe_earliest_visits,
     dedupe_latest_visits,
     visits_in_day_window,
     visits_in_month_window,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tellerline.functions.columns import NULL_KEY_BUCKET
+from tellerline.operators.conform import assert_schema
 from tellerline.operators.merge import ACTION, CLOSE, INSERT, KEEP, UPDATE
 from tellerline.params import JobConfig
 from tellerline.schemas import BUCKET_COLUMN, TableSpec
@@ -37,6 +38,7 @@ def _laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 def append_rows(config: JobConfig, spec: TableSpec, rows: DataFrame) -> int:
     """Append rows to the table; returns how many, counted while writing."""
+    assert_schema(rows, spec.schema)
     seen = Observation()
     # Observed in the writing stage itself, after the shuffle: there a task that
     # runs again is counted once.
@@ -55,6 +57,7 @@ def publish_rewrite(spark: SparkSession, config: JobConfig, spec: TableSpec, mer
     pending = pending_path(config, spec)
     files.remove_dir(spark, f"{pending}/{_READY}")
     columns = merged.select(*spec.physical_schema.names, ACTION)
+    assert_schema(columns.drop(ACTION), spec.physical_schema)
     seen = Observation()
     tallies = [F.count_if(F.col(ACTION) == a).alias(a) for a in (INSERT, UPDATE, CLOSE, KEEP)]
     appended = F.count_if(_appended(spec)).alias("appended")

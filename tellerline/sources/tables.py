@@ -82,5 +82,6 @@ def stream_table(spark: SparkSession, config: JobConfig, spec: TableSpec) -> Dat
     """A table as a streaming source: each new file is read once."""
     path = table_path(config, spec)
     files.make_dir(spark, path)
-    reader = spark.readStream.schema(spec.schema).option("maxFilesPerTrigger", config.max_files_per_trigger)
+    limit = config.max_bronze_files_per_trigger
+    reader = spark.readStream.schema(spec.schema).option("maxFilesPerTrigger", limit)
     return reader.parquet(path).select(*spec.schema.names)

@@ -41,7 +41,7 @@ def test_visits_do_not_depend_on_batch_limits(spark, tmp_path):
     """One file per batch and all files at once give the same table."""
     results = []
     for limit in (1, 20):
-        cfg = config(str(tmp_path / str(limit)), max_files_per_trigger=limit)
+        cfg = config(str(tmp_path / str(limit)), max_files_per_trigger=limit, max_bronze_files_per_trigger=limit)
         for i in range(4):
             stage(cfg, "atm_visits", str(i), [visit(k, amount=100 * i + k) for k in range(i, i + 3)])
         ingest(spark, cfg, "atm_visits")
