@@ -27,60 +27,55 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _tag(column: str, withdrawal: str, deposit: str):
-    value = F.col(column)
-    return F.when(value == withdrawal, "withdrawl").when(value == deposit, "deposit").otherwise("inquiry")
+def _tag(column: str, withdrawal: str, deposit: str) -> str:
+    return f"CASE {column} WHEN '{withdrawal}' THEN 'withdrawl' WHEN '{deposit}' THEN 'deposit' ELSE 'inquiry' END"
 
 
 def visits(spark: SparkSession, sf_dir: str, factor: int = 1) -> DataFrame:
     """Visits of one month, one per event. A user's id is also their ATM's id:
     a third of the users have an id above the last ATM's, whose bank is unknown.
     """
-    return table(spark, sf_dir, "events").select(
-        (F.col("event_id") * factor).alias("visit_id"),
-        F.col("user_id").alias("customer_id"),
-        F.col("user_id").alias("atm_id"),
-        _tag("event_type", "purchase", "signup").alias("withdrawl_or_deposit"),
-        F.round(F.col("value") * 100).cast("long").alias("amount"),
-        F.when(F.col("event_type") == "error", "Y").otherwise("N").alias("fraud_report"),
-        F.col("ts").alias("transaction_ts"),
-        F.to_date("ts").alias("date"),
+    return table(spark, sf_dir, "events").selectExpr(
+        f"event_id * {factor} AS visit_id",
+        "user_id AS customer_id",
+        "user_id AS atm_id",
+        f"{_tag('event_type', 'purchase', 'signup')} AS withdrawl_or_deposit",
+        "CAST(round(value * 100) AS BIGINT) AS amount",
+        "IF(event_type = 'error', 'Y', 'N') AS fraud_report",
+        "ts AS transaction_ts",
+        "to_date(ts) AS date",
     )
 
 
 def visits_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visits over several years, one per order."""
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("visit_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_custkey").alias("atm_id"),
-        _tag("o_orderstatus", "F", "O").alias("withdrawl_or_deposit"),
-        F.round(F.col("o_totalprice") * 100).cast("long").alias("amount"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "Y").otherwise("N").alias("fraud_report"),
-        F.col("o_orderdate").alias("transaction_ts"),
-        F.to_date("o_orderdate").alias("date"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS visit_id",
+        "o_custkey AS customer_id",
+        "o_custkey AS atm_id",
+        f"{_tag('o_orderstatus', 'F', 'O')} AS withdrawl_or_deposit",
+        "CAST(round(o_totalprice * 100) AS BIGINT) AS amount",
+        "IF(o_orderpriority = '1-URGENT', 'Y', 'N') AS fraud_report",
+        "o_orderdate AS transaction_ts",
+        "to_date(o_orderdate) AS date",
     )
 
 
 def dated(rows: DataFrame) -> DataFrame:
     """Visits with the silver date column."""
-    return rows.withColumn("transaction_dt", F.to_date("transaction_ts")).drop("date")
+    return rows.withColumnRenamed("date", "transaction_dt")
 
 
 def locations(spark: SparkSession, sf_dir: str, factor: int = 1) -> DataFrame:
     """ATMs with their address as a struct, as staged files hold it."""
     nation = table(spark, sf_dir, "nation")
     rows = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    return rows.select(
-        (F.col("s_suppkey") * factor).alias("atm_id"),
-        F.struct(
-            F.col("s_name").alias("city"),
-            F.col("n_name").alias("state"),
-            F.col("s_nationkey").cast("string").alias("zip"),
-        ).alias("city_state_zip"),
-        F.when(F.col("s_acctbal") > 0, "yes").otherwise("no").alias("pos_capability"),
-        F.when(F.col("s_nationkey") < 13, "onsite").otherwise("offsite").alias("offsite_or_onsite"),
-        F.col("n_name").alias("bank"),
+    return rows.selectExpr(
+        f"s_suppkey * {factor} AS atm_id",
+        "struct(s_name AS city, n_name AS state, CAST(s_nationkey AS STRING) AS zip) AS city_state_zip",
+        "IF(s_acctbal > 0, 'yes', 'no') AS pos_capability",
+        "IF(s_nationkey < 13, 'onsite', 'offsite') AS offsite_or_onsite",
+        "n_name AS bank",
     )
 
 
@@ -88,13 +83,13 @@ def customers(spark: SparkSession, sf_dir: str, factor: int = 1) -> DataFrame:
     """Card and last name follow from the id, so between two feeds only
     ``first_name`` and ``preferred`` (sometimes NULL) tell whether a row changed.
     """
-    key = F.col("c_custkey") * factor
-    return table(spark, sf_dir, "customer").select(
-        key.alias("customer_id"),
-        (key * 7 + 1000).alias("card_number"),
-        F.when(F.col("c_acctbal") < 5000, "checking").otherwise("savings").alias("checking_savings"),
-        F.col("c_mktsegment").alias("first_name"),
-        F.concat(F.lit("Customer "), key.cast("string")).alias("last_name"),
-        F.date_add(F.lit("2020-01-01").cast("date"), F.col("c_nationkey")).alias("customer_since_date"),
-        F.when(F.col("c_acctbal") >= 0, F.when(F.col("c_nationkey") < 13, 1).otherwise(0)).alias("preferred"),
+    key = f"c_custkey * {factor}"
+    return table(spark, sf_dir, "customer").selectExpr(
+        f"{key} AS customer_id",
+        f"{key} * 7 + 1000 AS card_number",
+        "IF(c_acctbal < 5000, 'checking', 'savings') AS checking_savings",
+        "c_mktsegment AS first_name",
+        f"concat('Customer ', {key}) AS last_name",
+        "date_add(DATE '2020-01-01', c_nationkey) AS customer_since_date",
+        "CASE WHEN c_acctbal >= 0 THEN IF(c_nationkey < 13, 1, 0) END AS preferred",
     )

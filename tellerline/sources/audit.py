@@ -18,8 +18,9 @@ for _column in ("batch_id", "input_rows", "inserted", "updated", "closed", "kept
 _SCHEMA.add("run_ts", "timestamp")
 
 
-def _path(config: JobConfig, layer: str) -> str:
-    return f"{config.layer_root(layer)}/run_log"
+def _path(config: JobConfig, spec: TableSpec) -> str:
+    """A folder per table: jobs on different tables may write at the same time."""
+    return f"{config.layer_root(spec.layer)}/run_log/{spec.name}"
 
 
 def record_run(
@@ -32,17 +33,16 @@ def record_run(
     batch_id: int | None = None,
     input_rows: int | None = None,
 ) -> None:
-    """Append one line to the log of the table's layer."""
+    """Append one line to the table's log."""
     done = [counts.get(action, 0) for action in ("insert", "update", "close", "keep")]
     values = (spec.name, operation, query_id, batch_id, input_rows, *done)
     columns = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, _SCHEMA)]
     line = spark.range(0, 1, 1, 1).select(*columns, Stamp.at().ts.alias("run_ts"))
-    line.write.mode("append").parquet(_path(config, spec.layer))
+    line.write.mode("append").parquet(_path(config, spec))
 
 
 def history(spark: SparkSession, config: JobConfig, spec: TableSpec) -> DataFrame:
     """All recorded runs on a table, newest first."""
-    path = _path(config, spec.layer)
+    path = _path(config, spec)
     files.make_dir(spark, path)
-    log = spark.read.schema(_SCHEMA).parquet(path)
-    return log.where(F.col("table_name") == spec.name).orderBy(F.desc("run_ts"), F.desc("batch_id"))
+    return spark.read.schema(_SCHEMA).parquet(path).orderBy(F.desc("run_ts"), F.desc("batch_id"))

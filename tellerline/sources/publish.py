@@ -19,15 +19,11 @@ from tellerline.operators.merge import ACTION, CLOSE, INSERT, KEEP, UPDATE
 from tellerline.params import JobConfig
 from tellerline.schemas import BUCKET_COLUMN, TableSpec
 from tellerline.sources import files
-from tellerline.sources.tables import read_physical, table_path
+from tellerline.sources.tables import pending_path, read_physical, table_path
 
 _READY = "_READY"
 
 
-def pending_path(config: JobConfig, spec: TableSpec) -> str:
-    return f"{config.layer_root(spec.layer)}/_pending/{spec.name}"
-
-
 def _laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Few files per partition, a partition with much data over many tasks."""
     if spec.partition_by:

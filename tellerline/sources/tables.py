@@ -18,6 +18,11 @@ def table_path(config: JobConfig, spec: TableSpec) -> str:
     return f"{config.layer_root(spec.layer)}/{spec.name}"
 
 
+def pending_path(config: JobConfig, spec: TableSpec) -> str:
+    """Where a merge result waits until it is in place."""
+    return f"{config.layer_root(spec.layer)}/_pending/{spec.name}"
+
+
 def qualified_name(config: JobConfig, spec: TableSpec) -> str:
     return f"{config.layer_schema(spec.layer)}.{spec.name}"
 
@@ -36,7 +41,11 @@ def _columns_ddl(schema: StructType) -> str:
 
 
 def create_layer_tables(spark: SparkSession, config: JobConfig, layer: str, reset: bool = False) -> list[str]:
-    """Register the layer's external tables; ``reset`` also empties them."""
+    """Register the layer's external tables; ``reset`` also empties them.
+
+    Checkpoints are left alone: a job that is to load everything again needs a
+    new checkpoint root.
+    """
     schema = config.layer_schema(layer)
     ensure_layer(spark, schema)
     names = []
@@ -45,6 +54,7 @@ def create_layer_tables(spark: SparkSession, config: JobConfig, layer: str, rese
         if reset:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
             files.remove_dir(spark, path)
+            files.remove_dir(spark, pending_path(config, spec))
         files.make_dir(spark, path)
         partitioning = f"PARTITIONED BY ({', '.join(spec.partition_by)})" if spec.partition_by else ""
         spark.sql(

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tellerline.operators.merge import INSERT
 from tellerline.params import JobConfig, TriggerMode
 from tellerline.schemas import CORRUPT_COLUMN, LAYER_TABLES, TableSpec, staged_schema
+from tellerline.session import require_time_zone
 from tellerline.sources import files
+from tellerline.sources.audit import record_run
 from tellerline.sources.staged import read_staged
 from tellerline.sources.tables import checkpoint_dir, table_path
 
+_POLL_SECONDS = 5.0
+
 
 def bronze_spec(folder: str) -> TableSpec:
     staged_schema(folder)
@@ -22,11 +29,23 @@ def quarantine_path(config: JobConfig, folder: str) -> str:
     return f"{config.bronze_root}/quarantine/{folder}"
 
 
-def await_query(query: StreamingQuery, config: JobConfig, timeout: float | None) -> StreamingQuery:
-    """Batch runs end by themselves; streaming runs until stopped or timed out."""
-    if config.trigger_mode is TriggerMode.BATCH or timeout is not None:
-        query.awaitTermination(timeout) if timeout is not None else query.awaitTermination()
-    return query
+def await_query(query: StreamingQuery, config: JobConfig, timeout: float | None) -> dict[int, int]:
+    """Wait for the query; returns the rows read per micro-batch.
+
+    Batch runs end by themselves. A streaming run is left running and returns
+    at once, or after the timeout.
+    """
+    rows: dict[int, int] = {}
+    if config.trigger_mode is TriggerMode.STREAMING and timeout is None:
+        return rows
+    deadline = None if timeout is None else time.monotonic() + timeout
+    while True:
+        left = _POLL_SECONDS if deadline is None else min(_POLL_SECONDS, deadline - time.monotonic())
+        ended = query.awaitTermination(max(left, 0.001))
+        # Only the latest progress reports are kept, so they are taken as they come.
+        rows.update({p["batchId"]: p["numInputRows"] for p in query.recentProgress if p["numInputRows"]})
+        if ended or (deadline is not None and time.monotonic() >= deadline):
+            return rows
 
 
 def progress(query: StreamingQuery) -> dict:
@@ -45,8 +64,9 @@ def run_stage_to_bronze(
 
     With ``quarantine=True`` lines that do not parse go to a folder of their own
     with their text. That is a second query with its own checkpoint, so both
-    outputs stay exactly-once.
+    outputs stay exactly-once. The run log is written when the wait ends.
     """
+    require_time_zone(spark, config.time_zone)
     spec = bronze_spec(folder)
     path = table_path(config, spec)
     files.make_dir(spark, f"{config.stage_root}/{folder}")
@@ -57,7 +77,11 @@ def run_stage_to_bronze(
         await_query(rejected, config, timeout)
         rows = rows.where(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
     query = _append(config, rows, path, spec.partition_by, spec.name, folder)
-    return await_query(query, config, timeout)
+    read = await_query(query, config, timeout)
+    if read:
+        total = sum(read.values())
+        record_run(spark, config, spec, "append", {INSERT: total}, query.id, max(read), total)
+    return query
 
 
 def _append(

@@ -164,7 +164,8 @@ def _run(
         .trigger(**config.trigger_mode.options)
         .start()
     )
-    return await_query(query, config, timeout)
+    await_query(query, config, timeout)
+    return query
 
 
 def run_visits(

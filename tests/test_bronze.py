@@ -5,7 +5,7 @@ from helpers import config, ingest, location, stage, table_rows, visit
 
 from tellerline import schemas
 from tellerline.params import TriggerMode
-from tellerline.sources import read_staged, read_table
+from tellerline.sources import history, read_staged, read_table
 from tellerline.streaming.bronze import progress, quarantine_path
 
 BROKEN = ["{broken", '{"atm_id":"oops"}']
@@ -52,6 +52,8 @@ def test_files_are_read_once_and_in_limited_batches(spark, root):
     assert progress(query)["last_progress"] is not None
     ingest(spark, cfg, "atm_visits")
     assert table_rows(spark, cfg, schemas.BRONZE_VISITS, "visit_id") == {(i,): 1 for i in range(5)}
+    log = history(spark, cfg, schemas.BRONZE_VISITS).select("operation", "batch_id", "inserted").collect()
+    assert [tuple(r) for r in log] == [("append", 2, 5)]
 
 
 def test_streaming_mode_polls_until_the_timeout(spark, root):

@@ -99,6 +99,24 @@ def test_layer_tables_can_be_queried_by_name(spark, root):
     assert read_table(spark, cfg, DAILY).count() == 0
 
 
+def test_command_line(spark, root, capsys):
+    """The jobs as a shell would start them, on the test's session."""
+    from tellerline.__main__ import main
+
+    cfg = config(root)
+    stage(cfg, "atm_visits", "1", [visit(1)])
+    stage(cfg, "atm_locations", "1", [location(1)])
+    for name in ("atm_visits", "atm_locations"):
+        main(["--root", root, "stage-to-bronze", "--folder", name])
+        main(["--root", root, "silver", "--table", name])
+    main(["--root", root, "gold-daily", "--anchor", "20240108"])
+    main(["--root", root, "gold-monthly", "--anchor", "202402"])
+    assert capsys.readouterr().out.splitlines()[-2:] == ["{'insert': 1}"] * 2
+    assert table_rows(spark, cfg, DAILY, "bank", "total_withdrawls") == {("north", 10): 1}
+    with pytest.raises(SystemExit):
+        main(["--root", root, "silver", "--table", "atm_visits", "--trigger-mode", "Hourly"])
+
+
 def test_paths():
     cfg = config("/data")
     assert table_path(cfg, DAILY) == "/data/gold/daily_transaction_summary_by_bank"
