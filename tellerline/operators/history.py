@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tellerline.functions.columns import any_changed, has_null
+from tellerline.functions.columns import any_changed
 from tellerline.operators.merge import (
     ACTION,
     CLOSE,
@@ -106,12 +106,13 @@ def scd2_apply(
         columns.append(value.otherwise(F.col(f"t.{c}")).alias(c))
     merged = versions.select(*columns, ACTION)
 
+    # Two filters, so that a table partitioned by ``current`` is pruned for both.
+    for untouched in (target.where(~is_open), target.where(is_open & F.col(key).isNull())):
+        merged = merged.unionByName(with_action(untouched, KEEP))
     keyless = updates.where(F.col(key).isNull())
     keyless_open = _opening_columns(as_of, F.lit(True), first_effective, prefix="")
     keyless_rows = keyless.withColumns(keyless_open).select(*target.columns)
-    untouched = target.where(~is_open | has_null([key]))
-    result = merged.unionByName(with_action(untouched, KEEP)).unionByName(with_action(keyless_rows, INSERT))
-    return without_label(result, labelled)
+    return without_label(merged.unionByName(with_action(keyless_rows, INSERT)), labelled)
 
 
 def _opening_columns(

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tellerline import schemas
 from tellerline.functions.columns import key_bucket
-from tellerline.operators.conform import conform
-from tellerline.params import Stamp
+from tellerline.operators import conform, scd2_apply
+from tellerline.params import Stamp, TriggerMode
 from tellerline.sources import history, publish, read_table
 from tellerline.sources.tables import checkpoint_dir, read_physical
 from tellerline.streaming import prepare_locations, run_customers, run_locations, run_visits, silver
@@ -162,6 +162,20 @@ def test_only_touched_buckets_are_rewritten(spark, root):
     assert {b for b in before if before[b] != after[b]} == {bucket}
 
 
+def test_history_merge_reads_open_rows_of_touched_buckets_only(spark, root):
+    cfg = config(root)
+    run_three_deliveries(spark, cfg)
+    physical = read_physical(spark, cfg, CUSTOMERS)
+    opened = physical.where(F.col("key_bucket").isin([1])).where("current")
+    batch = opened.drop("current", "effective_date", "end_date")
+    merged = scd2_apply(
+        opened, batch, "customer_id", schemas.TRACKED_CUSTOMER_COLUMNS, F.current_date(), history_complete=True
+    )
+    scans = merged._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1:]
+    filters = [scan.split("], PushedFilters")[0] for scan in scans]
+    assert filters and all("current" in f and "key_bucket" in f for f in filters)
+
+
 def replay_last_batch(cfg, source, target):
     """Forget that the last micro-batch was committed."""
     path = checkpoint_dir(cfg, "bronze-silver", f"bronze.{source}", f"silver.{target}")
@@ -234,3 +248,23 @@ def test_interrupted_publish_is_finished_by_the_next_run(spark, root, monkeypatc
 def test_other_time_zone_is_refused(spark, root):
     with pytest.raises(ValueError, match="time zone"):
         run_visits(spark, config(root, time_zone="Asia/Tokyo"), DAY1)
+
+
+def test_merges_stream_side_by_side(spark, root):
+    """Streaming mode: all merges poll at the same time, each on its own table."""
+    cfg = config(root)
+    folders = ("atm_visits", "atm_locations", "atm_customers")
+    for folder, row in zip(folders, (visit(1), location(1), customer(1))):
+        stage(cfg, folder, "1", [row])
+    ingest(spark, cfg, *folders)
+    polling = config(root, trigger_mode=TriggerMode.STREAMING)
+    merges = [run(spark, polling, DAY1) for run in (run_visits, run_locations, run_customers)]
+    try:
+        for query in merges:
+            query.processAllAvailable()
+    finally:
+        for query in merges:
+            query.stop()
+    for spec in (VISITS, LOCATIONS, CUSTOMERS):
+        assert sum(table_rows(spark, cfg, spec).values()) == 1
+        assert history(spark, cfg, spec).count() == 1
