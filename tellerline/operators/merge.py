@@ -88,29 +88,45 @@ def upsert_if_changed(
     keys: Sequence[str],
     compare: Sequence[str],
     update_stamp: str = "update_ts",
+    nullable_keys: Sequence[str] = (),
     literal: bool = False,
     labelled: bool = False,
 ) -> DataFrame:
     """Update the compared columns and the stamp of changed rows only.
 
     Unchanged rows stay as they are, new keys are inserted, and columns outside
-    ``compare`` (such as a creation stamp) survive an update. Keys are matched
-    NULL-safely, so re-running with the same input changes nothing.
+    ``compare`` (such as a creation stamp) survive an update.
+
+    A NULL in one of ``nullable_keys`` is a value like any other, so that
+    re-running a summary with a group for it changes nothing. Those few rows are
+    joined apart: for the others the plain comparison lets a batch that was
+    grouped by the keys be joined as it is partitioned, without a shuffle.
 
     ``literal=True`` puts the change test, with ``<>``, into the match condition:
     a key that did not change is "not matched" and is inserted once more.
     """
-    differs = any_changed(zip(side("t", compare), side("u", compare)), null_safe=not literal)
-    condition = keys_equal(keys, null_safe=not literal)
-    joined = _match(target, updates, condition & differs if literal else condition)
-    in_target, in_batch = F.col(_IN_TARGET).isNotNull(), F.col(_IN_BATCH).isNotNull()
-    update = in_target & in_batch if literal else in_target & in_batch & differs
-    replaced = {*compare, update_stamp}
-    columns = [
-        F.when(~in_target | update if c in replaced else ~in_target, F.col(f"u.{c}"))
-        .otherwise(F.col(f"t.{c}"))
-        .alias(c)
-        for c in target.columns
-    ]
-    action = F.when(~in_target, INSERT).when(update, UPDATE).otherwise(KEEP).alias(ACTION)
-    return without_label(joined.select(*columns, action), labelled)
+
+    def merge(t: DataFrame, u: DataFrame, null_safe_keys: bool = False) -> DataFrame:
+        differs = any_changed(zip(side("t", compare), side("u", compare)), null_safe=not literal)
+        same_key = keys_equal(keys, null_safe_keys)
+        joined = _match(t, u, same_key & differs if literal else same_key)
+        in_target, in_batch = F.col(_IN_TARGET).isNotNull(), F.col(_IN_BATCH).isNotNull()
+        update = in_target & in_batch & differs
+        replaced = {*compare, update_stamp}
+        columns = [
+            F.when(~in_target | update if c in replaced else ~in_target, F.col(f"u.{c}"))
+            .otherwise(F.col(f"t.{c}"))
+            .alias(c)
+            for c in t.columns
+        ]
+        action = F.when(~in_target, INSERT).when(update, UPDATE).otherwise(KEEP).alias(ACTION)
+        return joined.select(*columns, action)
+
+    if literal or not nullable_keys:
+        merged = merge(target, updates)
+    else:
+        without = has_null(nullable_keys)
+        merged = merge(target.where(~without), updates.where(~without)).unionByName(
+            merge(target.where(without), updates.where(without), null_safe_keys=True)
+        )
+    return without_label(merged, labelled)

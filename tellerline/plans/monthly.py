@@ -46,7 +46,9 @@ def run_monthly(
     summary = monthly_by_customer(visits, window, literal)
     updates = conform(stamped(summary, Stamp.at(as_of).ts, "create_ts", "update_ts"), spec.schema)
     stored = read_table(spark, config, spec).where(F.col("transaction_month").isin(window_months(window, literal)))
-    merged = upsert_if_changed(stored, updates, spec.keys, TOTALS, literal=literal, labelled=True)
+    merged = upsert_if_changed(
+        stored, updates, spec.keys, TOTALS, nullable_keys=("customer_id",), literal=literal, labelled=True
+    )
     counts = publish_rewrite(spark, config, spec, merged)
     record_run(spark, config, spec, "upsert_if_changed", counts)
     return counts

@@ -239,6 +239,7 @@ def _monthly_upsert(spark: SparkSession, sf_dir: str, literal: bool) -> DataFram
         stamped(staged, _ts("2001-09-01 06:00:00"), "create_ts", "update_ts"),
         schemas.GOLD_MONTHLY.keys,
         TOTALS,
+        nullable_keys=("customer_id",),
         literal=literal,
         labelled=True,
     )

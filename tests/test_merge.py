@@ -4,6 +4,7 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tellerline.operators import (
     conform,
@@ -69,7 +70,7 @@ def test_upsert_if_changed(spark):
     updates = spark.createDataFrame(
         [(1, 10, None, "n", "n"), (2, 11, 20, "n", "n"), (4, 1, 1, "n", "n"), (None, 5, 5, "n", "n")], SUMMARY
     )
-    result = upsert_if_changed(target, updates, ["k"], ["w", "d"])
+    result = upsert_if_changed(target, updates, ["k"], ["w", "d"], nullable_keys=["k"])
     assert {tuple(r) for r in result.collect()} == {
         (1, 10, None, "c", "c"),
         (2, 11, 20, "c", "n"),
@@ -77,7 +78,26 @@ def test_upsert_if_changed(spark):
         (4, 1, 1, "n", "n"),
         (None, 5, 5, "c", "c"),
     }
-    assert rows(upsert_if_changed(result, updates, ["k"], ["w", "d"])) == rows(result)
+    assert rows(upsert_if_changed(result, updates, ["k"], ["w", "d"], nullable_keys=["k"])) == rows(result)
+
+
+def test_upsert_if_changed_inserts_null_keys_unless_declared(spark):
+    rows_in = spark.createDataFrame([(None, 5, 5, "c", "c")], SUMMARY)
+    assert upsert_if_changed(rows_in, rows_in, ["k"], ["w", "d"]).count() == 2
+
+
+def test_grouped_batch_is_not_shuffled_again(spark):
+    """A summary grouped by the keys is joined with the partitioning it has."""
+    sums = "sum(v) AS w", "sum(v) AS d", "max('u') AS create_ts", "max('u') AS update_ts"
+    updates = spark.range(1000).selectExpr("id % 50 AS k", "id AS v").groupBy("k").agg(*map(F.expr, sums))
+    target = spark.range(1000).selectExpr("id AS k", "id AS w", "id AS d", "'t' AS create_ts", "'t' AS update_ts")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = upsert_if_changed(target, updates, ["k"], ["w", "d"])
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2
 
 
 def test_upsert_if_changed_literal_duplicates_unchanged_rows(spark):
@@ -161,9 +181,11 @@ def test_merges_equal_sql_merge(spark, seed):
         "MERGE INTO t USING u ON t.k IS NOT DISTINCT FROM u.k "
         f"WHEN MATCHED AND (t.w IS DISTINCT FROM u.w OR t.d IS DISTINCT FROM u.d) THEN {SET_TOTALS} {INSERT_ALL}"
     )
-    one_null = [r for r in target if r[0] is not None], [r for r in updates if r[0] is not None]
+    # A summary has each key once, NULL included.
+    one_null = tuple([r for r in side if r[0] is not None or r[3] == "null-0"] for side in (target, updates))
     t1, u1 = (spark.createDataFrame(r, SUMMARY) for r in one_null)
-    assert rows(upsert_if_changed(t1, u1, ["k"], ["w", "d"])) == _merge(*one_null, statement)
+    merged = upsert_if_changed(t1, u1, ["k"], ["w", "d"], nullable_keys=["k"])
+    assert rows(merged) == _merge(*one_null, statement)
 
     literal = f"MERGE INTO t USING u ON t.k = u.k AND (t.w <> u.w OR t.d <> u.d) WHEN MATCHED THEN {SET_TOTALS} {INSERT_ALL}"
     merged = upsert_if_changed(t, u, ["k"], ["w", "d"], literal=True)
