@@ -33,6 +33,7 @@ def parser() -> argparse.ArgumentParser:
 
     bronze = jobs.add_parser("stage-to-bronze")
     bronze.add_argument("--folder", choices=sorted(schemas.STAGED), required=True)
+    bronze.add_argument("--table", help="bronze table, by default named like the folder")
     bronze.add_argument("--quarantine", action="store_true", help="split off lines that do not parse")
     silver = jobs.add_parser("silver")
     silver.add_argument("--table", choices=sorted(SILVER_JOBS), required=True)
@@ -61,7 +62,7 @@ def main(argv: list[str] | None = None) -> None:
         print(plans.run_monthly(spark, config, MonthWindow.resolve(args.anchor, args.num_months)))
     else:
         if args.job == "stage-to-bronze":
-            query = streaming.run_stage_to_bronze(spark, config, args.folder, args.quarantine)
+            query = streaming.run_stage_to_bronze(spark, config, args.folder, args.table, args.quarantine)
         else:
             query = SILVER_JOBS[args.table](spark, config)
         query.awaitTermination()

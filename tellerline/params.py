@@ -46,6 +46,10 @@ class DayWindow:
     def first(self) -> dt.date:
         return self.anchor - dt.timedelta(days=self.lookback_days)
 
+    @property
+    def days(self) -> list[str]:
+        return [str(self.first + dt.timedelta(days=i)) for i in range(self.lookback_days + 1)]
+
     def contains(self, column: Column) -> Column:
         return column.between(F.lit(self.first), F.lit(self.anchor))
 
@@ -77,6 +81,11 @@ class MonthWindow:
     def first(self) -> dt.date:
         return _add_months(self.end, -self.lookback_months)
 
+    @property
+    def months(self) -> list[dt.date]:
+        """First days of the window's months."""
+        return [_add_months(self.first, i) for i in range(self.lookback_months)]
+
     def contains(self, column: Column) -> Column:
         return (column >= F.lit(self.first)) & (column < F.lit(self.end))
 
@@ -131,8 +140,8 @@ class JobConfig:
     less per row in larger batches. ``key_buckets``
     is fixed when a table is created: choose it so that one bucket of open
     dimension rows is a few hundred MB. ``prune_by_date`` compares new visits
-    with stored visits of the batch's own date range only; a visit that comes
-    back under a date outside it is then stored twice.
+    with stored visits of the batch's own dates only; a visit that comes back
+    under another date is then stored twice.
     """
 
     stage_root: str

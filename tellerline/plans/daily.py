@@ -14,7 +14,7 @@ from tellerline.operators.merge import upsert_if_changed
 from tellerline.params import DayWindow, JobConfig, Stamp
 from tellerline.sources.audit import record_run
 from tellerline.sources.publish import publish_rewrite, recover
-from tellerline.sources.tables import read_table
+from tellerline.sources.tables import read_partitions, read_table
 
 TOTALS = ("total_withdrawls", "total_deposits")
 
@@ -70,11 +70,11 @@ def run_daily(
     window = window or DayWindow.resolve()
     spec = schemas.GOLD_DAILY
     recover(spark, config, spec)
-    visits = read_table(spark, config, schemas.SILVER_VISITS)
+    visits = read_partitions(spark, config, schemas.SILVER_VISITS, window.days)
     locations = read_table(spark, config, schemas.SILVER_LOCATIONS)
     summary = daily_by_bank(visits, locations, window, literal)
     updates = conform(stamped(summary, Stamp.at(as_of).ts, "create_ts", "update_ts"), spec.schema)
-    stored = read_table(spark, config, spec).where(window.contains(F.col("transaction_dt")))
+    stored = read_partitions(spark, config, spec, window.days)
     merged = upsert_if_changed(stored, updates, spec.keys, TOTALS, literal=literal, labelled=True)
     counts = publish_rewrite(spark, config, spec, merged)
     record_run(spark, config, spec, "upsert_if_changed", counts)

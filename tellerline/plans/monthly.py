@@ -15,7 +15,7 @@ from tellerline.params import JobConfig, MonthWindow, Stamp
 from tellerline.plans.daily import TOTALS, totals
 from tellerline.sources.audit import record_run
 from tellerline.sources.publish import publish_rewrite, recover
-from tellerline.sources.tables import read_table
+from tellerline.sources.tables import read_partitions
 
 
 def month_key(day: Column, literal: bool = False) -> Column:
@@ -42,10 +42,10 @@ def run_monthly(
     window = window or MonthWindow.resolve()
     spec = schemas.GOLD_MONTHLY
     recover(spark, config, spec)
-    visits = read_table(spark, config, schemas.SILVER_VISITS)
+    visits = read_partitions(spark, config, schemas.SILVER_VISITS, [f"{m:%Y-%m}-*" for m in window.months])
     summary = monthly_by_customer(visits, window, literal)
     updates = conform(stamped(summary, Stamp.at(as_of).ts, "create_ts", "update_ts"), spec.schema)
-    stored = read_table(spark, config, spec).where(F.col("transaction_month").isin(window_months(window, literal)))
+    stored = read_partitions(spark, config, spec, map(str, window_months(window, literal)))
     merged = upsert_if_changed(
         stored, updates, spec.keys, TOTALS, nullable_keys=("customer_id",), literal=literal, labelled=True
     )
@@ -56,8 +56,4 @@ def run_monthly(
 
 def window_months(window: MonthWindow, literal: bool = False) -> list[int]:
     """The partitions of the stored summary that the window can touch."""
-    months, year, month = [], window.first.year, window.first.month
-    while (year, month) < (window.end.year, window.end.month):
-        months.append(month if literal else year * 100 + month)
-        year, month = (year, month + 1) if month < 12 else (year + 1, 1)
-    return sorted(set(months))
+    return sorted({m.month if literal else m.year * 100 + m.month for m in window.months})

@@ -15,6 +15,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path matches a glob pattern."""
+    fs, hadoop_path = _locate(spark, pattern)
+    return len(fs.globStatus(hadoop_path) or ()) > 0
+
+
 def make_dir(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _locate(spark, path)
     fs.mkdirs(hadoop_path)

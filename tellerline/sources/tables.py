@@ -6,6 +6,8 @@ convenience for SQL users.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -13,6 +15,9 @@ from tellerline.params import JobConfig
 from tellerline.schemas import LAYER_TABLES, TableSpec
 from tellerline.sources import files
 
+# How a partition folder spells NULL.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 
 def table_path(config: JobConfig, spec: TableSpec) -> str:
     return f"{config.layer_root(spec.layer)}/{spec.name}"
@@ -84,6 +89,20 @@ def read_physical(spark: SparkSession, config: JobConfig, spec: TableSpec) -> Da
     return spark.read.schema(spec.physical_schema).parquet(path).select(*spec.physical_schema.names)
 
 
+def read_partitions(spark: SparkSession, config: JobConfig, spec: TableSpec, values: Iterable[str]) -> DataFrame:
+    """Stored rows of some values of the first partition column (globs allowed).
+
+    Only those folders are listed: a large table's other files are not looked at
+    even on the driver.
+    """
+    path, names = table_path(config, spec), ",".join(values)
+    folders = f"{path}/{spec.partition_by[0]}={{{names}}}"
+    if not names or not files.matches(spark, folders):
+        return spark.createDataFrame([], spec.physical_schema)
+    reader = spark.read.schema(spec.physical_schema).option("basePath", path)
+    return reader.parquet(folders).select(*spec.physical_schema.names)
+
+
 def read_table(spark: SparkSession, config: JobConfig, spec: TableSpec) -> DataFrame:
     return read_physical(spark, config, spec).select(*spec.schema.names)
 

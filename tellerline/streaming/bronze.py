@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +21,15 @@ from tellerline.sources.tables import checkpoint_dir, table_path
 _POLL_SECONDS = 5.0
 
 
-def bronze_spec(folder: str) -> TableSpec:
+def bronze_spec(folder: str, table: str | None = None) -> TableSpec:
+    """The bronze table of a staged folder, under another name if one is given."""
     staged_schema(folder)
-    return next(spec for spec in LAYER_TABLES["bronze"] if spec.name == folder)
+    spec = next(spec for spec in LAYER_TABLES["bronze"] if spec.name == folder)
+    return replace(spec, name=table) if table else spec
 
 
-def quarantine_path(config: JobConfig, folder: str) -> str:
-    return f"{config.bronze_root}/quarantine/{folder}"
+def quarantine_path(config: JobConfig, table: str) -> str:
+    return f"{config.bronze_root}/quarantine/{table}"
 
 
 def await_query(query: StreamingQuery, config: JobConfig, timeout: float | None) -> dict[int, int]:
@@ -57,23 +60,24 @@ def run_stage_to_bronze(
     spark: SparkSession,
     config: JobConfig,
     folder: str,
+    table: str | None = None,
     quarantine: bool = False,
     timeout: float | None = None,
 ) -> StreamingQuery:
-    """Append new staged rows to the bronze table of the same name.
+    """Append new staged rows to the bronze table, by default of the same name.
 
     With ``quarantine=True`` lines that do not parse go to a folder of their own
     with their text. That is a second query with its own checkpoint, so both
     outputs stay exactly-once. The run log is written when the wait ends.
     """
     require_time_zone(spark, config.time_zone)
-    spec = bronze_spec(folder)
+    spec = bronze_spec(folder, table)
     path = table_path(config, spec)
     files.make_dir(spark, f"{config.stage_root}/{folder}")
     rows = read_staged(spark, config.stage_root, folder, config.max_files_per_trigger, quarantine)
     if quarantine:
         broken = rows.where(F.col(CORRUPT_COLUMN).isNotNull())
-        rejected = _append(config, broken, quarantine_path(config, folder), (), f"{folder}-quarantine", folder)
+        rejected = _append(config, broken, quarantine_path(config, spec.name), (), f"{spec.name}-quarantine", folder)
         await_query(rejected, config, timeout)
         rows = rows.where(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
     query = _append(config, rows, path, spec.partition_by, spec.name, folder)

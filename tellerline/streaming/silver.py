@@ -25,7 +25,14 @@ from tellerline.schemas import BUCKET_COLUMN, TableSpec
 from tellerline.session import require_time_zone
 from tellerline.sources.audit import record_run
 from tellerline.sources.publish import append_rows, publish_rewrite, recover
-from tellerline.sources.tables import checkpoint_dir, qualified_name, read_physical, read_table, stream_table
+from tellerline.sources.tables import (
+    NULL_PARTITION,
+    checkpoint_dir,
+    qualified_name,
+    read_partitions,
+    read_table,
+    stream_table,
+)
 from tellerline.streaming.bronze import await_query
 
 # Delivery order; customers and locations have no time of their own.
@@ -59,15 +66,17 @@ def apply_visits(spark: SparkSession, config: JobConfig, batch: DataFrame, stamp
     prepared = dedupe_earliest(prepare_visits(batch, stamp), spec.keys, INGEST_ORDER)
     updates = conform(prepared, spec.schema).persist()
     try:
-        key, day = F.col(spec.keys[0]), F.col("transaction_dt")
+        key = F.col(spec.keys[0])
         # Rows outside the batch's key range cannot match: an exact filter that
         # skips files and row groups by their statistics. One row comes back.
-        size, low, high, first, last = updates.agg(
-            F.count(F.lit(1)), F.min(key), F.max(key), F.min(day), F.max(day)
-        ).first()
-        stored = read_table(spark, config, spec).where(key.between(F.lit(low), F.lit(high)))
+        size, low, high = updates.agg(F.count(F.lit(1)), F.min(key), F.max(key)).first()
         if config.prune_by_date:
-            stored = stored.where(day.between(F.lit(first), F.lit(last)) | day.isNull())
+            # Bounded by the number of calendar days.
+            days = [r[0] for r in updates.select("transaction_dt").distinct().collect()]
+            stored = read_partitions(spark, config, spec, [NULL_PARTITION if d is None else str(d) for d in days])
+        else:
+            stored = read_table(spark, config, spec)
+        stored = stored.where(key.between(F.lit(low), F.lit(high)))
         held = matching_rows(stored, updates, spec.keys)
         inserted = append_rows(config, spec, insert_if_absent(held, updates, spec.keys))
         return {"input": size, INSERT: inserted}
@@ -125,7 +134,9 @@ def _merge_buckets(
         # Bounded by the table's fixed number of buckets.
         sizes = dict(updates.groupBy(BUCKET_COLUMN).count().collect())
         with_key = [b for b in sizes if b != NULL_KEY_BUCKET]
-        stored = read_physical(spark, config, spec).where(F.col(BUCKET_COLUMN).isin(with_key))
+        # Open versions only where there is a history, else the touched buckets.
+        folders = ["true"] if spec.partition_by[0] == "current" else map(str, with_key)
+        stored = read_partitions(spark, config, spec, folders).where(F.col(BUCKET_COLUMN).isin(with_key))
         counts = publish_rewrite(spark, config, spec, merge(stored, updates))
         return {"input": sum(sizes.values()), **counts}
     finally:

@@ -6,7 +6,7 @@ from helpers import config, ingest, location, stage, table_rows, visit
 from tellerline import schemas
 from tellerline.params import TriggerMode
 from tellerline.sources import history, read_staged, read_table
-from tellerline.streaming.bronze import progress, quarantine_path
+from tellerline.streaming.bronze import bronze_spec, progress, quarantine_path
 
 BROKEN = ["{broken", '{"atm_id":"oops"}']
 
@@ -66,3 +66,11 @@ def test_streaming_mode_polls_until_the_timeout(spark, root):
     finally:
         query.stop()
     assert table_rows(spark, cfg, schemas.BRONZE_VISITS, "visit_id") == {(1,): 1}
+
+
+def test_bronze_table_of_another_name(spark, root):
+    cfg = config(root)
+    stage(cfg, "atm_visits", "1", [visit(1)])
+    ingest(spark, cfg, "atm_visits", table="visits_raw")
+    assert table_rows(spark, cfg, bronze_spec("atm_visits", "visits_raw"), "visit_id") == {(1,): 1}
+    assert table_rows(spark, cfg, schemas.BRONZE_VISITS) == {}

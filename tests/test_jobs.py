@@ -9,7 +9,7 @@ from tellerline import schemas
 from tellerline.params import DayWindow, MonthWindow
 from tellerline.plans import run_daily, run_monthly
 from tellerline.sources import create_layer_tables, history, read_table
-from tellerline.sources.tables import checkpoint_dir, refresh_catalog, table_path
+from tellerline.sources.tables import checkpoint_dir, read_partitions, refresh_catalog, table_path
 from tellerline.streaming import run_locations, run_visits
 
 DAILY, MONTHLY = schemas.GOLD_DAILY, schemas.GOLD_MONTHLY
@@ -74,12 +74,20 @@ def test_literal_rerun_inserts_unchanged_rows_again(spark, root):
 
 def test_window_reads_only_its_partitions(spark, root):
     cfg = config(root)
-    load(spark, cfg, "1", [visit(1), visit(2, day="2024-01-20")], DAY1)
-    table = read_table(spark, cfg, schemas.SILVER_VISITS)
-    pruned = table.where(WINDOW.contains(table.transaction_dt)).select("amount")
-    plan = pruned._jdf.queryExecution().executedPlan().toString()
-    assert "transaction_dt" in plan.split("PartitionFilters: [")[1].split("]")[0]
-    assert "ReadSchema: struct<amount:bigint>" in plan
+    days = ("2024-01-05", "2024-01-20", "2024-02-01")
+    load(spark, cfg, "1", [visit(i, day=d) for i, d in enumerate(days)], DAY1)
+
+    def days_read(values):
+        rows = read_partitions(spark, cfg, schemas.SILVER_VISITS, values)
+        assert rows.columns == schemas.SILVER_VISITS.schema.names
+        return sorted(str(r.transaction_dt) for r in rows.collect())
+
+    assert days_read(WINDOW.days) == ["2024-01-05"]
+    assert days_read(["2024-01-*"]) == ["2024-01-05", "2024-01-20"]
+    assert days_read(["2023-01-*"]) == days_read([]) == []
+    rows = read_partitions(spark, cfg, schemas.SILVER_VISITS, WINDOW.days)
+    assert all("transaction_dt=2024-01-05" in f for f in rows.inputFiles())
+    assert "ReadSchema: struct<amount:bigint>" in rows.select("amount")._jdf.queryExecution().executedPlan().toString()
 
 
 def test_layer_tables_can_be_queried_by_name(spark, root):
