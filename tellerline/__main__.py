@@ -25,6 +25,7 @@ SILVER_JOBS = {
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tellerline")
     top.add_argument("--root", required=True, help="shared folder that holds all layers")
+    top.add_argument("--key-buckets", type=int, default=64, help="fixed once a dimension table is written")
     jobs = top.add_subparsers(dest="job", required=True)
 
     tables = jobs.add_parser("create-tables")
@@ -52,7 +53,7 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     mode = getattr(args, "trigger_mode", TriggerMode.BATCH)
-    config = JobConfig.under(args.root, trigger_mode=mode)
+    config = JobConfig.under(args.root, trigger_mode=mode, key_buckets=args.key_buckets)
     spark = build_session(f"tellerline {args.job}")
     if args.job == "create-tables":
         print(create_layer_tables(spark, config, args.layer, args.reset))

@@ -107,6 +107,20 @@ def read_table(spark: SparkSession, config: JobConfig, spec: TableSpec) -> DataF
     return read_physical(spark, config, spec).select(*spec.schema.names)
 
 
+def ensure_buckets(spark: SparkSession, config: JobConfig, spec: TableSpec) -> None:
+    """Hold a table to the number of key buckets it was first written with.
+
+    With another number, stored keys would be looked for in the wrong buckets.
+    """
+    path = table_path(config, spec)
+    marker = f"{path}/_key_buckets-{config.key_buckets}"
+    if files.matches(spark, marker):
+        return
+    if files.matches(spark, f"{path}/_key_buckets-*"):
+        raise ValueError(f"{path} was created with another number of key buckets than {config.key_buckets}")
+    files.touch(spark, marker)
+
+
 def stream_table(spark: SparkSession, config: JobConfig, spec: TableSpec) -> DataFrame:
     """A table as a streaming source: each new file is read once."""
     path = table_path(config, spec)

@@ -28,6 +28,7 @@ from tellerline.sources.publish import append_rows, publish_rewrite, recover
 from tellerline.sources.tables import (
     NULL_PARTITION,
     checkpoint_dir,
+    ensure_buckets,
     qualified_name,
     read_partitions,
     read_table,
@@ -128,6 +129,7 @@ def _merge_buckets(
     merge: Callable[[DataFrame, DataFrame], DataFrame],
 ) -> dict[str, int]:
     """Merge a batch with the buckets its keys fall into and rewrite those."""
+    ensure_buckets(spark, config, spec)
     bucket = key_bucket(spec.keys, config.key_buckets).cast("int")
     updates = conform(prepared, spec.schema).withColumn(BUCKET_COLUMN, bucket).persist()
     try:

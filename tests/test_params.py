@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tellerline.params import DayWindow, JobConfig, MonthWindow, Stamp, TriggerMode
 from tellerline.plans.monthly import month_key, window_months
+from tellerline.session import scratch_dir
 
 D = dt.date
 
@@ -87,3 +88,19 @@ def test_config_defaults():
     assert config.max_files_per_trigger == 20
     assert config.layer_root("silver") == "/data/silver"
     assert config.trigger_mode is TriggerMode.BATCH
+
+
+class _Session:
+    """Just what ``scratch_dir`` asks of a session."""
+
+    def __init__(self, master, settings):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = settings
+
+
+def test_scratch_goes_to_the_shared_folder():
+    shared = _Session("yarn", {"spark.checkpoint.dir": "hdfs:///shared/"})
+    assert scratch_dir(shared, "x").startswith("hdfs:///shared/x-")
+    assert scratch_dir(_Session("local[2]", {}), "x") != scratch_dir(_Session("local[2]", {}), "x")
+    with pytest.raises(ValueError, match="checkpoint"):
+        scratch_dir(_Session("yarn", {}), "x")

@@ -12,7 +12,7 @@ from tellerline.functions.columns import key_bucket
 from tellerline.operators import conform, scd2_apply
 from tellerline.params import Stamp, TriggerMode
 from tellerline.sources import history, publish, read_table
-from tellerline.sources.tables import checkpoint_dir, read_physical
+from tellerline.sources.tables import checkpoint_dir, ensure_buckets, read_physical
 from tellerline.streaming import prepare_locations, run_customers, run_locations, run_visits, silver
 
 VISITS, CUSTOMERS, LOCATIONS = schemas.SILVER_VISITS, schemas.SILVER_CUSTOMERS, schemas.SILVER_LOCATIONS
@@ -245,6 +245,14 @@ def test_interrupted_publish_is_finished_by_the_next_run(spark, root, monkeypatc
     assert table_rows(spark, cfg, CUSTOMERS, *VERSION) == expected
 
 
+def test_other_number_of_buckets_is_refused(spark, root):
+    for cfg in (config(root), config(root)):
+        ensure_buckets(spark, cfg, LOCATIONS)
+    with pytest.raises(ValueError, match="key buckets"):
+        ensure_buckets(spark, config(root, key_buckets=5), LOCATIONS)
+    assert read_table(spark, cfg, LOCATIONS).count() == 0
+
+
 def test_other_time_zone_is_refused(spark, root):
     with pytest.raises(ValueError, match="time zone"):
         run_visits(spark, config(root, time_zone="Asia/Tokyo"), DAY1)
