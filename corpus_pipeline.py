@@ -14,34 +14,39 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tellerline.llm import decontaminate, packing, quality_classifier, simhash, toxicity
-from tellerline.llm.common import DOCUMENT_COLUMNS, shared_dir, table
+from tellerline.llm.common import DOCUMENT_COLUMNS, shared_dir, table, with_package
 from tellerline.llm.queries import TOKENIZER
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the threshold."""
+    with_package(spark)
     scored = quality_classifier.scored(docs.select(*DOCUMENT_COLUMNS), table(spark, sf_dir, "labels"))
     return scored.where("predicted = 1").select(*DOCUMENT_COLUMNS)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays below the threshold."""
+    with_package(spark)
     scored = toxicity.scored(docs.select(*DOCUMENT_COLUMNS), table(spark, sf_dir, "labels"))
     return scored.where("predicted = 0").select(*DOCUMENT_COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that of the smallest id."""
+    with_package(spark)
     return simhash.one_of_each(docs.select(*DOCUMENT_COLUMNS), shingle=4, distance=4)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item."""
+    with_package(spark)
     return decontaminate.without_leaks(docs.select(*DOCUMENT_COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents that are left, in their sequences."""
+    with_package(spark)
     return packing.packed(docs, TOKENIZER)
 
 

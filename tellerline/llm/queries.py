@@ -3,49 +3,141 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerline.llm import decontaminate, packing, quality_classifier, simhash, toxicity
-from tellerline.llm.common import fold_of, table
+from tellerline.llm import (
+    decontaminate,
+    language_id,
+    license_scan,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    simhash,
+    toxicity,
+    url_filter,
+)
+from tellerline.llm.common import fold_of, table, with_package
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 HELD_OUT = (fold_of(F.col("doc_id"), 5) == 0).alias("held_out")
 
 
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+
+def registered(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with_package(spark)
+        return query(spark, sf_dir)
+
+    QUERIES[query.__name__] = run
+    return run
+
+
+BLOCKED, ALLOWED = ["net/", "example.com/de/"], ["example.net/en/", "org/fr/"]
+#: Marks that junk text leaves behind its words; addresses that serve them make up the URL list.
+JUNK = r"(\*\*\*|\$\$\$|%%%|###|!!)\s"
+
+
+@registered
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = sharding.sharded(table(spark, sf_dir, "documents"), shards=40, overhead=16)
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return dealt.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
+@registered
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality_classifier.scored(docs, table(spark, sf_dir, "labels"))
     return scored.select("doc_id", HELD_OUT, "score", "predicted")
 
 
+@registered
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+@registered
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.scored(docs, table(spark, sf_dir, "labels"))
     return scored.select("doc_id", HELD_OUT, "score", "predicted", "offending")
 
 
+@registered
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scanned(table(spark, sf_dir, "documents"))
+
+
+@registered
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@registered
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id.identified(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    held_out = (fold_of(F.col("doc_id"), 4) == 2).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score", "margin", "rejected")
+
+
+@registered
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    host, path = url_filter.host_and_path(F.col("url"))
+    listed = pages.where(F.col("html").rlike(JUNK)).select(F.concat(host, path).alias("key"))
+    return url_filter.judged(pages, listed, BLOCKED, ALLOWED)
+
+
+@registered
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@registered
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
     return groups.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_quality_classifier": op2_quality_classifier,
-    "op3_packing": op3_packing,
-    "op4_toxicity": op4_toxicity,
-    "op6_decontamination": op6_decontamination,
-    "op10_simhash": op10_simhash,
+#: The other queries train models, run a tokenizer or search by similarity; tests/llm holds them against brute force.
+ORACLES: dict[str, str] = {
+    "op8_url_filter": r"""
+        WITH parts AS (
+            SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+            FROM pages
+        ), named AS (
+            SELECT page_id, html,
+                translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM parts
+        ), ruled AS (
+            SELECT page_id, host, path,
+                CASE
+                    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+                    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+                    WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+                    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/'
+                END AS rule,
+                concat(host, path) IN (
+                    SELECT concat(host, path) FROM named WHERE regexp_matches(html, '(\*\*\*|\$\$\$|%%%|###|!!)\s')
+                ) AS listed
+            FROM named
+        )
+        SELECT page_id, host, path, rule, listed,
+            CASE
+                WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+                WHEN rule IS NOT NULL THEN 'allow'
+                WHEN listed THEN 'block' ELSE 'allow'
+            END AS verdict
+        FROM ruled
+    """,
 }
-
-ORACLES: dict[str, str] = {}
