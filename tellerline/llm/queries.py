@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import wraps
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellerline.llm import (
@@ -24,7 +24,6 @@ from tellerline.llm import (
 from tellerline.llm.common import fold_of, table, with_package
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-HELD_OUT = (fold_of(F.col("doc_id"), 5) == 0).alias("held_out")
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +40,10 @@ def registered(query: Query) -> Query:
     return run
 
 
+def held_out(folds: int, fold: int) -> Column:
+    return (fold_of(F.col("doc_id"), folds) == fold).alias("held_out")
+
+
 BLOCKED, ALLOWED = ["net/", "example.com/de/"], ["example.net/en/", "org/fr/"]
 #: Marks that junk text leaves behind its words; addresses that serve them make up the URL list.
 JUNK = r"(\*\*\*|\$\$\$|%%%|###|!!)\s"
@@ -57,7 +60,7 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality_classifier.scored(docs, table(spark, sf_dir, "labels"))
-    return scored.select("doc_id", HELD_OUT, "score", "predicted")
+    return scored.select("doc_id", held_out(5, 0), "score", "predicted")
 
 
 @registered
@@ -69,7 +72,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.scored(docs, table(spark, sf_dir, "labels"))
-    return scored.select("doc_id", HELD_OUT, "score", "predicted", "offending")
+    return scored.select("doc_id", held_out(5, 0), "score", "predicted", "offending")
 
 
 @registered
@@ -85,8 +88,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_id.identified(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
-    held_out = (fold_of(F.col("doc_id"), 4) == 2).alias("held_out")
-    return found.select("doc_id", held_out, "lang_pred", "score", "margin", "rejected")
+    return found.select("doc_id", held_out(4, 2), "lang_pred", "score", "margin", "rejected")
 
 
 @registered

@@ -1,0 +1,119 @@
+import itertools
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from tellerline.llm import packing, word_bpe
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+ODD = [
+    "",
+    None,
+    "x" * 70 + " É" * 5 + "ÀÉÞßÿ×÷ a1b22,,c!!'s o'RE we'll",
+    "áb ́c\x1cfoo\x85bar <|endoftext|> x<|startoftext|>y <| ΑΣ Σ z don't it's 12³ İstanbul ﬁ  u\tv",
+    "日本語 テスト кириллица 🙂🙂",
+    "THERHAOU!! thnd*** | a ] [ it_s",
+    "a" * 500,
+]
+
+
+def test_ids_are_the_librarys():
+    rng = random.Random(1)
+    letters = "aeiounrstéß'1.!*| \n"
+    texts = [*ODD, *["".join(rng.choice(letters) for _ in range(rng.randrange(400))) for _ in range(300)]]
+    library = Tokenizer.from_file(PATH)
+    found = list(word_bpe.Encoder(PATH).encode(pa.array(texts, pa.string())))
+    assert [f.tolist() for f in found] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_ids_do_not_depend_on_memory_or_block(monkeypatch):
+    texts = [" ".join(f"wort{i * 7919 % 997}x{i}" for i in range(n)) for n in (3, 4000, 0, 900)]
+    library = Tokenizer.from_file(PATH)
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(word_bpe, "MEMORY_BITS", 6)
+    monkeypatch.setattr(word_bpe, "blocks", lambda d, b: __import__("tellerline.llm.common").llm.common.blocks(d, b, 700))
+    assert [f.tolist() for f in word_bpe.Encoder(PATH).encode(pa.array(texts))] == expected
+
+
+def test_another_vocabulary_is_left_to_the_library():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    found = list(word_bpe.Encoder(path).encode(pa.array(["Hello  world", None])))
+    assert [f.tolist() for f in found] == [Tokenizer.from_file(path).encode("Hello  world").ids, []]
+
+
+def best_sum(lengths, window):
+    """The fullest window with the longest length in it, over all subsets."""
+    longest = max(lengths)
+    rest = list(lengths)
+    rest.remove(longest)
+    sums = {0}
+    for x in rest:
+        sums |= {s + x for s in sums if s + x <= window - longest}
+    return longest + max(sums)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_each_pattern_fills_its_window_best(seed):
+    rng = random.Random(seed)
+    window = rng.choice((16, 50, 97))
+    lengths = [rng.randrange(1, window + 1) for _ in range(rng.randrange(1, 14))]
+    counts = {x: lengths.count(x) for x in lengths}
+    chosen = packing.fullest(counts, window)
+    assert all(n <= counts[x] for x, n in chosen.items()) and max(lengths) in chosen
+    assert sum(x * n for x, n in chosen.items()) == best_sum(lengths, window)
+
+
+def test_plan_places_every_piece_once():
+    rng = random.Random(5)
+    counts = {x: rng.randrange(1, 60) for x in rng.sample(range(1, 65), 40)}
+    plan = packing.plan(dict(counts), 64)
+    held = defaultdict(list)
+    for length, n in counts.items():
+        sequence, offset = plan.places(np.full(n, length), np.arange(n))
+        for s, o in zip(sequence.tolist(), offset.tolist()):
+            held[s].append((o, length))
+    for parts in held.values():
+        ends = list(itertools.accumulate(x for _, x in sorted(parts)))
+        assert [o for o, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 64
+    assert len(plan.length) < 64 * 12
+
+
+def test_round_trip(docs):
+    """Pieces put together again are the tokenizer's ids; sequences are gapless and full."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(("alpha", "be", "gamma7", "é")) for _ in range(rng.randrange(0, 700)))) for i in range(60)]
+    rows += [(100 + i, t) for i, t in enumerate(ODD)] + [(7, rows[7][1]), (7, rows[7][1]), (None, "no id"), (None, None)]
+    window = 128
+    found = packing.packed(docs(rows), PATH, window=window).collect()
+    library = Tokenizer.from_file(PATH)
+    expected = defaultdict(int)
+    for i, t in rows:
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 1]
+        for at in range(0, len(ids), window):
+            part = np.array(ids[at : at + window], "<u4")
+            expected[i, at, len(part), zlib.crc32(part.tobytes()), len(ids)] += 1
+    actual = defaultdict(int)
+    for r in found:
+        actual[r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens] += 1
+    assert actual == expected
+    sequences = defaultdict(list)
+    for r in found:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= window
+    tokens = sum(r.length for r in found)
+    assert len(sequences) <= -(-tokens // window) + 2
+
+
+def test_empty_table(docs):
+    assert packing.packed(docs([]), PATH).collect() == []

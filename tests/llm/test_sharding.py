@@ -1,0 +1,91 @@
+import random
+import zlib
+from collections import defaultdict
+from itertools import groupby
+
+import pytest
+from pyspark.sql import functions as F
+
+from tellerline.llm import sharding
+
+
+def least_capacity(sizes, shards):
+    """Smallest largest shard of a contiguous partition, by trying every capacity."""
+    def needed(capacity):
+        n, held = 1, 0
+        for s in sizes:
+            if held + s > capacity:
+                n, held = n + 1, 0
+            held += s
+        return n
+
+    low, high = max(sizes), sum(sizes)
+    while low < high:
+        mid = (low + high) // 2
+        low, high = (low, mid) if needed(mid) <= shards else (mid + 1, high)
+    return low
+
+
+@pytest.mark.parametrize("first_bits", [2, 16])
+@pytest.mark.parametrize("shards", [2, 7, 40])
+def test_thresholds_are_the_minimax_partition(spark, monkeypatch, first_bits, shards):
+    """Also when the first ranges are so wide that they have to be parted again and again."""
+    monkeypatch.setattr(sharding, "FIRST_BITS", first_bits)
+    rng = random.Random(shards)
+    groups = sorted({rng.randrange(-(1 << 63), 1 << 63): rng.randrange(1, 900) for _ in range(150)}.items())
+    df = spark.createDataFrame(groups, "key long, size long").repartition(3)
+    cuts = sharding.thresholds(df, shards)
+    assert cuts == sorted(cuts) and len(cuts) <= shards - 1
+    held = defaultdict(int)
+    for key, size in groups:
+        held[sum(key >= c for c in cuts)] += size
+    assert max(held.values()) == least_capacity([s for _, s in groups], shards)
+    if shards == 7:
+        assert min(held.values()) > 0.7 * max(held.values())
+
+
+def rows(seed=4):
+    rng = random.Random(seed)
+    out = [(i, "é" * rng.randrange(1, 400) + str(i)) for i in range(300)]
+    hot = "hot " * 50
+    return [*out, *[(1000 + i, hot) for i in range(200)], (None, None), (7, None), (8, ""), (3, out[3][1]), (3, out[3][1]), (9000, "x" * 200_000)]
+
+
+def test_every_row_has_a_place(docs):
+    data = rows()
+    found = sharding.sharded(docs(data), shards=8).collect()
+    assert len(found) == len(data)
+    text = defaultdict(list)
+    for i, t in data:
+        text[i].append(t)
+    for r in found:
+        raw = (text[r.doc_id][0] or "").encode()
+        assert r.text_crc32 in {zlib.crc32((t or "").encode()) for t in text[r.doc_id]}
+        if len(text[r.doc_id]) == 1:
+            assert r["size"] == len(raw) + 16
+    for _, part in groupby(sorted(found, key=lambda r: r.shard), key=lambda r: r.shard):
+        slots = sorted(r.slot for r in part)
+        assert slots == list(range(len(slots)))
+    hot = {r.shard for r in found if r.doc_id is not None and 1000 <= r.doc_id < 1200}
+    assert len(hot) == 1
+    total = defaultdict(int)
+    for r in found:
+        total[r.shard] += r["size"]
+    # The longest text and the hot one fill a shard each; the others share the rest evenly.
+    assert len(total) == 8
+    rest = sorted(total.values())[:6]
+    assert rest[-1] - rest[0] < 3 * 900
+
+
+def test_small_and_empty_tables(docs):
+    assert sharding.sharded(docs([])).collect() == []
+    assert [(r.shard, r.slot) for r in sharding.sharded(docs([(1, "a")])).collect()] == [(0, 0)]
+    three = sharding.sharded(docs([(1, "a"), (2, "b"), (3, "c")])).collect()
+    assert sorted(r.shard for r in three) == [0, 1, 2]
+    one = sharding.sharded(docs([(i, "same") for i in range(5)]), shards=4).collect()
+    assert {r.shard for r in one} == {0} and sorted(r.slot for r in one) == list(range(5))
+
+
+def test_no_python_in_the_plan(docs):
+    plan = sharding.sharded(docs([(1, "a"), (2, "b")])).select(F.sum("slot"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -1,0 +1,130 @@
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tellerline.llm import simhash
+from tellerline.llm.components import components
+
+
+def fingerprint(text, n=4):
+    """The definition, word by word and bit by bit."""
+    words = "".join(c.lower() if c.isascii() else c for c in text or "")
+    words = [w for w in words.replace("\t", " ").replace("\n", " ").replace("\r", " ").replace("\v", " ").replace("\f", " ").split(" ") if w]
+    if not words:
+        return 0
+    parts = [" ".join(words[i : i + n]) for i in range(max(1, len(words) - n + 1))]
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def classes(values, distance):
+    """Connected components by comparing all pairs."""
+    group = list(range(len(values)))
+    for i, a in enumerate(values):
+        for j in range(i):
+            if (a ^ values[j]).bit_count() <= distance and group[i] != group[j]:
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = [new if g == old else g for g in group]
+    return group
+
+
+def texts(seed=1):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(300)]
+    rows = [None, "", " \n\t ", "One", "one", "ONE two", "É é Ü", "a b c d e", "x " * 70_000]
+    for _ in range(25):
+        base = [rng.choice(words) for _ in range(rng.randrange(3, 160))]
+        rows.append(" ".join(base))
+        for _ in range(rng.randrange(4)):
+            near = list(base)
+            near[rng.randrange(len(near))] = rng.choice(words)
+            rows.append("\n".join(near))
+    rows += [rows[12]] * 30
+    return list(enumerate(rows))
+
+
+def test_fingerprints_and_groups_equal_brute_force(docs):
+    rows = texts()
+    found = {r.doc_id: r for r in simhash.near_duplicates(docs(rows)).withColumn("hex", simhash.hex_of(F.col("fp"))).collect()}
+    expected = [fingerprint(t) for _, t in rows]
+    assert [found[i].hex for i, _ in rows] == [f"{e:016x}" for e in expected]
+    group = classes(expected, 4)
+    first = {g: min(i for i, h in enumerate(group) if h == g) for g in group}
+    assert [found[i].component_id for i, _ in rows] == [first[g] for g in group]
+    assert len({r.root for r in found.values()}) == len(set(group))
+
+
+def planted(n=60, seed=3):
+    """Fingerprints in chains and crowds: each few bits from another, over all parts of the 64 bits."""
+    rng = random.Random(seed)
+    out = [rng.getrandbits(64) for _ in range(n)]
+    for base in list(out[:20]):
+        at = base
+        for _ in range(6):
+            for bit in rng.sample(range(64), rng.choice((1, 3, 4, 5))):
+                at ^= 1 << bit
+            out.append(at)
+    crowd = rng.getrandbits(64)
+    out += [crowd ^ (1 << a) ^ (1 << b) for a in range(0, 64, 5) for b in range(a)][:60]
+    return sorted(set(out))
+
+
+@pytest.mark.parametrize("limit", [simhash.GROUP_VARIANTS, 300, 1])
+def test_links_connect_what_is_near_however_groups_are_split(spark, monkeypatch, limit):
+    monkeypatch.setattr(simhash, "GROUP_VARIANTS", limit)
+    values = planted()[: 60 if limit == 1 else None]
+    signed = np.array(values, np.uint64).view(np.int64).tolist()
+    df = spark.createDataFrame([(v,) for v in signed], "fp long").repartition(3)
+    links = [(r.a, r.b) for r in simhash.links(df, 4).collect()]
+    unsigned = lambda v: v & (1 << 64) - 1
+    assert all((unsigned(a) ^ unsigned(b)).bit_count() <= 4 * 8 for a, b in links)
+    parent = {v: v for v in signed}
+
+    def top(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for a, b in links:
+        parent[max(top(a), top(b))] = min(top(a), top(b))
+    groups = defaultdict(set)
+    for v, g in zip(signed, classes(values, 4)):
+        groups[g].add(top(v))
+    assert all(len(tops) == 1 for tops in groups.values())
+    assert len({t for tops in groups.values() for t in tops}) == len(groups)
+
+
+def test_an_odd_distance_is_refused(docs):
+    with pytest.raises(ValueError, match="even"):
+        simhash.near_duplicates(docs([(1, "a")]), distance=3)
+
+
+def test_one_of_each_group_stays(docs):
+    text = " ".join(f"w{i}" for i in range(200))
+    other = " ".join(f"v{i}" for i in range(200))
+    rows = [(5, text), (3, text), (3, text), (9, text + " end"), (7, other), (None, other), (None, ""), (None, None), (4, "alone here")]
+    left = simhash.one_of_each(docs(rows))
+    assert left.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"] and "shard" in left.columns
+    kept = left.select("doc_id", "text").collect()
+    assert Counter(r.doc_id for r in kept) == {3: 1, 7: 1, None: 1, 4: 1}
+    assert {r.text for r in kept if r.doc_id is not None} == {text, other, "alone here"}
+
+
+def test_empty_table(docs):
+    assert simhash.near_duplicates(docs([]).where("false")).collect() == []
+    assert simhash.one_of_each(docs([])).collect() == []
+
+
+def test_components_of_chains_stars_and_pairs(spark):
+    rng = random.Random(2)
+    links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(300, 300), (400, 399), (400, 399)]
+    rng.shuffle(links)
+    df = spark.createDataFrame([*links, (None, 1)], "a long, b long").repartition(4)
+    root = {r.node: r.root for r in components(df).collect()}
+    assert len({root[i] for i in range(41)}) == 1 and len({root[i] for i in range(100, 160)}) == 1
+    assert root[399] == root[400] and 300 not in root and None not in root
+    assert len(set(root.values())) == 3
