@@ -15,6 +15,10 @@ from tellerline.session import build_session
 from tellerline.sources import create_layer_tables
 from tellerline.streaming.bronze import progress
 
+ROOTS = ("stage_root", "bronze_root", "silver_root", "gold_root", "checkpoint_root")
+SCHEMAS = ("bronze_schema", "silver_schema", "gold_schema")
+SETTINGS = ("key_buckets", "time_zone", "max_files_per_trigger", "max_bronze_files_per_trigger", "prune_by_date", *SCHEMAS)
+
 SILVER_JOBS = {
     "atm_customers": streaming.run_customers,
     "atm_locations": streaming.run_locations,
@@ -26,6 +30,14 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tellerline")
     top.add_argument("--root", required=True, help="shared folder that holds all layers")
     top.add_argument("--key-buckets", type=int, default=64, help="fixed once a dimension table is written")
+    top.add_argument("--time-zone", default="UTC", help="zone in which dates are defined")
+    for field in ROOTS:
+        top.add_argument(f"--{field.replace('_', '-')}", help="by default a folder of --root")
+    for field in SCHEMAS:
+        top.add_argument(f"--{field.replace('_', '-')}", default=field.split("_")[0])
+    top.add_argument("--max-files-per-trigger", type=int, default=20, help="staged files per micro-batch")
+    top.add_argument("--max-bronze-files-per-trigger", type=int, default=1000, help="bronze files per merge")
+    top.add_argument("--prune-by-date", action="store_true", help="compare visits with those of the same dates only")
     jobs = top.add_subparsers(dest="job", required=True)
 
     tables = jobs.add_parser("create-tables")
@@ -38,6 +50,8 @@ def parser() -> argparse.ArgumentParser:
     bronze.add_argument("--quarantine", action="store_true", help="split off lines that do not parse")
     silver = jobs.add_parser("silver")
     silver.add_argument("--table", choices=sorted(SILVER_JOBS), required=True)
+    silver.add_argument("--first-effective", help="customers: column that dates a first version")
+    silver.add_argument("--literal", action="store_true", help="customers: miss changes from and to NULL")
     for job in (bronze, silver):
         job.add_argument("--trigger-mode", type=TriggerMode, choices=list(TriggerMode), default=TriggerMode.BATCH)
 
@@ -47,25 +61,30 @@ def parser() -> argparse.ArgumentParser:
     monthly = jobs.add_parser("gold-monthly")
     monthly.add_argument("--anchor", default="LAST_MONTH", help="month after the last one, yyyyMM")
     monthly.add_argument("--num-months", type=int, default=1)
+    for job in (daily, monthly):
+        job.add_argument("--literal", action="store_true", help="the behaviour as originally written")
     return top
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     mode = getattr(args, "trigger_mode", TriggerMode.BATCH)
-    config = JobConfig.under(args.root, trigger_mode=mode, key_buckets=args.key_buckets)
-    spark = build_session(f"tellerline {args.job}")
+    roots = {field: getattr(args, field) for field in ROOTS if getattr(args, field)}
+    settings = {field: getattr(args, field) for field in SETTINGS}
+    config = JobConfig.under(args.root, trigger_mode=mode, **settings, **roots)
+    spark = build_session(f"tellerline {args.job}", spark__sql__session__timeZone=args.time_zone)
     if args.job == "create-tables":
         print(create_layer_tables(spark, config, args.layer, args.reset))
     elif args.job == "gold-daily":
-        print(plans.run_daily(spark, config, DayWindow.resolve(args.anchor, args.num_days)))
+        print(plans.run_daily(spark, config, DayWindow.resolve(args.anchor, args.num_days, zone=args.time_zone), literal=args.literal))
     elif args.job == "gold-monthly":
-        print(plans.run_monthly(spark, config, MonthWindow.resolve(args.anchor, args.num_months)))
+        print(plans.run_monthly(spark, config, MonthWindow.resolve(args.anchor, args.num_months, zone=args.time_zone), literal=args.literal))
     else:
         if args.job == "stage-to-bronze":
             query = streaming.run_stage_to_bronze(spark, config, args.folder, args.table, args.quarantine)
         else:
-            query = SILVER_JOBS[args.table](spark, config)
+            options = {"first_effective": args.first_effective, "literal": args.literal} if args.table == "atm_customers" else {}
+            query = SILVER_JOBS[args.table](spark, config, **options)
         query.awaitTermination()
         print(progress(query))
 

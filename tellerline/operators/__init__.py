@@ -2,6 +2,7 @@
 
 from tellerline.operators.conform import assert_schema, conform
 from tellerline.operators.dedupe import dedupe_earliest, dedupe_latest
+from tellerline.operators.intervals import in_intervals, key_intervals
 from tellerline.operators.history import changed_current, scd2_apply, scd2_staged
 from tellerline.operators.merge import (
     insert_if_absent,
@@ -9,6 +10,7 @@ from tellerline.operators.merge import (
     upsert_if_changed,
     upsert_latest,
 )
+from tellerline.operators.versions import version_chain
 
 __all__ = [
     "assert_schema",
@@ -16,10 +18,13 @@ __all__ = [
     "conform",
     "dedupe_earliest",
     "dedupe_latest",
+    "in_intervals",
     "insert_if_absent",
+    "key_intervals",
     "matching_rows",
     "scd2_apply",
     "scd2_staged",
     "upsert_if_changed",
     "upsert_latest",
+    "version_chain",
 ]

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tellerline.functions.columns import any_changed, has_null
 
 ACTION = "_action"
-KEEP, INSERT, UPDATE, CLOSE = "keep", "insert", "update", "close"
+KEEP, INSERT, UPDATE, CLOSE, DELETE = "keep", "insert", "update", "close", "delete"
 
 _IN_TARGET, _IN_BATCH = "_in_target", "_in_batch"
 
@@ -91,6 +91,7 @@ def upsert_if_changed(
     nullable_keys: Sequence[str] = (),
     literal: bool = False,
     labelled: bool = False,
+    drop_vanished: bool = False,
 ) -> DataFrame:
     """Update the compared columns and the stamp of changed rows only.
 
@@ -102,6 +103,10 @@ def upsert_if_changed(
     joined apart: for the others the plain comparison lets a batch that was
     grouped by the keys be joined as it is partitioned, without a shuffle.
 
+    ``drop_vanished=True`` is for a batch that recomputes all of the target: rows
+    whose key it no longer has are removed (labelled ``delete``). Otherwise, and
+    always with ``literal=True``, they stay.
+
     ``literal=True`` puts the change test, with ``<>``, into the match condition:
     a key that did not change is "not matched" and is inserted once more.
     """
@@ -119,8 +124,10 @@ def upsert_if_changed(
             .alias(c)
             for c in t.columns
         ]
-        action = F.when(~in_target, INSERT).when(update, UPDATE).otherwise(KEEP).alias(ACTION)
-        return joined.select(*columns, action)
+        action = F.when(~in_target, INSERT).when(update, UPDATE)
+        if drop_vanished and not literal:
+            action = action.when(~in_batch, DELETE)
+        return joined.select(*columns, action.otherwise(KEEP).alias(ACTION))
 
     if literal or not nullable_keys:
         merged = merge(target, updates)
@@ -129,4 +136,4 @@ def upsert_if_changed(
         merged = merge(target.where(~without), updates.where(~without)).unionByName(
             merge(target.where(without), updates.where(without), null_safe_keys=True)
         )
-    return without_label(merged, labelled)
+    return merged if labelled else merged.where(F.col(ACTION) != DELETE).drop(ACTION)

@@ -5,13 +5,14 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 from enum import Enum
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _today() -> dt.date:
-    return dt.datetime.now(dt.timezone.utc).date()
+def today_in(zone: str = "UTC") -> dt.date:
+    return dt.datetime.now(ZoneInfo(zone)).date()
 
 
 def _parse(text: str, digits: int, pattern: str) -> dt.date:
@@ -36,10 +37,12 @@ class DayWindow:
     lookback_days: int = 3
 
     @classmethod
-    def resolve(cls, text: str = "CURRENT_DATE", lookback_days: int = 3, today: dt.date | None = None) -> DayWindow:
-        """``''`` and ``CURRENT_DATE`` mean today, anything else is ``yyyyMMdd``."""
+    def resolve(
+        cls, text: str = "CURRENT_DATE", lookback_days: int = 3, today: dt.date | None = None, zone: str = "UTC"
+    ) -> DayWindow:
+        """``''`` and ``CURRENT_DATE`` mean today in ``zone``, anything else is ``yyyyMMdd``."""
         if text in ("", "CURRENT_DATE"):
-            return cls(today or _today(), lookback_days)
+            return cls(today or today_in(zone), lookback_days)
         return cls(_parse(text, 8, "%Y%m%d"), lookback_days)
 
     @property
@@ -66,10 +69,12 @@ class MonthWindow:
     lookback_months: int = 1
 
     @classmethod
-    def resolve(cls, text: str = "LAST_MONTH", lookback_months: int = 1, today: dt.date | None = None) -> MonthWindow:
-        """``''`` and ``LAST_MONTH`` anchor at today, anything else is ``yyyyMM``."""
+    def resolve(
+        cls, text: str = "LAST_MONTH", lookback_months: int = 1, today: dt.date | None = None, zone: str = "UTC"
+    ) -> MonthWindow:
+        """``''`` and ``LAST_MONTH`` anchor at today in ``zone``, anything else is ``yyyyMM``."""
         if text in ("", "LAST_MONTH"):
-            return cls(today or _today(), lookback_months)
+            return cls(today or today_in(zone), lookback_months)
         return cls(_parse(text, 6, "%Y%m"), lookback_months)
 
     @property
@@ -141,7 +146,8 @@ class JobConfig:
     is fixed when a table is created: choose it so that one bucket of open
     dimension rows is a few hundred MB. ``prune_by_date`` compares new visits
     with stored visits of the batch's own dates only; a visit that comes back
-    under another date is then stored twice.
+    under another date is then stored twice. A reader of a table takes a publish for
+    abandoned, and finishes it, after ``publish_grace_seconds``.
     """
 
     stage_root: str
@@ -158,6 +164,7 @@ class JobConfig:
     key_buckets: int = 64
     time_zone: str = "UTC"
     prune_by_date: bool = False
+    publish_grace_seconds: float = 120
 
     @classmethod
     def under(cls, root: str, **overrides) -> JobConfig:

@@ -13,8 +13,9 @@ from tellerline.operators.conform import conform
 from tellerline.operators.merge import upsert_if_changed
 from tellerline.params import DayWindow, JobConfig, Stamp
 from tellerline.sources.audit import record_run
-from tellerline.sources.publish import publish_rewrite, recover
-from tellerline.sources.tables import read_partitions, read_table
+from tellerline.session import require_time_zone
+from tellerline.sources.publish import publish_labelled, recover, settle
+from tellerline.sources.tables import read_partitions, read_table, refresh_registered
 
 TOTALS = ("total_withdrawls", "total_deposits")
 
@@ -64,18 +65,24 @@ def run_daily(
 ) -> dict[str, int]:
     """Recompute the window and store what changed; returns rows per action.
 
+    Groups that the recomputed window no longer has are removed, unless ``literal``.
+
     The date is part of the key, so reading only the window's partitions of the
     stored summary is exact.
     """
-    window = window or DayWindow.resolve()
+    require_time_zone(spark, config.time_zone)
+    window = window or DayWindow.resolve(zone=config.time_zone)
     spec = schemas.GOLD_DAILY
     recover(spark, config, spec)
+    for source in (schemas.SILVER_VISITS, schemas.SILVER_LOCATIONS):
+        settle(spark, config, source)
     visits = read_partitions(spark, config, schemas.SILVER_VISITS, window.days)
     locations = read_table(spark, config, schemas.SILVER_LOCATIONS)
     summary = daily_by_bank(visits, locations, window, literal)
     updates = conform(stamped(summary, Stamp.at(as_of).ts, "create_ts", "update_ts"), spec.schema)
     stored = read_partitions(spark, config, spec, window.days)
-    merged = upsert_if_changed(stored, updates, spec.keys, TOTALS, literal=literal, labelled=True)
-    counts = publish_rewrite(spark, config, spec, merged)
+    merged = upsert_if_changed(stored, updates, spec.keys, TOTALS, literal=literal, labelled=True, drop_vanished=True)
+    counts = publish_labelled(spark, config, spec, merged)
     record_run(spark, config, spec, "upsert_if_changed", counts)
+    refresh_registered(spark, config, spec)
     return counts

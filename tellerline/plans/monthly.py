@@ -14,8 +14,9 @@ from tellerline.operators.merge import upsert_if_changed
 from tellerline.params import JobConfig, MonthWindow, Stamp
 from tellerline.plans.daily import TOTALS, totals
 from tellerline.sources.audit import record_run
-from tellerline.sources.publish import publish_rewrite, recover
-from tellerline.sources.tables import read_partitions
+from tellerline.session import require_time_zone
+from tellerline.sources.publish import publish_labelled, recover, settle
+from tellerline.sources.tables import read_partitions, refresh_registered
 
 
 def month_key(day: Column, literal: bool = False) -> Column:
@@ -38,19 +39,22 @@ def run_monthly(
     as_of: dt.datetime | None = None,
     literal: bool = False,
 ) -> dict[str, int]:
-    """Recompute the window and store what changed; returns rows per action."""
-    window = window or MonthWindow.resolve()
+    """Recompute the window and store what changed, as ``run_daily`` does; returns rows per action."""
+    require_time_zone(spark, config.time_zone)
+    window = window or MonthWindow.resolve(zone=config.time_zone)
     spec = schemas.GOLD_MONTHLY
     recover(spark, config, spec)
+    settle(spark, config, schemas.SILVER_VISITS)
     visits = read_partitions(spark, config, schemas.SILVER_VISITS, [f"{m:%Y-%m}-*" for m in window.months])
     summary = monthly_by_customer(visits, window, literal)
     updates = conform(stamped(summary, Stamp.at(as_of).ts, "create_ts", "update_ts"), spec.schema)
     stored = read_partitions(spark, config, spec, map(str, window_months(window, literal)))
     merged = upsert_if_changed(
-        stored, updates, spec.keys, TOTALS, nullable_keys=("customer_id",), literal=literal, labelled=True
+        stored, updates, spec.keys, TOTALS, nullable_keys=("customer_id",), literal=literal, labelled=True, drop_vanished=True
     )
-    counts = publish_rewrite(spark, config, spec, merged)
+    counts = publish_labelled(spark, config, spec, merged)
     record_run(spark, config, spec, "upsert_if_changed", counts)
+    refresh_registered(spark, config, spec)
     return counts
 
 

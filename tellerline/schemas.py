@@ -64,7 +64,8 @@ class TableSpec:
     """One layer table: declared columns plus how its files are laid out.
 
     ``partition_by`` may name layout columns that are not declared columns
-    (``key_bucket``); readers of the table hide those.
+    (``key_bucket``), and ``ordered`` tables store which delivery a row came from;
+    readers of the table hide those.
     """
 
     layer: str
@@ -73,6 +74,7 @@ class TableSpec:
     partition_by: tuple[str, ...] = ()
     keys: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
+    ordered: bool = False
 
     @property
     def bucketed(self) -> bool:
@@ -80,8 +82,10 @@ class TableSpec:
 
     @property
     def physical_schema(self) -> StructType:
-        """Declared columns, then the hidden layout column where there is one."""
+        """Declared columns, then the hidden ones: a row's delivery and its bucket."""
         schema = StructType(list(self.schema.fields))
+        for column, data_type in INGEST_COLUMNS if self.ordered else ():
+            schema = schema.add(column, data_type)
         return schema.add(BUCKET_COLUMN, "integer") if self.bucketed else schema
 
 
@@ -106,7 +110,7 @@ BRONZE_LOCATIONS = _bronze("atm_locations")
 BRONZE_VISITS = _bronze("atm_visits", ("date",))
 
 # Open and closed versions live in different partitions, so a merge reads and
-# rewrites open rows only and the history is append-only.
+# rewrites open rows only and history is added to, unless a version arrives late.
 SILVER_CUSTOMERS = TableSpec(
     "silver",
     "atm_customers",
@@ -126,6 +130,7 @@ SILVER_CUSTOMERS = TableSpec(
     ),
     partition_by=("current", BUCKET_COLUMN),
     keys=("customer_id",),
+    ordered=True,
 )
 
 SILVER_LOCATIONS = TableSpec(
@@ -143,6 +148,7 @@ SILVER_LOCATIONS = TableSpec(
     ),
     partition_by=(BUCKET_COLUMN,),
     keys=("atm_id",),
+    ordered=True,
 )
 
 SILVER_VISITS = TableSpec(
@@ -162,6 +168,7 @@ SILVER_VISITS = TableSpec(
     partition_by=("transaction_dt",),
     keys=("visit_id",),
     cluster_by=("customer_id",),
+    ordered=True,
 )
 
 GOLD_DAILY = TableSpec(

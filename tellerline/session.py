@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -39,12 +38,7 @@ def require_time_zone(spark: SparkSession, expected: str) -> None:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a temporary folder;
-    on a cluster the executors could not see it.
+    Where that is unset it lies in the session's warehouse, which executors share as well.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.gettempdir()
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

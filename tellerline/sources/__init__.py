@@ -1,7 +1,7 @@
 """Staged files, layer tables, publishing and the run log."""
 
 from tellerline.sources.audit import history, record_run
-from tellerline.sources.publish import append_rows, publish_rewrite, recover
+from tellerline.sources.publish import append_rows, publish_labelled, recover, settle
 from tellerline.sources.staged import read_staged
 from tellerline.sources.tables import (
     checkpoint_dir,
@@ -18,11 +18,12 @@ __all__ = [
     "create_layer_tables",
     "ensure_layer",
     "history",
-    "publish_rewrite",
+    "publish_labelled",
     "read_staged",
     "read_table",
     "record_run",
     "recover",
+    "settle",
     "stream_table",
     "table_path",
 ]

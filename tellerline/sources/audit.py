@@ -10,6 +10,9 @@ from tellerline.params import JobConfig, Stamp
 from tellerline.schemas import TableSpec
 from tellerline.sources import files
 
+#: Files of a table's log before they are made one.
+COMPACT_FILES = 100
+
 _SCHEMA = StructType()
 for _column in ("table_name", "operation", "query_id"):
     _SCHEMA.add(_column, "string")
@@ -39,10 +42,25 @@ def record_run(
     columns = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, _SCHEMA)]
     line = spark.range(0, 1, 1, 1).select(*columns, Stamp.at().ts.alias("run_ts"))
     line.write.mode("append").parquet(_path(config, spec))
+    _compact(spark, _path(config, spec))
+
+
+def _compact(spark: SparkSession, path: str) -> None:
+    """Makes one file of many. Lost half-way it leaves lines twice, which ``history`` shows once."""
+    old = files.listed(spark, f"{path}/part-*")
+    if len(old) < COMPACT_FILES:
+        return
+    lines = spark.read.schema(_SCHEMA).parquet(*old).distinct().coalesce(1)
+    lines.write.mode("overwrite").parquet(f"{path}_compacting")
+    for file in files.listed(spark, f"{path}_compacting/part-*"):
+        files.move(spark, file, f"{path}/{file.rsplit('/', 1)[1]}")
+    for file in old:
+        files.remove_dir(spark, file)
+    files.remove_dir(spark, f"{path}_compacting")
 
 
 def history(spark: SparkSession, config: JobConfig, spec: TableSpec) -> DataFrame:
     """All recorded runs on a table, newest first."""
     path = _path(config, spec)
     files.make_dir(spark, path)
-    return spark.read.schema(_SCHEMA).parquet(path).orderBy(F.desc("run_ts"), F.desc("batch_id"))
+    return spark.read.schema(_SCHEMA).parquet(path).distinct().orderBy(F.desc("run_ts"), F.desc("batch_id"))

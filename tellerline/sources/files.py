@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 
 
@@ -15,10 +17,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def listed(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern."""
+    fs, hadoop_path = _locate(spark, pattern)
+    return [str(status.getPath().toString()) for status in fs.globStatus(hadoop_path) or ()]
+
+
 def matches(spark: SparkSession, pattern: str) -> bool:
     """Whether any path matches a glob pattern."""
-    fs, hadoop_path = _locate(spark, pattern)
-    return len(fs.globStatus(hadoop_path) or ()) > 0
+    return bool(listed(spark, pattern))
 
 
 def make_dir(spark: SparkSession, path: str) -> None:
@@ -34,3 +41,39 @@ def touch(spark: SparkSession, path: str) -> None:
 def remove_dir(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _locate(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; the target's parent is made if need be."""
+    fs, hadoop_path = _locate(spark, source)
+    goal = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(goal.getParent())
+    if not fs.rename(hadoop_path, goal):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole or not at all."""
+    fs, hadoop_path = _locate(spark, f"{path}.new")
+    out = fs.create(hadoop_path, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(spark._jvm.org.apache.hadoop.fs.Path(path), False)
+    move(spark, f"{path}.new", path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hadoop_path = _locate(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def age_seconds(spark: SparkSession, path: str) -> float | None:
+    """Seconds since the file was written, or None if it is not there."""
+    fs, hadoop_path = _locate(spark, path)
+    if not fs.exists(hadoop_path):
+        return None
+    return time.time() - fs.getFileStatus(hadoop_path).getModificationTime() / 1000

@@ -1,27 +1,30 @@
 """Storing merge results in plain Parquet tables.
 
-A merge result replaces whole partitions of the table it was computed from. It
-is first written to a pending folder and then moved into place by a second
-write, so that the table is never overwritten while it is being read, and a
-driver lost half-way leaves a complete pending folder that ``recover`` applies
-again. One writer per table; the swap is atomic per partition, not per table.
+A merge writes beside the table what changes: whole partitions that take the
+place of stored ones, and rows that are added to others. Partitions without a
+change are neither read nor written. When all is written, a marker with the list of
+partitions is set, and folders and files are renamed into place. A driver lost
+half-way leaves the marker, and ``recover`` goes on with what has not been moved
+yet. One writer per table; the swap is atomic per partition, not per table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+import time
+from collections.abc import Iterable, Sequence
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from tellerline.functions.columns import NULL_KEY_BUCKET
 from tellerline.operators.conform import assert_schema
-from tellerline.operators.merge import ACTION, CLOSE, INSERT, KEEP, UPDATE
+from tellerline.operators.merge import ACTION, DELETE, KEEP
 from tellerline.params import JobConfig
-from tellerline.schemas import BUCKET_COLUMN, TableSpec
+from tellerline.schemas import TableSpec
 from tellerline.sources import files
-from tellerline.sources.tables import pending_path, read_physical, table_path
+from tellerline.sources.tables import partition_folder, partition_in, pending_path, table_path
 
 _READY = "_READY"
+_REPLACE, _ADD, _OLD = "replace", "add", "old"
 
 
 def _laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -32,101 +35,109 @@ def _laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.sortWithinPartitions(*order) if order else df
 
 
+def _write(rows: DataFrame, spec: TableSpec, path: str, mode: str) -> None:
+    rows.write.mode(mode).partitionBy(*spec.partition_by).parquet(path)
+
+
 def append_rows(config: JobConfig, spec: TableSpec, rows: DataFrame) -> int:
     """Append rows to the table; returns how many, counted while writing."""
-    assert_schema(rows, spec.schema)
+    assert_schema(rows, spec.physical_schema)
     seen = Observation()
     # Observed in the writing stage itself, after the shuffle: there a task that
     # runs again is counted once.
     counted = _laid_out(rows, spec).observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("append").partitionBy(*spec.partition_by).parquet(table_path(config, spec))
+    _write(counted, spec, table_path(config, spec), "append")
     return seen.get["rows"]
 
 
-def publish_rewrite(spark: SparkSession, config: JobConfig, spec: TableSpec, merged: DataFrame) -> dict[str, int]:
-    """Store a labelled merge result; returns the number of rows per action.
+def publish(
+    spark: SparkSession,
+    config: JobConfig,
+    spec: TableSpec,
+    touched: Iterable[Sequence],
+    replacing: DataFrame | None,
+    adding: DataFrame | None = None,
+) -> None:
+    """Replace the ``touched`` partitions (tuples of partition values) and add rows to others.
 
-    ``merged`` must hold every row of each partition it has rows for. Only
-    partitions with an inserted or updated row are rewritten. Closed versions
-    and rows without a key are never merged again and are appended.
+    ``replacing`` holds every row that those partitions are to have; one without
+    rows becomes empty.
     """
     pending = pending_path(config, spec)
-    files.remove_dir(spark, f"{pending}/{_READY}")
-    columns = merged.select(*spec.physical_schema.names, ACTION)
-    assert_schema(columns.drop(ACTION), spec.physical_schema)
-    seen = Observation()
-    tallies = [F.count_if(F.col(ACTION) == a).alias(a) for a in (INSERT, UPDATE, CLOSE, KEEP)]
-    appended = F.count_if(_appended(spec)).alias("appended")
-    rewriting = F.count_if(_rewriting(spec)).alias("rewriting")
-    counted = _laid_out(columns, spec).observe(seen, *tallies, appended, rewriting)
-    counted.write.mode("overwrite").partitionBy(*spec.partition_by).parquet(pending)
-    files.touch(spark, f"{pending}/{_READY}")
-    counts = dict(seen.get)
-    append, rewrite = counts.pop("appended") > 0, counts.pop("rewriting") > 0
-    staged = _pending(spark, config, spec)
-    if append:
-        _append_staged(config, spec, _to_append(spec, staged))
-    if rewrite:
-        _rewrite_staged(config, spec, staged)
     files.remove_dir(spark, pending)
-    return {action: n for action, n in counts.items() if n}
+    for rows, kind in ((replacing, _REPLACE), (adding, _ADD)):
+        if rows is not None:
+            assert_schema(rows, spec.physical_schema)
+            _write(_laid_out(rows, spec), spec, f"{pending}/{kind}", "overwrite")
+    folders = sorted(partition_folder(spec, values) for values in touched)
+    kinds = ["full" if files.exists(spark, f"{pending}/{_REPLACE}/{f}") else "empty" for f in folders]
+    files.write_text(spark, f"{pending}/{_READY}", "\n".join(f"{k} {f}" for k, f in zip(kinds, folders)))
+    _move_into_place(spark, config, spec)
 
 
 def recover(spark: SparkSession, config: JobConfig, spec: TableSpec) -> bool:
-    """Finish a publish that was interrupted; call before reading the table."""
-    pending = pending_path(config, spec)
-    if not files.exists(spark, f"{pending}/{_READY}"):
+    """Finish a publish that was interrupted; for the table's writer, before it reads the table."""
+    if not files.exists(spark, f"{pending_path(config, spec)}/{_READY}"):
         return False
-    staged = _pending(spark, config, spec)
-    if spec.bucketed:
-        # Less what the interrupted run already appended, row for row.
-        rows = _to_append(spec, staged)
-        partitions = rows.select(*spec.partition_by).distinct()
-        stored = read_physical(spark, config, spec).join(partitions, list(spec.partition_by), "left_semi")
-        _append_staged(config, spec, rows.exceptAll(stored.select(*rows.columns)))
-    _rewrite_staged(config, spec, staged)
-    files.remove_dir(spark, pending)
+    _move_into_place(spark, config, spec)
     return True
 
 
-def _pending(spark: SparkSession, config: JobConfig, spec: TableSpec) -> DataFrame:
-    schema = StructType(list(spec.physical_schema.fields)).add(ACTION, "string")
-    return spark.read.schema(schema).parquet(pending_path(config, spec))
-
-
-def _never_merged(spec: TableSpec) -> Column:
-    """Closed versions and, in bucketed tables, rows without a key."""
-    if not spec.bucketed:
-        return F.lit(False)
-    return (F.col(ACTION) == CLOSE) | (F.col(BUCKET_COLUMN) == NULL_KEY_BUCKET)
-
-
-def _appended(spec: TableSpec) -> Column:
-    return _never_merged(spec) & F.col(ACTION).isin(CLOSE, INSERT)
+def settle(spark: SparkSession, config: JobConfig, spec: TableSpec) -> None:
+    """For readers: wait for a publish under way, finish one that its writer has left behind.
 
+    A marker older than ``publish_grace_seconds`` counts as left behind.
+    """
+    marker = f"{pending_path(config, spec)}/{_READY}"
+    while (age := files.age_seconds(spark, marker)) is not None and age < config.publish_grace_seconds:
+        time.sleep(min(1.0, config.publish_grace_seconds - age))
+    recover(spark, config, spec)
+
+
+def _move_into_place(spark: SparkSession, config: JobConfig, spec: TableSpec) -> None:
+    """Every step is skipped if it was done before, so any of them may be the first after a failure."""
+    pending, table = pending_path(config, spec), table_path(config, spec)
+    for line in files.read_text(spark, f"{pending}/{_READY}").splitlines():
+        kind, folder = line.split(" ", 1)
+        _replace_partition(spark, kind, f"{pending}/{_REPLACE}/{folder}", f"{table}/{folder}", f"{pending}/{_OLD}/{folder}")
+    levels = "/*" * len(spec.partition_by)
+    for file in files.listed(spark, f"{pending}/{_ADD}{levels}/part-*"):
+        _add_file(spark, file, f"{table}/{file.split(f'/{_ADD}/', 1)[1]}")
+    files.remove_dir(spark, pending)
 
-def _rewriting(spec: TableSpec) -> Column:
-    """Rows because of which their partition has to be rewritten."""
-    return ~_never_merged(spec) & F.col(ACTION).isin(INSERT, UPDATE)
 
+def _replace_partition(spark: SparkSession, kind: str, staged: str, stored: str, old: str) -> None:
+    if kind == "full" and files.exists(spark, staged):
+        files.remove_dir(spark, stored)
+        files.move(spark, staged, stored)
+    elif kind == "empty" and not files.exists(spark, old):
+        if files.exists(spark, stored):
+            files.move(spark, stored, old)
+        else:
+            files.make_dir(spark, old)
 
-def _to_append(spec: TableSpec, staged: DataFrame) -> DataFrame:
-    return staged.where(_appended(spec)).select(*spec.physical_schema.names)
 
+def _add_file(spark: SparkSession, staged: str, stored: str) -> None:
+    files.move(spark, staged, stored)
 
-def _append_staged(config: JobConfig, spec: TableSpec, rows: DataFrame) -> None:
-    rows.write.mode("append").partitionBy(*spec.partition_by).parquet(table_path(config, spec))
 
+def publish_labelled(spark: SparkSession, config: JobConfig, spec: TableSpec, merged: DataFrame) -> dict[str, int]:
+    """Store a labelled merge result that holds whole partitions; returns the number of rows per action.
 
-def _rewrite_staged(config: JobConfig, spec: TableSpec, staged: DataFrame) -> None:
-    # At most one row per partition of the table.
-    touched = staged.where(_rewriting(spec)).select(*spec.partition_by).distinct()
-    rows = staged.where(~_never_merged(spec)).join(touched, list(spec.partition_by), "left_semi")
-    (
-        rows.select(*spec.physical_schema.names)
-        .sortWithinPartitions(*spec.partition_by, *spec.cluster_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*spec.partition_by)
-        .parquet(table_path(config, spec))
-    )
+    Only partitions with a change are written. What is collected is a row per
+    partition and action.
+    """
+    merged = merged.select(*spec.physical_schema.names, ACTION).persist()
+    try:
+        counts: dict[str, int] = {}
+        touched = set()
+        for *values, action, n in merged.groupBy(*spec.partition_by, ACTION).count().collect():
+            counts[action] = counts.get(action, 0) + n
+            if action != KEEP:
+                touched.add(tuple(values))
+        if touched:
+            kept = merged.where((F.col(ACTION) != DELETE) & partition_in(spec, touched)).drop(ACTION)
+            publish(spark, config, spec, touched, kept)
+        return counts
+    finally:
+        merged.unpersist()

@@ -16,7 +16,7 @@ def read_staged(
     A malformed line is a row of NULLs, a field of the wrong type is NULL and
     undeclared fields are dropped. ``corrupt_column=True`` keeps the text of
     such lines in ``_corrupt_record``. ``_ingest_ts`` and ``_ingest_file`` tell
-    where a row came from.
+    where a row came from, ``_size`` and ``_block`` how large that file is and where in it the row's split begins.
     """
     schema = staged_schema(folder)
     if corrupt_column:
@@ -28,5 +28,7 @@ def read_staged(
         {
             "_ingest_ts": F.col("_metadata.file_modification_time"),
             "_ingest_file": F.col("_metadata.file_path"),
+            "_size": F.col("_metadata.file_size"),
+            "_block": F.col("_metadata.file_block_start"),
         }
     )

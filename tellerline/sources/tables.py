@@ -1,14 +1,16 @@
 """Layer tables: where they live, how they are created and read.
 
 Jobs work by path. The catalog entries made by ``create_layer_tables`` are a
-convenience for SQL users.
+convenience for SQL users; jobs refresh those that exist.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tellerline.params import JobConfig
@@ -32,6 +34,29 @@ def qualified_name(config: JobConfig, spec: TableSpec) -> str:
     return f"{config.layer_schema(spec.layer)}.{spec.name}"
 
 
+def files_name(config: JobConfig, spec: TableSpec) -> str:
+    """The registered table over the files; where it has hidden columns, a view under the table's name hides them."""
+    return qualified_name(config, spec) + ("_files" if spec.physical_schema != spec.schema else "")
+
+
+def partition_folder(spec: TableSpec, values: Sequence) -> str:
+    """The folder of a partition within the table, as Spark's writer names it."""
+
+    def spelled(value) -> str:
+        return NULL_PARTITION if value is None else str(value).lower() if isinstance(value, bool) else str(value)
+
+    return "/".join(f"{c}={spelled(v)}" for c, v in zip(spec.partition_by, values, strict=True))
+
+
+def partition_in(spec: TableSpec, values: Iterable[Sequence]) -> Column:
+    """Whether a row lies in one of some partitions; literals, so that partitions are pruned."""
+    tests = [
+        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(spec.partition_by, row, strict=True)])
+        for row in sorted(values, key=str)
+    ]
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
+
+
 def checkpoint_dir(config: JobConfig, stage: str, source: str, target: str) -> str:
     """``<root>/<stage>/<source>-<target>``, e.g. stage ``bronze-silver``."""
     return f"{config.checkpoint_root}/{stage}/{source}-{target}"
@@ -56,16 +81,22 @@ def create_layer_tables(spark: SparkSession, config: JobConfig, layer: str, rese
     names = []
     for spec in LAYER_TABLES[layer]:
         name, path = qualified_name(config, spec), table_path(config, spec)
+        stored = files_name(config, spec)
         if reset:
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            if stored != name:
+                spark.sql(f"DROP VIEW IF EXISTS {name}")
+            spark.sql(f"DROP TABLE IF EXISTS {stored}")
             files.remove_dir(spark, path)
             files.remove_dir(spark, pending_path(config, spec))
         files.make_dir(spark, path)
         partitioning = f"PARTITIONED BY ({', '.join(spec.partition_by)})" if spec.partition_by else ""
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({_columns_ddl(spec.physical_schema)}) "
+            f"CREATE TABLE IF NOT EXISTS {stored} ({_columns_ddl(spec.physical_schema)}) "
             f"USING parquet {partitioning} LOCATION '{path}'"
         )
+        if stored != name:
+            columns = ", ".join(f"`{c}`" for c in spec.schema.names)
+            spark.sql(f"CREATE VIEW IF NOT EXISTS {name} AS SELECT {columns} FROM {stored}")
         names.append(name)
     return names
 
@@ -73,14 +104,21 @@ def create_layer_tables(spark: SparkSession, config: JobConfig, layer: str, rese
 def refresh_catalog(spark: SparkSession, config: JobConfig, layer: str) -> None:
     """Let registered tables see partitions and files the jobs wrote by path."""
     for spec in LAYER_TABLES[layer]:
-        name = qualified_name(config, spec)
-        if spec.partition_by:
-            spark.sql(f"MSCK REPAIR TABLE {name}")
-        spark.catalog.refreshTable(name)
+        refresh_registered(spark, config, spec)
+
+
+def refresh_registered(spark: SparkSession, config: JobConfig, spec: TableSpec) -> None:
+    """The same for one table, if it is registered."""
+    name = files_name(config, spec)
+    if not spark.catalog.tableExists(name):
+        return
+    if spec.partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+    spark.catalog.refreshTable(name)
 
 
 def read_physical(spark: SparkSession, config: JobConfig, spec: TableSpec) -> DataFrame:
-    """All stored columns, the hidden bucket included.
+    """All stored columns, the hidden ones included.
 
     Built anew for each job or micro-batch, so the file listing is fresh.
     """
@@ -89,7 +127,9 @@ def read_physical(spark: SparkSession, config: JobConfig, spec: TableSpec) -> Da
     return spark.read.schema(spec.physical_schema).parquet(path).select(*spec.physical_schema.names)
 
 
-def read_partitions(spark: SparkSession, config: JobConfig, spec: TableSpec, values: Iterable[str]) -> DataFrame:
+def read_partitions(
+    spark: SparkSession, config: JobConfig, spec: TableSpec, values: Iterable[str], hidden: bool = False
+) -> DataFrame:
     """Stored rows of some values of the first partition column (globs allowed).
 
     Only those folders are listed: a large table's other files are not looked at
@@ -97,10 +137,11 @@ def read_partitions(spark: SparkSession, config: JobConfig, spec: TableSpec, val
     """
     path, names = table_path(config, spec), ",".join(values)
     folders = f"{path}/{spec.partition_by[0]}={{{names}}}"
+    columns = (spec.physical_schema if hidden else spec.schema).names
     if not names or not files.matches(spark, folders):
-        return spark.createDataFrame([], spec.physical_schema)
+        return spark.createDataFrame([], spec.physical_schema).select(*columns)
     reader = spark.read.schema(spec.physical_schema).option("basePath", path)
-    return reader.parquet(folders).select(*spec.physical_schema.names)
+    return reader.parquet(folders).select(*columns)
 
 
 def read_table(spark: SparkSession, config: JobConfig, spec: TableSpec) -> DataFrame:

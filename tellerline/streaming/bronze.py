@@ -7,7 +7,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tellerline.operators.merge import INSERT
 from tellerline.params import JobConfig, TriggerMode
@@ -16,10 +16,13 @@ from tellerline.session import require_time_zone
 from tellerline.sources import files
 from tellerline.sources.audit import record_run
 from tellerline.sources.staged import read_staged
-from tellerline.sources.tables import checkpoint_dir, table_path
+from tellerline.sources.tables import checkpoint_dir, refresh_registered, table_path
 
 _POLL_SECONDS = 5.0
 
+#: Staged bytes that one task may write to one partition of a bronze table.
+TASK_BYTES = 256 << 20
+
 
 def bronze_spec(folder: str, table: str | None = None) -> TableSpec:
     """The bronze table of a staged folder, under another name if one is given."""
@@ -68,7 +71,7 @@ def run_stage_to_bronze(
 
     With ``quarantine=True`` lines that do not parse go to a folder of their own
     with their text. That is a second query with its own checkpoint, so both
-    outputs stay exactly-once. The run log is written when the wait ends.
+    outputs stay exactly-once. A run that ends is logged as a whole, one that is left running by micro-batch.
     """
     require_time_zone(spark, config.time_zone)
     spec = bronze_spec(folder, table)
@@ -81,21 +84,61 @@ def run_stage_to_bronze(
         await_query(rejected, config, timeout)
         rows = rows.where(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
     query = _append(config, rows, path, spec.partition_by, spec.name, folder)
+    if config.trigger_mode is TriggerMode.STREAMING:
+        spark.streams.addListener(_RunLog(spark, config, spec, query.id))
+        await_query(query, config, timeout)
+        return query
     read = await_query(query, config, timeout)
     if read:
         total = sum(read.values())
         record_run(spark, config, spec, "append", {INSERT: total}, query.id, max(read), total)
+        refresh_registered(spark, config, spec)
     return query
 
 
 def _append(
     config: JobConfig, rows: DataFrame, path: str, partition_by: tuple[str, ...], target: str, folder: str
 ) -> StreamingQuery:
+    gathered = _gathered(config, rows, partition_by).drop("_size", "_block")
     writer = (
-        rows.writeStream.format("parquet")
+        gathered.writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint_dir(config, "stage-bronze", folder, target))
         .trigger(**config.trigger_mode.options)
     )
     return (writer.partitionBy(*partition_by) if partition_by else writer).start()
+
+
+def _gathered(config: JobConfig, rows: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+    """A partition's rows of a micro-batch in one task, and so in one file, or in several if the files are large.
+
+    A micro-batch has at most ``max_files_per_trigger`` files. Of files of a size that
+    could fill more than one task, each goes to one of as many tasks, or its blocks do.
+    """
+    tasks = F.ceil(F.col("_size") * config.max_files_per_trigger / TASK_BYTES)
+    place = F.xxhash64("_ingest_file", F.floor(F.col("_block") / TASK_BYTES))
+    share = F.pmod(place, F.greatest(tasks, F.lit(1)))
+    return rows.repartition(*map(F.col, partition_by), share)
+
+
+class _RunLog(StreamingQueryListener):
+    """Logs every micro-batch of one query that is left running."""
+
+    def __init__(self, spark: SparkSession, config: JobConfig, spec: TableSpec, query_id: str):
+        self.spark, self.config, self.spec, self.query_id = spark, config, spec, query_id
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        done = event.progress
+        if str(done.id) == self.query_id and done.numInputRows:
+            counts = {INSERT: done.numInputRows}
+            record_run(self.spark, self.config, self.spec, "append", counts, self.query_id, done.batchId, done.numInputRows)
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass

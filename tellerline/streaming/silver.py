@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,20 +18,25 @@ from tellerline import schemas
 from tellerline.functions.columns import NULL_KEY_BUCKET, key_bucket, stamped
 from tellerline.operators.conform import conform
 from tellerline.operators.dedupe import dedupe_earliest, dedupe_latest
-from tellerline.operators.history import scd2_apply
-from tellerline.operators.merge import INSERT, insert_if_absent, matching_rows, upsert_latest
+from tellerline.operators.intervals import in_intervals, key_intervals
+from tellerline.operators.merge import ACTION, CLOSE, INSERT, KEEP, UPDATE, insert_if_absent
+from tellerline.operators.versions import not_later, version_chain
 from tellerline.params import JobConfig, Stamp
 from tellerline.schemas import BUCKET_COLUMN, TableSpec
 from tellerline.session import require_time_zone
+from tellerline.sources import files
 from tellerline.sources.audit import record_run
-from tellerline.sources.publish import append_rows, publish_rewrite, recover
+from tellerline.sources.publish import append_rows, publish, recover
 from tellerline.sources.tables import (
     NULL_PARTITION,
     checkpoint_dir,
     ensure_buckets,
+    partition_in,
     qualified_name,
     read_partitions,
+    read_physical,
     read_table,
+    refresh_registered,
     stream_table,
 )
 from tellerline.streaming.bronze import await_query
@@ -60,89 +65,308 @@ def prepare_customers(bronze: DataFrame, stamp: Stamp) -> DataFrame:
 def apply_visits(spark: SparkSession, config: JobConfig, batch: DataFrame, stamp: Stamp) -> dict[str, int]:
     """Append the visits of a batch that the table does not hold yet.
 
-    Of two deliveries of one visit the first stays, within a batch as across
-    batches, so the result does not depend on where batches are cut.
+    Of two deliveries of one visit the earlier stays, within a batch as across
+    batches. A delivery that comes after a later one takes its place, which rewrites the
+    dates concerned; so the result does not depend on where batches are cut.
     """
     spec = schemas.SILVER_VISITS
+    key = spec.keys[0]
     prepared = dedupe_earliest(prepare_visits(batch, stamp), spec.keys, INGEST_ORDER)
-    updates = conform(prepared, spec.schema).persist()
+    updates = conform(prepared, spec.physical_schema).persist()
+    held = None
     try:
-        key = F.col(spec.keys[0])
-        # Rows outside the batch's key range cannot match: an exact filter that
-        # skips files and row groups by their statistics. One row comes back.
-        size, low, high = updates.agg(F.count(F.lit(1)), F.min(key), F.max(key)).first()
+        size = updates.count()
         if config.prune_by_date:
             # Bounded by the number of calendar days.
             days = [r[0] for r in updates.select("transaction_dt").distinct().collect()]
-            stored = read_partitions(spark, config, spec, [NULL_PARTITION if d is None else str(d) for d in days])
+            folders = [NULL_PARTITION if d is None else str(d) for d in days]
+            stored = read_partitions(spark, config, spec, folders, hidden=True)
         else:
-            stored = read_table(spark, config, spec)
-        stored = stored.where(key.between(F.lit(low), F.lit(high)))
-        held = matching_rows(stored, updates, spec.keys)
-        inserted = append_rows(config, spec, insert_if_absent(held, updates, spec.keys))
-        return {"input": size, INSERT: inserted}
+            stored = read_physical(spark, config, spec)
+        # Rows outside the intervals cannot match: an exact filter that skips
+        # files and row groups by their statistics.
+        stored = stored.where(in_intervals(F.col(key), key_intervals(updates, key)))
+        # Probing the table with the batch's keys lets Spark broadcast them when they
+        # are few, so the table is scanned but not shuffled.
+        found = stored.select(key, "transaction_dt", *INGEST_ORDER).join(updates.select(key), key, "left_semi")
+        held = found.persist()
+        earlier = updates.alias("u").join(held.alias("t"), key).where(
+            F.col("u._ingest_ts").isNotNull()
+            & F.col("t._ingest_ts").isNotNull()
+            & (F.struct(*[f"u.{c}" for c in INGEST_ORDER]) < F.struct(*[f"t.{c}" for c in INGEST_ORDER]))
+        )
+        new = insert_if_absent(held, updates, spec.keys)
+        # Bounded by the number of calendar days.
+        dates = {r[0] for r in earlier.select("t.transaction_dt").distinct().collect()}
+        if not dates:
+            return {"input": size, INSERT: append_rows(config, spec, new)}
+        late = earlier.select("u.*").persist()
+        try:
+            where = [NULL_PARTITION if d is None else str(d) for d in dates]
+            kept = read_partitions(spark, config, spec, where, hidden=True)
+            touched = [(d,) for d in dates]
+            inside = partition_in(spec, touched)
+            every = late.unionByName(new)
+            replacing = kept.join(late.select(key), key, "left_anti").select(*kept.columns).unionByName(every.where(inside))
+            counts = {"input": size, INSERT: new.count(), UPDATE: late.count()}
+            publish(spark, config, spec, touched, replacing, every.where(~inside))
+            return counts
+        finally:
+            late.unpersist()
     finally:
+        if held is not None:
+            held.unpersist()
         updates.unpersist()
 
 
 def apply_locations(spark: SparkSession, config: JobConfig, batch: DataFrame, stamp: Stamp) -> dict[str, int]:
-    """Overwrite known locations, insert new ones."""
+    """Overwrite known locations, unless a later delivery did so before; insert new ones."""
     spec = schemas.SILVER_LOCATIONS
+    key = spec.keys[0]
     prepared = dedupe_latest(prepare_locations(batch, stamp), spec.keys, INGEST_ORDER)
-
-    def merge(stored: DataFrame, updates: DataFrame) -> DataFrame:
-        return upsert_latest(stored, updates, spec.keys, labelled=True)
-
-    return _merge_buckets(spark, config, spec, prepared, merge)
+    updates, sizes = _bucketed(spark, config, spec, prepared)
+    try:
+        stored = read_partitions(spark, config, spec, _keyed(sizes), hidden=True)
+        seen = [F.col(c).alias(f"_stored{c}") for c in INGEST_ORDER]
+        held = stored.select(key, *seen, F.lit(True).alias("_held")).join(updates.select(key), key, "left_semi")
+        # Few rows on either side: those of the batch.
+        matched = updates.join(held, key, "left")
+        stale = not_later(INGEST_ORDER, [F.col(f"_stored{c}") for c in INGEST_ORDER])
+        action = F.when(F.col("_held").isNull(), INSERT).when(stale, KEEP).otherwise(UPDATE)
+        changed = matched.select(*updates.columns, action.alias(ACTION)).persist()
+        try:
+            counts, touched = _tally(changed)
+            rows = changed.where(F.col(ACTION) != KEEP).drop(ACTION)
+            _publish_buckets(spark, config, spec, stored, rows, rows.select(key), touched)
+            return {"input": sum(sizes.values()), **counts}
+        finally:
+            changed.unpersist()
+    finally:
+        updates.unpersist()
 
 
 def apply_customers(
-    spark: SparkSession, config: JobConfig, batch: DataFrame, stamp: Stamp, **history_options
+    spark: SparkSession,
+    config: JobConfig,
+    batch: DataFrame,
+    stamp: Stamp,
+    first_effective: str | None = None,
+    null_safe: bool = True,
+    source: TableSpec = schemas.BRONZE_CUSTOMERS,
 ) -> dict[str, int]:
-    """Close changed customer versions and open new ones."""
+    """Every delivered version of a customer in delivery order: changed ones close the one before.
+
+    Of several rows of a customer in one staged file one counts. A delivery that may
+    not be the customer's latest, because it is no later than what the table has seen, makes the customer's
+    history be built anew from bronze, so the result does not depend on where batches are cut.
+    """
     spec = schemas.SILVER_CUSTOMERS
-    prepared = dedupe_latest(prepare_customers(batch, stamp), spec.keys, INGEST_ORDER)
-    versions = stamped(prepared, F.lit(None), "current", "effective_date", "end_date")
-
-    def merge(stored: DataFrame, updates: DataFrame) -> DataFrame:
-        batch_columns = [c for c in updates.columns if c not in ("current", "effective_date", "end_date")]
-        return scd2_apply(
-            stored.where("current"),
-            updates.select(*batch_columns),
-            spec.keys[0],
-            schemas.TRACKED_CUSTOMER_COLUMNS,
-            as_of=stamp.day,
-            # Every key has an open version: only this job writes the table.
-            history_complete=True,
-            labelled=True,
-            **history_options,
+    key = spec.keys[0]
+    prepared = dedupe_latest(prepare_customers(batch, stamp), [*spec.keys, *INGEST_ORDER], ())
+    prepared = stamped(prepared, F.lit(None), "current", "effective_date", "end_date")
+    updates, sizes = _bucketed(spark, config, spec, prepared)
+    changed = late = None
+    try:
+        seen = _progress(spark, config, spec)
+        moment = F.struct(F.unix_micros(INGEST_ORDER[0]).alias("at"), F.col(INGEST_ORDER[1]).alias("file"))
+        latest = updates.where(F.col(INGEST_ORDER[0]).isNotNull()).agg(F.max(moment).alias("o")).first()["o"]
+        opened = read_partitions(spark, config, spec, ["true"], hidden=True).where(F.col(BUCKET_COLUMN).isin(_keyed(sizes, int)))
+        held = opened.join(updates.select(key), key, "left_semi")
+        stamps = held.select(key, *[F.col(c).alias(f"_stored{c}") for c in INGEST_ORDER])
+        no_later = not_later(INGEST_ORDER, [F.col(f"_stored{c}") for c in INGEST_ORDER])
+        if seen:
+            no_later = no_later | not_later(INGEST_ORDER, [F.timestamp_micros(F.lit(seen[0])), F.lit(seen[1])])
+        late = updates.join(stamps, key, "left").where(no_later).select(key).distinct().persist()
+        # Written before the table: to be too high costs a rebuild, to be too low a version.
+        _set_progress(spark, config, spec, seen, latest)
+
+        keyed = updates.where(F.col(key).isNotNull()).join(late, key, "left_anti").select(*updates.columns)
+        known = held.join(late, key, "left_anti").select(*updates.columns)
+        both = known.withColumn("_new", F.lit(0)).unionByName(keyed.withColumn("_new", F.lit(1)))
+        chain = version_chain(both, key, ("_new", *INGEST_ORDER), schemas.TRACKED_CUSTOMER_COLUMNS, null_safe)
+        is_new, closing = F.col("_new") == 1, ~F.col("chain_last")
+        action = F.when(is_new, INSERT).when(closing, CLOSE).otherwise(KEEP)
+        versions = chain.withColumns(
+            {
+                ACTION: action,
+                "current": F.col("chain_last"),
+                "effective_date": F.when(is_new, _effective(stamp, first_effective)).otherwise(F.col("effective_date")),
+                "end_date": F.when(closing, stamp.day),
+                "update_ts": F.when(is_new | closing, stamp.ts).otherwise(F.col("update_ts")),
+            }
         )
+        unkeyed = updates.where(F.col(key).isNull()).withColumns(
+            {
+                ACTION: F.lit(INSERT),
+                "current": F.lit(True),
+                "effective_date": _effective(stamp, first_effective, F.lit(True)),
+                "end_date": F.lit(None).cast("date"),
+            }
+        )
+        columns = [*spec.physical_schema.names, ACTION]
+        changed = versions.select(*columns).unionByName(unkeyed.select(*columns)).persist()
+        counts, touched = _tally(changed, F.col("current") | (F.col(ACTION) == CLOSE))
+        rows = changed.where(F.col(ACTION) != KEEP)
+        closed = rows.where(F.col(ACTION) == CLOSE).select(key)
+        if late.isEmpty():
+            _publish_buckets(spark, config, spec, opened, rows.drop(ACTION), closed, touched)
+        else:
+            counts = _rebuild(spark, config, source, stamp, late, rows, closed, touched, counts, first_effective, null_safe)
+        return {"input": sum(sizes.values()), **counts}
+    finally:
+        for df in (changed, late, updates):
+            if df is not None:
+                df.unpersist()
+
 
-    return _merge_buckets(spark, config, spec, versions, merge)
+def _effective(stamp: Stamp, first_effective: str | None, first: Column | None = None) -> Column:
+    if not first_effective:
+        return stamp.day
+    first = F.col("chain_first") if first is None else first
+    return F.when(first, F.coalesce(F.col(first_effective), stamp.day)).otherwise(stamp.day)
 
 
-def _merge_buckets(
+def _rebuild(
     spark: SparkSession,
     config: JobConfig,
-    spec: TableSpec,
-    prepared: DataFrame,
-    merge: Callable[[DataFrame, DataFrame], DataFrame],
+    source: TableSpec,
+    stamp: Stamp,
+    late: DataFrame,
+    rows: DataFrame,
+    closed: DataFrame,
+    touched: set[tuple],
+    counts: dict[str, int],
+    first_effective: str | None,
+    null_safe: bool,
 ) -> dict[str, int]:
-    """Merge a batch with the buckets its keys fall into and rewrite those."""
-    ensure_buckets(spark, config, spec)
-    bucket = key_bucket(spec.keys, config.key_buckets).cast("int")
-    updates = conform(prepared, spec.schema).withColumn(BUCKET_COLUMN, bucket).persist()
+    """Publishes ``rows`` along with whole histories, from bronze, of the customers in ``late``.
+
+    Versions that the table has keep their dates and stamps. A version that arrives late is
+    effective when its successor is, at the latest. Open and closed versions of the
+    buckets concerned are rewritten where a history comes out different.
+    """
+    spec = schemas.SILVER_CUSTOMERS
+    key, order = spec.keys[0], list(INGEST_ORDER)
+    physical = spec.physical_schema.names
+    deliveries = read_table(spark, config, source).join(late, key, "left_semi")
+    one_each = dedupe_latest(prepare_customers(deliveries, stamp), [key, *order], ())
+    chain = version_chain(one_each, key, order, schemas.TRACKED_CUSTOMER_COLUMNS, null_safe)
+    buckets = [r[0] for r in late.select(key_bucket([key], config.key_buckets).cast("int")).distinct().collect()]
+    stored = read_physical(spark, config, spec).where(F.col(BUCKET_COLUMN).isin(buckets))
+    own = stored.join(late, key, "left_semi").select(*physical).persist()
+    first_of = Window.partitionBy(key).orderBy(*order)
+    kept = own.withColumn("_first", F.row_number().over(first_of) == 1)
+    kept = kept.select(key, *order, *[F.col(c).alias(f"_old_{c}") for c in ("effective_date", "end_date", "current", "load_ts", "update_ts")], "_first")
+    after = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    following = Window.partitionBy(key).orderBy(*order)
+    # A stored first version may be dated by another column than the run's day; it keeps that only while it is the first.
+    since = F.col("_first") & F.lit(bool(first_effective))
+    own_date = F.when(~F.coalesce(since, F.lit(False)), F.col("_old_effective_date"))
+    dated = chain.join(kept, [key, *order], "left").withColumn("_date", F.coalesce(own_date, stamp.day))
+    dated = dated.withColumn("effective_date", F.min("_date").over(after))
+    if first_effective:
+        dated = dated.withColumn("_later", F.lead("effective_date").over(following))
+        dated = dated.withColumn(
+            "effective_date", F.when(F.col("chain_first"), F.coalesce(F.col(first_effective), F.col("effective_date"))).otherwise(F.col("effective_date"))
+        )
+    dated = dated.withColumns({"current": F.col("chain_last"), "end_date": F.lead("effective_date").over(following)})
+    same = F.col("end_date").eqNullSafe(F.col("_old_end_date")) & F.col("current").eqNullSafe(F.col("_old_current"))
+    stamps = {
+        "load_ts": F.coalesce("_old_load_ts", stamp.ts),
+        "update_ts": F.when(same, F.col("_old_update_ts")).otherwise(stamp.ts),
+        BUCKET_COLUMN: key_bucket([key], config.key_buckets).cast("int"),
+    }
+    built = dated.withColumns(stamps).select(*physical).persist()
+    changed = built.exceptAll(own).select(key).union(own.exceptAll(built).select(key)).distinct().persist()
     try:
-        # Bounded by the table's fixed number of buckets.
-        sizes = dict(updates.groupBy(BUCKET_COLUMN).count().collect())
-        with_key = [b for b in sizes if b != NULL_KEY_BUCKET]
-        # Open versions only where there is a history, else the touched buckets.
-        folders = ["true"] if spec.partition_by[0] == "current" else map(str, with_key)
-        stored = read_partitions(spark, config, spec, folders).where(F.col(BUCKET_COLUMN).isin(with_key))
-        counts = publish_rewrite(spark, config, spec, merge(stored, updates))
-        return {"input": sum(sizes.values()), **counts}
+        pairs = own.select(*order, key, F.lit(True).alias("_known"))
+        new = built.join(changed, key, "left_semi").join(pairs, [key, *order], "left_anti").count()
+        shut = own.where("current").join(built.where("not current"), [key, *order], "left_semi").count()
+        counts = {**counts, INSERT: counts.get(INSERT, 0) + new, CLOSE: counts.get(CLOSE, 0) + shut}
+        moved = [r[0] for r in changed.select(key_bucket([key], config.key_buckets).cast("int")).distinct().collect()]
+        touched = {*touched, *((flag, b) for b in moved for flag in (True, False))}
+        gone = closed.union(changed)
+        result = built.join(changed, key, "left_semi").select(*physical)
+        inside = partition_in(spec, touched)
+        every = rows.drop(ACTION).unionByName(result)
+        base = read_physical(spark, config, spec).where(inside)
+        # Of customers that are not rebuilt only the open version is closed here; their history stays.
+        rebuilt = changed.select(key, F.lit(True).alias("_rebuilt"))
+        ended = closed.select(key, F.lit(True).alias("_ended"))
+        left = base.join(rebuilt, key, "left").join(ended, key, "left")
+        left = left.where(F.col("_rebuilt").isNull() & (F.col("_ended").isNull() | ~F.col("current"))).select(*physical)
+        publish(spark, config, spec, touched, left.unionByName(every.where(inside)), every.where(~inside))
+        return {a: n for a, n in counts.items() if n}
     finally:
-        updates.unpersist()
+        for df in (changed, built, own):
+            df.unpersist()
+
+
+# --- buckets ------------------------------------------------------------------
+
+
+def _bucketed(
+    spark: SparkSession, config: JobConfig, spec: TableSpec, prepared: DataFrame
+) -> tuple[DataFrame, dict[int, int]]:
+    """The batch with its rows' buckets, kept, and the number of rows per bucket (at most one entry per bucket)."""
+    ensure_buckets(spark, config, spec)
+    bucket = key_bucket(spec.keys, config.key_buckets).cast("int")
+    updates = conform(prepared.withColumn(BUCKET_COLUMN, bucket), spec.physical_schema).persist()
+    return updates, dict(updates.groupBy(BUCKET_COLUMN).count().collect())
+
+
+def _keyed(sizes: dict[int, int], kind: type = str) -> list:
+    return [kind(b) for b in sizes if b != NULL_KEY_BUCKET]
+
+
+def _tally(changed: DataFrame, rewriting: Column | None = None) -> tuple[dict[str, int], set[tuple]]:
+    """Rows per action, and the buckets to rewrite; rows without a key are only ever added."""
+    spec_columns = ["current", BUCKET_COLUMN] if "current" in changed.columns else [BUCKET_COLUMN]
+    rewriting = F.lit(True) if rewriting is None else rewriting
+    rewriting = rewriting & (F.col(ACTION) != KEEP) & (F.col(BUCKET_COLUMN) != NULL_KEY_BUCKET)
+    counts: dict[str, int] = {}
+    touched = set()
+    for action, bucket, rewrite, n in changed.groupBy(ACTION, BUCKET_COLUMN, rewriting.alias("r")).count().collect():
+        counts[action] = counts.get(action, 0) + n
+        if rewrite:
+            touched.add((True, bucket) if "current" in spec_columns else (bucket,))
+    return counts, touched
+
+
+def _publish_buckets(
+    spark: SparkSession,
+    config: JobConfig,
+    spec: TableSpec,
+    stored: DataFrame,
+    rows: DataFrame,
+    gone: DataFrame,
+    touched: set[tuple],
+) -> None:
+    """Stored rows of the touched buckets, less ``gone`` keys, with ``rows``; rows of other partitions are added."""
+    if rows.isEmpty():
+        return
+    inside = partition_in(spec, touched)
+    left = stored.where(inside).join(gone, list(spec.keys), "left_anti").select(*spec.physical_schema.names)
+    replacing = left.unionByName(rows.where(inside)) if touched else None
+    publish(spark, config, spec, touched, replacing, rows.where(~inside))
+
+
+def _progress_path(config: JobConfig, spec: TableSpec) -> str:
+    return f"{config.layer_root(spec.layer)}/_progress/{spec.name}"
+
+
+def _progress(spark: SparkSession, config: JobConfig, spec: TableSpec) -> tuple[int, str] | None:
+    """The latest delivery that a merge has been given: microseconds and file."""
+    path = _progress_path(config, spec)
+    if not files.exists(spark, path):
+        return None
+    moment, file = files.read_text(spark, path).split(" ", 1)
+    return int(moment), file
+
+
+def _set_progress(spark: SparkSession, config: JobConfig, spec: TableSpec, seen: tuple[int, str] | None, latest) -> None:
+    if latest is not None and (seen is None or tuple(latest) > seen):
+        files.write_text(spark, _progress_path(config, spec), f"{latest[0]} {latest[1]}")
 
 
 def _run(
@@ -165,9 +389,11 @@ def _run(
             counts = step(session, config, batch, Stamp.at(as_of))
         finally:
             batch.unpersist()
-        record_run(session, config, target, operation, counts, query.id if query else None, batch_id, counts["input"])
+        # The query's id is a property of the job; the variable may not be set yet.
+        query_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        record_run(session, config, target, operation, counts, query_id, batch_id, counts["input"])
+        refresh_registered(session, config, target)
 
-    query = None
     names = qualified_name(config, source), qualified_name(config, target)
     query = (
         stream_table(spark, config, source)
@@ -215,9 +441,7 @@ def run_customers(
     """``literal=True`` compares with ``<>``, so changes from or to NULL are missed."""
 
     def step(session: SparkSession, cfg: JobConfig, batch: DataFrame, stamp: Stamp) -> dict[str, int]:
-        return apply_customers(
-            session, cfg, batch, stamp, first_effective=first_effective, null_safe=not literal
-        )
+        return apply_customers(session, cfg, batch, stamp, first_effective, not literal)
 
     return _run(
         spark, config, schemas.BRONZE_CUSTOMERS, schemas.SILVER_CUSTOMERS, "scd2_apply", step, as_of, timeout

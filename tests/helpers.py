@@ -15,7 +15,7 @@ DAY1, DAY2, DAY3 = (dt.datetime(2024, 1, d, 6) for d in (6, 7, 8))
 
 
 def config(root, **overrides) -> JobConfig:
-    return JobConfig.under(root, **{"key_buckets": 4, **overrides})
+    return JobConfig.under(root, **{"key_buckets": 4, "publish_grace_seconds": 0, **overrides})
 
 
 def stage(cfg: JobConfig, folder: str, name: str, lines) -> None:

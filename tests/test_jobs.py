@@ -1,16 +1,19 @@
 """Stored gold summaries, layer tables and the run log."""
 
 import datetime as dt
+import json
 
 import pytest
 from helpers import DAY1, DAY2, DAY3, config, ingest, location, stage, table_rows, visit
 
+from pyspark.sql import functions as F
+
 from tellerline import schemas
-from tellerline.params import DayWindow, MonthWindow
+from tellerline.params import DayWindow, MonthWindow, Stamp
 from tellerline.plans import run_daily, run_monthly
-from tellerline.sources import create_layer_tables, history, read_table
+from tellerline.sources import create_layer_tables, history, publish, read_table
 from tellerline.sources.tables import checkpoint_dir, read_partitions, refresh_catalog, table_path
-from tellerline.streaming import run_locations, run_visits
+from tellerline.streaming import run_locations, run_visits, silver
 
 DAILY, MONTHLY = schemas.GOLD_DAILY, schemas.GOLD_MONTHLY
 WINDOW = DayWindow.resolve("20240108")
@@ -52,6 +55,53 @@ def test_gold_follows_late_visits_and_reruns_change_nothing(spark, root):
     assert [tuple(r) for r in log] == [(1, 1, 1), (0, 0, 2), (2, 0, 0)]
 
 
+def test_groups_that_vanish_are_removed(spark, root):
+    """An ATM moves to another bank: the old bank's total of the day goes, unless literal."""
+    for literal, banks in ((False, {("south",): 1}), (True, {("north",): 1, ("south",): 1})):
+        cfg = config(f"{root}/{literal}")
+        load(spark, cfg, "1", [visit(1)], DAY1)
+        run_daily(spark, cfg, WINDOW, DAY1, literal=literal)
+        stage(cfg, "atm_locations", "2", [location(1, bank="south")])
+        ingest(spark, cfg, "atm_locations")
+        run_locations(spark, cfg, DAY2)
+        counts = run_daily(spark, cfg, WINDOW, DAY2, literal=literal)
+        assert counts == ({"insert": 1, "keep": 1} if literal else {"insert": 1, "delete": 1})
+        assert table_rows(spark, cfg, DAILY, "bank") == banks
+
+
+@pytest.mark.parametrize("after", [0, 1, 2])
+def test_gold_finishes_an_interrupted_location_publish(spark, root, monkeypatch, after):
+    cfg = config(root)
+    load(spark, cfg, "1", [visit(i, atm=i) for i in range(1, 6)], DAY1)
+    moved = []
+    move = publish._replace_partition
+
+    def interrupted(*args):
+        if len(moved) == after:
+            raise KeyboardInterrupt
+        moved.append(move(*args))
+
+    rows = bronze_rows(spark, schemas.BRONZE_LOCATIONS, [location(i, bank=f"bank {i}") for i in range(1, 6)])
+    monkeypatch.setattr(publish, "_replace_partition", interrupted)
+    with pytest.raises(KeyboardInterrupt):
+        silver.apply_locations(spark, cfg, rows, Stamp.at(DAY2))
+    monkeypatch.undo()
+    run_daily(spark, cfg, WINDOW, DAY2)
+    assert table_rows(spark, cfg, DAILY, "bank", "total_withdrawls") == {(f"bank {i}", 10): 1 for i in range(1, 6)}
+
+
+def bronze_rows(spark, spec, rows):
+    lines = spark.createDataFrame([(json.dumps(r),) for r in rows], "line string")
+    parsed = lines.select(F.from_json("line", spec.schema).alias("r")).select("r.*")
+    return parsed.withColumns({"_ingest_ts": F.current_timestamp(), "_ingest_file": F.lit("f")})
+
+
+def test_gold_refuses_another_time_zone(spark, root):
+    for run in (run_daily, run_monthly):
+        with pytest.raises(ValueError, match="time zone"):
+            run(spark, config(root, time_zone="Asia/Tokyo"))
+
+
 def test_rows_outside_the_window_stay(spark, root):
     cfg = config(root)
     load(spark, cfg, "1", [visit(1, day="2024-01-01"), visit(2, day="2024-01-08")], DAY1)
@@ -97,6 +147,7 @@ def test_layer_tables_can_be_queried_by_name(spark, root):
         assert [spark.table(n).count() for n in names] == [0] * len(names)
     load(spark, cfg, "1", [visit(1)], DAY1)
     run_daily(spark, cfg, WINDOW, DAY1)
+    assert spark.table("s1.atm_locations").columns == schemas.SILVER_LOCATIONS.schema.names
     for layer in ("bronze", "silver", "gold"):
         refresh_catalog(spark, cfg, layer)
     assert spark.sql("SELECT bank, total_withdrawls FROM g1.daily_transaction_summary_by_bank").collect() == [("north", 10)]

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tellerline.params import DayWindow, JobConfig, MonthWindow, Stamp, TriggerMode
+from tellerline.params import DayWindow, JobConfig, MonthWindow, Stamp, TriggerMode, today_in
 from tellerline.plans.monthly import month_key, window_months
 from tellerline.session import scratch_dir
 
@@ -101,6 +101,15 @@ class _Session:
 def test_scratch_goes_to_the_shared_folder():
     shared = _Session("yarn", {"spark.checkpoint.dir": "hdfs:///shared/"})
     assert scratch_dir(shared, "x").startswith("hdfs:///shared/x-")
-    assert scratch_dir(_Session("local[2]", {}), "x") != scratch_dir(_Session("local[2]", {}), "x")
-    with pytest.raises(ValueError, match="checkpoint"):
-        scratch_dir(_Session("yarn", {}), "x")
+    for master in ("local[2]", "yarn"):
+        unset = _Session(master, {"spark.sql.warehouse.dir": "/house"})
+        assert scratch_dir(unset, "x").startswith("/house/_scratch/x-")
+        assert scratch_dir(unset, "x") != scratch_dir(unset, "x")
+
+
+def test_today_is_that_of_the_zone():
+    east, west = today_in("Pacific/Kiritimati"), today_in("Pacific/Pago_Pago")
+    assert (east - west).days == 1
+    assert DayWindow.resolve(zone="Pacific/Kiritimati").anchor in (east, today_in("Pacific/Kiritimati"))
+    assert MonthWindow.resolve(zone="Pacific/Pago_Pago").anchor in (west, today_in("Pacific/Pago_Pago"))
+

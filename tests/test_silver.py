@@ -2,6 +2,8 @@ import datetime as dt
 import glob
 import json
 import os
+import random
+from collections import Counter
 
 import pytest
 from helpers import DAY1, DAY2, DAY3, config, customer, ingest, location, stage, table_rows, visit
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tellerline import schemas
 from tellerline.functions.columns import key_bucket
-from tellerline.operators import conform, scd2_apply
+from tellerline.operators import conform, in_intervals, key_intervals, scd2_apply
 from tellerline.params import Stamp, TriggerMode
 from tellerline.sources import history, publish, read_table
 from tellerline.sources.tables import checkpoint_dir, ensure_buckets, read_physical
@@ -37,18 +39,73 @@ def test_visits_are_dated_and_inserted_once(spark, root):
     assert read_table(spark, cfg, VISITS).columns == VISITS.schema.names
 
 
-def test_visits_do_not_depend_on_batch_limits(spark, tmp_path):
-    """One file per batch and all files at once give the same table."""
+LIMITS = ((20, 1000), (3, 1))
+
+
+def stage_uneven(cfg):
+    """A large delivery first, small ones after it; keys and tracked values recur, some deliveries change nothing."""
+    rng = random.Random(5)
+    for i, size in enumerate((3000, 1, 4, 2)):
+        keys = range(size) if size > 50 else [1, *(rng.choice((2, 3, 7000 + i)) for _ in range(size - 1))]
+        name = rng.choice(("ann", "bea"))
+        stage(cfg, "atm_customers", str(i), [customer(k, ("ann", "bea", "ann", name)[i]) for k in keys])
+        stage(cfg, "atm_locations", str(i), [location(k, bank=f"bank {i}") for k in keys])
+        # The same visit comes back with other amounts, now and then under another date.
+        days = [f"2024-01-{5 + rng.randrange(2):02d}" for _ in keys]
+        stage(cfg, "atm_visits", str(i), [visit(k, day=d, amount=i) for k, d in zip(keys, days)])
+
+
+def test_tables_do_not_depend_on_batch_limits(spark, tmp_path):
+    """However staged and bronze files are cut into batches, the tables come out the same."""
     results = []
-    for limit in (1, 20):
-        cfg = config(str(tmp_path / str(limit)), max_files_per_trigger=limit, max_bronze_files_per_trigger=limit)
-        for i in range(4):
-            stage(cfg, "atm_visits", str(i), [visit(k, amount=100 * i + k) for k in range(i, i + 3)])
-        ingest(spark, cfg, "atm_visits")
-        run_visits(spark, cfg, DAY1)
-        results.append(table_rows(spark, cfg, VISITS))
-    assert results[0] == results[1]
-    assert len(results[0]) == 6
+    for staged, bronze in LIMITS:
+        root = str(tmp_path / f"{staged}-{bronze}")
+        cfg = config(root, max_files_per_trigger=staged, max_bronze_files_per_trigger=bronze)
+        stage_uneven(cfg)
+        ingest(spark, cfg, "atm_visits", "atm_locations", "atm_customers")
+        for run in (run_visits, run_locations, run_customers):
+            run(spark, cfg, DAY1)
+        results.append([table_rows(spark, cfg, s) for s in (VISITS, LOCATIONS, CUSTOMERS)])
+    for other in results[1:]:
+        assert [left - right for left, right in zip(results[0], other)] == [Counter()] * 3
+        assert [right - left for left, right in zip(results[0], other)] == [Counter()] * 3
+    by_key = Counter()
+    for row, n in results[0][2].items():
+        by_key[row[0]] += n
+    assert by_key[1] >= 3
+
+
+def bronze_batch(spark, spec, rows, minute):
+    """Rows of one delivery, as bronze holds them."""
+    when = dt.datetime(2024, 1, 1, 0, minute)
+    lines = spark.createDataFrame([(json.dumps(r),) for r in rows], "line string")
+    parsed = lines.select(F.from_json("line", spec.schema).alias("r")).select("r.*")
+    return parsed.withColumns({"_ingest_ts": F.lit(when).cast("timestamp"), "_ingest_file": F.lit(f"f{minute}")})
+
+
+def test_deliveries_out_of_order(spark, root):
+    """Merged last to first, as if each had overtaken the one before; a replay of one changes nothing."""
+    cfg = config(root)
+    bronze = schemas.BRONZE_CUSTOMERS
+    versions = ("ann", "bea", "bea", "ann")
+    batches = [bronze_batch(spark, bronze, [customer(1, name), customer(2, "same")], m) for m, name in enumerate(versions)]
+    for batch in batches:
+        batch.write.mode("append").parquet(f"{root}/bronze/atm_customers")
+    for batch in [*batches[::-1], batches[1]]:
+        silver.apply_customers(spark, cfg, batch, Stamp.at(DAY1))
+    assert table_rows(spark, cfg, CUSTOMERS, "customer_id", "first_name", "current") == {
+        (1, "ann", False): 1,
+        (1, "bea", False): 1,
+        (1, "ann", True): 1,
+        (2, "same", True): 1,
+    }
+    for m in (2, 0, 1):
+        rows = bronze_batch(spark, schemas.BRONZE_LOCATIONS, [location(1, bank=f"b{m}")], m)
+        silver.apply_locations(spark, cfg, rows, Stamp.at(DAY1))
+        rows = bronze_batch(spark, schemas.BRONZE_VISITS, [visit(1, amount=m, day=f"2024-01-0{m + 1}")], m)
+        silver.apply_visits(spark, cfg, rows, Stamp.at(DAY1))
+    assert table_rows(spark, cfg, LOCATIONS, "bank") == {("b2",): 1}
+    assert table_rows(spark, cfg, VISITS, "amount", "transaction_dt") == {(0, dt.date(2024, 1, 1)): 1}
 
 
 def test_date_pruning_compares_the_batch_dates_only(spark, root):
@@ -133,13 +190,58 @@ def test_null_to_value_is_missed_only_when_literal(spark, tmp_path):
         assert sum(table_rows(spark, cfg, CUSTOMERS).values()) == versions
 
 
-def test_two_versions_in_one_batch_keep_the_newest(spark, root):
+def test_all_versions_of_a_batch_are_chained(spark, root):
     cfg = config(root)
-    stage(cfg, "atm_customers", "1", [customer(1, "first")])
-    stage(cfg, "atm_customers", "2", [customer(1, "second")])
+    for i, name in enumerate(("ann", "bea", "bea", "ann")):
+        stage(cfg, "atm_customers", str(i), [customer(1, name)])
     ingest(spark, cfg, "atm_customers")
     run_customers(spark, cfg, DAY1)
-    assert table_rows(spark, cfg, CUSTOMERS, "first_name") == {("second",): 1}
+    assert table_rows(spark, cfg, CUSTOMERS, *VERSION) == {
+        (1, "ann", False, D1, D1): 1,
+        (1, "bea", False, D1, D1): 1,
+        (1, "ann", True, D1, None): 1,
+    }
+
+
+def test_a_small_batch_does_not_shuffle_the_stored_rows(spark, root, monkeypatch):
+    """What is probed is scanned and filtered; only the buckets that change are laid out anew."""
+    cfg = config(root)
+    stage(cfg, "atm_locations", "1", [location(i) for i in range(40)])
+    ingest(spark, cfg, "atm_locations")
+    run_locations(spark, cfg, DAY1)
+    seen = []
+
+    def published(spark_, cfg_, spec, touched, replacing, adding=None):
+        seen.append((set(touched), replacing.count()))
+
+    monkeypatch.setattr(silver, "publish", published)
+    tallies = []
+    tally = silver._tally
+    monkeypatch.setattr(silver, "_tally", lambda df, *a: tallies.append(df._jdf.queryExecution().executedPlan().toString()) or tally(df, *a))
+    batch = bronze_batch(spark, schemas.BRONZE_LOCATIONS, [location(7, bank="new")], 1)
+    batch = batch.withColumn("_ingest_ts", F.current_timestamp())
+    silver.apply_locations(spark, cfg, batch, Stamp.at(DAY2))
+    bucket = spark.range(7, 8).withColumnRenamed("id", "atm_id").select(key_bucket(["atm_id"], 4)).first()[0]
+    assert [t for t, _ in seen] == [{(bucket,)}] and seen[0][1] < 40
+    (plan,) = tallies
+    probe = plan[plan.index("LeftSemi") - 200 : plan.index("FileScan parquet")]
+    assert "BroadcastHashJoin" in probe and "Exchange hashpartitioning" not in probe[probe.index("LeftSemi") :], plan
+
+
+def test_an_outlier_does_not_widen_the_probe(spark, root):
+    """Stored files between a batch's ordinary ids and one stray id are not read."""
+    keys = spark.createDataFrame([(k,) for k in [*range(100, 200), 10**12]], "visit_id long")
+    found = key_intervals(keys, "visit_id")
+    assert len(found) <= 64 and all(low <= high for low, high in found)
+    path = f"{root}/files"
+    for start in (0, 150, 10**6, 10**9, 10**12 - 5):
+        spark.range(start, start + 10).withColumnRenamed("id", "visit_id").coalesce(1).write.mode("append").parquet(path)
+    stored = spark.read.parquet(path)
+    kept = stored.where(in_intervals(F.col("visit_id"), found))
+    assert sorted(r[0] for r in kept.collect()) == [*range(150, 160), 10**12]
+    names = stored.select("visit_id", F.input_file_name().alias("f")).groupBy("f").agg(F.min("visit_id"), F.max("visit_id")).collect()
+    hit = [1 for _, low, high in names if any(a <= high and low <= b for a, b in found)]
+    assert len(hit) == 2
 
 
 def test_only_touched_buckets_are_rewritten(spark, root):
@@ -205,10 +307,10 @@ def test_replayed_batches_change_nothing(spark, root):
     assert [table_rows(spark, cfg, s) for s in specs] == before
 
 
-@pytest.mark.parametrize("step", ["_append_staged", "_rewrite_staged"])
+@pytest.mark.parametrize("step", ["_replace_partition", "_add_file"])
 @pytest.mark.parametrize("done", [False, True])
 def test_interrupted_publish_is_finished_by_the_next_run(spark, root, monkeypatch, step, done):
-    """The driver is lost before or after one of the two writes of a publish."""
+    """The driver is lost before or after a step of moving a publish into place."""
     cfg = config(root)
     batches = (
         [customer(1), customer(2), customer(None, "nobody")],
