@@ -216,6 +216,32 @@ SELECT 'atm_customers' AS table_name, 'scd2_apply' AS operation,
        CAST(COUNT(*) FILTER (WHERE NOT "current") AS BIGINT) AS closed
 FROM ({_type2(with_history=False)})"""
 
+_DELIVERIES = f"""
+SELECT * FROM (
+  SELECT {_CUSTOMER}, 0 AS delivery FROM ({_customers(1, '2024-01-01 08:00:00')})
+  UNION ALL SELECT {_CUSTOMER}, 1 FROM (SELECT * REPLACE (CASE WHEN customer_id % 3 = 0 THEN first_name ELSE 'MOVED' END AS first_name)
+    FROM ({_customers(1, '2024-01-01 08:00:00')}))
+  UNION ALL SELECT {_CUSTOMER}, 2 FROM (SELECT * REPLACE (CASE WHEN customer_id % 3 = 1 THEN 'MOVED' ELSE first_name END AS first_name)
+    FROM ({_customers(1, '2024-01-01 08:00:00')})))"""
+
+# Within a customer only the first name differs between deliveries.
+_CHAIN = f"""
+SELECT * EXCLUDE (before), before IS NULL AS chain_first,
+       LEAD(delivery) OVER (PARTITION BY customer_id ORDER BY delivery) IS NULL AS chain_last
+FROM (SELECT *, LAG(first_name) OVER (PARTITION BY customer_id ORDER BY delivery) AS before FROM ({_DELIVERIES}))
+WHERE before IS NULL OR before <> first_name"""
+
+
+def _moved_bank(literal: bool) -> str:
+    stored = _daily_by_bank("2024-01-01", "2024-01-30")
+    moved = "CASE WHEN s_nationkey < 5 THEN 'MERGED' ELSE n_name END AS bank"
+    staged = stored.replace("n_name AS bank", moved)
+    merged = _upsert(stored, staged, ("transaction_dt", "bank"), "2024-01-31 06:00:00", "2024-02-01 06:00:00", literal)
+    if literal:
+        return merged
+    return f"SELECT * FROM ({merged}) WHERE (transaction_dt, bank) IN (SELECT (transaction_dt, bank) FROM ({staged}))"
+
+
 ORACLES: dict[str, str] = {
     "silver_visits_prepare": f"SELECT {_VISIT_COLUMNS}, date AS transaction_dt FROM ({_visits()})",
     "silver_locations_flatten": _locations(),
@@ -228,6 +254,7 @@ ORACLES: dict[str, str] = {
 SELECT customer_id AS merge_key, * FROM u UNION ALL SELECT CAST(NULL AS BIGINT), * FROM ({_changed()})""",
     "changed_current_customers": _customer_tables(True) + _changed(),
     "changed_current_customers_literal": _customer_tables(True) + _changed(null_safe=False),
+    "scd2_multi_version_batch": _CHAIN,
     "dedupe_earliest_visits": _first_visit("ASC"),
     "dedupe_latest_visits": _first_visit("DESC"),
     "visits_in_day_window": f"""
@@ -247,6 +274,8 @@ FROM ({_visits()}) v LEFT JOIN (SELECT DISTINCT atm_id, bank FROM ({_locations()
     "gold_daily_by_bank_default_window": _daily_by_bank("2024-01-17", "2024-01-20"),
     "gold_daily_upsert": _daily_upsert(literal=False),
     "gold_daily_upsert_literal": _daily_upsert(literal=True),
+    "gold_daily_upsert_moved_bank": _moved_bank(literal=False),
+    "gold_daily_upsert_moved_bank_literal": _moved_bank(literal=True),
     "gold_monthly_by_customer": _monthly("199501", "200108"),
     "gold_monthly_by_customer_literal": _monthly("199501", "200108", literal=True),
     "gold_monthly_upsert": _monthly_upsert(literal=False),
@@ -256,6 +285,13 @@ FROM ({_visits()}) v LEFT JOIN (SELECT DISTINCT atm_id, bank FROM ({_locations()
     "stream_silver_visits": _INSERT_ONLY,
     "stream_silver_locations": _TYPE1.replace("2024-02-01", "2024-01-01").replace("2024-02-02", "2024-02-01"),
     "stream_silver_customers": f'SELECT * EXCLUDE (load_ts, update_ts) FROM ({_type2(with_history=False)})',
+    "stream_silver_customers_versions": f'SELECT customer_id, first_name, chain_last AS "current" FROM ({_CHAIN})',
+    "stream_quarantine": f"""
+SELECT atm_id, CAST(NULL AS VARCHAR) AS line FROM ({_locations()})
+UNION ALL SELECT NULL, '{{"atm_id": broken ' || CAST(atm_id AS VARCHAR) FROM ({_locations()})""",
+    "catalog_daily_by_bank": f"""
+SELECT *, (SELECT COUNT(*) FROM events) AS visits, (SELECT COUNT(*) FROM supplier) AS atms
+FROM ({_daily_by_bank('2024-01-01', '2024-01-30')})""",
     "stream_run_log": _RUN_LOG,
     "stream_end_to_end_daily": _daily_by_bank("2024-01-01", "2024-01-30"),
     "stream_end_to_end_monthly": _monthly("202401", "202401", _dated(_visits())),

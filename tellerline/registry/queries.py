@@ -24,6 +24,7 @@ from tellerline.operators import (
     scd2_staged,
     upsert_if_changed,
     upsert_latest,
+    version_chain,
 )
 from tellerline.operators.merge import ACTION, INSERT
 from tellerline.params import DayWindow, MonthWindow, Stamp
@@ -33,9 +34,11 @@ from tellerline.registry import streams
 from tellerline.registry.shapes import (
     FIRST_FEED,
     SECOND_FEED,
+    customer_deliveries,
     customers,
     dated,
     locations,
+    moved_locations,
     visits,
     visits_long,
 )
@@ -139,6 +142,13 @@ def changed_current_customers_literal(spark: SparkSession, sf_dir: str) -> DataF
     return changed_current(*_customer_feeds(spark, sf_dir), "customer_id", TRACKED, null_safe=False)
 
 
+def scd2_multi_version_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All versions of one batch that holds three deliveries of every customer."""
+    numbered = [rows.withColumn("delivery", F.lit(i)) for i, rows in enumerate(customer_deliveries(spark, sf_dir))]
+    batch = numbered[0].unionByName(numbered[1]).unionByName(numbered[2])
+    return version_chain(batch, "customer_id", ["delivery"], TRACKED)
+
+
 def dedupe_earliest_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_earliest(visits(spark, sf_dir), ["customer_id"], ["transaction_ts", "visit_id"])
 
@@ -220,6 +230,29 @@ def gold_daily_upsert_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _daily_upsert(spark, sf_dir, literal=True).drop(ACTION)
 
 
+def _moved_bank(spark: SparkSession, sf_dir: str, literal: bool) -> DataFrame:
+    """Recomputed after some banks have no ATM left: their stored totals go, unless literal."""
+    rows = dated(visits(spark, sf_dir))
+    stored = daily_by_bank(rows, locations(spark, sf_dir), ALL_DAYS)
+    staged = daily_by_bank(rows, moved_locations(spark, sf_dir), ALL_DAYS)
+    return upsert_if_changed(
+        stamped(stored, _ts("2024-01-31 06:00:00"), "create_ts", "update_ts"),
+        stamped(staged, _ts("2024-02-01 06:00:00"), "create_ts", "update_ts"),
+        schemas.GOLD_DAILY.keys,
+        TOTALS,
+        literal=literal,
+        drop_vanished=True,
+    )
+
+
+def gold_daily_upsert_moved_bank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _moved_bank(spark, sf_dir, literal=False)
+
+
+def gold_daily_upsert_moved_bank_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _moved_bank(spark, sf_dir, literal=True)
+
+
 def gold_monthly_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_by_customer(dated(visits_long(spark, sf_dir)), ALL_MONTHS)
 
@@ -281,6 +314,7 @@ _BATCH = (
     silver_customers_staged_updates,
     changed_current_customers,
     changed_current_customers_literal,
+    scd2_multi_version_batch,
     dedupe_earliest_visits,
     dedupe_latest_visits,
     visits_in_day_window,
@@ -294,6 +328,8 @@ _BATCH = (
     gold_daily_by_bank_default_window,
     gold_daily_upsert,
     gold_daily_upsert_literal,
+    gold_daily_upsert_moved_bank,
+    gold_daily_upsert_moved_bank_literal,
     gold_monthly_by_customer,
     gold_monthly_by_customer_literal,
     gold_monthly_upsert,

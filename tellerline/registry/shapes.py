@@ -79,6 +79,21 @@ def locations(spark: SparkSession, sf_dir: str, factor: int = 1) -> DataFrame:
     )
 
 
+def customer_deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Three deliveries of every customer: some change and change back, some change once, some never."""
+    rows = customers(spark, sf_dir)
+    third_part = F.col("customer_id") % 3
+    second = rows.withColumn("first_name", F.when(third_part == 0, F.col("first_name")).otherwise(F.lit("MOVED")))
+    third = rows.withColumn("first_name", F.when(third_part == 1, F.lit("MOVED")).otherwise(F.col("first_name")))
+    return [rows, second, third]
+
+
+def moved_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ATMs after some banks have given theirs away."""
+    bank = F.when(F.col("city_state_zip.zip").cast("int") < 5, F.lit("MERGED")).otherwise(F.col("bank"))
+    return locations(spark, sf_dir).withColumn("bank", bank)
+
+
 def customers(spark: SparkSession, sf_dir: str, factor: int = 1) -> DataFrame:
     """Card and last name follow from the id, so between two feeds only
     ``first_name`` and ``preferred`` (sometimes NULL) tell whether a row changed.

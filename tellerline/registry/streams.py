@@ -5,6 +5,8 @@ the real jobs; the result must equal the batch result over the same rows.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +14,11 @@ from pyspark.sql import functions as F
 from tellerline import schemas
 from tellerline.params import DayWindow, JobConfig, MonthWindow
 from tellerline.plans import run_daily, run_monthly
-from tellerline.registry.shapes import FIRST_FEED, SECOND_FEED, customers, locations, visits
+from tellerline.registry.shapes import FIRST_FEED, SECOND_FEED, customer_deliveries, customers, locations, visits
 from tellerline.session import scratch_dir
-from tellerline.sources import history, read_table
+from tellerline.sources import create_layer_tables, history, read_table
 from tellerline.streaming import run_customers, run_locations, run_stage_to_bronze, run_visits
+from tellerline.streaming.bronze import quarantine_path
 
 FIRST_DAY = dt.datetime(2024, 1, 1, 12)
 SECOND_DAY = dt.datetime(2024, 2, 1, 12)
@@ -80,6 +83,45 @@ def stream_silver_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, config, schemas.SILVER_CUSTOMERS).drop("load_ts", "update_ts")
 
 
+def stream_silver_customers_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries waiting in bronze, merged file by file."""
+    config = replace(_config(spark, "customer-versions"), max_bronze_files_per_trigger=1)
+    for rows in customer_deliveries(spark, sf_dir):
+        _deliver(spark, config, "atm_customers", rows)
+    run_customers(spark, config, SECOND_DAY)
+    return read_table(spark, config, schemas.SILVER_CUSTOMERS).select("customer_id", "first_name", "current")
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged locations, each beside a line that does not parse: the lines that were split off."""
+    config = _config(spark, "quarantine")
+    rows = locations(spark, sf_dir)
+    good = rows.select(F.to_json(F.struct("*")).alias("value"))
+    broken = rows.select(F.concat(F.lit('{"atm_id": broken '), "atm_id").alias("value"))
+    good.unionByName(broken).write.text(f"{config.stage_root}/atm_locations")
+    run_stage_to_bronze(spark, config, "atm_locations", quarantine=True)
+    kept = read_table(spark, config, schemas.BRONZE_LOCATIONS).select("atm_id", F.lit(None).cast("string").alias("line"))
+    rejected = spark.read.parquet(quarantine_path(config, "atm_locations"))
+    return kept.unionByName(rejected.select("atm_id", F.col(schemas.CORRUPT_COLUMN).alias("line")))
+
+
+def catalog_daily_by_bank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored daily summary and its sources, by their names in the catalog."""
+    mark = uuid.uuid4().hex[:12]
+    names = {f"{layer}_schema": f"{layer}_{mark}" for layer in ("bronze", "silver", "gold")}
+    config = replace(_config(spark, "catalog"), **names)
+    for layer in ("silver", "gold"):
+        create_layer_tables(spark, config, layer)
+    _load_silver(spark, sf_dir, config)
+    run_daily(spark, config, DayWindow.resolve("20240130", 29), SECOND_DAY)
+    return spark.sql(
+        f"""SELECT s.transaction_dt, s.bank, s.total_withdrawls, s.total_deposits,
+                   (SELECT COUNT(*) FROM {config.silver_schema}.atm_visits) AS visits,
+                   (SELECT COUNT(*) FROM {config.silver_schema}.atm_locations) AS atms
+            FROM {config.gold_schema}.daily_transaction_summary_by_bank s"""
+    )
+
+
 def stream_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the run log says the customer job did."""
     config = _customer_history(spark, sf_dir, "run-log")
@@ -89,7 +131,10 @@ def stream_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _silver_for_gold(spark: SparkSession, sf_dir: str, name: str) -> JobConfig:
-    config = _config(spark, name)
+    return _load_silver(spark, sf_dir, _config(spark, name))
+
+
+def _load_silver(spark: SparkSession, sf_dir: str, config: JobConfig) -> JobConfig:
     _deliver(spark, config, "atm_visits", visits(spark, sf_dir))
     _deliver(spark, config, "atm_locations", locations(spark, sf_dir))
     run_visits(spark, config, SECOND_DAY)
@@ -114,6 +159,9 @@ STREAMS = (
     stream_silver_visits,
     stream_silver_locations,
     stream_silver_customers,
+    stream_silver_customers_versions,
+    stream_quarantine,
+    catalog_daily_by_bank,
     stream_run_log,
     stream_end_to_end_daily,
     stream_end_to_end_monthly,
