@@ -11,10 +11,10 @@ from tellerline.llm.common import durable
 def components(links: DataFrame) -> DataFrame:
     """``node``, ``root`` for every node in ``links(a, b)``; nodes of one component share one root.
 
-    Each round points every node at its smallest neighbour, follows the pointer once
-    more, and renames the links' ends; links within a root vanish. Links shrink from
-    round to round and stay in tables: nothing but "is a link left?" reaches the
-    driver. A node with very many links is only ever a grouping key with partial
+    Each round points every node at its smallest neighbour, follows the pointers to
+    their tops, and renames the links' ends; links within a root vanish. Links shrink
+    from round to round and stay in tables: nothing but "is a link left?" and "did a
+    pointer move?" reaches the driver. A node with very many links is only ever a grouping key with partial
     minima or the many-rows side of a join, which adaptive execution splits.
     Links with a null end are ignored.
     """
@@ -23,9 +23,7 @@ def components(links: DataFrame) -> DataFrame:
     roots = None
     while not both.isEmpty():
         nearest = both.groupBy("a").agg(F.min("b").alias("b"))
-        step = durable(nearest.select(F.col("a").alias("node"), F.least("a", "b").alias("up")))
-        further = step.select(F.col("node").alias("up"), F.col("up").alias("top"))
-        parent = durable(step.join(further, "up", "left").select("node", F.coalesce("top", "up").alias("root")))
+        parent = _tops(durable(nearest.select(F.col("a").alias("node"), F.least("a", "b").alias("root"))))
         moved = parent.select(F.col("node").alias("root"), F.col("root").alias("next"))
         if roots is None:
             roots = parent
@@ -38,3 +36,14 @@ def components(links: DataFrame) -> DataFrame:
     if roots is None:
         return both.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots
+
+
+def _tops(parent: DataFrame) -> DataFrame:
+    """Each node with the top of its chain of pointers; every step doubles how far pointers reach."""
+    while True:
+        further = parent.select(F.col("node").alias("root"), F.col("root").alias("top"))
+        step = parent.join(further, "root", "left").select("node", F.coalesce("top", "root").alias("top"), "root")
+        step = durable(step)
+        parent = step.select("node", F.col("top").alias("root"))
+        if step.where("top <> root").isEmpty():
+            return parent
