@@ -29,7 +29,13 @@ BATCH = (
     "dedupe_latest_visits",
     "visits_with_bank",
 )
-STREAMING = ("stream_silver_visits", "stream_silver_customers", "stream_end_to_end_daily")
+STREAMING = (
+    "stream_stage_to_bronze",
+    "stream_silver_visits",
+    "stream_silver_locations",
+    "stream_silver_customers",
+    "stream_end_to_end_daily",
+)
 
 
 def timed(query, spark, sf_dir: str) -> float:
