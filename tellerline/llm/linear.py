@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tellerline.llm.common import blocks, fold_of, text_bytes
 
 #: Bounds of what a classifier learns from; scoring has no bound.
-TRAIN_ROWS = 8_000
+TRAIN_ROWS = 6_000
 TRAIN_BYTES = 1 << 16
 
 #: (bytes, bounds) of a block -> (position of the row in the block, slot) of each feature it has, repeats included.
@@ -95,7 +95,7 @@ def ftrl(
         lead = (beta + np.sqrt(n[at])) / alpha + l2
         return np.where(np.abs(dual) <= l1, 0.0, (np.sign(dual) * l1 - dual) / lead)
 
-    inputs = [(np.append(at, slots), np.append(scale * x, 1.0)) for at, x in rows]
+    inputs = [(np.append(at, np.int32(slots)), np.append(np.float32(scale) * x, np.float32(1))) for at, x in rows]
     for _ in range(passes):
         for (at, x), label in zip(inputs, y, strict=True):
             w = weights(at)

@@ -35,7 +35,9 @@ SEED = 42
 BITS = 64
 STEP_BITS = 8
 #: Variants that one group may write out at once.
-GROUP_VARIANTS = 4_000_000
+GROUP_VARIANTS = 3_000_000
+#: Variants looked up at once.
+CHUNK = 1 << 18
 #: Shingles hashed at once; a longer text is hashed in several rounds.
 ROUND = 1 << 16
 
@@ -117,27 +119,30 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[child], nodes[label[child]]
 
 
+def folded(values: np.ndarray) -> np.ndarray:
+    """20 bits of each value."""
+    return ((values ^ (values >> np.uint64(23)) ^ (values >> np.uint64(44))) & np.uint64((1 << 20) - 1)).astype(np.int64)
+
+
 def collide(fps: np.ndarray, left: np.ndarray, rest: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links between the fingerprints of one group that have a variant in common."""
-    variants, owners = [], []
     open_bits = np.uint64((1 << rest) - 1)  # the group's prefix is common to its variants
-    for flips in range(radius + 1):
-        own = fps[left == flips]
-        if len(own):
-            spread = masks(flips, rest)
-            variants.append(((own & open_bits)[:, None] ^ spread[None, :]).ravel())
-            owners.append(np.repeat(own, len(spread)))
-    variants, owners = np.concatenate(variants), np.concatenate(owners)
+    parts = [(fps[left == flips], masks(flips, rest)) for flips in range(radius + 1)]
+    variants = np.concatenate([((own & open_bits)[:, None] ^ spread[None, :]).ravel() for own, spread in parts])
     ordered = np.sort(variants)
     shared = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    del ordered
     if not len(shared):
         return shared, shared
     marked = np.zeros(1 << 20, bool)
-    low = np.uint64((1 << 20) - 1)
-    fold = lambda v: ((v ^ (v >> np.uint64(23)) ^ (v >> np.uint64(44))) & low).astype(np.int64)
-    marked[fold(shared)] = True
-    near = marked[fold(variants)]
-    variants, owners = variants[near], owners[near]
+    marked[folded(shared)] = True
+    near = np.concatenate([at + np.flatnonzero(marked[folded(variants[at : at + CHUNK])]) for at in range(0, len(variants), CHUNK)])
+    variants = variants[near]
+    ends = np.cumsum([len(own) * len(spread) for own, spread in parts])
+    owners = np.empty(len(near), np.uint64)
+    for (own, spread), end in zip(parts, ends, strict=True):
+        mine = (near < end) & (near >= end - len(own) * len(spread))
+        owners[mine] = own[(near[mine] - (end - len(own) * len(spread))) // len(spread)]
     at = np.minimum(np.searchsorted(shared, variants), len(shared) - 1)
     hit = shared[at] == variants
     at, owners = at[hit], owners[hit]
@@ -179,10 +184,11 @@ def links(fps: DataFrame, distance: int) -> DataFrame:
             part, hot = rows.join(first, "prefix").where("fp <> b").select(F.col("fp").alias("a"), "b"), None
         else:
             weights = [F.when(F.col("left") == k, F.lit(weight_of(k, BITS - depth))) for k in range(radius + 1)]
-            crowded = rows.groupBy("prefix").agg(F.sum(F.coalesce(*weights)).alias("n")).where(F.col("n") > GROUP_VARIANTS)
-            hot = durable(crowded.select("prefix"))
-            calm = rows.join(hot, "prefix", "left_anti")
-            part = calm.groupBy("prefix").applyInArrow(leaf(depth), LINKS)
+            sizes = rows.groupBy("prefix").agg(F.sum(F.coalesce(*weights)).alias("n"), F.count(F.lit(1)).alias("rows"))
+            # Where one fingerprint is alone nothing can collide.
+            sizes = durable(sizes.where("rows > 1"))
+            calm, hot = (sizes.where(test).select("prefix") for test in (F.col("n") <= GROUP_VARIANTS, F.col("n") > GROUP_VARIANTS))
+            part = rows.join(calm, "prefix", "left_semi").groupBy("prefix").applyInArrow(leaf(depth), LINKS)
         found = part if found is None else found.union(part)
         if hot is None or hot.isEmpty():
             return found.distinct()

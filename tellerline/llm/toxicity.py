@@ -26,7 +26,7 @@ THRESHOLD = 0.5
 SENTENCE_THRESHOLD = 0.5
 #: Word beginnings of so many bytes are features beside whole words.
 PREFIXES = (3, 4, 5, 6)
-TRAIN_ROWS = 6_000
+TRAIN_ROWS = 5_000
 BIAS = -5.0
 
 ENDS = np.zeros(256, bool)
@@ -96,7 +96,8 @@ def learn(texts: pa.Array, y: np.ndarray, alpha: float = 3.0, beta: float = 1.0,
         first = np.searchsorted(opens, edges)  # the first sentence of each row
         cut = np.searchsorted(at, first)
         for k in range(len(rows)):
-            bags.append((np.unique(slot[cut[k] : cut[k + 1]], return_inverse=True), (at[cut[k] : cut[k + 1]] - first[k]).astype(np.int32), int(first[k + 1] - first[k])))
+            distinct, back = np.unique(slot[cut[k] : cut[k + 1]], return_inverse=True)
+            bags.append(((distinct, back.astype(np.int32)), (at[cut[k] : cut[k + 1]] - first[k]).astype(np.int32), int(first[k + 1] - first[k])))
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
     z[-1] = -BIAS * (beta / alpha + l2)
     free = np.full((1 << BITS) + 1, l1)

@@ -20,7 +20,7 @@ from tellerline.llm.hashing import KIND, Spans
 
 #: Words whose ids are remembered (a power of two), and ids that are held for them.
 MEMORY_BITS = 20
-STORE = 1 << 24
+STORE = 1 << 23
 #: Longer words are left to the library.
 LONGEST = 64
 RULES = {
