@@ -36,6 +36,7 @@ WHITE = b"\t\n\x0b\x0c\r "
 NOT_COUNTED = WHITE + bytes(range(0x80, 0xC0))
 AGAIN = mixed(np.array([PAIR + np.uint64(1)], np.uint64))[0]
 
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 RESULT = "struct<n_words: long, word_chars: long, n_symbols: long, n_dup_lines: long, n_repeat_words: long, probability: double>"
 
 
@@ -137,8 +138,7 @@ def judge_udf(model: Calibrated):
             data, bounds = text_bytes(texts)
             found = [counts(data[s:e].tobytes()) for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
             columns = np.array(found, np.int64).reshape(-1, 5).T
-            names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-            yield pa.StructArray.from_arrays([*map(pa.array, columns), pa.array(model.probabilities(texts))], [*names, "probability"])
+            yield pa.StructArray.from_arrays([*map(pa.array, columns), pa.array(model.probabilities(texts))], [*COUNTS, "probability"])
 
     return judge
 
@@ -152,4 +152,5 @@ def judged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
     """
     out = docs.select("doc_id", judge_udf(fit(docs, labels))(F.col("text")).alias("j")).select("doc_id", "j.*")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    return out.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("probability") >= threshold))
+    kept = (~failed & (F.col("probability") >= threshold)).alias("kept")
+    return out.select("doc_id", *COUNTS, failed.alias("base_failed"), kept, "probability")
