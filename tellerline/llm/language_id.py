@@ -24,6 +24,7 @@ from tellerline.llm.common import blocks, fold_of, text_bytes
 FOLDS, HELD_OUT = 4, 2
 #: What is learned from: texts per language, bytes of a text, bytes of a dictionary.
 TRAIN_TEXTS = 400
+CELLS = 64
 TRAIN_BYTES = 1 << 14
 DICTIONARY_BYTES = 1 << 18
 #: Bytes that are compressed at once: few, so that the dictionary matters more than the text before.
@@ -65,16 +66,23 @@ def fit(docs: DataFrame) -> Languages:
     """Dictionaries of bounded samples: per language the texts of smallest id hash outside the held-out fold.
 
     Each language's texts are joined, in that order, up to the dictionary's size. Null
-    or empty texts, null languages and texts over ``TRAIN_BYTES`` teach nothing; a null id
-    counts as empty text.
+    or empty texts, null ids and languages and texts over ``TRAIN_BYTES`` teach nothing. Of several
+    texts of an id and language the smallest counts.
     """
-    rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & (fold_of(F.col("doc_id"), FOLDS) != HELD_OUT))
-    rows = rows.where(F.octet_length("text").between(1, TRAIN_BYTES))
+    taught = F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id"), FOLDS) != HELD_OUT)
+    rows = docs.select("doc_id", "text", "lang").where(taught & F.octet_length("text").between(1, TRAIN_BYTES))
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    order = [F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")]
-    ranked = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    # First within cells, so that no task sees more than a bounded part of a language; ids alone are moved.
+    ranked = rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("place")).withColumn("cell", F.pmod("place", F.lit(CELLS)))
+    for groups in (("lang", "cell"), ("lang",)):
+        along = Window.partitionBy(*groups).orderBy("place", "doc_id")
+        ranked = ranked.withColumn("n", F.row_number().over(along)).where(F.col("n") <= TRAIN_TEXTS)
+    chosen = ranked.groupBy("lang", "doc_id").agg(F.min("n").alias("n"))
+    # No more rows than that are chosen; said so, Spark knows them to be few and leaves the texts where they are.
+    chosen = chosen.limit(TRAIN_TEXTS * max(1, len(counts)))
+    texts = rows.join(chosen, ["lang", "doc_id"]).groupBy("lang", "n").agg(F.min("text").alias("text"))
     sample: dict[str, list[tuple[int, str]]] = {}
-    for row in ranked.where(F.col("n") <= TRAIN_TEXTS).select("lang", "n", "text").toLocalIterator():
+    for row in texts.toLocalIterator():
         sample.setdefault(row["lang"], []).append((row["n"], row["text"]))
     names = sorted(sample, key=lambda name: (-counts[name], name))
     return Languages(names, [b"\n".join(folded(t) for _, t in sorted(sample[n]))[:DICTIONARY_BYTES] for n in names])
@@ -88,7 +96,7 @@ def sizes(texts: pa.Array, compressors: list[zstandard.ZstdCompressor]) -> np.nd
         for row, start, end in zip(rows.tolist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             if end > start:
                 raw = folded(block[start:end].tobytes().decode())
-                total[row] += [len(c.compress(raw)) for c in compressors]
+                total[row] += np.array([len(c.compress(raw)) for c in compressors], np.int64)
     return total
 
 
