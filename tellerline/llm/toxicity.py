@@ -3,6 +3,10 @@
 Sentence probabilities come from a linear model over hashed words and word
 beginnings. They are combined by noisy-or, and only the documents' labels teach
 the model; the sentences that make a document toxic are then found by their own scores.
+
+Every clean sentence leaves a little probability, which over thousands of them adds up to
+any score. So in scoring only sentences that offend by themselves are combined; a
+document without one has the probability of its strongest sentence, however long it is.
 """
 
 from __future__ import annotations
@@ -128,7 +132,8 @@ def learn(texts: pa.Array, y: np.ndarray, alpha: float = 3.0, beta: float = 1.0,
 def judged(texts: pa.Array, model: SentenceModel, sentence_threshold: float) -> tuple[np.ndarray, pa.Array]:
     """Document scores, and byte spans with scores of the sentences at or over the threshold."""
     data, bounds = text_bytes(texts)
-    clean = np.zeros(len(texts))  # log of the probability that no sentence offends
+    clean = np.zeros(len(texts))  # log of the probability that none of the offending sentences does
+    strongest = np.full(len(texts), -np.inf)  # margin
     spans: list[tuple[np.ndarray, ...]] = []
     for block, edges, rows, base in blocks(data, bounds):
         opens, at, slot = sentence_features(block, edges)
@@ -136,14 +141,16 @@ def judged(texts: pa.Array, model: SentenceModel, sentence_threshold: float) ->
         margin = model.sentence_margins(at, slot, len(opens))
         has = np.bincount(at, minlength=len(opens)) > 0  # a sentence without a word says nothing
         row = rows[np.searchsorted(edges, opens, side="right") - 1]
-        clean -= np.bincount(row[has], np.logaddexp(0, margin[has]), len(texts))
+        np.maximum.at(strongest, row[has], margin[has])
         bad = has & (sigmoid(margin) >= sentence_threshold)
+        clean -= np.bincount(row[bad], np.logaddexp(0, margin[bad]), len(texts))
         origin = base - bounds[row[bad]]
         spans.append((row[bad], opens[bad] + origin, ends[bad] + origin, sigmoid(margin[bad])))
-    row, start, end, score = (np.concatenate(x) for x in zip(*spans, strict=True)) if spans else [np.zeros(0)] * 4
-    fields = pa.StructArray.from_arrays([pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(score, pa.float64())], ["start", "end", "score"])
+    row, start, end, own = (np.concatenate(x) for x in zip(*spans, strict=True)) if spans else [np.zeros(0)] * 4
+    fields = pa.StructArray.from_arrays([pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(own, pa.float64())], ["start", "end", "score"])
     offsets = np.searchsorted(row, np.arange(len(texts) + 1))
-    return -np.expm1(clean), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), fields)
+    score = np.where(clean < 0, -np.expm1(clean), sigmoid(strongest))
+    return score, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), fields)
 
 
 def judge_udf(model: SentenceModel, sentence_threshold: float = SENTENCE_THRESHOLD):
@@ -162,7 +169,8 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
     """``docs`` with ``score``, ``predicted`` and ``offending`` in place of any such columns.
 
     ``offending`` lists the sentences (byte spans) that are themselves at or over
-    the sentence threshold. Null texts and texts without words score 0. Without
+    the sentence threshold; ``score`` is their noisy-or, or else the probability of the
+    strongest sentence, so that it does not rise with the length of a clean text. Null texts and texts without words score 0. Without
     labelled documents the model is its starting bias. Rows are neither dropped nor merged.
     """
     model = fit(docs, labels)

@@ -135,6 +135,26 @@ def test_noisy_or_and_spans():
     assert spans[4].as_py() == spans[0].as_py() and spans[1].as_py() == []
 
 
+def test_long_clean_texts_stay_clean(tables):
+    """Texts of 0.5 to 2 MB out of labelled clean documents; one toxic document among them is still found."""
+    docs, labels = tables
+    model = toxicity.fit(docs, labels)
+    rows = docs.join(labels, "doc_id").where("toxic in (0, 1) and text is not null").select("text", "toxic").orderBy("doc_id").collect()
+    score, _ = toxicity.judged(pa.array([r.text for r in rows]), model, 0.5)
+    clean = [r.text for r, s in zip(rows, score) if r.toxic == 0 and s < 0.5]
+    toxic = [r.text for r, s in zip(rows, score) if r.toxic == 1 and s >= 0.5]
+    assert len(clean) >= 0.98 * sum(r.toxic == 0 for r in rows) and len(toxic) > 10
+    rng = random.Random(2)
+    for size in (500_000, 1_000_000, 2_000_000):
+        parts = []
+        while sum(map(len, parts)) < size:
+            parts.append(rng.choice(clean))
+        planted = [*parts[:9], rng.choice(toxic), *parts[9:]]
+        score, spans = toxicity.judged(pa.array(["\n".join(parts), "\n".join(planted)]), model, 0.5)
+        assert score[0] < 0.5 <= score[1]
+        assert not spans[0].as_py() and spans[1].as_py()
+
+
 def test_labels_of_documents_teach_which_sentence_offends():
     rng = random.Random(4)
     words = [f"{a}{b}" for a in ("ka", "lo", "mi", "tu") for b in ("ren", "sol", "vak", "zim")]
