@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from tellerline.llm.common import blocks, ragged, text_bytes
-from tellerline.llm.hashing import KIND, LOWER
 
 #: Characters of a window and between two windows' starts, and edits per character.
 WINDOW = 96
@@ -35,15 +34,29 @@ BLOCK_CHARS = 1 << 20
 FILTER_BITS = 21
 OUTSIDE = np.uint32(0xFFFFFFFF)
 
-#: Letters of ASCII in lower case, all white space a blank; every byte stays one byte.
-FOLD = LOWER.copy()
-FOLD[KIND == 0] = 32
-
 MULTIPLIER = 0x9E3779B97F4A7C15
 
 
+def folded(code: int) -> int:
+    """A character without its case, white space of any kind as a blank; every character stays one.
+
+    That is the lower case of the upper case, so that both forms of sigma are one too;
+    where a case has several characters (sharp s, dotted capital I) the first of the lower case.
+    """
+    char = chr(code)
+    if char.isspace():
+        return 32
+    upper = char.upper()
+    return ord((upper if len(upper) == 1 else char).lower()[0])
+
+
+#: By code point; none beyond these has a case or is white space.
+FOLD = np.array([code if 0xD800 <= code < 0xE000 else folded(code) for code in range(1 << 17)], np.uint32)
+
+
 def characters(data: np.ndarray) -> np.ndarray:
-    return np.frombuffer(FOLD[data].tobytes().decode().encode("utf-32-le"), "<u4")
+    chars = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4")
+    return np.where(chars < len(FOLD), FOLD[np.minimum(chars, len(FOLD) - 1)], chars)
 
 
 def q_grams(chars: np.ndarray) -> np.ndarray:
@@ -243,8 +256,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark item with a passage in common: ``doc_id, item_id, start, end, edits, windows``.
 
     A passage counts if it holds a window of an item (``WINDOW`` characters, every
-    ``STRIDE`` of the item; a shorter item whole) with at most ``RATE`` edits per character, ASCII
-    case and kinds of white space apart. So any stretch of ``WINDOW + STRIDE`` characters is
+    ``STRIDE`` of the item; a shorter item whole) with at most ``RATE`` edits per character, case
+    and kinds of white space apart in any script. So any stretch of ``WINDOW + STRIDE`` characters is
     found. ``start`` and ``end`` are the outermost characters of the matches in the document,
     ``edits`` the fewest of a window. Null and empty texts match nothing; equal rows and equal items are
     each reported; without items or documents there are no rows.

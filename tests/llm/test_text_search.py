@@ -116,6 +116,43 @@ def test_items_in_blocks_and_empty_tables(docs, spark, items, monkeypatch):
     assert decontaminate.contaminated(docs([]), benchmark).collect() == []
 
 
+def lowered(text):
+    """Lower case as ``str`` has it, both forms of sigma alike; white space a blank."""
+    return "".join(" " if c.isspace() else c for c in text.lower()).replace("ς", "σ")
+
+
+@pytest.mark.parametrize("letters", ["éüñöàçøaest", "абвгдежзик", "αβγδελμσς", "𐐨𐐩𐐪𐐫𐐬𐐭"])
+def test_case_is_folded_in_every_script(monkeypatch, letters):
+    monkeypatch.setattr(decontaminate, "WINDOW", 24)
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice(letters) for _ in range(rng.randrange(2, 7)))
+    items = [(i, " ".join(word() for _ in range(rng.randrange(5, 9)))) for i in range(6)]
+    texts = []
+    for k in range(30):
+        part = edited(rng, items[k % 6][1], rng.randrange(6))
+        texts.append(word() + " " + (part.upper(), part.title(), part)[k % 3].replace(" ", "\u00a0") + "\u3000" + word().upper())
+    texts = [t.replace("SS", "ß") for t in texts]  # the one letter whose capitals are two
+    found = decontaminate.leaks(pa.array(texts), decontaminate.probes(items, window=24, stride=8))
+    expected = brute([lowered(t) for t in texts], [(i, lowered(t)) for i, t in items])
+    assert set(zip(found["row"].tolist(), found["item"].tolist())) == expected and len(expected) >= 15
+
+
+def test_every_case_of_a_character_is_one():
+    fold = decontaminate.folded
+    for code in [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]:
+        char = chr(code)
+        assert code < 1 << 17 or (char == char.lower() == char.upper() and not char.isspace())
+        assert all(len(other) > 1 or fold(ord(other)) == fold(code) for other in (char.lower(), char.upper()))
+
+
+def test_items_in_capitals_are_found(docs, spark, items):
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated(docs([(k, "Before. " + t.upper() + " After.") for k, (_, t) in enumerate(items)]), benchmark)
+    pairs = {(r.doc_id, r.item_id): r.edits for r in found.collect()}
+    assert all(pairs.get((k, i)) == 0 for k, (i, t) in enumerate(items) if "ß" not in t)
+    assert all((k, i) in pairs for k, (i, _) in enumerate(items))
+
+
 # --- licenses -------------------------------------------------------------------
 
 
