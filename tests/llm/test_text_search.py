@@ -208,6 +208,23 @@ def test_every_license_line_of_the_table(spark):
     assert sorted((r.doc_id, r.license) for r in license_scan.scanned(source).collect()) == expected and expected
 
 
+def test_every_license_of_a_long_line_is_found(docs):
+    """Four notices and more in prose without line ends, near-twins among them."""
+    rng = random.Random(9)
+    names = list(license_scan.TEMPLATES)
+    rows, expected = [], []
+    for k in range(40):
+        chosen = rng.sample(names, 4 + k % 5)
+        parts = []
+        for name in chosen:
+            parts += [" ".join("".join(rng.choice("abdeinorst") for _ in range(rng.randrange(2, 8))) for _ in range(12)) + "."]
+            parts += [license_scan.TEMPLATES[name][0]]
+        rows.append((k, " ".join(parts)))
+        expected += [(k, name) for name in chosen]
+    found = {(r.doc_id, r.license) for r in license_scan.scanned(docs(rows)).collect()}
+    assert found == set(expected)
+
+
 # --- languages ------------------------------------------------------------------
 
 
