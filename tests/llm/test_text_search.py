@@ -1,6 +1,7 @@
 """Decontamination, license scan and language ID."""
 
 import random
+import textwrap
 
 import numpy as np
 import pyarrow as pa
@@ -225,6 +226,41 @@ def test_every_license_of_a_long_line_is_found(docs):
     assert found == set(expected)
 
 
+def wrapped(rng, text, mark, width):
+    return "\n".join(f"{mark}{line}" for line in textwrap.wrap(text, width))
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "// ", "# ", "    ", "dnl ", "REM "])
+def test_notices_that_wrap_over_lines(docs, mark):
+    """Every template at every customary width, twice in a text, with lines before and after."""
+    rng = random.Random(13)
+    rows, expected = [], []
+    for name, texts in license_scan.TEMPLATES.items():
+        for text in texts:
+            for width in (24, 40, 60, 72):
+                notice = wrapped(rng, text, mark, width)
+                k = len(rows)
+                rows.append((k, f"{mark}Copyright someone.\n{notice}\n{mark}Other words of the text.\n" + "plain words\n" * 60 + notice))
+                expected += [(k, name)] * 2
+    found = license_scan.scanned(docs(rows)).collect()
+    assert sorted((r.doc_id, r.license) for r in found) == sorted(expected)
+    text = dict(rows)
+    assert all(r.differences == [] and r.saved > 0 for r in found)
+    for r in found:
+        words = license_scan.WORD.findall(license_scan.WORD_MARK.sub("", text[r.doc_id][r.start : r.end]).lower())
+        assert words == license_scan.WORD.findall(license_scan.TEMPLATES[r.license][r.template].lower())
+
+
+def test_customary_headers(docs):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the"
+    bsd = "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions\n# are met:"
+    gpl = " * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version."
+    two = gpl.replace("3", "2")
+    rows = [(1, mit), (2, bsd), (3, gpl), (4, two), (5, "x\n" * 4000 + mit + "\n" + bsd + "\ny" * 4000)]
+    found = license_scan.scanned(docs(rows)).collect()
+    assert sorted((r.doc_id, r.license) for r in found) == [(1, "mit"), (2, "bsd"), (3, "gpl-3.0"), (5, "bsd"), (5, "mit")]
+
+
 # --- languages ------------------------------------------------------------------
 
 
