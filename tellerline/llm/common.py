@@ -91,6 +91,10 @@ SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
 
 
+#: Bytes of a block, about.
+BLOCK = 1 << 19
+
+
 def pieces(data: np.ndarray, bounds: np.ndarray, limit: int, overlap: int = 0) -> Iterator[tuple[int, int, int]]:
     """(row, start, end) for each row; rows over ``limit`` bytes come in pieces cut after white space.
 
@@ -116,7 +120,7 @@ def character(data: np.ndarray, at: int) -> int:
     return at
 
 
-def blocks(data: np.ndarray, bounds: np.ndarray, limit: int = 1 << 19, overlap: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+def blocks(data: np.ndarray, bounds: np.ndarray, limit: int = BLOCK, overlap: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
     """Runs of rows as (bytes, bounds, rows, place of the first byte in ``data``), of about ``limit`` bytes each.
 
     Memory that works on a block is bounded however long a text is: a row longer

@@ -3,7 +3,8 @@
 Written for vocabularies that drop white space, lower-case, part letters, single
 digits and other signs, and merge bytes within such a part; texts are then the
 sum of their words. Ids are those of the ``tokenizers`` library, which handles every
-word beyond the plain Latin ones itself, and whole texts under any other vocabulary.
+word beyond the plain Latin ones itself, and whole texts under any other vocabulary
+or with a word over 512 KB.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from tellerline.llm.common import SPACES, blocks, ragged, text_bytes
+from tellerline.llm.common import BLOCK, SPACES, blocks, ragged, text_bytes
 from tellerline.llm.hashing import KIND, Spans
 
 #: Words whose ids are remembered (a power of two), and ids that are held for them.
@@ -211,6 +212,26 @@ class Encoder:
                 yield np.array(self.tokenizer.encode(text.as_py() or "", add_special_tokens=False).ids, np.uint32)
             return
         data, bounds = text_bytes(texts)
+        at = 0
+        for row in [*self._unparted(data, bounds), len(texts)]:
+            if row > at:
+                yield from self._by_block(data, bounds[at : row + 1])
+            if row < len(texts):
+                yield self._by_library(data, bounds[row : row + 2])[0]
+            at = row + 1
+
+    @staticmethod
+    def _unparted(data: np.ndarray, bounds: np.ndarray) -> list[int]:
+        """Rows with a word so long that blocks would cut it; the library gets them whole."""
+        out = []
+        for row in np.flatnonzero(np.diff(bounds) >= BLOCK).tolist():
+            blanks = np.flatnonzero(SPACES[data[bounds[row] : bounds[row + 1]]])
+            words = np.diff(np.concatenate([[-1], blanks, [bounds[row + 1] - bounds[row]]])) - 1
+            if words.max() >= BLOCK:
+                out.append(row)
+        return out
+
+    def _by_block(self, data: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
         parts, current = [], 0
         for block, edges, rows, _ in blocks(data, bounds):
             if self.used > STORE // 2:

@@ -32,6 +32,18 @@ def test_ids_are_the_librarys():
     assert [f.tolist() for f in found] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+def test_ids_of_words_longer_than_a_block():
+    rng = random.Random(2)
+    signs = "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123)])) + "+/"
+    minified = "".join(rng.choice(signs) for _ in range(700_000))
+    chinese = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(300_000))
+    texts = ["before", minified, None, "a few words " + chinese + " after", "", "letters" * 120_000, "plain words " * 60_000, "last"]
+    library = Tokenizer.from_file(PATH)
+    found = list(word_bpe.Encoder(PATH).encode(pa.array(texts)))
+    assert [len(f) for f in found] == [len(library.encode(t or "", add_special_tokens=False).ids) for t in texts]
+    assert [f.tolist() for f in found] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 def test_ids_do_not_depend_on_memory_or_block(monkeypatch):
     texts = [" ".join(f"wort{i * 7919 % 997}x{i}" for i in range(n)) for n in (3, 4000, 0, 900)]
     library = Tokenizer.from_file(PATH)
