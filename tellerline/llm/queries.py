@@ -114,13 +114,15 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scanned(table(spark, sf_dir, "documents"))
-    base = F.filter("secrets", lambda s: s["kind"].isin(*secret_scan.BASE_KINDS))
-    counts = [F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secret_scan.BASE_KINDS]
+
+    def of(*kinds: str) -> Column:
+        return F.filter("secrets", lambda s: s["kind"].isin(*kinds))
 
     def listed(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("secrets")).alias("spans"))
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in secret_scan.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed(of(*secret_scan.BASE_KINDS)), 256).alias("base_sha256"), listed(F.col("secrets")).alias("spans"))
 
 
 #: The other queries train models, run a tokenizer or search by similarity; tests/llm holds them against brute force.
