@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellerline.llm import (
+    conversation_repair,
     decontaminate,
     language_id,
     license_scan,
@@ -111,6 +112,17 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@registered
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repair = conversation_repair.repaired(conversation_repair.damaged(rows))
+    every = rows.select("conv_id").distinct()
+    known = conversation_repair.together(every, repair.conversations, conversation_repair.digests(repair.rows))
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    digest = F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    return known.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), digest)
+
+
 @registered
 def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scanned(table(spark, sf_dir, "documents"))
