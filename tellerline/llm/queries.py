@@ -15,6 +15,7 @@ from tellerline.llm import (
     language_id,
     license_scan,
     packing,
+    phrase_mining,
     quality_classifier,
     quality_rules,
     secret_scan,
@@ -123,6 +124,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), digest)
 
 
+@registered
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.collocations(table(spark, sf_dir, "documents"))
+
+
 @registered
 def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scanned(table(spark, sf_dir, "documents"))
@@ -169,4 +175,44 @@ ORACLES: dict[str, str] = {
             END AS verdict
         FROM ruled
     """,
+    "op12_phrase_mining": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), worded AS (
+            SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces
+        ), phrases AS (
+            SELECT lang, 1 AS size, unnest(w) AS phrase FROM worded
+            UNION ALL
+            SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM worded
+            UNION ALL
+            SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM worded
+        ), counts AS (
+            SELECT lang, size, phrase, count(*) AS f FROM phrases GROUP BY lang, size, phrase
+        ), totals AS (
+            SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang
+        ), candidates AS (
+            SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE size > 1 AND f >= 10
+        ), inner_pairs AS (
+            SELECT lang, w[1] || ' ' || w[2] AS phrase, a FROM candidates WHERE size = 3
+            UNION ALL SELECT lang, w[2] || ' ' || w[3], a FROM candidates WHERE size = 3
+        ), kept AS (
+            SELECT * FROM candidates c WHERE NOT EXISTS (
+                SELECT 1 FROM inner_pairs i WHERE i.lang = c.lang AND i.phrase = c.phrase AND 100 * i.a >= 50 * c.a)
+        ), cuts AS (
+            SELECT lang, phrase, a, w, unnest(range(1, size)) AS k FROM kept
+        ), parted AS (
+            SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r,
+                CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+            FROM cuts c
+            JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(w[:k], ' ')
+            JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')
+        ), best AS (
+            SELECT * FROM parted QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best
+        )
+        SELECT r.lang, rank, phrase, a, l, r, n, score FROM ranked r JOIN totals t ON t.lang = r.lang WHERE rank <= 2000
+    """,
 }
