@@ -19,9 +19,11 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.window import Window
 
 from tellerline.llm.common import durable, text_bytes
+from tellerline.llm.hashing import Spans, mixed, pairs as paired
 
 #: Occurrences that make a phrase a candidate, and words of the longest phrase.
 SUPPORT = 10
@@ -29,7 +31,7 @@ WORDS = 3
 #: One in so many documents proposes phrases, those that occur there at least so often.
 SAMPLE_SHARE, SAMPLE_SUPPORT = 16, 2
 #: Bits of a table per entry, and of the largest table (8 MB): beyond its size tables only admit more.
-BITS_PER_ENTRY, MOST_BITS = 16, 1 << 26
+BITS_PER_ENTRY, MOST_BITS = 32, 1 << 26
 #: Bytes of text that a task works on at once.
 BLOCK = 1 << 22
 #: Parts over which a frequent word is dealt when candidates look up its count.
@@ -60,11 +62,36 @@ class Bits:
         return (self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
+def word_hashes(words: pa.Array, lang: np.ndarray, names: list[str]) -> np.ndarray:
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    data, bounds = text_bytes(words)
+    seeds = np.array([xxhash.xxh64_intdigest(n) for n in names], np.uint64)
+    return mixed(Spans(data[: bounds[-1]], lower=False).of(bounds[:-1], bounds[1:]) ^ seeds[lang])
+
+
+def phrase_hashes(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Of phrases of one or two words and their languages: what tasks make of the words where they count."""
+    for lang, phrase in batches:
+        coded, words = lang.dictionary_encode(), pc.split_pattern(phrase, " ")
+        first = np.asarray(words.offsets)[:-1]
+        row = np.repeat(np.arange(len(phrase)), np.diff(np.asarray(words.offsets)))
+        own = word_hashes(words.flatten(), coded.indices.to_numpy()[row], coded.dictionary.to_pylist())
+        hashes = own[first]
+        two = np.flatnonzero(np.diff(np.asarray(words.offsets)) == 2)
+        hashes[two] = pair_hashes(own[first[two]], own[first[two] + 1])
+        yield pa.array(hashes.view(np.int64))
+
+
+def pair_hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return paired(np.stack([a, b], axis=1).ravel())[::2] if len(a) else a
+
+
 def bits_of(phrases: DataFrame) -> Bits:
     """The table of ``phrases(lang, phrase)``; the driver is sent its words that are not 0, at most 8 MB of them."""
     entries = max(1, phrases.count())
     bits = min(MOST_BITS, max(1 << 12, 1 << (entries * BITS_PER_ENTRY - 1).bit_length()))
-    place = F.xxhash64("lang", "phrase").bitwiseAND(F.lit(bits - 1).cast("long"))
+    place = arrow_udf(phrase_hashes, "long")("lang", "phrase").bitwiseAND(F.lit(bits - 1).cast("long"))
     placed = phrases.select(place.alias("place"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(F.lit(63).cast("long")).cast("int"))
     found = placed.groupBy(F.shiftright("place", 6).alias("at")).agg(F.bit_or(bit).alias("word")).toArrow()
@@ -73,12 +100,6 @@ def bits_of(phrases: DataFrame) -> Bits:
     return Bits(words)
 
 
-def hashes_of(phrases: pa.Array, lang: np.ndarray, seeds: list[int]) -> np.ndarray:
-    """What ``xxhash64(lang, phrase)`` gives; ``seeds`` are the hashes of the languages."""
-    digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(p, seeds[k]) for p, k in zip(phrases.to_pylist(), lang.tolist(), strict=True)), np.uint64, len(phrases))
-
-
 @dataclass(frozen=True)
 class Proposals:
     """Words and pairs around which longer phrases are counted."""
@@ -116,8 +137,22 @@ def word_end(data: np.ndarray, at: int, end: int) -> int:
     return end
 
 
+def joined(words: pa.Array, *places: np.ndarray) -> pa.Array:
+    """Phrases of the words at some places."""
+    return pc.binary_join_element_wise(*(words.take(pa.array(p)) for p in places), " ")
+
+
+def compact(keys: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys, place of each key among them); keys are at least 0 and under ``below``."""
+    if below > 4 * len(keys) + (1 << 20):
+        return np.unique(keys, return_inverse=True)
+    there = np.zeros(below, bool)
+    there[keys] = True
+    return np.flatnonzero(there), (np.cumsum(there) - 1)[keys]
+
+
 class Counter:
-    """Counts phrases of blocks: of one word and, around proposals, of more; those of ``earlier`` passes not again."""
+    """Counts phrases of blocks: all words and, around proposals, longer phrases; what ``earlier`` passes counted not again."""
 
     def __init__(self, now: Proposals | None, earlier: list[Proposals], words: int):
         """Without proposals every phrase of up to ``words`` words is counted."""
@@ -144,17 +179,17 @@ class Counter:
         follows = (piece[1:] == piece[:-1]) & (row[1:] == row[:-1])
         fresh = starts >= fresh_from
         vocabulary = len(coded.dictionary)
-        distinct, word = np.unique(langs[row] * vocabulary + coded.indices.to_numpy(), return_inverse=True)
+        distinct, word = compact(langs[row] * vocabulary + coded.indices.to_numpy(), len(names) * vocabulary)
         lang, own = distinct // vocabulary, coded.dictionary.take(pa.array(distinct % vocabulary))
-        yield self._rows(lang, 1, own, np.bincount(word, fresh, len(distinct)), names)
-        yield self._rows(np.arange(len(names)), 0, pa.array([""] * len(names)), np.bincount(langs[row], fresh, len(names)), names)
+        if not self.earlier:
+            yield self._rows(lang, 1, own, np.bincount(word, fresh, len(distinct)), names)
+            yield self._rows(np.arange(len(names)), 0, pa.array([""] * len(names)), np.bincount(langs[row], fresh, len(names)), names)
 
         # Pairs, as positions of their first words.
-        seeds = [xxhash.xxh64_intdigest(n, 42) for n in names]
         first = np.flatnonzero(follows)
         before: list[np.ndarray] = []
         if self.now is not None:
-            hashes = hashes_of(own, lang, seeds)
+            hashes = word_hashes(own, lang, names)
             proposed = self.now.words.has(hashes)
             before = [p.words.has(hashes) for p in self.earlier]
             first = first[proposed[word[first]] & proposed[word[first + 1]]]
@@ -162,31 +197,32 @@ class Counter:
             return
         pairs, pair = np.unique(word[first] * len(distinct) + word[first + 1], return_inverse=True)
         a, b = pairs // len(distinct), pairs % len(distinct)
-        phrase = pc.binary_join_element_wise(own.take(pa.array(a)), own.take(pa.array(b)), " ")
         old = [w[a] & w[b] for w in before]
         n = np.bincount(pair, fresh[first + 1], len(pairs))
         for known in old:
             n[known] = 0
-        yield self._rows(lang[a], 2, phrase, n, names)
+        some = np.flatnonzero(n)
+        yield self._rows(lang[a[some]], 2, joined(own, a[some], b[some]), n[some], names)
         if self.words < 3:
             return
 
         # Triples, as pairs that follow each other by one word.
         at = np.flatnonzero(first[1:] == first[:-1] + 1)
         if self.now is not None:
-            hashes = hashes_of(phrase, lang[a], seeds)
+            hashes = pair_hashes(hashes[a], hashes[b])
             proposed = self.now.pairs.has(hashes)
             old = [k & p.pairs.has(hashes) for k, p in zip(old, self.earlier, strict=True)]
             at = at[proposed[pair[at]] & proposed[pair[at + 1]]]
         if not len(at):
             return
         triples, triple = np.unique(pair[at] * len(pairs) + pair[at + 1], return_inverse=True)
-        a, c = triples // len(pairs), triples % len(pairs)
+        x, y = triples // len(pairs), triples % len(pairs)
         n = np.bincount(triple, fresh[first[at] + 2], len(triples))
         for known in old:
-            n[known[a] & known[c]] = 0
-        longer = pc.binary_join_element_wise(phrase.take(pa.array(a)), own.take(pa.array(b[c])), " ")
-        yield self._rows(lang[pairs[a] // len(distinct)], 3, longer, n, names)
+            n[known[x] & known[y]] = 0
+        some = np.flatnonzero(n)
+        x, y = x[some], y[some]
+        yield self._rows(lang[a[x]], 3, joined(own, a[x], b[x], b[y]), n[some], names)
 
     @staticmethod
     def _rows(lang: np.ndarray, size: int, phrase: pa.Array, n: np.ndarray, names: list[str]) -> pa.RecordBatch:
@@ -243,8 +279,7 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, share: int = SAMPL
     while True:
         now = Proposals(*(bits_of(proposed.where(F.col("size") == k).select("lang", "phrase")) for k in (1, 2)))
         fresh = counted(docs, Counter(now, passes, WORDS), support)
-        # Every pass counts all words; the first one's counts are kept.
-        found = fresh if found is None else found.unionByName(fresh.where("size > 1"))
+        found = fresh if found is None else found.unionByName(fresh)
         passes.append(now)
         known = found.where(F.col("size").between(1, WORDS - 1)).select("lang", "size", "phrase")
         failures = durable(known.join(proposed, ["lang", "size", "phrase"], "left_anti"))

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -114,22 +115,20 @@ def test_long_texts_are_counted_in_parts(limit):
 
 
 def test_bits_hold_what_was_put_in(spark):
-    rows = [("en", f"w {i} é") for i in range(5000)]
+    """Tables made from phrases by Spark know the hashes that tasks make of words and pairs."""
+    rows = [(lang, f"w{i}é") for i in range(3000) for lang in ("en", "de")] + [("en", f"w{i}é w{i + 1}é") for i in range(3000)]
     bits = bits_of(spark.createDataFrame(rows, "lang string, phrase string"))
-    seeds = [phrase_mining.xxhash.xxh64_intdigest("en", 42)]
-    import numpy as np
-
-    def has(phrases):
-        return bits.has(phrase_mining.hashes_of(pa.array(phrases), np.zeros(len(phrases), int), seeds))
-
+    words = pa.array([f"w{i}é" for i in range(6000)])
+    ones, names = np.ones(6000, int), ["de", "en"]
+    own = phrase_mining.word_hashes(words, ones, names)
     assert isinstance(bits, Bits)
-    assert has([p for _, p in rows]).all()
-    assert has([f"other {i}" for i in range(5000)]).mean() < 0.1
+    assert bits.has(own[:3000]).all() and bits.has(own[3000:]).mean() < 0.1
+    pair = phrase_mining.pair_hashes(own[:-1], own[1:])
+    assert bits.has(pair[:3000]).all() and bits.has(pair[3000:]).mean() < 0.1
+    assert bits.has(phrase_mining.pair_hashes(own[1:], own[:-1])[:2999]).mean() < 0.1
 
 
 def test_blocks_are_bounded():
-    import numpy as np
-
     bounds = np.cumsum([0, 5, 5, 30, 0, 4, 9, 2])
     found = list(chunks(np.zeros(60, np.uint8), bounds, 10))
     assert [r for low, high, _ in found for r in range(low, high)] == list(range(7))
