@@ -33,7 +33,7 @@ SAMPLE_SHARE, SAMPLE_SUPPORT = 16, 2
 #: Bits of a table per entry, and of the largest table (8 MB): beyond its size tables only admit more.
 BITS_PER_ENTRY, MOST_BITS = 32, 1 << 26
 #: Bytes of text that a task works on at once.
-BLOCK = 1 << 22
+BLOCK = 1 << 21
 #: Parts over which a frequent word is dealt when candidates look up its count.
 SALTS = 16
 UNKNOWN = "und"
@@ -45,7 +45,7 @@ KIND[[*b".,;:!?\n\x0b\x0c\r"]] = 1
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-COUNTS = "lang string, size int, phrase string, n long"
+COUNTS = "lang string, phrase string, n long"
 
 
 # --- proposals ------------------------------------------------------------------
@@ -182,8 +182,9 @@ class Counter:
         distinct, word = compact(langs[row] * vocabulary + coded.indices.to_numpy(), len(names) * vocabulary)
         lang, own = distinct // vocabulary, coded.dictionary.take(pa.array(distinct % vocabulary))
         if not self.earlier:
-            yield self._rows(lang, 1, own, np.bincount(word, fresh, len(distinct)), names)
-            yield self._rows(np.arange(len(names)), 0, pa.array([""] * len(names)), np.bincount(langs[row], fresh, len(names)), names)
+            yield self._rows(lang, own, np.bincount(word, fresh, len(distinct)), names)
+            yield self._rows(np.arange(len(names)), pa.array([""] * len(names)), np.bincount(langs[row], fresh, len(names)), names)
+        del row, coded, text, offsets, piece, starts, ends, kinds, data
 
         # Pairs, as positions of their first words.
         first = np.flatnonzero(follows)
@@ -202,7 +203,7 @@ class Counter:
         for known in old:
             n[known] = 0
         some = np.flatnonzero(n)
-        yield self._rows(lang[a[some]], 2, joined(own, a[some], b[some]), n[some], names)
+        yield self._rows(lang[a[some]], joined(own, a[some], b[some]), n[some], names)
         if self.words < 3:
             return
 
@@ -222,18 +223,17 @@ class Counter:
             n[known[x] & known[y]] = 0
         some = np.flatnonzero(n)
         x, y = x[some], y[some]
-        yield self._rows(lang[a[x]], 3, joined(own, a[x], b[x], b[y]), n[some], names)
+        yield self._rows(lang[a[x]], joined(own, a[x], b[x], b[y]), n[some], names)
 
     @staticmethod
-    def _rows(lang: np.ndarray, size: int, phrase: pa.Array, n: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    def _rows(lang: np.ndarray, phrase: pa.Array, n: np.ndarray, names: list[str]) -> pa.RecordBatch:
         some = np.flatnonzero(n)
         columns = [
             pa.array(names, pa.string()).take(pa.array(lang[some])),
-            pa.array(np.full(len(some), size, np.int32)),
             phrase.take(pa.array(some)),
             pa.array(n[some].astype(np.int64)),
         ]
-        return pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "n"])
+        return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n"])
 
     def texts(self, texts: pa.Array, lang: pa.Array, limit: int = BLOCK) -> Iterator[pa.RecordBatch]:
         data, bounds = text_bytes(texts)
@@ -260,10 +260,15 @@ def counted(docs: DataFrame, counter: Counter, support: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from counter.texts(batch["text"], batch["lang"])
-
-    sums = docs.select("lang", "text").mapInArrow(run, COUNTS).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
-    return durable(sums.where((F.col("size") == 0) | (F.col("n") >= support)))
+            texts, lang = batch["text"], batch["lang"]
+            del batch  # or it would be held while the next one is read
+            yield from counter.texts(texts, lang)
+            del texts, lang
+
+    sums = docs.select("lang", "text").mapInArrow(run, COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    kept = sums.where((F.col("phrase") == "") | (F.col("n") >= support))
+    blanks = F.length("phrase") - F.length(F.translate("phrase", " ", ""))
+    return durable(kept.select("lang", F.when(F.col("phrase") == "", 0).otherwise(blanks + 1).alias("size"), "phrase", "n"))
 
 
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT, share: int = SAMPLE_SHARE, sample_support: int = SAMPLE_SUPPORT) -> DataFrame:
