@@ -17,7 +17,7 @@ from tellerline.streaming.bronze import progress
 
 ROOTS = ("stage_root", "bronze_root", "silver_root", "gold_root", "checkpoint_root")
 SCHEMAS = ("bronze_schema", "silver_schema", "gold_schema")
-SETTINGS = ("key_buckets", "time_zone", "max_files_per_trigger", "max_bronze_files_per_trigger", "prune_by_date", *SCHEMAS)
+SETTINGS = ("key_buckets", "time_zone", "max_files_per_trigger", "max_bronze_files_per_trigger", *SCHEMAS)
 
 SILVER_JOBS = {
     "atm_customers": streaming.run_customers,
@@ -37,7 +37,6 @@ def parser() -> argparse.ArgumentParser:
         top.add_argument(f"--{field.replace('_', '-')}", default=field.split("_")[0])
     top.add_argument("--max-files-per-trigger", type=int, default=20, help="staged files per micro-batch")
     top.add_argument("--max-bronze-files-per-trigger", type=int, default=1000, help="bronze files per merge")
-    top.add_argument("--prune-by-date", action="store_true", help="compare visits with those of the same dates only")
     jobs = top.add_subparsers(dest="job", required=True)
 
     tables = jobs.add_parser("create-tables")

@@ -144,10 +144,8 @@ class JobConfig:
     on staged files per micro-batch, the second on bronze files: merges cost
     less per row in larger batches. ``key_buckets``
     is fixed when a table is created: choose it so that one bucket of open
-    dimension rows is a few hundred MB. ``prune_by_date`` compares new visits
-    with stored visits of the batch's own dates only; a visit that comes back
-    under another date is then stored twice. A reader of a table takes a publish for
-    abandoned, and finishes it, after ``publish_grace_seconds``.
+    dimension rows is a few hundred MB. A writer's lease on a table that was not renewed for ``publish_grace_seconds`` may
+    be taken over; a reader waits as long for a publish under way.
     """
 
     stage_root: str
@@ -163,7 +161,6 @@ class JobConfig:
     max_bronze_files_per_trigger: int = 1000
     key_buckets: int = 64
     time_zone: str = "UTC"
-    prune_by_date: bool = False
     publish_grace_seconds: float = 120
 
     @classmethod

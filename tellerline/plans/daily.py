@@ -14,7 +14,7 @@ from tellerline.operators.merge import upsert_if_changed
 from tellerline.params import DayWindow, JobConfig, Stamp
 from tellerline.sources.audit import record_run
 from tellerline.session import require_time_zone
-from tellerline.sources.publish import publish_labelled, recover, settle
+from tellerline.sources.publish import consistent, publish_labelled, recover
 from tellerline.sources.tables import read_partitions, read_table, refresh_registered
 
 TOTALS = ("total_withdrawls", "total_deposits")
@@ -74,10 +74,12 @@ def run_daily(
     window = window or DayWindow.resolve(zone=config.time_zone)
     spec = schemas.GOLD_DAILY
     recover(spark, config, spec)
-    for source in (schemas.SILVER_VISITS, schemas.SILVER_LOCATIONS):
-        settle(spark, config, source)
-    visits = read_partitions(spark, config, schemas.SILVER_VISITS, window.days)
-    locations = read_table(spark, config, schemas.SILVER_LOCATIONS)
+
+    def sources() -> tuple[DataFrame, DataFrame]:
+        visits = read_partitions(spark, config, schemas.SILVER_VISITS, window.days)
+        return visits, read_table(spark, config, schemas.SILVER_LOCATIONS)
+
+    visits, locations = consistent(spark, config, (schemas.SILVER_VISITS, schemas.SILVER_LOCATIONS), sources)
     summary = daily_by_bank(visits, locations, window, literal)
     updates = conform(stamped(summary, Stamp.at(as_of).ts, "create_ts", "update_ts"), spec.schema)
     stored = read_partitions(spark, config, spec, window.days)

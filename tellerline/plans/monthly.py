@@ -15,7 +15,7 @@ from tellerline.params import JobConfig, MonthWindow, Stamp
 from tellerline.plans.daily import TOTALS, totals
 from tellerline.sources.audit import record_run
 from tellerline.session import require_time_zone
-from tellerline.sources.publish import publish_labelled, recover, settle
+from tellerline.sources.publish import consistent, publish_labelled, recover
 from tellerline.sources.tables import read_partitions, refresh_registered
 
 
@@ -44,8 +44,9 @@ def run_monthly(
     window = window or MonthWindow.resolve(zone=config.time_zone)
     spec = schemas.GOLD_MONTHLY
     recover(spark, config, spec)
-    settle(spark, config, schemas.SILVER_VISITS)
-    visits = read_partitions(spark, config, schemas.SILVER_VISITS, [f"{m:%Y-%m}-*" for m in window.months])
+    months = [f"{m:%Y-%m}-*" for m in window.months]
+    source = schemas.SILVER_VISITS
+    visits = consistent(spark, config, (source,), lambda: read_partitions(spark, config, source, months))
     summary = monthly_by_customer(visits, window, literal)
     updates = conform(stamped(summary, Stamp.at(as_of).ts, "create_ts", "update_ts"), spec.schema)
     stored = read_partitions(spark, config, spec, map(str, window_months(window, literal)))

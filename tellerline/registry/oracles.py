@@ -231,6 +231,17 @@ SELECT * EXCLUDE (before), before IS NULL AS chain_first,
 FROM (SELECT *, LAG(first_name) OVER (PARTITION BY customer_id ORDER BY delivery) AS before FROM ({_DELIVERIES}))
 WHERE before IS NULL OR before <> first_name"""
 
+# In the order 1, 3, 2: what the third delivery had changed keeps its date, also where the second one turns out to have been first.
+_LATE = f"""
+WITH c AS ({_DELIVERIES}), base AS (SELECT customer_id, first_name FROM c WHERE delivery = 0),
+v AS (
+  SELECT customer_id, first_name, 0 AS nth, DATE '2024-01-01' AS effective_date FROM base
+  UNION ALL SELECT customer_id, 'MOVED', 1, DATE '2024-02-01' FROM base WHERE customer_id % 3 = 1
+  UNION ALL SELECT customer_id, 'MOVED', 1, DATE '2024-02-02' FROM base WHERE customer_id % 3 = 2
+  UNION ALL SELECT customer_id, first_name, 2, DATE '2024-02-02' FROM base WHERE customer_id % 3 = 2)
+SELECT customer_id, first_name, LEAD(nth) OVER w IS NULL AS "current", effective_date, LEAD(effective_date) OVER w AS end_date
+FROM v WINDOW w AS (PARTITION BY customer_id ORDER BY nth)"""
+
 
 def _moved_bank(literal: bool) -> str:
     stored = _daily_by_bank("2024-01-01", "2024-01-30")
@@ -285,7 +296,13 @@ FROM ({_visits()}) v LEFT JOIN (SELECT DISTINCT atm_id, bank FROM ({_locations()
     "stream_silver_visits": _INSERT_ONLY,
     "stream_silver_locations": _TYPE1.replace("2024-02-01", "2024-01-01").replace("2024-02-02", "2024-02-01"),
     "stream_silver_customers": f'SELECT * EXCLUDE (load_ts, update_ts) FROM ({_type2(with_history=False)})',
-    "stream_silver_customers_versions": f'SELECT customer_id, first_name, chain_last AS "current" FROM ({_CHAIN})',
+    "stream_silver_customers_versions": f"""
+SELECT customer_id, first_name, chain_last AS "current", DATE '2024-02-01' AS effective_date,
+       CASE WHEN NOT chain_last THEN DATE '2024-02-01' END AS end_date FROM ({_CHAIN})""",
+    "late_customer_delivery": _LATE,
+    "recovered_publish": _TYPE1.replace("2024-02-01", "2024-01-01").replace("2024-02-02", "2024-02-01"),
+    "visits_held_by_key_filter": f"""
+SELECT visit_id, date AS transaction_dt FROM ({_visits(2)}) WHERE visit_id IN (SELECT visit_id FROM ({_visits(3)}))""",
     "stream_quarantine": f"""
 SELECT atm_id, CAST(NULL AS VARCHAR) AS line FROM ({_locations()})
 UNION ALL SELECT NULL, '{{"atm_id": broken ' || CAST(atm_id AS VARCHAR) FROM ({_locations()})""",

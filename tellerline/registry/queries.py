@@ -19,7 +19,9 @@ from tellerline.operators import (
     conform,
     dedupe_earliest,
     dedupe_latest,
+    groups_that_may_hold,
     insert_if_absent,
+    key_fragments,
     scd2_apply,
     scd2_staged,
     upsert_if_changed,
@@ -83,6 +85,15 @@ def silver_visits_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.unionByName(insert_if_absent(target, updates, ["visit_id"]))
 
 
+def visits_held_by_key_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored visits that a batch delivers again: looked for on the dates whose key bitmaps allow it."""
+    target, updates = _visit_feeds(spark, sf_dir)
+    fragments = key_fragments(target, "visit_id", "transaction_dt")
+    dates = groups_that_may_hold(fragments, updates, "visit_id", "transaction_dt")
+    probed = target.select("visit_id", "transaction_dt").join(dates, "transaction_dt", "left_semi")
+    return probed.join(updates.select("visit_id"), "visit_id", "left_semi").select("visit_id", "transaction_dt")
+
+
 def _type1(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = _flat_locations(spark, sf_dir, FIRST_FEED)
     updates = stamped(_flat_locations(spark, sf_dir, SECOND_FEED), F.lit("2024-02-02").cast("date"), "load_ts")
@@ -307,6 +318,7 @@ _BATCH = (
     silver_visits_prepare,
     silver_locations_flatten,
     silver_visits_insert_only,
+    visits_held_by_key_filter,
     silver_locations_type1,
     silver_customers_type2,
     silver_customers_type2_literal,

@@ -12,16 +12,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellerline import schemas
-from tellerline.params import DayWindow, JobConfig, MonthWindow
+from tellerline.functions.columns import key_bucket
+from tellerline.operators import conform, upsert_latest
+from tellerline.params import DayWindow, JobConfig, MonthWindow, Stamp
 from tellerline.plans import run_daily, run_monthly
 from tellerline.registry.shapes import FIRST_FEED, SECOND_FEED, customer_deliveries, customers, locations, visits
 from tellerline.session import scratch_dir
-from tellerline.sources import create_layer_tables, history, read_table
-from tellerline.streaming import run_customers, run_locations, run_stage_to_bronze, run_visits
+from tellerline.sources import create_layer_tables, history, read_table, recover
+from tellerline.sources.publish import prepare
+from tellerline.sources.tables import read_physical
+from tellerline.streaming import prepare_locations, run_customers, run_locations, run_stage_to_bronze, run_visits
 from tellerline.streaming.bronze import quarantine_path
+from tellerline.streaming.silver import apply_customers
 
 FIRST_DAY = dt.datetime(2024, 1, 1, 12)
 SECOND_DAY = dt.datetime(2024, 2, 1, 12)
+THIRD_DAY = dt.datetime(2024, 2, 2, 12)
 
 
 def _config(spark: SparkSession, name: str) -> JobConfig:
@@ -89,7 +95,41 @@ def stream_silver_customers_versions(spark: SparkSession, sf_dir: str) -> DataFr
     for rows in customer_deliveries(spark, sf_dir):
         _deliver(spark, config, "atm_customers", rows)
     run_customers(spark, config, SECOND_DAY)
-    return read_table(spark, config, schemas.SILVER_CUSTOMERS).select("customer_id", "first_name", "current")
+    columns = ("customer_id", "first_name", "current", "effective_date", "end_date")
+    return read_table(spark, config, schemas.SILVER_CUSTOMERS).select(*columns)
+
+
+def _bronze_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Three deliveries of every customer as bronze holds them, an hour apart."""
+    return [
+        rows.withColumns({"_ingest_ts": F.lit(f"2024-01-01 0{i}:00:00").cast("timestamp"), "_ingest_file": F.lit(f"delivery-{i}")})
+        for i, rows in enumerate(customer_deliveries(spark, sf_dir))
+    ]
+
+
+def late_customer_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second of three deliveries is merged last: it is spliced into the stored versions, bronze is not there."""
+    config = _config(spark, "late-customers")
+    first, second, third = _bronze_batches(spark, sf_dir)
+    for batch, day in ((first, FIRST_DAY), (third, SECOND_DAY), (second, THIRD_DAY)):
+        apply_customers(spark, config, batch, Stamp.at(day))
+    columns = ("customer_id", "first_name", "current", "effective_date", "end_date")
+    return read_table(spark, config, schemas.SILVER_CUSTOMERS).select(*columns)
+
+
+def recovered_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two feeds of locations; each merge is written and left, and the table's next run moves it into place."""
+    config, spec = _config(spark, "recovered"), schemas.SILVER_LOCATIONS
+    for factor, as_of in ((FIRST_FEED, FIRST_DAY), (SECOND_FEED, SECOND_DAY)):
+        rows = prepare_locations(locations(spark, sf_dir, factor), Stamp.at(as_of))
+        rows = rows.withColumns({"_ingest_ts": F.lit(as_of).cast("timestamp"), "_ingest_file": F.lit("feed")})
+        bucket = key_bucket(spec.keys, config.key_buckets).cast("int")
+        updates = conform(rows.withColumn(schemas.BUCKET_COLUMN, bucket), spec.physical_schema)
+        merged = upsert_latest(read_physical(spark, config, spec), updates, spec.keys)
+        touched = [(b,) for b in range(config.key_buckets)]
+        prepare(spark, config, spec, touched, conform(merged, spec.physical_schema))
+        recover(spark, config, spec)
+    return read_table(spark, config, spec)
 
 
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,6 +200,8 @@ STREAMS = (
     stream_silver_locations,
     stream_silver_customers,
     stream_silver_customers_versions,
+    late_customer_delivery,
+    recovered_publish,
     stream_quarantine,
     catalog_daily_by_bank,
     stream_run_log,

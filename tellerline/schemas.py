@@ -202,12 +202,33 @@ GOLD_MONTHLY = TableSpec(
     cluster_by=("customer_id",),
 )
 
+# Side tables, which jobs keep beside a table and SQL users do not see. Each is written in
+# the same step as its table.
+VISIT_KEYS = TableSpec(
+    "silver",
+    "atm_visits_keys",
+    _struct(("transaction_dt", "date"), ("words", "long"), ("word", "long"), ("bits", "long")),
+    cluster_by=("words", "word"),
+)
+
+# Deliveries of a customer that repeated the version before them.
+CUSTOMER_REPEATS = TableSpec(
+    "silver",
+    "atm_customers_repeats",
+    _struct(("customer_id", "long")),
+    partition_by=(BUCKET_COLUMN,),
+    keys=("customer_id",),
+    ordered=True,
+)
+
 LAYER_TABLES = {
     "bronze": (BRONZE_VISITS, BRONZE_CUSTOMERS, BRONZE_LOCATIONS),
     "silver": (SILVER_CUSTOMERS, SILVER_LOCATIONS, SILVER_VISITS),
     "gold": (GOLD_DAILY, GOLD_MONTHLY),
 }
 
+SIDE_TABLES = {SILVER_VISITS.name: (VISIT_KEYS,), SILVER_CUSTOMERS.name: (CUSTOMER_REPEATS,)}
+
 # Columns whose change opens a new customer version. checking_savings and
 # customer_since_date are deliberately not among them.
 TRACKED_CUSTOMER_COLUMNS = ("card_number", "preferred", "first_name", "last_name")

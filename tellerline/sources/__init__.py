@@ -1,7 +1,8 @@
 """Staged files, layer tables, publishing and the run log."""
 
 from tellerline.sources.audit import history, record_run
-from tellerline.sources.publish import append_rows, publish_labelled, recover, settle
+from tellerline.sources.lease import LeaseHeld, LeaseLost
+from tellerline.sources.publish import PublishUnderway, consistent, publish_labelled, recover, settle
 from tellerline.sources.staged import read_staged
 from tellerline.sources.tables import (
     checkpoint_dir,
@@ -13,8 +14,11 @@ from tellerline.sources.tables import (
 )
 
 __all__ = [
-    "append_rows",
+    "LeaseHeld",
+    "LeaseLost",
+    "PublishUnderway",
     "checkpoint_dir",
+    "consistent",
     "create_layer_tables",
     "ensure_layer",
     "history",

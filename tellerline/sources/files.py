@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -52,6 +53,38 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def move_if_there(spark: SparkSession, source: str, target: str) -> bool:
+    """``move``, unless the source is gone or goes meanwhile; whether it was moved here."""
+    try:
+        move(spark, source, target)
+    except Exception:
+        if exists(spark, source):
+            raise
+        return False
+    return True
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file unless there is one; whether it was made."""
+    fs, hadoop_path = _locate(spark, path)
+    fs.mkdirs(hadoop_path.getParent())
+    try:
+        out = fs.create(hadoop_path, False)
+    except Py4JJavaError:
+        if fs.exists(hadoop_path):
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def freshen(spark: SparkSession, path: str) -> None:
+    """Set a file's time to now."""
+    fs, hadoop_path = _locate(spark, path)
+    fs.setTimes(hadoop_path, int(time.time() * 1000), -1)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file that appears whole or not at all."""
     fs, hadoop_path = _locate(spark, f"{path}.new")

@@ -1,17 +1,23 @@
 """Storing merge results in plain Parquet tables.
 
-A merge writes beside the table what changes: whole partitions that take the
-place of stored ones, and rows that are added to others. Partitions without a
-change are neither read nor written. When all is written, a marker with the list of
-partitions is set, and folders and files are renamed into place. A driver lost
-half-way leaves the marker, and ``recover`` goes on with what has not been moved
-yet. One writer per table; the swap is atomic per partition, not per table.
+A merge writes beside the table, under a name of its own, what changes: whole partitions that take the
+place of stored ones, rows that are added to others, and rows of the table's side tables. Partitions
+without a change are neither read nor written. When all is written, a marker is set that names the
+stored files which the new ones replace. Then the new files are renamed into the tables one by one and the named
+ones are removed. File names are never used twice, so each step may be done any number of times, in
+any order, by anyone who has read the marker, and the rows are the same in the end.
+
+Only the table's writer moves files, under the table's lease. A driver lost half-way leaves the marker, and the
+writer's next run goes on from it (``recover``). Readers move nothing: they wait for a publish under way and
+refuse one that was left behind (``settle``). One writer per table.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Sequence
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,32 +27,34 @@ from tellerline.operators.merge import ACTION, DELETE, KEEP
 from tellerline.params import JobConfig
 from tellerline.schemas import TableSpec
 from tellerline.sources import files
-from tellerline.sources.tables import partition_folder, partition_in, pending_path, table_path
+from tellerline.sources.lease import Lease
+from tellerline.sources.tables import partition_folder, partition_in, pending_path, read_physical, table_path
 
-_READY = "_READY"
-_REPLACE, _ADD, _OLD = "replace", "add", "old"
+_READY = "_READY-"
+
+#: Files of a table without partitions before they are gathered.
+GATHERED_FILES = 200
+
+Result = TypeVar("Result")
+
+
+class PublishUnderway(RuntimeError):
+    """A publish of a table that is to be read was not finished in time; its writer's next run finishes it."""
 
 
 def _laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Few files per partition, a partition with much data over many tasks."""
-    if spec.partition_by:
-        df = df.hint("rebalance", *spec.partition_by)
+    df = df.hint("rebalance", *spec.partition_by)
     order = (*spec.partition_by, *spec.cluster_by)
     return df.sortWithinPartitions(*order) if order else df
 
 
-def _write(rows: DataFrame, spec: TableSpec, path: str, mode: str) -> None:
-    rows.write.mode(mode).partitionBy(*spec.partition_by).parquet(path)
-
-
-def append_rows(config: JobConfig, spec: TableSpec, rows: DataFrame) -> int:
-    """Append rows to the table; returns how many, counted while writing."""
+def _write(rows: DataFrame, spec: TableSpec, path: str) -> int:
+    """Writes rows beside the table; returns how many, counted in the writing stage: there a task that runs again is counted once."""
     assert_schema(rows, spec.physical_schema)
     seen = Observation()
-    # Observed in the writing stage itself, after the shuffle: there a task that
-    # runs again is counted once.
     counted = _laid_out(rows, spec).observe(seen, F.count(F.lit(1)).alias("rows"))
-    _write(counted, spec, table_path(config, spec), "append")
+    counted.write.mode("append").partitionBy(*spec.partition_by).parquet(path)
     return seen.get["rows"]
 
 
@@ -57,68 +65,118 @@ def publish(
     touched: Iterable[Sequence],
     replacing: DataFrame | None,
     adding: DataFrame | None = None,
-) -> None:
-    """Replace the ``touched`` partitions (tuples of partition values) and add rows to others.
+    also: Iterable[tuple[TableSpec, DataFrame]] = (),
+) -> int:
+    """Replace the ``touched`` partitions (tuples of partition values) and add rows to others; returns how many were added.
 
-    ``replacing`` holds every row that those partitions are to have; one without
-    rows becomes empty.
+    ``replacing`` holds every row that those partitions are to have; one without rows becomes empty.
+    ``also`` has rows to add to side tables of the same layer in the same step.
     """
-    pending = pending_path(config, spec)
-    files.remove_dir(spark, pending)
-    for rows, kind in ((replacing, _REPLACE), (adding, _ADD)):
-        if rows is not None:
-            assert_schema(rows, spec.physical_schema)
-            _write(_laid_out(rows, spec), spec, f"{pending}/{kind}", "overwrite")
+    added = prepare(spark, config, spec, touched, replacing, adding, also)
+    recover(spark, config, spec)
+    return added
+
+
+def prepare(
+    spark: SparkSession,
+    config: JobConfig,
+    spec: TableSpec,
+    touched: Iterable[Sequence],
+    replacing: DataFrame | None,
+    adding: DataFrame | None = None,
+    also: Iterable[tuple[TableSpec, DataFrame]] = (),
+) -> int:
+    """The first half of ``publish``: all is written and the marker set, nothing is moved."""
+    name = uuid.uuid4().hex
+    beside, table = f"{pending_path(config, spec)}/{name}", table_path(config, spec)
+    also, added = list(also), 0
+    if replacing is not None:
+        _write(replacing, spec, f"{beside}/{spec.name}")
+    if adding is not None:
+        added = _write(adding, spec, f"{beside}/{spec.name}")
+    for other, rows in also:
+        _write(rows, other, f"{beside}/{other.name}")
     folders = sorted(partition_folder(spec, values) for values in touched)
-    kinds = ["full" if files.exists(spark, f"{pending}/{_REPLACE}/{f}") else "empty" for f in folders]
-    files.write_text(spark, f"{pending}/{_READY}", "\n".join(f"{k} {f}" for k, f in zip(kinds, folders)))
-    _move_into_place(spark, config, spec)
+    old = [f"{folder}/{f.rsplit('/', 1)[1]}".lstrip("/") for folder in folders for f in files.listed(spark, f"{table}/{folder}/part-*".replace("//part", "/part"))]
+    levels = {s.name: len(s.partition_by) for s in (spec, *(other for other, _ in also))}
+    lines = [*(f"table {n} {k}" for n, k in levels.items()), *(f"old {f}" for f in old)]
+    files.write_text(spark, f"{pending_path(config, spec)}/{_READY}{name}", "\n".join(lines))
+    return added
+
+
+def _markers(spark: SparkSession, config: JobConfig, spec: TableSpec) -> list[str]:
+    found = files.listed(spark, f"{pending_path(config, spec)}/{_READY}*")
+    return [m for m in found if not m.endswith(".new")]
 
 
 def recover(spark: SparkSession, config: JobConfig, spec: TableSpec) -> bool:
-    """Finish a publish that was interrupted; for the table's writer, before it reads the table."""
-    if not files.exists(spark, f"{pending_path(config, spec)}/{_READY}"):
+    """Move what was prepared into place; for the table's writer, also before it reads the table. Whether there was anything."""
+    if not _markers(spark, config, spec):
         return False
-    _move_into_place(spark, config, spec)
+    with Lease(spark, config, spec) as lease:
+        for marker in _markers(spark, config, spec):
+            _finish(spark, config, spec, marker, lease)
     return True
 
 
-def settle(spark: SparkSession, config: JobConfig, spec: TableSpec) -> None:
-    """For readers: wait for a publish under way, finish one that its writer has left behind.
-
-    A marker older than ``publish_grace_seconds`` counts as left behind.
+def _finish(spark: SparkSession, config: JobConfig, spec: TableSpec, marker: str, lease: Lease) -> None:
+    pending, table = pending_path(config, spec), table_path(config, spec)
+    name = marker.rsplit(_READY, 1)[1]
+    lines = [line.split(" ", 1) for line in files.read_text(spark, marker).splitlines()]
+    for kind, text in lines:
+        if kind == "table":
+            target, levels = text.rsplit(" ", 1)
+            for file in files.listed(spark, f"{pending}/{name}/{target}{'/*' * int(levels)}/part-*"):
+                lease.renew()
+                place = file.split(f"/{name}/{target}/", 1)[1]
+                files.move_if_there(spark, file, f"{config.layer_root(spec.layer)}/{target}/{place}")
+    for kind, text in lines:
+        if kind == "old":
+            lease.renew()
+            files.remove_dir(spark, f"{table}/{text}")
+    lease.renew()
+    files.remove_dir(spark, f"{pending}/{name}")
+    files.write_text(spark, _version_path(config, spec), name)
+    files.remove_dir(spark, marker)
+
+
+def _version_path(config: JobConfig, spec: TableSpec) -> str:
+    return f"{config.layer_root(spec.layer)}/_version/{spec.name}"
+
+
+def settle(spark: SparkSession, config: JobConfig, spec: TableSpec) -> str | None:
+    """For readers: wait until no publish is under way; returns the name of the last one.
+
+    One that is not finished within ``publish_grace_seconds`` raises ``PublishUnderway``: its files are its writer's to move.
     """
-    marker = f"{pending_path(config, spec)}/{_READY}"
-    while (age := files.age_seconds(spark, marker)) is not None and age < config.publish_grace_seconds:
-        time.sleep(min(1.0, config.publish_grace_seconds - age))
-    recover(spark, config, spec)
+    deadline = time.monotonic() + config.publish_grace_seconds
+    while True:
+        path = _version_path(config, spec)
+        version = files.read_text(spark, path) if files.exists(spark, path) else None
+        if not _markers(spark, config, spec):
+            return version
+        if time.monotonic() >= deadline:
+            raise PublishUnderway(f"a publish of {spec.layer}.{spec.name} is not finished; its job's next run does that")
+        time.sleep(min(1.0, max(0.01, deadline - time.monotonic())))
+
+
+def consistent(spark: SparkSession, config: JobConfig, specs: Sequence[TableSpec], build: Callable[[], Result]) -> Result:
+    """``build()``, which lists files of some tables, done anew until no publish fell between.
+
+    Files are listed when a DataFrame over them is made. If a later publish removes some of them
+    before they are read, the job fails, and does not read half of a change.
+    """
+    while True:
+        before = [settle(spark, config, spec) for spec in specs]
+        result = build()
+        if [settle(spark, config, spec) for spec in specs] == before:
+            return result
 
 
-def _move_into_place(spark: SparkSession, config: JobConfig, spec: TableSpec) -> None:
-    """Every step is skipped if it was done before, so any of them may be the first after a failure."""
-    pending, table = pending_path(config, spec), table_path(config, spec)
-    for line in files.read_text(spark, f"{pending}/{_READY}").splitlines():
-        kind, folder = line.split(" ", 1)
-        _replace_partition(spark, kind, f"{pending}/{_REPLACE}/{folder}", f"{table}/{folder}", f"{pending}/{_OLD}/{folder}")
-    levels = "/*" * len(spec.partition_by)
-    for file in files.listed(spark, f"{pending}/{_ADD}{levels}/part-*"):
-        _add_file(spark, file, f"{table}/{file.split(f'/{_ADD}/', 1)[1]}")
-    files.remove_dir(spark, pending)
-
-
-def _replace_partition(spark: SparkSession, kind: str, staged: str, stored: str, old: str) -> None:
-    if kind == "full" and files.exists(spark, staged):
-        files.remove_dir(spark, stored)
-        files.move(spark, staged, stored)
-    elif kind == "empty" and not files.exists(spark, old):
-        if files.exists(spark, stored):
-            files.move(spark, stored, old)
-        else:
-            files.make_dir(spark, old)
-
-
-def _add_file(spark: SparkSession, staged: str, stored: str) -> None:
-    files.move(spark, staged, stored)
+def gather_files(spark: SparkSession, config: JobConfig, spec: TableSpec) -> None:
+    """Few files of many, for a table without partitions that is added to in small steps."""
+    if len(files.listed(spark, f"{table_path(config, spec)}/part-*")) >= GATHERED_FILES:
+        publish(spark, config, spec, [()], read_physical(spark, config, spec))
 
 
 def publish_labelled(spark: SparkSession, config: JobConfig, spec: TableSpec, merged: DataFrame) -> dict[str, int]:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tellerline.params import JobConfig
-from tellerline.schemas import LAYER_TABLES, TableSpec
+from tellerline.schemas import LAYER_TABLES, SIDE_TABLES, TableSpec
 from tellerline.sources import files
 
 # How a partition folder spells NULL.
@@ -30,6 +30,11 @@ def pending_path(config: JobConfig, spec: TableSpec) -> str:
     return f"{config.layer_root(spec.layer)}/_pending/{spec.name}"
 
 
+def progress_path(config: JobConfig, spec: TableSpec) -> str:
+    """Where a job notes how far a table's deliveries have come."""
+    return f"{config.layer_root(spec.layer)}/_progress/{spec.name}"
+
+
 def qualified_name(config: JobConfig, spec: TableSpec) -> str:
     return f"{config.layer_schema(spec.layer)}.{spec.name}"
 
@@ -86,8 +91,10 @@ def create_layer_tables(spark: SparkSession, config: JobConfig, layer: str, rese
             if stored != name:
                 spark.sql(f"DROP VIEW IF EXISTS {name}")
             spark.sql(f"DROP TABLE IF EXISTS {stored}")
-            files.remove_dir(spark, path)
-            files.remove_dir(spark, pending_path(config, spec))
+            for own in (spec, *(SIDE_TABLES.get(spec.name, ()) if layer == "silver" else ())):
+                files.remove_dir(spark, table_path(config, own))
+                files.remove_dir(spark, pending_path(config, own))
+                files.remove_dir(spark, progress_path(config, own))
         files.make_dir(spark, path)
         partitioning = f"PARTITIONED BY ({', '.join(spec.partition_by)})" if spec.partition_by else ""
         spark.sql(

@@ -8,7 +8,8 @@ nothing and are inserted each time).
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,25 +20,27 @@ from tellerline.functions.columns import NULL_KEY_BUCKET, key_bucket, stamped
 from tellerline.operators.conform import conform
 from tellerline.operators.dedupe import dedupe_earliest, dedupe_latest
 from tellerline.operators.intervals import in_intervals, key_intervals
+from tellerline.operators.keyfilter import groups_that_may_hold, key_fragments
 from tellerline.operators.merge import ACTION, CLOSE, INSERT, KEEP, UPDATE, insert_if_absent
-from tellerline.operators.versions import not_later, version_chain
+from tellerline.operators.versions import not_later, spliced, version_runs
 from tellerline.params import JobConfig, Stamp
 from tellerline.schemas import BUCKET_COLUMN, TableSpec
 from tellerline.session import require_time_zone
 from tellerline.sources import files
 from tellerline.sources.audit import record_run
-from tellerline.sources.publish import append_rows, publish, recover
+from tellerline.sources.publish import gather_files, publish, recover
 from tellerline.sources.tables import (
     NULL_PARTITION,
     checkpoint_dir,
     ensure_buckets,
     partition_in,
+    progress_path,
     qualified_name,
     read_partitions,
     read_physical,
-    read_table,
     refresh_registered,
     stream_table,
+    table_path,
 )
 from tellerline.streaming.bronze import await_query
 
@@ -76,13 +79,7 @@ def apply_visits(spark: SparkSession, config: JobConfig, batch: DataFrame, stamp
     held = None
     try:
         size = updates.count()
-        if config.prune_by_date:
-            # Bounded by the number of calendar days.
-            days = [r[0] for r in updates.select("transaction_dt").distinct().collect()]
-            folders = [NULL_PARTITION if d is None else str(d) for d in days]
-            stored = read_partitions(spark, config, spec, folders, hidden=True)
-        else:
-            stored = read_physical(spark, config, spec)
+        stored = read_partitions(spark, config, spec, _dates_to_probe(spark, config, updates.select(key)), hidden=True)
         # Rows outside the intervals cannot match: an exact filter that skips
         # files and row groups by their statistics.
         stored = stored.where(in_intervals(F.col(key), key_intervals(updates, key)))
@@ -99,17 +96,18 @@ def apply_visits(spark: SparkSession, config: JobConfig, batch: DataFrame, stamp
         # Bounded by the number of calendar days.
         dates = {r[0] for r in earlier.select("t.transaction_dt").distinct().collect()}
         if not dates:
-            return {"input": size, INSERT: append_rows(config, spec, new)}
+            keys = key_fragments(new, key, "transaction_dt")
+            return {"input": size, INSERT: publish(spark, config, spec, (), None, new, [(schemas.VISIT_KEYS, keys)])}
         late = earlier.select("u.*").persist()
         try:
-            where = [NULL_PARTITION if d is None else str(d) for d in dates]
-            kept = read_partitions(spark, config, spec, where, hidden=True)
+            kept = read_partitions(spark, config, spec, _folders(dates), hidden=True)
             touched = [(d,) for d in dates]
             inside = partition_in(spec, touched)
             every = late.unionByName(new)
             replacing = kept.join(late.select(key), key, "left_anti").select(*kept.columns).unionByName(every.where(inside))
             counts = {"input": size, INSERT: new.count(), UPDATE: late.count()}
-            publish(spark, config, spec, touched, replacing, every.where(~inside))
+            keys = key_fragments(every, key, "transaction_dt")
+            publish(spark, config, spec, touched, replacing, every.where(~inside), [(schemas.VISIT_KEYS, keys)])
             return counts
         finally:
             late.unpersist()
@@ -119,6 +117,26 @@ def apply_visits(spark: SparkSession, config: JobConfig, batch: DataFrame, stamp
         updates.unpersist()
 
 
+def _folders(days: Iterable[dt.date | None]) -> list[str]:
+    return [NULL_PARTITION if d is None else str(d) for d in days]
+
+
+def _dates_to_probe(spark: SparkSession, config: JobConfig, keys: DataFrame) -> list[str]:
+    """Folders of the dates that may hold some of the keys, at most one per calendar day.
+
+    The bitmaps of a table that was written without them are made once, from its keys.
+    """
+    spec, side = schemas.SILVER_VISITS, schemas.VISIT_KEYS
+    recover(spark, config, side)
+    if not files.matches(spark, f"{table_path(config, side)}/part-*"):
+        if not files.matches(spark, f"{table_path(config, spec)}/*/part-*"):
+            return []
+        publish(spark, config, side, (), None, key_fragments(read_physical(spark, config, spec), spec.keys[0], "transaction_dt"))
+    gather_files(spark, config, side)
+    fragments = read_physical(spark, config, side)
+    return _folders(r[0] for r in groups_that_may_hold(fragments, keys, spec.keys[0], "transaction_dt").collect())
+
+
 def apply_locations(spark: SparkSession, config: JobConfig, batch: DataFrame, stamp: Stamp) -> dict[str, int]:
     """Overwrite known locations, unless a later delivery did so before; insert new ones."""
     spec = schemas.SILVER_LOCATIONS
@@ -152,20 +170,20 @@ def apply_customers(
     stamp: Stamp,
     first_effective: str | None = None,
     null_safe: bool = True,
-    source: TableSpec = schemas.BRONZE_CUSTOMERS,
 ) -> dict[str, int]:
     """Every delivered version of a customer in delivery order: changed ones close the one before.
 
     Of several rows of a customer in one staged file one counts. A delivery that may
-    not be the customer's latest, because it is no later than what the table has seen, makes the customer's
-    history be built anew from bronze, so the result does not depend on where batches are cut.
+    not be the customer's latest, because it is no later than what the table has seen, is spliced into the customer's
+    stored versions, so the result does not depend on where batches are cut. That needs to know when versions
+    were repeated, which a side table keeps; it does not read bronze.
     """
     spec = schemas.SILVER_CUSTOMERS
     key = spec.keys[0]
     prepared = dedupe_latest(prepare_customers(batch, stamp), [*spec.keys, *INGEST_ORDER], ())
     prepared = stamped(prepared, F.lit(None), "current", "effective_date", "end_date")
     updates, sizes = _bucketed(spark, config, spec, prepared)
-    changed = late = None
+    changed = runs = late = None
     try:
         seen = _progress(spark, config, spec)
         moment = F.struct(F.unix_micros(INGEST_ORDER[0]).alias("at"), F.col(INGEST_ORDER[1]).alias("file"))
@@ -183,7 +201,10 @@ def apply_customers(
         keyed = updates.where(F.col(key).isNotNull()).join(late, key, "left_anti").select(*updates.columns)
         known = held.join(late, key, "left_anti").select(*updates.columns)
         both = known.withColumn("_new", F.lit(0)).unionByName(keyed.withColumn("_new", F.lit(1)))
-        chain = version_chain(both, key, ("_new", *INGEST_ORDER), schemas.TRACKED_CUSTOMER_COLUMNS, null_safe)
+        along = ("_new", *INGEST_ORDER)
+        runs = version_runs(both, key, along, schemas.TRACKED_CUSTOMER_COLUMNS, null_safe).persist()
+        chain = runs.where("chain_new").withColumn("chain_last", F.lead(F.lit(1)).over(Window.partitionBy(key).orderBy(*along)).isNull())
+        repeats = runs.where("not chain_new and _ingest_ts is not null").select(*schemas.CUSTOMER_REPEATS.physical_schema.names)
         is_new, closing = F.col("_new") == 1, ~F.col("chain_last")
         action = F.when(is_new, INSERT).when(closing, CLOSE).otherwise(KEEP)
         versions = chain.withColumns(
@@ -209,12 +230,13 @@ def apply_customers(
         rows = changed.where(F.col(ACTION) != KEEP)
         closed = rows.where(F.col(ACTION) == CLOSE).select(key)
         if late.isEmpty():
-            _publish_buckets(spark, config, spec, opened, rows.drop(ACTION), closed, touched)
+            _publish_buckets(spark, config, spec, opened, rows.drop(ACTION), closed, touched, [(schemas.CUSTOMER_REPEATS, repeats)])
         else:
-            counts = _rebuild(spark, config, source, stamp, late, rows, closed, touched, counts, first_effective, null_safe)
+            merge = _Merge(rows, closed, touched, counts, repeats)
+            counts = _splice(spark, config, stamp, updates.join(late, key, "left_semi"), late, merge, first_effective, null_safe)
         return {"input": sum(sizes.values()), **counts}
     finally:
-        for df in (changed, late, updates):
+        for df in (changed, runs, late, updates):
             if df is not None:
                 df.unpersist()
 
@@ -226,46 +248,57 @@ def _effective(stamp: Stamp, first_effective: str | None, first: Column | None =
     return F.when(first, F.coalesce(F.col(first_effective), stamp.day)).otherwise(stamp.day)
 
 
-def _rebuild(
+@dataclass(frozen=True)
+class _Merge:
+    """What a batch changes for customers without a late delivery."""
+
+    rows: DataFrame
+    closed: DataFrame
+    touched: set[tuple]
+    counts: dict[str, int]
+    repeats: DataFrame
+
+
+def _splice(
     spark: SparkSession,
     config: JobConfig,
-    source: TableSpec,
     stamp: Stamp,
+    deliveries: DataFrame,
     late: DataFrame,
-    rows: DataFrame,
-    closed: DataFrame,
-    touched: set[tuple],
-    counts: dict[str, int],
+    merge: _Merge,
     first_effective: str | None,
     null_safe: bool,
 ) -> dict[str, int]:
-    """Publishes ``rows`` along with whole histories, from bronze, of the customers in ``late``.
+    """Publishes a merge along with the histories of the customers in ``late``, ``deliveries`` spliced into them.
 
     Versions that the table has keep their dates and stamps. A version that arrives late is
     effective when its successor is, at the latest. Open and closed versions of the
     buckets concerned are rewritten where a history comes out different.
     """
-    spec = schemas.SILVER_CUSTOMERS
+    spec, side = schemas.SILVER_CUSTOMERS, schemas.CUSTOMER_REPEATS
     key, order = spec.keys[0], list(INGEST_ORDER)
     physical = spec.physical_schema.names
-    deliveries = read_table(spark, config, source).join(late, key, "left_semi")
-    one_each = dedupe_latest(prepare_customers(deliveries, stamp), [key, *order], ())
-    chain = version_chain(one_each, key, order, schemas.TRACKED_CUSTOMER_COLUMNS, null_safe)
     buckets = [r[0] for r in late.select(key_bucket([key], config.key_buckets).cast("int")).distinct().collect()]
     stored = read_physical(spark, config, spec).where(F.col(BUCKET_COLUMN).isin(buckets))
     own = stored.join(late, key, "left_semi").select(*physical).persist()
-    first_of = Window.partitionBy(key).orderBy(*order)
-    kept = own.withColumn("_first", F.row_number().over(first_of) == 1)
-    kept = kept.select(key, *order, *[F.col(c).alias(f"_old_{c}") for c in ("effective_date", "end_date", "current", "load_ts", "update_ts")], "_first")
-    after = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    seen_again = read_partitions(spark, config, side, map(str, buckets), hidden=True).join(late, key, "left_semi")
+    one_each = deliveries.select(*physical)
+    runs = spliced(own, seen_again, one_each, key, order, schemas.TRACKED_CUSTOMER_COLUMNS, null_safe).persist()
+    # A delivery that is a version no more, or that came late and repeats one.
+    demoted = runs.where("not chain_new and chain_source <> 1").select(key, *order, BUCKET_COLUMN)
+    repeats = merge.repeats.unionByName(demoted.select(*side.physical_schema.names))
     following = Window.partitionBy(key).orderBy(*order)
+    after, upto = (following.rowsBetween(a, b) for a, b in ((0, Window.unboundedFollowing), (Window.unboundedPreceding, 0)))
+    is_stored = F.col("chain_source") == 0
+    old = {f"_old_{c}": F.when(is_stored, F.col(c)) for c in ("effective_date", "end_date", "current", "load_ts", "update_ts")}
     # A stored first version may be dated by another column than the run's day; it keeps that only while it is the first.
-    since = F.col("_first") & F.lit(bool(first_effective))
-    own_date = F.when(~F.coalesce(since, F.lit(False)), F.col("_old_effective_date"))
-    dated = chain.join(kept, [key, *order], "left").withColumn("_date", F.coalesce(own_date, stamp.day))
-    dated = dated.withColumn("effective_date", F.min("_date").over(after))
+    first = is_stored & (F.count(F.when(is_stored, 1)).over(upto) == 1)
+    own_date = F.when(~(first & F.lit(bool(first_effective))), F.col("_old_effective_date"))
+    # A version is effective when its first delivery or any after it was, also one that now merely repeats it.
+    date = F.coalesce(own_date, F.when(F.col("chain_new"), stamp.day))
+    dated = runs.withColumns(old).withColumn("_date", date).withColumn("effective_date", F.min("_date").over(after)).where("chain_new")
+    dated = dated.withColumn("chain_last", F.lead(F.lit(1)).over(following).isNull())
     if first_effective:
-        dated = dated.withColumn("_later", F.lead("effective_date").over(following))
         dated = dated.withColumn(
             "effective_date", F.when(F.col("chain_first"), F.coalesce(F.col(first_effective), F.col("effective_date"))).otherwise(F.col("effective_date"))
         )
@@ -282,23 +315,23 @@ def _rebuild(
         pairs = own.select(*order, key, F.lit(True).alias("_known"))
         new = built.join(changed, key, "left_semi").join(pairs, [key, *order], "left_anti").count()
         shut = own.where("current").join(built.where("not current"), [key, *order], "left_semi").count()
-        counts = {**counts, INSERT: counts.get(INSERT, 0) + new, CLOSE: counts.get(CLOSE, 0) + shut}
+        counts = {**merge.counts, INSERT: merge.counts.get(INSERT, 0) + new, CLOSE: merge.counts.get(CLOSE, 0) + shut}
         moved = [r[0] for r in changed.select(key_bucket([key], config.key_buckets).cast("int")).distinct().collect()]
-        touched = {*touched, *((flag, b) for b in moved for flag in (True, False))}
-        gone = closed.union(changed)
+        touched = {*merge.touched, *((flag, b) for b in moved for flag in (True, False))}
         result = built.join(changed, key, "left_semi").select(*physical)
         inside = partition_in(spec, touched)
-        every = rows.drop(ACTION).unionByName(result)
+        every = merge.rows.drop(ACTION).unionByName(result)
         base = read_physical(spark, config, spec).where(inside)
         # Of customers that are not rebuilt only the open version is closed here; their history stays.
         rebuilt = changed.select(key, F.lit(True).alias("_rebuilt"))
-        ended = closed.select(key, F.lit(True).alias("_ended"))
+        ended = merge.closed.select(key, F.lit(True).alias("_ended"))
         left = base.join(rebuilt, key, "left").join(ended, key, "left")
         left = left.where(F.col("_rebuilt").isNull() & (F.col("_ended").isNull() | ~F.col("current"))).select(*physical)
-        publish(spark, config, spec, touched, left.unionByName(every.where(inside)), every.where(~inside))
+        replacing = left.unionByName(every.where(inside)) if touched else None
+        publish(spark, config, spec, touched, replacing, every.where(~inside), [(side, repeats)])
         return {a: n for a, n in counts.items() if n}
     finally:
-        for df in (changed, built, own):
+        for df in (changed, built, runs, own):
             df.unpersist()
 
 
@@ -341,23 +374,20 @@ def _publish_buckets(
     rows: DataFrame,
     gone: DataFrame,
     touched: set[tuple],
+    also: Sequence[tuple[TableSpec, DataFrame]] = (),
 ) -> None:
     """Stored rows of the touched buckets, less ``gone`` keys, with ``rows``; rows of other partitions are added."""
-    if rows.isEmpty():
+    if rows.isEmpty() and all(df.isEmpty() for _, df in also):
         return
     inside = partition_in(spec, touched)
     left = stored.where(inside).join(gone, list(spec.keys), "left_anti").select(*spec.physical_schema.names)
     replacing = left.unionByName(rows.where(inside)) if touched else None
-    publish(spark, config, spec, touched, replacing, rows.where(~inside))
-
-
-def _progress_path(config: JobConfig, spec: TableSpec) -> str:
-    return f"{config.layer_root(spec.layer)}/_progress/{spec.name}"
+    publish(spark, config, spec, touched, replacing, rows.where(~inside), also)
 
 
 def _progress(spark: SparkSession, config: JobConfig, spec: TableSpec) -> tuple[int, str] | None:
     """The latest delivery that a merge has been given: microseconds and file."""
-    path = _progress_path(config, spec)
+    path = progress_path(config, spec)
     if not files.exists(spark, path):
         return None
     moment, file = files.read_text(spark, path).split(" ", 1)
@@ -366,7 +396,7 @@ def _progress(spark: SparkSession, config: JobConfig, spec: TableSpec) -> tuple[
 
 def _set_progress(spark: SparkSession, config: JobConfig, spec: TableSpec, seen: tuple[int, str] | None, latest) -> None:
     if latest is not None and (seen is None or tuple(latest) > seen):
-        files.write_text(spark, _progress_path(config, spec), f"{latest[0]} {latest[1]}")
+        files.write_text(spark, progress_path(config, spec), f"{latest[0]} {latest[1]}")
 
 
 def _run(

@@ -1,0 +1,214 @@
+"""Publishing under leases: crashes, readers and second movers at every step."""
+
+import threading
+from collections import Counter
+
+import pytest
+from helpers import config
+from pyspark.sql import functions as F
+
+from tellerline import schemas
+from tellerline.sources import LeaseHeld, LeaseLost, PublishUnderway, consistent, files, publish, recover, settle
+from tellerline.sources.lease import Lease, lease_path
+from tellerline.sources.tables import read_physical, table_path
+
+SPEC, SIDE = schemas.SILVER_LOCATIONS, schemas.VISIT_KEYS
+#: What moving a publish into place does to files.
+STEPS = ("move_if_there", "remove_dir", "write_text")
+
+
+def rows(spark, ids, bank):
+    df = spark.createDataFrame([(i, bank, i % 3) for i in ids], "atm_id long, bank string, key_bucket int")
+    return df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in SPEC.physical_schema])
+
+
+def side_rows(spark, n):
+    return spark.createDataFrame([(None, 1, 0, n)], "transaction_dt date, words long, word long, bits long")
+
+
+def prepared(spark, cfg, ids, bank):
+    """Buckets 0 and 1 are replaced, rows of bucket 2 are added, a row of a side table as well."""
+    df = rows(spark, ids, bank)
+    inside = F.col("key_bucket") < 2
+    publish.prepare(spark, cfg, SPEC, [(0,), (1,)], df.where(inside), df.where(~inside), [(SIDE, side_rows(spark, len(bank)))])
+
+
+def stored(spark, cfg):
+    table = Counter((r.atm_id, r.bank) for r in read_physical(spark, cfg, SPEC).collect())
+    return table, Counter(r.bits for r in read_physical(spark, cfg, SIDE).collect())
+
+
+OLD = (Counter({(i, "old"): 1 for i in range(6)}), Counter({3: 1}))
+NEW = (Counter({**{(i, "newer"): 1 for i in (0, 1, 2, 4, 5)}, (2, "old"): 1, (5, "old"): 1}), Counter({3: 1, 5: 1}))
+
+
+def ready(spark, cfg):
+    prepared(spark, cfg, range(6), "old")
+    recover(spark, cfg, SPEC)
+    assert stored(spark, cfg) == OLD
+    prepared(spark, cfg, [0, 1, 2, 4, 5], "newer")
+    assert stored(spark, cfg) == OLD
+
+
+def hook(monkeypatch, act):
+    """Calls ``act(step number)`` before each step and after the last; returns the number of steps so far."""
+    count = [0]
+    for name in STEPS:
+        real = getattr(files, name)
+
+        def step(*args, real=real):
+            act(count[0])
+            count[0] += 1
+            return real(*args)
+
+        monkeypatch.setattr(files, name, step)
+    return count
+
+
+class Lost(BaseException):
+    """The driver is gone."""
+
+
+def steps_of_a_publish(spark, cfg, monkeypatch):
+    ready(spark, cfg)
+    with monkeypatch.context() as patch:
+        count = hook(patch, lambda k: None)
+        recover(spark, cfg, SPEC)
+    assert stored(spark, cfg) == NEW
+    return count[0]
+
+
+def test_a_driver_lost_at_any_step(spark, tmp_path, monkeypatch):
+    """Readers refuse and move nothing; the writer's next run ends with the new rows."""
+    steps = steps_of_a_publish(spark, config(str(tmp_path / "count")), monkeypatch)
+    assert steps > 8
+    for at in range(steps):
+        cfg = config(str(tmp_path / str(at)))
+        ready(spark, cfg)
+
+        def lose(k, at=at):
+            if k == at:
+                raise Lost
+
+        with monkeypatch.context() as patch:
+            hook(patch, lose)
+            with pytest.raises(Lost):
+                recover(spark, cfg, SPEC)
+        if publish._markers(spark, cfg, SPEC):
+            with monkeypatch.context() as patch:
+                moved = hook(patch, lambda k: None)
+                with pytest.raises(PublishUnderway):
+                    settle(spark, cfg, SPEC)
+                assert moved[0] == 0
+            assert recover(spark, cfg, SPEC)
+        assert stored(spark, cfg) == NEW, at
+        assert not recover(spark, cfg, SPEC)
+        settle(spark, cfg, SPEC)
+
+
+@pytest.mark.parametrize("further", [False, True])
+def test_a_second_mover_at_any_step(spark, tmp_path, monkeypatch, further):
+    """The owner pauses before a step; another takes the lease, finishes, and may publish again. No row is lost or doubled."""
+    steps = steps_of_a_publish(spark, config(str(tmp_path / "count")), monkeypatch)
+    last = (Counter({**{(i, "last"): 1 for i in (0, 1, 2)}, (2, "old"): 1, (5, "old"): 1, (2, "newer"): 1, (5, "newer"): 1}), Counter({3: 1, 4: 1, 5: 1}))
+    for at in range(0, steps, 2 if further else 1):
+        cfg = config(str(tmp_path / str(at)))
+        ready(spark, cfg)
+        entered = []
+
+        def meanwhile(k, at=at, cfg=cfg, entered=entered):
+            if k == at and not entered:
+                entered.append(k)
+                recover(spark, cfg, SPEC)
+                if further:
+                    prepared(spark, cfg, [0, 1, 2], "last")
+                    recover(spark, cfg, SPEC)
+
+        with monkeypatch.context() as patch:
+            hook(patch, meanwhile)
+            try:
+                recover(spark, cfg, SPEC)
+            except LeaseLost:
+                pass
+        recover(spark, cfg, SPEC)
+        assert stored(spark, cfg) == (last if further and entered else NEW), at
+
+
+def test_leases_exclude_each_other(spark, root):
+    cfg = config(root, publish_grace_seconds=0.5)
+    with Lease(spark, cfg, SPEC) as lease:
+        lease.renew()
+        files.freshen(spark, lease.path)
+        other = Lease(spark, config(root, publish_grace_seconds=30), SPEC)
+        other.seconds, waits = 30, []
+        taker = threading.Thread(target=lambda: waits.append(other.__enter__()))
+        taker.start()
+        taker.join(1)
+        assert not waits
+    taker.join(20)
+    assert waits == [other] and files.read_text(spark, lease_path(cfg, SPEC)) == other.owner
+    with pytest.raises(LeaseLost):
+        lease.renew()
+    other.__exit__(None, None, None)
+    assert not files.exists(spark, lease_path(cfg, SPEC))
+
+
+def test_only_an_abandoned_lease_is_taken_over(spark, root):
+    cfg = config(root, publish_grace_seconds=1.5)
+    left = Lease(spark, cfg, SPEC).__enter__()
+    left._renewed -= 1
+    left.renew()
+    assert files.age_seconds(spark, left.path) < 1
+    patient = Lease(spark, cfg, SPEC)
+    patient.__enter__()
+    with pytest.raises(LeaseLost):
+        left.renew()
+    left.__exit__(None, None, None)
+    patient.renew()
+    hasty = Lease(spark, cfg, SPEC)
+    hasty.seconds = 0.2
+    files.freshen(spark, patient.path)
+    keep = threading.Event()
+
+    def renewing():
+        while not keep.wait(0.05):
+            files.freshen(spark, patient.path)
+
+    owner = threading.Thread(target=renewing)
+    owner.start()
+    try:
+        with pytest.raises(LeaseHeld):
+            hasty.__enter__()
+    finally:
+        keep.set()
+        owner.join()
+    patient.renew()
+
+
+def test_files_are_listed_between_publishes(spark, root):
+    """A reader that lists files while a publish is finished lists them again."""
+    cfg = config(root)
+    ready(spark, cfg)
+    recover(spark, cfg, SPEC)
+    tries = []
+
+    def build():
+        df = read_physical(spark, cfg, SPEC)
+        tries.append(df)
+        if len(tries) == 1:
+            publish.publish(spark, cfg, SPEC, [(0,)], rows(spark, [0], "fresh"))
+        return df
+
+    df = consistent(spark, cfg, (SPEC,), build)
+    assert len(tries) == 2
+    assert {(r.atm_id, r.bank) for r in df.where("key_bucket = 0").collect()} == {(0, "fresh")}
+
+
+def test_small_files_are_gathered(spark, root, monkeypatch):
+    cfg = config(root)
+    monkeypatch.setattr(publish, "GATHERED_FILES", 3)
+    for n in range(5):
+        publish.gather_files(spark, cfg, SIDE)
+        publish.publish(spark, cfg, SIDE, (), None, side_rows(spark, n))
+    assert len(files.listed(spark, f"{table_path(cfg, SIDE)}/part-*")) == 3
+    assert Counter(r.bits for r in read_physical(spark, cfg, SIDE).collect()) == Counter(range(5))

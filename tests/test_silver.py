@@ -13,7 +13,7 @@ from tellerline import schemas
 from tellerline.functions.columns import key_bucket
 from tellerline.operators import conform, in_intervals, key_intervals, scd2_apply
 from tellerline.params import Stamp, TriggerMode
-from tellerline.sources import history, publish, read_table
+from tellerline.sources import history, read_table
 from tellerline.sources.tables import checkpoint_dir, ensure_buckets, read_physical
 from tellerline.streaming import prepare_locations, run_customers, run_locations, run_visits, silver
 
@@ -108,19 +108,6 @@ def test_deliveries_out_of_order(spark, root):
     assert table_rows(spark, cfg, VISITS, "amount", "transaction_dt") == {(0, dt.date(2024, 1, 1)): 1}
 
 
-def test_date_pruning_compares_the_batch_dates_only(spark, root):
-    cfg = config(root, prune_by_date=True)
-    for name, rows in (("1", [visit(1), visit(2)]), ("2", [visit(1), visit(2, day="2024-01-09")])):
-        stage(cfg, "atm_visits", name, rows)
-        ingest(spark, cfg, "atm_visits")
-        run_visits(spark, cfg, DAY1)
-    assert table_rows(spark, cfg, VISITS, "visit_id") == {(1,): 1, (2,): 1}
-    stage(cfg, "atm_visits", "3", [visit(2, day="2024-01-07")])
-    ingest(spark, cfg, "atm_visits")
-    run_visits(spark, cfg, DAY1)
-    assert table_rows(spark, cfg, VISITS, "visit_id") == {(1,): 1, (2,): 2}
-
-
 def test_locations_are_flattened_and_overwritten(spark, root):
     cfg = config(root)
     stage(cfg, "atm_locations", "1", [location(1), location(2), {"atm_id": 3, "bank": "x"}])
@@ -211,7 +198,7 @@ def test_a_small_batch_does_not_shuffle_the_stored_rows(spark, root, monkeypatch
     run_locations(spark, cfg, DAY1)
     seen = []
 
-    def published(spark_, cfg_, spec, touched, replacing, adding=None):
+    def published(spark_, cfg_, spec, touched, replacing, adding=None, also=()):
         seen.append((set(touched), replacing.count()))
 
     monkeypatch.setattr(silver, "publish", published)
@@ -307,46 +294,6 @@ def test_replayed_batches_change_nothing(spark, root):
     assert [table_rows(spark, cfg, s) for s in specs] == before
 
 
-@pytest.mark.parametrize("step", ["_replace_partition", "_add_file"])
-@pytest.mark.parametrize("done", [False, True])
-def test_interrupted_publish_is_finished_by_the_next_run(spark, root, monkeypatch, step, done):
-    """The driver is lost before or after a step of moving a publish into place."""
-    cfg = config(root)
-    batches = (
-        [customer(1), customer(2), customer(None, "nobody")],
-        [customer(1, "amy"), customer(3), customer(None, "noone")],
-    )
-    bronze = schemas.BRONZE_CUSTOMERS.schema
-
-    def batch(rows):
-        lines = spark.createDataFrame([(json.dumps(r),) for r in rows], "line string")
-        return lines.select(F.from_json("line", bronze).alias("r")).select("r.*")
-
-    silver.apply_customers(spark, cfg, batch(batches[0]), Stamp.at(DAY1))
-    write = getattr(publish, step)
-
-    def interrupted(*args):
-        if done:
-            write(*args)
-        raise KeyboardInterrupt
-
-    monkeypatch.setattr(publish, step, interrupted)
-    with pytest.raises(KeyboardInterrupt):
-        silver.apply_customers(spark, cfg, batch(batches[1]), Stamp.at(DAY2))
-    monkeypatch.undo()
-    assert publish.recover(spark, cfg, CUSTOMERS)
-    assert not publish.recover(spark, cfg, CUSTOMERS)
-    expected = {
-        (1, "ann", False, D1, D2): 1,
-        (1, "amy", True, D2, None): 1,
-        (2, "ann", True, D1, None): 1,
-        (3, "ann", True, D2, None): 1,
-        (None, "nobody", True, D1, None): 1,
-        (None, "noone", True, D2, None): 1,
-    }
-    assert table_rows(spark, cfg, CUSTOMERS, *VERSION) == expected
-
-
 def test_other_number_of_buckets_is_refused(spark, root):
     for cfg in (config(root), config(root)):
         ensure_buckets(spark, cfg, LOCATIONS)
