@@ -145,7 +145,8 @@ class JobConfig:
     less per row in larger batches. ``key_buckets``
     is fixed when a table is created: choose it so that one bucket of open
     dimension rows is a few hundred MB. A writer's lease on a table that was not renewed for ``publish_grace_seconds`` may
-    be taken over; a reader waits as long for a publish under way.
+    be taken over; a reader waits as long for a publish under way. ``change_rows`` keeps, beside each table that a
+    merge changes, the rows it took out and put in (for a fact, all rows a second time).
     """
 
     stage_root: str
@@ -162,6 +163,7 @@ class JobConfig:
     key_buckets: int = 64
     time_zone: str = "UTC"
     publish_grace_seconds: float = 120
+    change_rows: bool = False
 
     @classmethod
     def under(cls, root: str, **overrides) -> JobConfig:

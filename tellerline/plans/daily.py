@@ -81,10 +81,11 @@ def run_daily(
 
     visits, locations = consistent(spark, config, (schemas.SILVER_VISITS, schemas.SILVER_LOCATIONS), sources)
     summary = daily_by_bank(visits, locations, window, literal)
-    updates = conform(stamped(summary, Stamp.at(as_of).ts, "create_ts", "update_ts"), spec.schema)
+    stamp = Stamp.at(as_of)
+    updates = conform(stamped(summary, stamp.ts, "create_ts", "update_ts"), spec.schema)
     stored = read_partitions(spark, config, spec, window.days)
     merged = upsert_if_changed(stored, updates, spec.keys, TOTALS, literal=literal, labelled=True, drop_vanished=True)
-    counts = publish_labelled(spark, config, spec, merged)
+    counts = publish_labelled(spark, config, spec, merged, stored, stamp)
     record_run(spark, config, spec, "upsert_if_changed", counts)
     refresh_registered(spark, config, spec)
     return counts

@@ -48,12 +48,13 @@ def run_monthly(
     source = schemas.SILVER_VISITS
     visits = consistent(spark, config, (source,), lambda: read_partitions(spark, config, source, months))
     summary = monthly_by_customer(visits, window, literal)
-    updates = conform(stamped(summary, Stamp.at(as_of).ts, "create_ts", "update_ts"), spec.schema)
+    stamp = Stamp.at(as_of)
+    updates = conform(stamped(summary, stamp.ts, "create_ts", "update_ts"), spec.schema)
     stored = read_partitions(spark, config, spec, map(str, window_months(window, literal)))
     merged = upsert_if_changed(
         stored, updates, spec.keys, TOTALS, nullable_keys=("customer_id",), literal=literal, labelled=True, drop_vanished=True
     )
-    counts = publish_labelled(spark, config, spec, merged)
+    counts = publish_labelled(spark, config, spec, merged, stored, stamp)
     record_run(spark, config, spec, "upsert_if_changed", counts)
     refresh_registered(spark, config, spec)
     return counts

@@ -300,6 +300,12 @@ FROM ({_visits()}) v LEFT JOIN (SELECT DISTINCT atm_id, bank FROM ({_locations()
 SELECT customer_id, first_name, chain_last AS "current", DATE '2024-02-01' AS effective_date,
        CASE WHEN NOT chain_last THEN DATE '2024-02-01' END AS end_date FROM ({_CHAIN})""",
     "late_customer_delivery": _LATE,
+    "stream_visits_delivered_again": f"""
+SELECT visit_id, customer_id, amount, CAST(2 AS BIGINT) AS received, (SELECT COUNT(*) FROM events) AS merged FROM ({_visits()})""",
+    "customer_changes_replayed": f'SELECT * EXCLUDE (load_ts, update_ts) FROM ({_type2(with_history=False)})',
+    "stream_incremental_daily": _daily_by_bank("2024-01-01", "2024-01-30", _INSERT_ONLY).replace(
+        "n_name AS bank", "CASE WHEN s_nationkey < 5 THEN 'MERGED' ELSE n_name END AS bank"
+    ),
     "recovered_publish": _TYPE1.replace("2024-02-01", "2024-01-01").replace("2024-02-02", "2024-02-01"),
     "visits_held_by_key_filter": f"""
 SELECT visit_id, date AS transaction_dt FROM ({_visits(2)}) WHERE visit_id IN (SELECT visit_id FROM ({_visits(3)}))""",

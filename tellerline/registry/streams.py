@@ -15,8 +15,8 @@ from tellerline import schemas
 from tellerline.functions.columns import key_bucket
 from tellerline.operators import conform, upsert_latest
 from tellerline.params import DayWindow, JobConfig, MonthWindow, Stamp
-from tellerline.plans import run_daily, run_monthly
-from tellerline.registry.shapes import FIRST_FEED, SECOND_FEED, customer_deliveries, customers, locations, visits
+from tellerline.plans import run_daily, run_daily_incremental, run_monthly
+from tellerline.registry.shapes import FIRST_FEED, SECOND_FEED, customer_deliveries, customers, locations, moved_locations, visits
 from tellerline.session import scratch_dir
 from tellerline.sources import create_layer_tables, history, read_table, recover
 from tellerline.sources.publish import prepare
@@ -132,6 +132,49 @@ def recovered_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, config, spec)
 
 
+def customer_changes_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change rows of the second feed's merge, replayed over the table as it was before."""
+    config = replace(_config(spark, "changes"), change_rows=True)
+    spec = schemas.SILVER_CUSTOMERS
+    first, second = (customers(spark, sf_dir, factor) for factor in (FIRST_FEED, SECOND_FEED))
+    stamps = [F.lit(f"2024-01-0{d} 06:00:00").cast("timestamp") for d in (1, 2)]
+    batches = [rows.withColumns({"_ingest_ts": at, "_ingest_file": F.lit("feed")}) for rows, at in zip((first, second), stamps)]
+    apply_customers(spark, config, batches[0], Stamp.at(FIRST_DAY))
+    old = f"{config.silver_root}/before"
+    read_physical(spark, config, spec).write.parquet(old)
+    apply_customers(spark, config, batches[1], Stamp.at(SECOND_DAY))
+    changes = read_physical(spark, config, schemas.changes_of(spec)).where(F.col("_change_ts") == Stamp.at(SECOND_DAY).ts)
+    names = spec.physical_schema.names
+    taken, put = (changes.where(F.col(schemas.CHANGE_COLUMN) == kind).select(*names) for kind in (schemas.BEFORE, schemas.AFTER))
+    replayed = spark.read.parquet(old).select(*names).exceptAll(taken).unionByName(put)
+    return replayed.select(*spec.schema.names).drop("load_ts", "update_ts")
+
+
+def stream_incremental_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two feeds of visits over the same days, each summed from its change rows; between them banks merge."""
+    config = replace(_config(spark, "incremental"), change_rows=True)
+    feeds = ((FIRST_FEED, FIRST_DAY, locations), (SECOND_FEED, SECOND_DAY, moved_locations))
+    for factor, as_of, places in feeds:
+        _deliver(spark, config, "atm_visits", visits(spark, sf_dir, factor))
+        _deliver(spark, config, "atm_locations", places(spark, sf_dir))
+        run_visits(spark, config, as_of)
+        run_locations(spark, config, as_of)
+        run_daily_incremental(spark, config, as_of)
+    return read_table(spark, config, schemas.GOLD_DAILY).drop("create_ts", "update_ts")
+
+
+def stream_visits_delivered_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits delivered twice: the second delivery is dropped by the stream's state and never merged."""
+    config = _config(spark, "again")
+    for as_of in (FIRST_DAY, SECOND_DAY):
+        _deliver(spark, config, "atm_visits", visits(spark, sf_dir))
+        run_visits(spark, config, as_of, once_in="1 day")
+    merged = history(spark, config, schemas.SILVER_VISITS).agg(F.sum("input_rows")).first()[0]
+    received = read_table(spark, config, schemas.BRONZE_VISITS).groupBy("visit_id").agg(F.count(F.lit(1)).alias("received"))
+    stored = read_table(spark, config, schemas.SILVER_VISITS).select("visit_id", "customer_id", "amount")
+    return stored.join(received, "visit_id").withColumn("merged", F.lit(merged))
+
+
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged locations, each beside a line that does not parse: the lines that were split off."""
     config = _config(spark, "quarantine")
@@ -202,6 +245,9 @@ STREAMS = (
     stream_silver_customers_versions,
     late_customer_delivery,
     recovered_publish,
+    customer_changes_replayed,
+    stream_incremental_daily,
+    stream_visits_delivered_again,
     stream_quarantine,
     catalog_daily_by_bank,
     stream_run_log,

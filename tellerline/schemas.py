@@ -227,7 +227,37 @@ LAYER_TABLES = {
     "gold": (GOLD_DAILY, GOLD_MONTHLY),
 }
 
-SIDE_TABLES = {SILVER_VISITS.name: (VISIT_KEYS,), SILVER_CUSTOMERS.name: (CUSTOMER_REPEATS,)}
+# Totals of a day and ATM with how many amounts they are made of, so that amounts can be taken back.
+DAILY_BY_ATM = TableSpec(
+    "gold",
+    "daily_by_atm",
+    _struct(
+        ("transaction_dt", "date"),
+        ("atm_id", "long"),
+        ("visits", "long"),
+        ("total_withdrawls", "long"),
+        ("n_withdrawls", "long"),
+        ("total_deposits", "long"),
+        ("n_deposits", "long"),
+    ),
+    partition_by=("transaction_dt",),
+    keys=("transaction_dt", "atm_id"),
+)
+
+# Which batches of changes those totals hold.
+DAILY_BATCHES = TableSpec("gold", "daily_by_atm_batches", _struct(("query_id", "string"), ("batch_id", "long")))
+
+CHANGE_COLUMN = "_change"
+BEFORE, AFTER = "before", "after"
+
+
+def changes_of(spec: TableSpec) -> TableSpec:
+    """The side table that holds what merges took out of a table and put into it."""
+    schema = StructType(list(spec.physical_schema.fields)).add(CHANGE_COLUMN, "string").add("_change_ts", "timestamp")
+    return TableSpec(spec.layer, f"{spec.name}_changes", schema)
+
+
+SIDE_TABLES = {SILVER_VISITS.name: (VISIT_KEYS,), SILVER_CUSTOMERS.name: (CUSTOMER_REPEATS,), GOLD_DAILY.name: (DAILY_BY_ATM, DAILY_BATCHES)}
 
 # Columns whose change opens a new customer version. checking_savings and
 # customer_since_date are deliberately not among them.

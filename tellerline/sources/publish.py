@@ -17,15 +17,16 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tellerline.operators.conform import assert_schema
-from tellerline.operators.merge import ACTION, DELETE, KEEP
-from tellerline.params import JobConfig
-from tellerline.schemas import TableSpec
+from tellerline.operators.conform import assert_schema, conform
+from tellerline.operators.merge import ACTION, DELETE, INSERT, KEEP, UPDATE
+from tellerline.params import JobConfig, Stamp
+from tellerline.schemas import AFTER, BEFORE, CHANGE_COLUMN, TableSpec, changes_of
 from tellerline.sources import files
 from tellerline.sources.lease import Lease
 from tellerline.sources.tables import partition_folder, partition_in, pending_path, read_physical, table_path
@@ -173,14 +174,31 @@ def consistent(spark: SparkSession, config: JobConfig, specs: Sequence[TableSpec
             return result
 
 
+def change_rows(config: JobConfig, spec: TableSpec, stamp: Stamp, before: DataFrame | None, after: DataFrame | None) -> list[tuple[TableSpec, DataFrame]]:
+    """What a merge takes out of a table and puts into it, to be published along with it; nothing unless ``config`` asks for it.
+
+    The table's rows, less all that was ever taken out, with all that was put in, are the table's later rows.
+    """
+    if not config.change_rows:
+        return []
+    other, every = changes_of(spec), None
+    for rows, kind in ((before, BEFORE), (after, AFTER)):
+        if rows is not None:
+            part = rows.select(*spec.physical_schema.names, F.lit(kind).alias(CHANGE_COLUMN), stamp.ts.alias("_change_ts"))
+            every = part if every is None else every.unionByName(part)
+    return [(other, conform(every, other.schema))]
+
+
 def gather_files(spark: SparkSession, config: JobConfig, spec: TableSpec) -> None:
     """Few files of many, for a table without partitions that is added to in small steps."""
     if len(files.listed(spark, f"{table_path(config, spec)}/part-*")) >= GATHERED_FILES:
         publish(spark, config, spec, [()], read_physical(spark, config, spec))
 
 
-def publish_labelled(spark: SparkSession, config: JobConfig, spec: TableSpec, merged: DataFrame) -> dict[str, int]:
-    """Store a labelled merge result that holds whole partitions; returns the number of rows per action.
+def publish_labelled(
+    spark: SparkSession, config: JobConfig, spec: TableSpec, merged: DataFrame, stored: DataFrame, stamp: Stamp, also: Sequence[tuple[TableSpec, DataFrame]] = ()
+) -> dict[str, int]:
+    """Store a labelled merge result that holds whole partitions of ``stored``; returns the number of rows per action.
 
     Only partitions with a change are written. What is collected is a row per
     partition and action.
@@ -193,9 +211,13 @@ def publish_labelled(spark: SparkSession, config: JobConfig, spec: TableSpec, me
             counts[action] = counts.get(action, 0) + n
             if action != KEEP:
                 touched.add(tuple(values))
-        if touched:
+        if touched or also:
             kept = merged.where((F.col(ACTION) != DELETE) & partition_in(spec, touched)).drop(ACTION)
-            publish(spark, config, spec, touched, kept)
+            gone = merged.where(F.col(ACTION).isin(UPDATE, DELETE)).select(*[F.col(k).alias(f"_{k}") for k in spec.keys])
+            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in spec.keys])
+            after = merged.where(F.col(ACTION).isin(UPDATE, INSERT))
+            changes = change_rows(config, spec, stamp, stored.join(gone, same, "left_semi"), after)
+            publish(spark, config, spec, touched, kept if touched else None, None, [*also, *changes])
         return counts
     finally:
         merged.unpersist()

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tellerline.params import JobConfig
-from tellerline.schemas import LAYER_TABLES, SIDE_TABLES, TableSpec
+from tellerline.schemas import LAYER_TABLES, SIDE_TABLES, TableSpec, changes_of
 from tellerline.sources import files
 
 # How a partition folder spells NULL.
@@ -91,7 +91,8 @@ def create_layer_tables(spark: SparkSession, config: JobConfig, layer: str, rese
             if stored != name:
                 spark.sql(f"DROP VIEW IF EXISTS {name}")
             spark.sql(f"DROP TABLE IF EXISTS {stored}")
-            for own in (spec, *(SIDE_TABLES.get(spec.name, ()) if layer == "silver" else ())):
+            beside = SIDE_TABLES.get(spec.name, ()) if layer != "bronze" else ()
+            for own in (spec, changes_of(spec), *beside):
                 files.remove_dir(spark, table_path(config, own))
                 files.remove_dir(spark, pending_path(config, own))
                 files.remove_dir(spark, progress_path(config, own))

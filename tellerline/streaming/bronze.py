@@ -8,15 +8,18 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.types import StructType
 
+from tellerline.operators.conform import conform
 from tellerline.operators.merge import INSERT
 from tellerline.params import JobConfig, TriggerMode
 from tellerline.schemas import CORRUPT_COLUMN, LAYER_TABLES, TableSpec, staged_schema
 from tellerline.session import require_time_zone
 from tellerline.sources import files
 from tellerline.sources.audit import record_run
+from tellerline.sources.publish import publish, recover
 from tellerline.sources.staged import read_staged
-from tellerline.sources.tables import checkpoint_dir, refresh_registered, table_path
+from tellerline.sources.tables import checkpoint_dir, read_physical, refresh_registered, table_path
 
 _POLL_SECONDS = 5.0
 
@@ -70,20 +73,20 @@ def run_stage_to_bronze(
     """Append new staged rows to the bronze table, by default of the same name.
 
     With ``quarantine=True`` lines that do not parse go to a folder of their own
-    with their text. That is a second query with its own checkpoint, so both
-    outputs stay exactly-once. A run that ends is logged as a whole, one that is left running by micro-batch.
+    with their text. Staged files are read once for both; a micro-batch's rows, its rejected lines and a note
+    that it was stored are published in one step, so a batch that is run again adds nothing. A table is fed one way or the
+    other from its first row on. A run that ends is logged as a whole, one that is left running by micro-batch.
     """
     require_time_zone(spark, config.time_zone)
     spec = bronze_spec(folder, table)
     path = table_path(config, spec)
     files.make_dir(spark, f"{config.stage_root}/{folder}")
     rows = read_staged(spark, config.stage_root, folder, config.max_files_per_trigger, quarantine)
-    if quarantine:
-        broken = rows.where(F.col(CORRUPT_COLUMN).isNotNull())
-        rejected = _append(config, broken, quarantine_path(config, spec.name), (), f"{spec.name}-quarantine", folder)
-        await_query(rejected, config, timeout)
-        rows = rows.where(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
-    query = _append(config, rows, path, spec.partition_by, spec.name, folder)
+    # A file sink's own list hides files that others put there, and a new list hides those of before.
+    listed = files.exists(spark, f"{path}/_spark_metadata")
+    if listed == quarantine and (listed or files.matches(spark, f"{path}{'/*' * len(spec.partition_by)}/part-*")):
+        raise ValueError(f"{path} was written with{'out' if quarantine else ''} quarantine; the same must hold for every run")
+    query = _split(config, rows, spec, folder) if quarantine else _append(config, rows, path, spec.partition_by, spec.name, folder)
     if config.trigger_mode is TriggerMode.STREAMING:
         spark.streams.addListener(_RunLog(spark, config, spec, query.id))
         await_query(query, config, timeout)
@@ -110,6 +113,44 @@ def _append(
     return (writer.partitionBy(*partition_by) if partition_by else writer).start()
 
 
+def quarantine_spec(spec: TableSpec) -> TableSpec:
+    """Lines of a bronze table's staged files that do not parse."""
+    schema = StructType(list(spec.schema.fields)).add(CORRUPT_COLUMN, "string")
+    return TableSpec("bronze", f"quarantine/{spec.name}", schema)
+
+
+def batches_spec(spec: TableSpec) -> TableSpec:
+    """Which micro-batches a bronze table holds."""
+    return TableSpec("bronze", f"{spec.name}_batches", StructType().add("query_id", "string").add("batch_id", "long"))
+
+
+def _split(config: JobConfig, rows: DataFrame, spec: TableSpec, folder: str) -> StreamingQuery:
+    """Rows to the table and lines that do not parse beside it, from one reading of each micro-batch."""
+    rejects, batches = quarantine_spec(spec), batches_spec(spec)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        recover(session, config, spec)
+        query_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not read_physical(session, config, batches).where((F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)).isEmpty():
+            return
+        batch.persist()
+        try:
+            good, broken = (batch.where(test) for test in (F.col(CORRUPT_COLUMN).isNull(), F.col(CORRUPT_COLUMN).isNotNull()))
+            mark = session.range(1).select(F.lit(query_id).alias("query_id"), F.lit(batch_id).cast("long").alias("batch_id"))
+            also = [(rejects, conform(broken, rejects.schema)), (batches, mark)]
+            publish(session, config, spec, (), None, conform(good, spec.schema), also)
+        finally:
+            batch.unpersist()
+
+    return (
+        rows.writeStream.foreachBatch(on_batch)
+        .option("checkpointLocation", checkpoint_dir(config, "stage-bronze", folder, f"{spec.name}-split"))
+        .trigger(**config.trigger_mode.options)
+        .start()
+    )
+
+
 def _gathered(config: JobConfig, rows: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
     """A partition's rows of a micro-batch in one task, and so in one file, or in several if the files are large.
 
@@ -123,7 +164,7 @@ def _gathered(config: JobConfig, rows: DataFrame, partition_by: tuple[str, ...])
 
 
 class _RunLog(StreamingQueryListener):
-    """Logs every micro-batch of one query that is left running."""
+    """Logs every micro-batch of one query that is left running, and shows it to the catalog; goes when the query ends."""
 
     def __init__(self, spark: SparkSession, config: JobConfig, spec: TableSpec, query_id: str):
         self.spark, self.config, self.spec, self.query_id = spark, config, spec, query_id
@@ -136,9 +177,11 @@ class _RunLog(StreamingQueryListener):
         if str(done.id) == self.query_id and done.numInputRows:
             counts = {INSERT: done.numInputRows}
             record_run(self.spark, self.config, self.spec, "append", counts, self.query_id, done.batchId, done.numInputRows)
+            refresh_registered(self.spark, self.config, self.spec)
 
     def onQueryIdle(self, event) -> None:  # noqa: N802
         pass
 
     def onQueryTerminated(self, event) -> None:  # noqa: N802
-        pass
+        if str(event.id) == self.query_id:
+            self.spark.streams.removeListener(self)

@@ -28,7 +28,7 @@ from tellerline.schemas import BUCKET_COLUMN, TableSpec
 from tellerline.session import require_time_zone
 from tellerline.sources import files
 from tellerline.sources.audit import record_run
-from tellerline.sources.publish import gather_files, publish, recover
+from tellerline.sources.publish import change_rows, gather_files, publish, recover
 from tellerline.sources.tables import (
     NULL_PARTITION,
     checkpoint_dir,
@@ -96,8 +96,8 @@ def apply_visits(spark: SparkSession, config: JobConfig, batch: DataFrame, stamp
         # Bounded by the number of calendar days.
         dates = {r[0] for r in earlier.select("t.transaction_dt").distinct().collect()}
         if not dates:
-            keys = key_fragments(new, key, "transaction_dt")
-            return {"input": size, INSERT: publish(spark, config, spec, (), None, new, [(schemas.VISIT_KEYS, keys)])}
+            beside = [(schemas.VISIT_KEYS, key_fragments(new, key, "transaction_dt")), *change_rows(config, spec, stamp, None, new)]
+            return {"input": size, INSERT: publish(spark, config, spec, (), None, new, beside)}
         late = earlier.select("u.*").persist()
         try:
             kept = read_partitions(spark, config, spec, _folders(dates), hidden=True)
@@ -107,7 +107,8 @@ def apply_visits(spark: SparkSession, config: JobConfig, batch: DataFrame, stamp
             replacing = kept.join(late.select(key), key, "left_anti").select(*kept.columns).unionByName(every.where(inside))
             counts = {"input": size, INSERT: new.count(), UPDATE: late.count()}
             keys = key_fragments(every, key, "transaction_dt")
-            publish(spark, config, spec, touched, replacing, every.where(~inside), [(schemas.VISIT_KEYS, keys)])
+            changes = change_rows(config, spec, stamp, kept.join(late.select(key), key, "left_semi").select(*kept.columns), every)
+            publish(spark, config, spec, touched, replacing, every.where(~inside), [(schemas.VISIT_KEYS, keys), *changes])
             return counts
         finally:
             late.unpersist()
@@ -155,7 +156,8 @@ def apply_locations(spark: SparkSession, config: JobConfig, batch: DataFrame, st
         try:
             counts, touched = _tally(changed)
             rows = changed.where(F.col(ACTION) != KEEP).drop(ACTION)
-            _publish_buckets(spark, config, spec, stored, rows, rows.select(key), touched)
+            changes = change_rows(config, spec, stamp, stored.join(rows.select(key), key, "left_semi"), rows)
+            _publish_buckets(spark, config, spec, stored, rows, rows.select(key), touched, changes)
             return {"input": sum(sizes.values()), **counts}
         finally:
             changed.unpersist()
@@ -230,7 +232,8 @@ def apply_customers(
         rows = changed.where(F.col(ACTION) != KEEP)
         closed = rows.where(F.col(ACTION) == CLOSE).select(key)
         if late.isEmpty():
-            _publish_buckets(spark, config, spec, opened, rows.drop(ACTION), closed, touched, [(schemas.CUSTOMER_REPEATS, repeats)])
+            changes = change_rows(config, spec, stamp, opened.join(closed, key, "left_semi"), rows)
+            _publish_buckets(spark, config, spec, opened, rows.drop(ACTION), closed, touched, [(schemas.CUSTOMER_REPEATS, repeats), *changes])
         else:
             merge = _Merge(rows, closed, touched, counts, repeats)
             counts = _splice(spark, config, stamp, updates.join(late, key, "left_semi"), late, merge, first_effective, null_safe)
@@ -328,7 +331,10 @@ def _splice(
         left = base.join(rebuilt, key, "left").join(ended, key, "left")
         left = left.where(F.col("_rebuilt").isNull() & (F.col("_ended").isNull() | ~F.col("current"))).select(*physical)
         replacing = left.unionByName(every.where(inside)) if touched else None
-        publish(spark, config, spec, touched, replacing, every.where(~inside), [(side, repeats)])
+        before = base.join(rebuilt, key, "left").join(ended, key, "left")
+        before = before.where(F.col("_rebuilt").isNotNull() | (F.col("_ended").isNotNull() & F.col("current"))).select(*physical)
+        changes = change_rows(config, spec, stamp, before, every)
+        publish(spark, config, spec, touched, replacing, every.where(~inside), [(side, repeats), *changes])
         return {a: n for a, n in counts.items() if n}
     finally:
         for df in (changed, built, runs, own):
@@ -408,6 +414,7 @@ def _run(
     step: BatchStep,
     as_of: dt.datetime | None,
     timeout: float | None,
+    within: str | None = None,
 ) -> StreamingQuery:
     require_time_zone(spark, config.time_zone)
 
@@ -425,8 +432,9 @@ def _run(
         refresh_registered(session, config, target)
 
     names = qualified_name(config, source), qualified_name(config, target)
+    rows = stream_table(spark, config, source)
     query = (
-        stream_table(spark, config, source)
+        (once_within(rows, target.keys[0], within) if within else rows)
         .writeStream.foreachBatch(on_batch)
         .outputMode("update")
         .option("checkpointLocation", checkpoint_dir(config, "bronze-silver", *names))
@@ -437,12 +445,28 @@ def _run(
     return query
 
 
+def once_within(rows: DataFrame, key: str, within: str) -> DataFrame:
+    """A stream's rows, but of those of one key that arrive within a time of each other only the first. Rows without a key all stay."""
+    own = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("none "), F.expr("uuid()")))
+    watched = rows.withColumn("_key", own).withWatermark(INGEST_ORDER[0], within)
+    return watched.dropDuplicatesWithinWatermark(["_key"]).drop("_key")
+
+
 def run_visits(
-    spark: SparkSession, config: JobConfig, as_of: dt.datetime | None = None, timeout: float | None = None
+    spark: SparkSession,
+    config: JobConfig,
+    as_of: dt.datetime | None = None,
+    timeout: float | None = None,
+    once_in: str | None = None,
 ) -> StreamingQuery:
-    return _run(
-        spark, config, schemas.BRONZE_VISITS, schemas.SILVER_VISITS, "insert_if_absent", apply_visits, as_of, timeout
-    )
+    """``once_in``, such as ``"2 days"``, drops visits that come again within that time before the merge sees them.
+
+    Their keys are then kept in the query's state for as long. A delivery that is dropped is not
+    compared with the stored one, so this is for feeds that deliver again what they delivered before; later than that
+    the merge finds it. The option holds for a checkpoint from its first run on.
+    """
+    source, target = schemas.BRONZE_VISITS, schemas.SILVER_VISITS
+    return _run(spark, config, source, target, "insert_if_absent", apply_visits, as_of, timeout, once_in)
 
 
 def run_locations(
