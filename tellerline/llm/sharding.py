@@ -118,7 +118,8 @@ def thresholds(groups: DataFrame, shards: int) -> list[int]:
         unsure = line.unsure(low, high, shards)
         if low == high or not unsure:
             break
-        kept = [r for r in line.ranges if r not in set(unsure)]
+        split = set(unsure)
+        kept = [r for r in line.ranges if r not in split]
         for bits in sorted({r.bits for r in unsure}):
             kept += ranges_of(groups, min(64, bits + MORE_BITS), [r for r in unsure if r.bits == bits])
         line = Line(kept)
