@@ -5,14 +5,16 @@ beginnings. They are combined by noisy-or, and only the documents' labels teach
 the model; the sentences that make a document toxic are then found by their own scores.
 
 Every clean sentence leaves a little probability, which over thousands of them adds up to
-any score. So in scoring only sentences that offend by themselves are combined; a
-document without one has the probability of its strongest sentence, however long it is.
+any score. So a floor is learned: the margin that hardly a sentence of clean documents exceeds, measured
+on documents that the weights were not learned from. Sentences at or over it are combined by noisy-or, whether they offend by
+themselves or only together; those below add nothing, and a document without any other has the
+probability of its strongest sentence, however long it is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tellerline.llm.common import blocks, text_bytes
+from tellerline.llm.common import blocks, text_bytes, unused
 from tellerline.llm.hashing import KIND, Spans, mixed, slots, tokens
 from tellerline.llm.linear import sigmoid, training_sample
 
@@ -30,7 +32,11 @@ THRESHOLD = 0.5
 SENTENCE_THRESHOLD = 0.5
 #: Word beginnings of so many bytes are features beside whole words.
 PREFIXES = (3, 4, 5, 6)
-TRAIN_ROWS = 5_000
+#: Documents that teach; one in ``FLOOR_PART`` of them is kept for the floor.
+TRAIN_ROWS = 6_000
+FLOOR_PART = 6
+#: The share of sentences of clean documents that may lie at or over the floor.
+FLOOR_SHARE = 1e-4
 BIAS = -5.0
 
 ENDS = np.zeros(256, bool)
@@ -74,15 +80,35 @@ def sentence_features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray,
 class SentenceModel:
     weights: np.ndarray
     bias: float
+    floor: float = 0.0
 
     def sentence_margins(self, at: np.ndarray, slot: np.ndarray, n: int) -> np.ndarray:
         return self.bias + np.bincount(at, self.weights[slot], n)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = FOLDS) -> SentenceModel:
-    """Learns from the labels of a bounded sample of documents outside fold 0."""
+    """Learns from the labels of a bounded sample of documents outside fold 0; the sample is in an order by hash."""
     sample = training_sample(docs, labels, label, folds, TRAIN_ROWS)
-    return learn(sample["text"].combine_chunks(), sample["y"].to_numpy())
+    texts, y = sample["text"].combine_chunks(), sample["y"].to_numpy()
+    kept = len(y) // FLOOR_PART
+    model = learn(texts[kept:], y[kept:])
+    clean = texts[:kept].filter(pa.array(y[:kept] == 0))
+    return replace(model, floor=floor_of(model, clean))
+
+
+def floor_of(model: SentenceModel, clean: pa.Array) -> float:
+    """The margin that all but ``FLOOR_SHARE`` of the sentences of clean texts stay below; at most that of an even chance."""
+    data, bounds = text_bytes(clean)
+    found = [np.zeros(0)]
+    for block, edges, _, _ in blocks(data, bounds):
+        opens, at, slot = sentence_features(block, edges)
+        has = np.bincount(at, minlength=len(opens)) > 0
+        found.append(model.sentence_margins(at, slot, len(opens))[has])
+    margins = np.sort(np.concatenate(found))
+    if not len(margins):
+        return 0.0
+    over = int(FLOOR_SHARE * len(margins))
+    return min(0.0, float(np.nextafter(margins[len(margins) - 1 - over], np.inf)))
 
 
 def learn(texts: pa.Array, y: np.ndarray, alpha: float = 3.0, beta: float = 1.0, l1: float = 1.0, l2: float = 0.02, passes: int = 4) -> SentenceModel:
@@ -132,7 +158,7 @@ def learn(texts: pa.Array, y: np.ndarray, alpha: float = 3.0, beta: float = 1.0,
 def judged(texts: pa.Array, model: SentenceModel, sentence_threshold: float) -> tuple[np.ndarray, pa.Array]:
     """Document scores, and byte spans with scores of the sentences at or over the threshold."""
     data, bounds = text_bytes(texts)
-    clean = np.zeros(len(texts))  # log of the probability that none of the offending sentences does
+    clean = np.zeros(len(texts))  # log of the probability that none of the sentences over the floor offends
     strongest = np.full(len(texts), -np.inf)  # margin
     spans: list[tuple[np.ndarray, ...]] = []
     for block, edges, rows, base in blocks(data, bounds):
@@ -143,7 +169,8 @@ def judged(texts: pa.Array, model: SentenceModel, sentence_threshold: float) ->
         row = rows[np.searchsorted(edges, opens, side="right") - 1]
         np.maximum.at(strongest, row[has], margin[has])
         bad = has & (sigmoid(margin) >= sentence_threshold)
-        clean -= np.bincount(row[bad], np.logaddexp(0, margin[bad]), len(texts))
+        told = bad | (has & (margin >= model.floor))
+        clean -= np.bincount(row[told], np.logaddexp(0, margin[told]), len(texts))
         origin = base - bounds[row[bad]]
         spans.append((row[bad], opens[bad] + origin, ends[bad] + origin, sigmoid(margin[bad])))
     row, start, end, own = (np.concatenate(x) for x in zip(*spans, strict=True)) if spans else [np.zeros(0)] * 4
@@ -169,11 +196,12 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
     """``docs`` with ``score``, ``predicted`` and ``offending`` in place of any such columns.
 
     ``offending`` lists the sentences (byte spans) that are themselves at or over
-    the sentence threshold; ``score`` is their noisy-or, or else the probability of the
-    strongest sentence, so that it does not rise with the length of a clean text. Null texts and texts without words score 0. Without
+    the sentence threshold; ``score`` is the noisy-or of these and all others over the learned floor, or else the probability of the
+    strongest sentence, so that it does not rise with the length of a clean text. Texts of any length are read in bounded blocks. Null texts and texts without words score 0. Without
     labelled documents the model is its starting bias. Rows are neither dropped nor merged.
     """
     model = fit(docs, labels)
-    out = docs.withColumn("_judged", judge_udf(model)(F.col("text")))
-    out = out.withColumn("score", F.col("_judged.score")).withColumn("offending", F.col("_judged.offending"))
-    return out.withColumn("predicted", (F.col("score") >= threshold).cast("int")).drop("_judged")
+    own = unused(docs, "_judged")
+    out = docs.withColumn(own, judge_udf(model)(F.col("text")))
+    out = out.withColumn("score", F.col(f"{own}.score")).withColumn("offending", F.col(f"{own}.offending"))
+    return out.withColumn("predicted", (F.col("score") >= threshold).cast("int")).drop(own)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tellerline.llm import linear, quality_classifier, quality_rules, toxicity
 from tellerline.llm.common import blocks, fold_of, text_bytes
+from tellerline.llm.hashing import BASE, MIX
 
 SF = "/root/testdata/sf0.01"
 EDGES = [(9001, None), (9002, ""), (9003, " \n"), (9004, "word"), (9005, "lorem " * 120_000), (None, "no id"), (9004, "word")]
@@ -155,6 +156,111 @@ def test_long_clean_texts_stay_clean(tables):
         assert not spans[0].as_py() and spans[1].as_py()
 
 
+def plain_features(sentence):
+    """Slots of a sentence's words and of their beginnings, one byte string at a time."""
+
+    def hashed(part):
+        h = sum((b + 1) * pow(BASE, i, 1 << 64) for i, b in enumerate(part)) % (1 << 64)
+        return h
+
+    def mix(h):
+        return ((h ^ (h >> 32)) * int(MIX)) % (1 << 64)
+
+    out = set()
+    for word in re.findall(rb"[A-Za-z\x80-\xff]+", sentence):
+        word = bytes(b + 32 if 65 <= b <= 90 else b for b in word)
+        out.add(mix(hashed(word)) >> (64 - toxicity.BITS))
+        for n in toxicity.PREFIXES:
+            if len(word) > n:
+                out.add(mix((mix(hashed(word[:n])) + n) % (1 << 64)) >> (64 - toxicity.BITS))
+    return out
+
+
+def plain_sentences(text):
+    return [s for s in re.split(rb"(?<=\n)|(?<=[.!?](?=[ \t\n\x0b\x0c\r]))", text.encode()) if s]
+
+
+TOXIC_TEXTS = ["Ein Wort. noch eins! Über alles?\nneue Zeile", "x", "a.b c.d e. f", "Tab.\tdanach 12 Zahlen 3.5 und-Strich", "  . ! \n\n", "é" * 9 + " ganz"]
+
+
+def test_sentence_features_equal_a_plain_version():
+    for text in TOXIC_TEXTS:
+        data, bounds = text_bytes(pa.array([text]))
+        opens, at, slot = toxicity.sentence_features(data, bounds)
+        found = [set(slot[at == k].tolist()) for k in range(len(opens))]
+        assert [f for f in found if f] == [f for f in map(plain_features, plain_sentences(text)) if f]
+
+
+def test_training_equals_the_plain_update():
+    """Follow the regularised leader on the noisy-or loss, slot by slot, over the plain features."""
+    rng = random.Random(3)
+    texts = [". ".join(" ".join(rng.choice(["gut", "boese", "haus", "baum", "strasse"]) for _ in range(3)) for _ in range(rng.randint(1, 4))) for _ in range(25)]
+    y = [int("boese boese" in t) for t in texts]
+    alpha, beta, l1, l2, passes = 3.0, 1.0, 1.0, 0.02, 2
+    z, n = Counter({"bias": -toxicity.BIAS * (beta / alpha + l2)}), Counter()
+
+    def weight(k):
+        own = 0.0 if k == "bias" else l1
+        return 0.0 if abs(z[k]) <= own else (np.sign(z[k]) * own - z[k]) / ((beta + np.sqrt(n[k])) / alpha + l2)
+
+    for _ in range(passes):
+        for text, label in zip(texts, y):
+            bags = [plain_features(s) for s in plain_sentences(text)]
+            margins = [weight("bias") + sum(weight(k) for k in bag) for bag in bags]
+            p = [1 / (1 + np.exp(-m)) for m in margins]
+            if label:
+                s = sum(np.logaddexp(0, m) for m in margins)
+                p = [-q / max(np.expm1(min(s, 50.0)), 1e-6) for q in p]
+            gradient = Counter({"bias": sum(p)})
+            for q, bag in zip(p, bags):
+                for k in bag:
+                    gradient[k] += q
+            weights = {k: weight(k) for k in gradient}
+            for k, g in gradient.items():
+                g = min(5.0, max(-5.0, g))
+                z[k] += g - (np.sqrt(n[k] + g * g) - np.sqrt(n[k])) / alpha * weights[k]
+                n[k] += g * g
+    model = toxicity.learn(pa.array(texts), np.array(y), passes=passes)
+    assert abs(model.bias - weight("bias")) < 1e-6
+    assert np.flatnonzero(model.weights).tolist() == sorted(k for k in n if k != "bias" and weight(k))
+    for k in n:
+        assert k == "bias" or abs(model.weights[k] - weight(k)) < 1e-5
+
+
+def scoring_model(margins, floor):
+    """A model that gives single words these margins."""
+    weights = np.zeros(1 << toxicity.BITS, np.float32)
+    for word, margin in margins.items():
+        (slot,) = plain_features(word.encode())
+        weights[slot] = margin
+    return toxicity.SentenceModel(weights, 0.0, floor)
+
+
+def test_half_offending_sentences_decide_together():
+    """Three sentences of 0.45 are toxic by noisy-or, many below the floor are not."""
+    half, low = np.log(0.45 / 0.55), np.log(0.05 / 0.95)
+    model = scoring_model({"ab": half, "cd": low, "ef": 1.0}, floor=np.log(0.2 / 0.8))
+    texts = ["ab.", "ab. ab. ab.", "ab. " + "cd. " * 5000, "cd. " * 5000, "cd. ef. ab.", "", None]
+    score, spans = toxicity.judged(pa.array(texts), model, 0.5)
+    e = 1 / (1 + np.exp(-1.0))
+    assert np.allclose(score, [0.45, 1 - 0.55**3, 0.45, 0.05, 1 - (1 - e) * 0.55, 0, 0], atol=1e-6)
+    assert [len(s) for s in spans.to_pylist()] == [0, 0, 0, 0, 1, 0, 0]
+
+
+def test_floor_is_what_clean_sentences_stay_below():
+    model = scoring_model({"ab": -1.0, "cd": -3.0, "ef": 2.0}, 0.0)
+    assert toxicity.floor_of(model, pa.array(["cd. " * 30_000, "ab."])) == pytest.approx(np.float32(-3.0))
+    assert toxicity.floor_of(model, pa.array(["cd. " * 3_000, "ab."])) == pytest.approx(-1.0)
+    assert toxicity.floor_of(model, pa.array(["ef."])) == 0.0
+    assert toxicity.floor_of(model, pa.array([], pa.string())) == toxicity.floor_of(model, pa.array([" . "])) == 0.0
+
+
+def test_callers_columns_of_any_name_stay(spark, labels):
+    rows = spark.createDataFrame([(1, "a b", "x", "y")], "doc_id long, text string, _judged string, _JUDGED_ string")
+    out = toxicity.scored(rows, labels([]))
+    assert out.columns[:4] == rows.columns and out.first()["_judged"] == "x"
+
+
 def test_labels_of_documents_teach_which_sentence_offends():
     rng = random.Random(4)
     words = [f"{a}{b}" for a in ("ka", "lo", "mi", "tu") for b in ("ren", "sol", "vak", "zim")]
