@@ -5,21 +5,27 @@ but pass it are held by level 2, listed keys that pass level 2 by level 3, and s
 on until none is left. The first level that a key fails tells whether it is
 listed; as the levels were built over every key that occurs, the answer is exact
 for each, without a join. Bits are counted, set and tested by SQL functions alone.
+
+A level lets about as many wrong keys pass as it holds right ones, so the next one is no larger. Keys of a long
+list are dealt to several cascades by hash, and rows are laid out by the same hash, so each cascade reads its own.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
+from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tellerline.llm.common import durable
+from tellerline.llm.common import durable, shared_dir, unused
 
-#: Hash functions and bits per key of a level: about one in sixteen others passes.
-HASHES = 4
+#: Hash functions of a level: two to this power is how many wrong keys are told off for one that passes.
+FEWEST, MOST = 4, 24
+#: Bits per key of a level with the fewest hash functions; one with more has as many more bits.
 BITS_PER_KEY = 6
-#: Keys that one filter holds (3 MB of bits); more keys are dealt to several cascades.
+#: Keys that one filter may hold (3 MB of bits with four hash functions, 18 MB with the most).
 FILTER_KEYS = 4_000_000
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -53,10 +59,12 @@ def bit_of(place: Column) -> Column:
 class Level:
     bits: int
     salt: int
+    hashes: int
+    keys: int
     words: DataFrame  # one row, one column: the bits as an array of longs
 
     def places(self, key: Column) -> list[Column]:
-        return [F.pmod(F.xxhash64(key, F.lit(self.salt + h)), F.lit(self.bits)) for h in range(HASHES)]
+        return [F.pmod(F.xxhash64(key, F.lit(self.salt + h)), F.lit(self.bits)) for h in range(self.hashes)]
 
     def passes(self, key: Column) -> Column:
         array, out = self.words.scalar(), None
@@ -67,26 +75,34 @@ class Level:
         return out
 
 
-def level_over(keys: DataFrame, n: int, salt: int) -> Level:
-    words = -(-n * BITS_PER_KEY // 64)
-    level = Level(64 * words, salt, keys)
+def level_over(keys: DataFrame, n: int, others: int, salt: int) -> Level:
+    """A filter of ``n`` keys that about ``n`` of the others pass, or one in sixteen if there are not many others."""
+    hashes = min(MOST, max(FEWEST, ceil(log2(max(1, others / n)))))
+    words = ceil(n * BITS_PER_KEY * hashes / FEWEST / 64)
+    level = Level(64 * words, salt, hashes, n, keys)
     place = keys.select(F.explode(F.array(*level.places(F.col("key")))).alias("place"))
     filled = place.groupBy(F.shiftright("place", 6).alias("id")).agg(F.bit_or(bit_of(F.col("place"))).alias("word"))
     empty = keys.sparkSession.range(words).select("id", F.lit(0).cast("long").alias("word"))
     every = filled.union(empty).groupBy("id").agg(F.bit_or("word").alias("word"))
     listed = F.array_sort(F.collect_list(F.struct("id", "word")))
     dense = every.agg(F.transform(listed, lambda x: x["word"]).alias("words"))
-    return Level(64 * words, salt, durable(dense))
+    return Level(64 * words, salt, hashes, n, durable(dense))
+
+
+class TooManyKeys(ValueError):
+    """A level would hold more keys than a filter may."""
 
 
-def cascade(listed: DataFrame, others: DataFrame, salt: int = 0) -> list[Level]:
+def cascade(listed: DataFrame, others: DataFrame, salt: int = 0, filter_keys: int = FILTER_KEYS) -> list[Level]:
     """Levels that tell all of ``listed(key)`` from all of ``others(key)``; both distinct, disjoint and durable."""
     levels: list[Level] = []
-    include, exclude, n = listed, others, listed.count()
+    include, exclude, n, others_n = listed, others, listed.count(), others.count()
     while n:
-        level = level_over(include, n, salt + HASHES * len(levels))
+        if n > filter_keys:
+            raise TooManyKeys(f"{n} keys in a level")
+        level = level_over(include, n, others_n, salt + MOST * len(levels))
         levels.append(level)
-        include, exclude = durable(exclude.where(level.passes(F.col("key")))), include
+        include, exclude, others_n = durable(exclude.where(level.passes(F.col("key")))), include, n
         n = include.count()
     return levels
 
@@ -99,24 +115,57 @@ def member(levels: list[Level], key: Column) -> Column:
     return out
 
 
+def cascades(keys: DataFrame, shares: int, filter_keys: int) -> list[list[Level]]:
+    """A cascade for each share of ``keys(key, listed, share)``."""
+    out = []
+    for share in range(shares):
+        mine = keys.where(F.col("share") == share)
+        out.append(cascade(mine.where("listed").select("key"), mine.where("not listed").select("key"), 1, filter_keys))
+    return out
+
+
+def share_of(shares: int) -> Column:
+    """The share of a key; null keys are in the first."""
+    return F.coalesce(F.pmod(F.xxhash64("key"), F.lit(shares)), F.lit(0)).cast("int")
+
+
 def with_membership(rows: DataFrame, listed: DataFrame, name: str = "listed", filter_keys: int = FILTER_KEYS) -> DataFrame:
     """``rows`` with whether their ``key`` is among ``listed(key)``.
 
-    Keys that do not occur in ``rows`` are not encoded. A filter never holds more
-    than ``filter_keys`` keys: beyond that, keys are dealt by hash and each share of the rows has
-    a cascade of its own. A null key is not listed. ``rows`` should be durable or cheap to read again.
+    Keys that do not occur in ``rows`` are not encoded. No level of a cascade holds more
+    than ``filter_keys`` keys: where one would, keys are dealt by hash to more cascades. If there are several, rows are written once, by share, and
+    each share is read by its own cascade. A null key is not listed. ``rows`` should be durable or cheap to read again.
     """
-    universe = durable(rows.select("key").where("key is not null").distinct())
-    named = durable(listed.select("key").where("key is not null").distinct().join(universe, "key", "left_semi"))
-    shares = max(1, -(-named.count() // filter_keys))
-    others = durable(universe.join(named, "key", "left_anti"))
+    both = rows.select("key", F.lit(False).alias("listed"), F.lit(True).alias("there"))
+    both = both.union(listed.select("key", F.lit(True), F.lit(False))).where("key is not null")
+    universe = durable(both.groupBy("key").agg(F.max("listed").alias("listed"), F.max("there").alias("there")).where("there").drop("there"))
+    shares = max(1, ceil(universe.where("listed").count() / filter_keys))
+    while True:
+        dealt = universe.withColumn("share", share_of(shares))
+        try:
+            known = cascades(dealt if shares == 1 else durable(dealt), shares, filter_keys)
+            break
+        except TooManyKeys:
+            shares *= 2
+    if shares == 1:
+        return rows.withColumn(name, F.col("key").isNotNull() & member(known[0], F.col("key")))
+    own = unused(rows, "_share")
+    place = f"{shared_dir(rows.sparkSession)}/url-shares-{uuid.uuid4().hex}"
+    rows.withColumn(own, share_of(shares)).write.partitionBy(own).parquet(place)
     out = None
-    for share in range(shares):
-        mine = F.coalesce(F.pmod(F.xxhash64("key"), F.lit(shares)), F.lit(0)) == share
-        levels = cascade(named.where(mine), others.where(mine), salt=1)
-        part = rows.where(mine).withColumn(name, F.col("key").isNotNull() & member(levels, F.col("key")))
-        out = part if out is None else out.union(part)
-    return out
+    for share, levels in enumerate(known):
+        folder = f"{place}/{own}={share}"
+        if _any(rows, folder):
+            part = rows.sparkSession.read.schema(rows.schema).parquet(folder)
+            part = part.withColumn(name, F.col("key").isNotNull() & member(levels, F.col("key")))
+            out = part if out is None else out.union(part)
+    return rows.withColumn(name, F.lit(False)).where("false") if out is None else out
+
+
+def _any(rows: DataFrame, path: str) -> bool:
+    """Whether a share has rows."""
+    place = rows.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(rows.sparkSession._jsc.hadoopConfiguration()).exists(place)
 
 
 def judged(pages: DataFrame, listed: DataFrame, block: list[str], allow: list[str]) -> DataFrame:

@@ -70,6 +70,36 @@ def test_none_or_all_listed(spark, share):
     assert {r.listed for r in url_filter.with_membership(rows, named).collect()} == {bool(share)}
 
 
+def levels_of(monkeypatch):
+    """All levels that are built from now on."""
+    built = []
+    real = url_filter.level_over
+    monkeypatch.setattr(url_filter, "level_over", lambda *a: built.append(real(*a)) or built[-1])
+    return built
+
+
+@pytest.mark.parametrize("listed, every, filter_keys", [(100, 1_000_000, 1_000), (3_000, 20_000, 200), (900, 1_000, 300)])
+def test_no_level_holds_more_than_it_may(spark, monkeypatch, listed, every, filter_keys):
+    built = levels_of(monkeypatch)
+    rows = spark.range(every).select(F.concat(F.lit("k"), "id").alias("key"))
+    named = rows.where(F.pmod(F.xxhash64("key", F.lit(5)), F.lit(every // 10)) < listed // 10)
+    found = url_filter.with_membership(rows, named, filter_keys=filter_keys)
+    want = named.count()
+    assert found.count() == every and want > listed // 2
+    assert found.where("listed").join(named, "key").count() == found.where("listed").count() == want
+    assert built and max(level.keys for level in built) <= filter_keys
+    assert sum(level.keys for level in built) < 4 * want + 100
+
+
+def test_rows_are_read_once_by_all_cascades(spark):
+    rows = spark.range(500).select(F.concat(F.lit("k"), "id").alias("key"))
+    found = url_filter.with_membership(rows, rows.where("key like '%7'"), filter_keys=10)
+    files = found.inputFiles()
+    assert len(files) == len(set(files)) > 4
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Range" not in plan and "Join" not in plan
+
+
 def test_full_levels_still_tell_keys_apart(spark, monkeypatch):
     monkeypatch.setattr(url_filter, "BITS_PER_KEY", 2)
     rows = spark.range(0, 2000).select(F.concat(F.lit("k"), "id").alias("key"))
