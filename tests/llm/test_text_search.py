@@ -2,6 +2,7 @@
 
 import random
 import textwrap
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -261,6 +262,118 @@ def test_customary_headers(docs):
     assert sorted((r.doc_id, r.license) for r in found) == [(1, "mit"), (2, "bsd"), (3, "gpl-3.0"), (5, "bsd"), (5, "mit")]
 
 
+def fewest_differences(template, window):
+    """Words left out and added, by the longest common subsequence; the whole table."""
+    row = [(j, [f"+{w}" for w in window[:j]]) for j in range(len(window) + 1)]
+    for i, a in enumerate(template, 1):
+        new = [(i, [f"-{w}" for w in template[:i]])]
+        for j, b in enumerate(window, 1):
+            if a == b:
+                new.append(row[j - 1])
+            else:
+                new.append(min((row[j][0] + 1, [*row[j][1], f"-{a}"]), (new[j - 1][0] + 1, [*new[j - 1][1], f"+{b}"]), key=lambda x: x[0]))
+        row = new
+    return row[-1][1]
+
+
+def named_by_brute_force(text, known):
+    """Licenses of which some template fits some window of the text's words, every window tried."""
+    words = [w.lower() for w in license_scan.WORD.findall(text)]
+    out = set()
+    for t in known.templates:
+        n, k = len(t.words), t.slack
+        for first in range(len(words)):
+            for last in range(first + max(1, n - k), min(len(words), first + n + k) + 1):
+                window = words[first:last]
+                if window[0] not in t.words or window[-1] not in t.words or sum(w in window for w in t.words) < n - k:
+                    continue
+                if license_scan.confirmed(t, fewest_differences(t.words, window)):
+                    out.add(t.license)
+    return out
+
+
+def test_licenses_equal_brute_force_over_all_windows():
+    """Short templates with up to more changes than they may have, in prose of the templates' own words and others."""
+    known = license_scan.licenses()
+    short = [t for t in known.templates if len(t.words) <= 16]
+    rng = random.Random(21)
+    prose = [*sorted({w for t in short for w in t.words if w not in license_scan.TELLING and w.isalpha()}), "tree", "river", "stone", "cloud"]
+    only = license_scan.Licenses(short, known.plain)
+    agreed = 0
+    for k in range(120):
+        t = short[k % len(short)]
+        words = list(t.words)
+        for _ in range(rng.randrange(t.slack + 2)):
+            at = rng.randrange(len(words))
+            kind = rng.randrange(3)
+            if kind == 0:
+                words[at] = rng.choice(prose)
+            elif kind == 1:
+                del words[at]
+            else:
+                words.insert(at, rng.choice(prose))
+        parts = [*(rng.choice(prose) for _ in range(rng.randrange(12))), *words, *(rng.choice(prose) for _ in range(rng.randrange(12)))]
+        text = " ".join(parts)
+        found = {name for name, *_ in license_scan.scan_text(text, only)}
+        assert found == named_by_brute_force(text, only), text
+        agreed += bool(found)
+    assert 40 < agreed < 120
+
+
+def test_wordings_without_any_cue(docs):
+    """One changed word, also where it opens the passage; whole licenses; identifiers, which must be whole."""
+    bsd = license_scan.TEMPLATES["bsd"][0].replace("Redistribution and use", "Redistributions and use")
+    mit = license_scan.TEMPLATES["mit"][1].replace("is hereby", "is thereby")
+    whole = "\n\n".join(license_scan.TEMPLATES["isc"])
+    rows = [
+        (1, bsd),
+        (2, mit),
+        (3, "// SPDX-License-Identifier: Apache-2.0"),
+        (4, "SPDX-License-Identifier: MIT-0\nSPDX-License-Identifier: (GPL-2.0-only OR x)"),
+        (5, whole),
+        (6, "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+        (7, "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+        (8, "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+        (9, "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ]
+    found = license_scan.scanned(docs(rows)).collect()
+    assert sorted((r.doc_id, r.license) for r in found) == [
+        (1, "bsd"), (2, "mit"), (3, "apache-2.0"), (4, "gpl-2.0-only"), (5, "isc"), (5, "isc"), (6, "cc-by-4.0"), (8, "mpl-2.0"), (9, "lgpl-2.1"),
+    ]
+    assert {r.doc_id: r.template for r in found}[3] == -1
+    assert next(r.differences for r in found if r.doc_id == 1) == ["-redistribution", "+redistributions"]
+
+
+def test_blocks_of_words_overlap_and_cover():
+    text = " ".join(f"w{i}x" for i in range(1000))
+    words = license_scan.WORD.findall(text)
+    got = list(license_scan.blocks(text, 40, 15))
+    assert [w for _, _, w in got] == [words[first : first + 40] for first, _, _ in got]
+    assert {first + k for first, _, w in got for k in range(len(w))} == set(range(len(words)))
+    assert all(b[0] - a[0] == 25 for a, b in zip(got, got[1:]))
+    assert list(license_scan.blocks("", 40, 15)) == []
+
+
+def test_a_text_of_100_mb_is_scanned_in_bounded_memory(tmp_path):
+    """In a process of its own, whose largest size is then known."""
+    import subprocess
+    import sys
+
+    program = f"""
+import resource, sys
+sys.path.insert(0, {str(Path(license_scan.__file__).parents[2])!r})
+from tellerline.llm import license_scan
+known = license_scan.licenses()
+text = "some words here, and more of them. " * 2_900_000
+text = text[:50_000_000] + license_scan.TEMPLATES["mit"][0] + text[50_000_000:]
+found = license_scan.scan_text(text, known)
+print(len(text), [f[0] for f in found], resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", program], capture_output=True, text=True, check=True, timeout=600).stdout
+    size, names, peak = out.split(" ", 1)[0], out.split("[")[1].split("]")[0], int(out.split()[-1])
+    assert int(size) > 100_000_000 and names == "'mit'" and peak < 500
+
+
 # --- languages ------------------------------------------------------------------
 
 
