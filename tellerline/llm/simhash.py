@@ -37,7 +37,7 @@ STEP_BITS = 8
 #: Variants that one group may write out at once.
 GROUP_VARIANTS = 3_000_000
 #: Tasks over which the fingerprints of one group are dealt.
-SALTS = 32
+SALTS = 16
 #: Variants looked up at once.
 CHUNK = 1 << 18
 #: Shingles hashed at once; a longer text is hashed in several rounds.
@@ -205,13 +205,14 @@ def grouped(docs: DataFrame, shingle: int, distance: int) -> tuple[DataFrame, Da
     own = durable(own)
     firsts = durable(own.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(links(firsts.select("fp"), distance))
-    rooted = firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    rooted = rooted.select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    roots = roots.withColumnRenamed("node", "fp")
+    linked, single = firsts.join(roots, "fp"), firsts.join(roots, "fp", "left_anti")
+    smallest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     # A group may hold any share of the fingerprints: its one row meets them in several tasks.
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    salted = rooted.withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int"))
-    return own, salted.join(smallest.select("*", salts), ["root", "salt"]).select("fp", "root", "component_id")
+    salted = linked.withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int"))
+    joined = salted.join(smallest.select("*", salts), ["root", "salt"]).select("fp", "root", "component_id")
+    return own, joined.union(single.select("fp", F.col("fp").alias("root"), F.col("first").alias("component_id")))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
