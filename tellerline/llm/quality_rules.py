@@ -41,7 +41,7 @@ RESULT = "struct<n_words: long, word_chars: long, n_symbols: long, n_dup_lines:
 
 
 def n_gram_features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words between white space, pairs of neighbours, and every four bytes within a text.
+    """Words between white space, pairs of neighbours, and every four characters within a text.
 
     A word whose like comes next makes the one pair ``AGAIN``, whichever word it is.
     """
@@ -59,10 +59,11 @@ def n_gram_features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, n
     one, rows = span.of(starts, ends), row_of[starts]
     two = np.where(one[1:] == one[:-1], AGAIN, pairs(one)) if len(one) else one
     inside = rows[1:] == rows[:-1]
-    grams = span.grams(CHARACTERS)
-    first, last = row_of[: len(grams)], row_of[CHARACTERS - 1 :]
+    heads = np.flatnonzero((data & 0xC0) != 0x80)
+    begins, stops = heads[: max(0, len(heads) - CHARACTERS + 1)], np.append(heads, len(data))[CHARACTERS:]
+    first, last = row_of[begins], row_of[heads[CHARACTERS - 1 :]]
     within = first == last
-    every = np.concatenate([one, two[inside], grams[within]])
+    every = np.concatenate([one, two[inside], span.of(begins[within], stops[within])])
     return np.concatenate([rows, rows[1:][inside], first[within]]), slots(every, BITS)
 
 
@@ -146,7 +147,7 @@ def judge_udf(model: Calibrated):
 def judged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per document: ``doc_id``, the five counts, ``base_failed``, ``probability``, ``kept``.
 
-    Null and empty texts have no words and so fail the base rules. Without labels every
+    Texts are scored whole, in bounded blocks; n-grams do not run over the ends of those. Null and empty texts have no words and so fail the base rules. Without labels every
     probability is one half, which passes. Equal rows are judged alike, and no row is dropped; columns of
     ``docs`` besides ``doc_id`` and ``text`` are not read.
     """

@@ -310,6 +310,30 @@ def test_counts_equal_brute_force():
     assert [quality_rules.counts((t or "").encode()) for t in TEXTS] == [brute_counts(t) for t in TEXTS]
 
 
+def test_n_gram_features_equal_a_plain_version():
+    """Words, pairs and runs of four characters, whatever bytes they have, never over the end of a text."""
+
+    def hashed(text):
+        low = bytes(b + 32 if 65 <= b <= 90 else b for b in text.encode())
+        h = sum((b + 1) * pow(BASE, i, 1 << 64) for i, b in enumerate(low)) % (1 << 64)
+        return mix(h)
+
+    def mix(h):
+        return ((h ^ (h >> 32)) * int(MIX)) % (1 << 64)
+
+    texts = ["Das ist ein Test", "абв где", "一二三四五 六", "é", "", "a a a b", "𐐨𐐩𐐪𐐫𐐬 x"]
+    expected = []
+    for row, text in enumerate(texts):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        found = [hashed(w) for w in words]
+        for a, b in zip(found, found[1:]):
+            expected.append((row, int(quality_rules.AGAIN) if a == b else mix((a * int(quality_rules.PAIR) + b) % (1 << 64))))
+        expected += [(row, h) for h in found] + [(row, hashed(text[i : i + 4])) for i in range(len(text) - 3)]
+    data, bounds = text_bytes(pa.array(texts))
+    rows, slot = quality_rules.n_gram_features(data, bounds)
+    assert Counter(zip(rows.tolist(), slot.tolist())) == Counter((r, h >> (64 - quality_rules.BITS)) for r, h in expected)
+
+
 def test_rules_over_the_table(docs, labels, tables):
     source, known = tables
     rows = quality_rules.judged(source, known).collect()
