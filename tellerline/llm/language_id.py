@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.window import Window
 
-from tellerline.llm.common import blocks, fold_of, text_bytes
+from tellerline.llm.common import blocks, fold_of, text_bytes, unused
 
 FOLDS, HELD_OUT = 4, 2
 #: What is learned from: texts per language, bytes of a text, bytes of a dictionary.
@@ -27,6 +27,8 @@ TRAIN_TEXTS = 400
 CELLS = 64
 TRAIN_BYTES = 1 << 14
 DICTIONARY_BYTES = 1 << 18
+#: Languages that can be told apart: dictionaries of 64 MB in all, which every task holds.
+LANGUAGES = 256
 #: Bytes that are compressed at once: few, so that the dictionary matters more than the text before.
 BLOCK = 1 << 11
 LEVEL = 3
@@ -67,11 +69,13 @@ def fit(docs: DataFrame) -> Languages:
 
     Each language's texts are joined, in that order, up to the dictionary's size. Null
     or empty texts, null ids and languages and texts over ``TRAIN_BYTES`` teach nothing. Of several
-    texts of an id and language the smallest counts.
+    texts of an id and language the smallest counts. More than ``LANGUAGES`` languages are refused.
     """
     taught = F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id"), FOLDS) != HELD_OUT)
     rows = docs.select("doc_id", "text", "lang").where(taught & F.octet_length("text").between(1, TRAIN_BYTES))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(LANGUAGES + 1).collect()}
+    if len(counts) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages to learn; is lang a language?")
     # First within cells, so that no task sees more than a bounded part of a language; ids alone are moved.
     ranked = rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("place")).withColumn("cell", F.pmod("place", F.lit(CELLS)))
     for groups in (("lang", "cell"), ("lang",)):
@@ -138,8 +142,9 @@ def identified(docs: DataFrame) -> DataFrame:
     ``und`` for texts that are null or have no letter, or if no language was learned (score 0 then, and
     rejected). ``score`` weighs languages by 2 to the power of bytes saved; ``rejected`` marks narrow margins.
     """
-    out = docs.withColumn("_judged", judge_udf(fit(docs))(F.col("text")))
-    out = out.withColumn("lang_pred", F.col("_judged.lang"))
+    own = unused(docs, "_judged")
+    out = docs.withColumn(own, judge_udf(fit(docs))(F.col("text")))
+    out = out.withColumn("lang_pred", F.col(f"{own}.lang"))
     for name in ("score", "margin", "rejected"):
-        out = out.withColumn(name, F.col(f"_judged.{name}"))
-    return out.drop("_judged")
+        out = out.withColumn(name, F.col(f"{own}.{name}"))
+    return out.drop(own)

@@ -414,3 +414,10 @@ def test_sizes_are_those_of_the_compressor():
         plain = zstandard.ZstdCompressor(dict_data=words, write_content_size=False, write_dict_id=False)
         assert found[0, k] == len(plain.compress(b"der hund und die katze"))
     assert found[1].tolist() == [0, 0] and found[0].argmin() == 1
+
+
+def test_too_many_languages_are_refused(docs, monkeypatch):
+    monkeypatch.setattr(language_id, "LANGUAGES", 3)
+    rows = docs([(i, "some words of a text", f"l{i % 5}") for i in range(60)])
+    with pytest.raises(ValueError, match="languages"):
+        language_id.identified(rows)
