@@ -57,15 +57,15 @@ def fold_of(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % F.lit(folds)
 
 
-def numbered(df: DataFrame, groups: list[str], order: list[str], name: str, cells: int = 1024) -> DataFrame:
+def numbered(df: DataFrame, groups: list[str], order: list[str], name: str, cells: int | Column = 1024) -> DataFrame:
     """Adds ``name``: gapless numbers from 0 within each group of ``groups``.
 
     A group may hold any share of the rows: its rows are dealt to ``cells`` cells by
-    a hash of ``order``, numbered there, and raised by the sizes of the cells before.
+    a hash of ``order`` (a column may give each group a number of its own), numbered there, and raised by the sizes of the cells before.
     Rows equal in ``order`` share a cell and are numbered in any order. ``df`` is read
     twice and should be durable or cheap. No group may be null in ``groups``.
     """
-    celled = df.withColumn("_cell", F.pmod(F.xxhash64(*order), F.lit(cells)))
+    celled = df.withColumn("_cell", F.pmod(F.xxhash64(*order), cells if isinstance(cells, Column) else F.lit(cells)))
     sizes = celled.groupBy(*groups, "_cell").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(*groups).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(*groups, "_cell", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
