@@ -14,6 +14,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,6 @@ from tellerline.llm.word_bpe import Encoder
 
 WINDOW = 2048
 END = 1
-#: Pieces of one length that are numbered together, about.
-CELL_ROWS = 50_000
 PIECES = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long"
 
 
@@ -143,7 +142,8 @@ def packed(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end: int
             kept = [batch["doc_id"], batch["start"], pa.array(length, pa.int64()), batch["ids_crc32"], batch["doc_tokens"]]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence), pa.array(offset)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
-    # A length may have any share of the pieces, as full windows have where texts are long: it is numbered in as many tasks.
-    cells = docs.sparkSession.createDataFrame([(k, max(1, -(-n // CELL_ROWS))) for k, n in counts.items()], "length int, _cells int")
+    # A length may have any share of the pieces, as full windows have where texts are long. It is numbered
+    # in cells, as many as each then has rows: neither a cell nor their list grows with the corpus as such.
+    cells = docs.sparkSession.createDataFrame([(k, isqrt(n)) for k, n in counts.items()], "length int, _cells int")
     spread = cut.join(F.broadcast(cells), "length")  # no more rows than a window has ids
     return numbered(spread, ["length"], order, "_number", F.col("_cells")).mapInArrow(place, PACKED.replace("length int", "length long"))
