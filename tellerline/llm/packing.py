@@ -144,6 +144,5 @@ def packed(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end: int
 
     # A length may have any share of the pieces, as full windows have where texts are long. It is numbered
     # in cells, as many as each then has rows: neither a cell nor their list grows with the corpus as such.
-    cells = docs.sparkSession.createDataFrame([(k, isqrt(n)) for k, n in counts.items()], "length int, _cells int")
-    spread = cut.join(F.broadcast(cells), "length")  # no more rows than a window has ids
-    return numbered(spread, ["length"], order, "_number", F.col("_cells")).mapInArrow(place, PACKED.replace("length int", "length long"))
+    cells = F.array(*[F.lit(max(1, isqrt(counts.get(k, 0)))) for k in range(window + 1)])
+    return numbered(cut, ["length"], order, "_number", F.get(cells, F.col("length"))).mapInArrow(place, PACKED.replace("length int", "length long"))
