@@ -243,7 +243,7 @@ def _walked(marked: DataFrame, spacing: int) -> DataFrame:
     """Blocks with their audits: ``conv_id, first`` (the id of its first row)``, audit, cost, illegal`` and that row's sort columns."""
     kind = F.when(F.col("fault").isin("blank", "duplicate"), UNWANTED).when(F.col("fault") == "truncated", TRUNCATED).otherwise(FINE)
     mark = F.chr(F.lit(ord("a")) + F.col("initial") * 3 + kind)
-    block = F.floor(F.col("id") / F.lit(spacing)) if spacing > 1 else F.col("id")
+    block = F.expr(f"id div {spacing}")
     gathered = F.sort_array(F.collect_list(F.struct("id", mark.alias("mark"))))
     first_row = F.min(F.struct("id", "turn", "role", "digest"))
     blocks = marked.groupBy("conv_id", block.alias("block")).agg(

@@ -20,7 +20,7 @@ SF = "/root/testdata/sf0.001"
 def test_stages_are_those_of_the_contract():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "toxicity", "near_duplicates", "decontamination", "packing"]
     assert contract.queries()["pipeline"] is corpus_pipeline.run
-    assert [f"op{n}_" for n in range(1, 11)] == sorted({q.split("_")[0] + "_" for q in queries.QUERIES}, key=lambda q: int(q[2:-1]))
+    assert [f"op{n}_" for n in range(1, 14)] == sorted({q.split("_")[0] + "_" for q in queries.QUERIES}, key=lambda q: int(q[2:-1]))
 
 
 def expected_kept(spark):
@@ -74,6 +74,9 @@ OWN = {
     "op8_url_filter": "page_id host path rule verdict",
     "op9_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op10_simhash": "doc_id fingerprint component_id",
+    "op11_conversation_repair": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
+    "op12_phrase_mining": "lang rank phrase a l r n score",
+    "op13_secret_scan": "doc_id n_assign n_access n_hex base_sha256 spans",
 }
 
 
@@ -83,7 +86,9 @@ def test_query_has_its_columns_and_a_row_per_document(spark, name):
     wanted = OWN[name].split()
     assert result.columns[: len(wanted)] == wanted
     rows = result.collect()
-    if name not in ("op3_packing", "op5_license_scan", "op6_decontamination"):
+    if name == "op11_conversation_repair":
+        assert len(rows) == spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id").distinct().count()
+    elif name not in ("op3_packing", "op5_license_scan", "op6_decontamination", "op12_phrase_mining"):
         table = "pages" if name == "op8_url_filter" else "documents"
         assert len(rows) == spark.read.parquet(f"{SF}/{table}.parquet").count()
     assert rows
