@@ -129,11 +129,14 @@ class TriggerMode(Enum):
 
     @property
     def options(self) -> dict[str, object]:
+        return self.every(15)
+
+    def every(self, seconds: int) -> dict[str, object]:
         # availableNow drains everything in rate-limited batches; once=True
         # would ignore the files-per-trigger limit and read a backlog in one go.
         if self is TriggerMode.BATCH:
             return {"availableNow": True}
-        return {"processingTime": "15 seconds"}
+        return {"processingTime": f"{seconds} seconds"}
 
 
 @dataclass(frozen=True)
@@ -146,7 +149,8 @@ class JobConfig:
     is fixed when a table is created: choose it so that one bucket of open
     dimension rows is a few hundred MB. A writer's lease on a table that was not renewed for ``publish_grace_seconds`` may
     be taken over; a reader waits as long for a publish under way. ``change_rows`` keeps, beside each table that a
-    merge changes, the rows it took out and put in (for a fact, all rows a second time).
+    merge changes, the rows it took out and put in (for a fact, all rows a second time). ``poll_seconds`` is how
+    often a streaming run looks for files. A bucket with more than ``split_rows`` open rows after a merge is split.
     """
 
     stage_root: str
@@ -164,6 +168,8 @@ class JobConfig:
     time_zone: str = "UTC"
     publish_grace_seconds: float = 120
     change_rows: bool = False
+    poll_seconds: int = 15
+    split_rows: int | None = None
 
     @classmethod
     def under(cls, root: str, **overrides) -> JobConfig:
@@ -171,6 +177,10 @@ class JobConfig:
         folders = {f"{name}_root": f"{root}/{name}" for name in ("stage", "bronze", "silver", "gold")}
         return cls(**{**folders, "checkpoint_root": f"{root}/_checkpoints", **overrides})
 
+    @property
+    def trigger(self) -> dict[str, object]:
+        return self.trigger_mode.every(self.poll_seconds)
+
     def layer_root(self, layer: str) -> str:
         return getattr(self, f"{layer}_root")
 

@@ -56,6 +56,7 @@ STAGED = {
 INGEST_COLUMNS = (("_ingest_ts", "timestamp"), ("_ingest_file", "string"))
 
 CORRUPT_COLUMN = "_corrupt_record"
+RESCUE_COLUMN = "_rescued"
 BUCKET_COLUMN = "key_bucket"
 
 
@@ -257,6 +258,12 @@ def changes_of(spec: TableSpec) -> TableSpec:
     return TableSpec(spec.layer, f"{spec.name}_changes", schema)
 
 
+
+def splits_of(spec: TableSpec) -> TableSpec:
+    """The side table that names the buckets of a table that were split."""
+    return TableSpec(spec.layer, f"{spec.name}_splits", _struct(("bucket", "long")))
+
+
 SIDE_TABLES = {SILVER_VISITS.name: (VISIT_KEYS,), SILVER_CUSTOMERS.name: (CUSTOMER_REPEATS,), GOLD_DAILY.name: (DAILY_BY_ATM, DAILY_BATCHES)}
 
 # Columns whose change opens a new customer version. checking_savings and

@@ -1,6 +1,7 @@
 """Staged files, layer tables, publishing and the run log."""
 
 from tellerline.sources.audit import history, record_run
+from tellerline.sources.buckets import split_buckets
 from tellerline.sources.lease import LeaseHeld, LeaseLost
 from tellerline.sources.publish import PublishUnderway, consistent, publish_labelled, recover, settle
 from tellerline.sources.staged import read_staged
@@ -28,6 +29,7 @@ __all__ = [
     "record_run",
     "recover",
     "settle",
+    "split_buckets",
     "stream_table",
     "table_path",
 ]

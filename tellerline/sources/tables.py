@@ -14,12 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tellerline.params import JobConfig
-from tellerline.schemas import LAYER_TABLES, SIDE_TABLES, TableSpec, changes_of
+from tellerline.schemas import LAYER_TABLES, SIDE_TABLES, TableSpec, changes_of, splits_of
 from tellerline.sources import files
 
 # How a partition folder spells NULL.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
+#: Partitions that one statement adds to the catalog.
+PARTITIONS_AT_ONCE = 500
+
 
 def table_path(config: JobConfig, spec: TableSpec) -> str:
     return f"{config.layer_root(spec.layer)}/{spec.name}"
@@ -92,7 +95,7 @@ def create_layer_tables(spark: SparkSession, config: JobConfig, layer: str, rese
                 spark.sql(f"DROP VIEW IF EXISTS {name}")
             spark.sql(f"DROP TABLE IF EXISTS {stored}")
             beside = SIDE_TABLES.get(spec.name, ()) if layer != "bronze" else ()
-            for own in (spec, changes_of(spec), *beside):
+            for own in (spec, changes_of(spec), splits_of(spec), *beside):
                 files.remove_dir(spark, table_path(config, own))
                 files.remove_dir(spark, pending_path(config, own))
                 files.remove_dir(spark, progress_path(config, own))
@@ -121,10 +124,25 @@ def refresh_registered(spark: SparkSession, config: JobConfig, spec: TableSpec)
     if not spark.catalog.tableExists(name):
         return
     if spec.partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+        _add_partitions(spark, config, spec, name)
     spark.catalog.refreshTable(name)
 
 
+def _add_partitions(spark: SparkSession, config: JobConfig, spec: TableSpec, name: str) -> None:
+    """Registers the partition folders that the catalog does not know; of the others no files are listed."""
+    levels = len(spec.partition_by)
+    there = files.listed(spark, f"{table_path(config, spec)}/" + "/".join(f"{c}=*" for c in spec.partition_by))
+    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    new = []
+    for folder in (path.rsplit("/", levels)[1:] for path in there):
+        if "/".join(folder) not in known:
+            values = (level.split("=", 1) for level in folder)
+            new.append(", ".join(f"`{c}`={'null' if v == NULL_PARTITION else repr(v)}" for c, v in values))
+    for start in range(0, len(new), PARTITIONS_AT_ONCE):
+        some = " ".join(f"PARTITION ({values})" for values in new[start : start + PARTITIONS_AT_ONCE])
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {some}")
+
+
 def read_physical(spark: SparkSession, config: JobConfig, spec: TableSpec) -> DataFrame:
     """All stored columns, the hidden ones included.
 

@@ -9,6 +9,7 @@ from tellerline.streaming.silver import (
     run_locations,
     run_visits,
 )
+from tellerline.streaming.supervise import supervise
 
 __all__ = [
     "prepare_customers",
@@ -18,4 +19,5 @@ __all__ = [
     "run_locations",
     "run_stage_to_bronze",
     "run_visits",
+    "supervise",
 ]

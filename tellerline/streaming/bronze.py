@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 from dataclasses import replace
 
@@ -13,13 +14,14 @@ from pyspark.sql.types import StructType
 from tellerline.operators.conform import conform
 from tellerline.operators.merge import INSERT
 from tellerline.params import JobConfig, TriggerMode
-from tellerline.schemas import CORRUPT_COLUMN, LAYER_TABLES, TableSpec, staged_schema
+from tellerline.schemas import CORRUPT_COLUMN, LAYER_TABLES, RESCUE_COLUMN, TableSpec, staged_schema
 from tellerline.session import require_time_zone
 from tellerline.sources import files
 from tellerline.sources.audit import record_run
 from tellerline.sources.publish import publish, recover
 from tellerline.sources.staged import read_staged
 from tellerline.sources.tables import checkpoint_dir, read_physical, refresh_registered, table_path
+from tellerline.streaming.metrics import Metrics, keys_of
 
 _POLL_SECONDS = 5.0
 
@@ -34,6 +36,11 @@ def bronze_spec(folder: str, table: str | None = None) -> TableSpec:
     return replace(spec, name=table) if table else spec
 
 
+def rescued_spec(spec: TableSpec) -> TableSpec:
+    """A bronze table with the VARIANT of fields that its columns do not hold; NULL in files written without."""
+    return replace(spec, schema=StructType(list(spec.schema.fields)).add(RESCUE_COLUMN, "variant"))
+
+
 def quarantine_path(config: JobConfig, table: str) -> str:
     return f"{config.bronze_root}/quarantine/{table}"
 
@@ -69,29 +76,52 @@ def run_stage_to_bronze(
     table: str | None = None,
     quarantine: bool = False,
     timeout: float | None = None,
+    rescue: bool = False,
+    measure: bool = False,
+    late_before: dt.date | None = None,
 ) -> StreamingQuery:
     """Append new staged rows to the bronze table, by default of the same name.
 
     With ``quarantine=True`` lines that do not parse go to a folder of their own
     with their text. Staged files are read once for both; a micro-batch's rows, its rejected lines and a note
     that it was stored are published in one step, so a batch that is run again adds nothing. A table is fed one way or the
-    other from its first row on. A run that ends is logged as a whole, one that is left running by micro-batch.
+    other from its first row on. ``rescue=True`` keeps fields that the declared columns do not hold in a VARIANT column
+    beside them (``rescued_spec``). ``measure=True`` counts each micro-batch's rows, null keys, rejected lines
+    and rows before ``late_before`` (``stream_metrics``). A run that ends is logged as a whole, one that is left running by micro-batch.
     """
     require_time_zone(spark, config.time_zone)
     spec = bronze_spec(folder, table)
     path = table_path(config, spec)
     files.make_dir(spark, f"{config.stage_root}/{folder}")
-    rows = read_staged(spark, config.stage_root, folder, config.max_files_per_trigger, quarantine)
+    rows = read_staged(spark, config.stage_root, folder, config.max_files_per_trigger, quarantine, rescue)
     # A file sink's own list hides files that others put there, and a new list hides those of before.
     listed = files.exists(spark, f"{path}/_spark_metadata")
     if listed == quarantine and (listed or files.matches(spark, f"{path}{'/*' * len(spec.partition_by)}/part-*")):
         raise ValueError(f"{path} was written with{'out' if quarantine else ''} quarantine; the same must hold for every run")
-    query = _split(config, rows, spec, folder) if quarantine else _append(config, rows, path, spec.partition_by, spec.name, folder)
+    stored = rescued_spec(spec) if rescue else spec
+    metrics = Metrics(spark, config, spec, keys_of(folder), late_before) if measure else None
+    if metrics:
+        rows = metrics.on(rows)
+        spark.streams.addListener(metrics)
+    try:
+        query = _split(config, rows, stored, folder) if quarantine else _append(config, rows, path, spec.partition_by, spec.name, folder)
+    except Exception:
+        if metrics:
+            spark.streams.removeListener(metrics)
+        raise
     if config.trigger_mode is TriggerMode.STREAMING:
         spark.streams.addListener(_RunLog(spark, config, spec, query.id))
+        if metrics:
+            metrics.leave_with(query)
         await_query(query, config, timeout)
         return query
-    read = await_query(query, config, timeout)
+    try:
+        read = await_query(query, config, timeout)
+    finally:
+        if metrics and not query.isActive:
+            metrics.finish(query)
+        elif metrics:
+            metrics.leave_with(query)
     if read:
         total = sum(read.values())
         record_run(spark, config, spec, "append", {INSERT: total}, query.id, max(read), total)
@@ -108,7 +138,7 @@ def _append(
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint_dir(config, "stage-bronze", folder, target))
-        .trigger(**config.trigger_mode.options)
+        .trigger(**config.trigger)
     )
     return (writer.partitionBy(*partition_by) if partition_by else writer).start()
 
@@ -146,7 +176,7 @@ def _split(config: JobConfig, rows: DataFrame, spec: TableSpec, folder: str) ->
     return (
         rows.writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint_dir(config, "stage-bronze", folder, f"{spec.name}-split"))
-        .trigger(**config.trigger_mode.options)
+        .trigger(**config.trigger)
         .start()
     )
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tellerline import schemas
-from tellerline.functions.columns import NULL_KEY_BUCKET, key_bucket, stamped
+from tellerline.functions.columns import NULL_KEY_BUCKET, stamped
 from tellerline.operators.conform import conform
 from tellerline.operators.dedupe import dedupe_earliest, dedupe_latest
 from tellerline.operators.intervals import in_intervals, key_intervals
@@ -28,6 +28,7 @@ from tellerline.schemas import BUCKET_COLUMN, TableSpec
 from tellerline.session import require_time_zone
 from tellerline.sources import files
 from tellerline.sources.audit import record_run
+from tellerline.sources.buckets import ancestors, bucket_of, split_buckets
 from tellerline.sources.publish import change_rows, gather_files, publish, recover
 from tellerline.sources.tables import (
     NULL_PARTITION,
@@ -281,10 +282,13 @@ def _splice(
     spec, side = schemas.SILVER_CUSTOMERS, schemas.CUSTOMER_REPEATS
     key, order = spec.keys[0], list(INGEST_ORDER)
     physical = spec.physical_schema.names
-    buckets = [r[0] for r in late.select(key_bucket([key], config.key_buckets).cast("int")).distinct().collect()]
+    bucket = bucket_of(spark, config, spec)
+    buckets = [r[0] for r in late.select(bucket).distinct().collect()]
     stored = read_physical(spark, config, spec).where(F.col(BUCKET_COLUMN).isin(buckets))
     own = stored.join(late, key, "left_semi").select(*physical).persist()
-    seen_again = read_partitions(spark, config, side, map(str, buckets), hidden=True).join(late, key, "left_semi")
+    # Repeats stay where they were noted when their bucket is split.
+    noted_in = {*buckets, *(a for b in buckets for a in ancestors(b, config.key_buckets))}
+    seen_again = read_partitions(spark, config, side, map(str, noted_in), hidden=True).join(late, key, "left_semi")
     one_each = deliveries.select(*physical)
     runs = spliced(own, seen_again, one_each, key, order, schemas.TRACKED_CUSTOMER_COLUMNS, null_safe).persist()
     # A delivery that is a version no more, or that came late and repeats one.
@@ -310,7 +314,7 @@ def _splice(
     stamps = {
         "load_ts": F.coalesce("_old_load_ts", stamp.ts),
         "update_ts": F.when(same, F.col("_old_update_ts")).otherwise(stamp.ts),
-        BUCKET_COLUMN: key_bucket([key], config.key_buckets).cast("int"),
+        BUCKET_COLUMN: bucket,
     }
     built = dated.withColumns(stamps).select(*physical).persist()
     changed = built.exceptAll(own).select(key).union(own.exceptAll(built).select(key)).distinct().persist()
@@ -319,7 +323,7 @@ def _splice(
         new = built.join(changed, key, "left_semi").join(pairs, [key, *order], "left_anti").count()
         shut = own.where("current").join(built.where("not current"), [key, *order], "left_semi").count()
         counts = {**merge.counts, INSERT: merge.counts.get(INSERT, 0) + new, CLOSE: merge.counts.get(CLOSE, 0) + shut}
-        moved = [r[0] for r in changed.select(key_bucket([key], config.key_buckets).cast("int")).distinct().collect()]
+        moved = [r[0] for r in changed.select(bucket).distinct().collect()]
         touched = {*merge.touched, *((flag, b) for b in moved for flag in (True, False))}
         result = built.join(changed, key, "left_semi").select(*physical)
         inside = partition_in(spec, touched)
@@ -349,7 +353,7 @@ def _bucketed(
 ) -> tuple[DataFrame, dict[int, int]]:
     """The batch with its rows' buckets, kept, and the number of rows per bucket (at most one entry per bucket)."""
     ensure_buckets(spark, config, spec)
-    bucket = key_bucket(spec.keys, config.key_buckets).cast("int")
+    bucket = bucket_of(spark, config, spec)
     updates = conform(prepared.withColumn(BUCKET_COLUMN, bucket), spec.physical_schema).persist()
     return updates, dict(updates.groupBy(BUCKET_COLUMN).count().collect())
 
@@ -429,6 +433,8 @@ def _run(
         # The query's id is a property of the job; the variable may not be set yet.
         query_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         record_run(session, config, target, operation, counts, query_id, batch_id, counts["input"])
+        if target.bucketed and config.split_rows:
+            split_buckets(session, config, target, config.split_rows)
         refresh_registered(session, config, target)
 
     names = qualified_name(config, source), qualified_name(config, target)
@@ -438,7 +444,7 @@ def _run(
         .writeStream.foreachBatch(on_batch)
         .outputMode("update")
         .option("checkpointLocation", checkpoint_dir(config, "bronze-silver", *names))
-        .trigger(**config.trigger_mode.options)
+        .trigger(**config.trigger)
         .start()
     )
     await_query(query, config, timeout)

@@ -1,0 +1,64 @@
+"""Streaming jobs that run together."""
+
+import pytest
+from helpers import config, location, stage, table_rows, visit
+
+from tellerline import schemas
+from tellerline.params import TriggerMode
+from tellerline.streaming import run_locations, run_stage_to_bronze, run_visits, silver, supervise
+
+
+def _jobs(spark, cfg):
+    return {
+        "bronze visits": lambda: run_stage_to_bronze(spark, cfg, "atm_visits"),
+        "bronze locations": lambda: run_stage_to_bronze(spark, cfg, "atm_locations"),
+        "visits": lambda: run_visits(spark, cfg),
+        "locations": lambda: run_locations(spark, cfg),
+    }
+
+
+def _staged(root):
+    cfg = config(root, trigger_mode=TriggerMode.STREAMING, poll_seconds=1)
+    stage(cfg, "atm_visits", "1", [visit(i) for i in range(5)])
+    stage(cfg, "atm_locations", "1", [location(i) for i in range(3)])
+    return cfg
+
+
+def test_failed_job_resumes_and_all_are_drained(spark, root, monkeypatch):
+    cfg, apply, calls = _staged(root), silver.apply_visits, []
+
+    def flaky(*args):
+        calls.append(1)
+        counts = apply(*args)
+        if len(calls) == 1:
+            raise RuntimeError("lost after the merge")
+        return counts
+
+    monkeypatch.setattr(silver, "apply_visits", flaky)
+    polls = iter([False, False])
+
+    def until():
+        done = next(polls, len(calls) > 1)
+        if done:
+            # What arrives last is still taken up before the end.
+            stage(cfg, "atm_visits", "2", [visit(i) for i in range(3, 8)])
+        return done
+
+    active = {q.id for q in spark.streams.active}
+    counts = supervise(spark, _jobs(spark, cfg), until, poll_seconds=1)
+    assert counts == {"bronze visits": 0, "bronze locations": 0, "visits": 1, "locations": 0}
+    assert table_rows(spark, cfg, schemas.SILVER_VISITS, "visit_id") == {(i,): 1 for i in range(8)}
+    assert table_rows(spark, cfg, schemas.SILVER_LOCATIONS, "atm_id") == {(i,): 1 for i in range(3)}
+    assert {q.id for q in spark.streams.active} == active
+
+
+def test_job_that_fails_each_time_ends_all(spark, root, monkeypatch):
+    cfg, active = _staged(root), {q.id for q in spark.streams.active}
+
+    def broken(*args):
+        raise RuntimeError("no use")
+
+    monkeypatch.setattr(silver, "apply_locations", broken)
+    with pytest.raises(Exception, match="no use"):
+        supervise(spark, _jobs(spark, cfg), lambda: False, restarts=1, poll_seconds=1)
+    assert {q.id for q in spark.streams.active} == active
