@@ -283,6 +283,15 @@ FROM ({_visits()}) v LEFT JOIN (SELECT DISTINCT atm_id, bank FROM ({_locations()
     "gold_daily_by_bank": _daily_by_bank("2024-01-01", "2024-01-30"),
     "gold_daily_by_bank_literal": _daily_by_bank("2024-01-01", "2024-01-30", literal=True),
     "gold_daily_by_bank_default_window": _daily_by_bank("2024-01-17", "2024-01-20"),
+    "gold_daily_by_bank_current_date": _daily_by_bank("1990-01-01", "2024-12-31"),
+    "gold_daily_by_two_banks": f"""
+SELECT transaction_dt, COALESCE(bank, 'UNKNOWN') AS bank, {_TOTALS.format(deposit="deposit")}
+FROM ({_dated(_visits())}) v LEFT JOIN (
+  SELECT atm_id, bank FROM ({_locations()})
+  UNION SELECT s_suppkey, CASE WHEN s_nationkey < 5 THEN 'MERGED' ELSE n_name END
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey) l ON v.atm_id = l.atm_id
+GROUP BY transaction_dt, COALESCE(bank, 'UNKNOWN')""",
+    "gold_monthly_by_customer_last_month": _monthly("199001", "202412"),
     "gold_daily_upsert": _daily_upsert(literal=False),
     "gold_daily_upsert_literal": _daily_upsert(literal=True),
     "gold_daily_upsert_moved_bank": _moved_bank(literal=False),
@@ -312,6 +321,20 @@ SELECT visit_id, date AS transaction_dt FROM ({_visits(2)}) WHERE visit_id IN (S
     "stream_quarantine": f"""
 SELECT atm_id, CAST(NULL AS VARCHAR) AS line FROM ({_locations()})
 UNION ALL SELECT NULL, '{{"atm_id": broken ' || CAST(atm_id AS VARCHAR) FROM ({_locations()})""",
+    "stream_rescued_fields": f"""
+SELECT visit_id, CASE WHEN fraud_report = 'N' THEN amount END AS amount, date, customer_id % 3 AS terminal,
+       CASE WHEN fraud_report = 'Y' THEN CAST(amount AS VARCHAR) || ' cents' END AS told
+FROM ({_visits()})""",
+    "stream_measured": f"""
+SELECT 'atm_visits' AS table_name,
+       COUNT(*) + COUNT(*) FILTER (withdrawl_or_deposit = 'deposit') AS input_rows,
+       COUNT(*) FILTER (fraud_report = 'Y') AS null_keys, COUNT(*) FILTER (date < DATE '2024-01-10') AS late_rows,
+       COUNT(*) FILTER (withdrawl_or_deposit = 'deposit') AS rejected_rows
+FROM ({_visits()})""",
+    "stream_supervised": _INSERT_ONLY,
+    "stream_customers_in_growing_buckets": f'SELECT * EXCLUDE (load_ts, update_ts) FROM ({_type2(with_history=False)})',
+    "replayed_visits_batch": f"""
+SELECT visit_id, amount, date AS transaction_dt, DATE '2024-02-01' AS loaded, CAST(0 AS BIGINT) AS changed_again FROM ({_visits()})""",
     "catalog_daily_by_bank": f"""
 SELECT *, (SELECT COUNT(*) FROM events) AS visits, (SELECT COUNT(*) FROM supplier) AS atms
 FROM ({_daily_by_bank('2024-01-01', '2024-01-30')})""",

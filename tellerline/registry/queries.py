@@ -215,6 +215,22 @@ def gold_daily_by_bank_default_window(spark: SparkSession, sf_dir: str) -> DataF
     return _by_bank(spark, sf_dir, DEFAULT_DAYS)
 
 
+def gold_daily_by_bank_current_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchored at today, looking back far enough to see all days."""
+    return _by_bank(spark, sf_dir, DayWindow.resolve(lookback_days=20_000))
+
+
+def gold_daily_by_two_banks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some ATMs are listed under their old bank and their new one, and count for both."""
+    listed_twice = locations(spark, sf_dir).unionByName(moved_locations(spark, sf_dir))
+    return daily_by_bank(dated(visits(spark, sf_dir)), listed_twice, ALL_DAYS)
+
+
+def gold_monthly_by_customer_last_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The months up to the last one, looking back far enough to see all."""
+    return monthly_by_customer(dated(visits_long(spark, sf_dir)), MonthWindow.resolve(lookback_months=600))
+
+
 def _daily_upsert(spark: SparkSession, sf_dir: str, literal: bool) -> DataFrame:
     """Stored on the 25th at noon, recomputed on the 30th for the last 15 days:
     the first days are kept, the 25th changes, the days after it are new.
@@ -338,6 +354,9 @@ _BATCH = (
     gold_daily_by_bank,
     gold_daily_by_bank_literal,
     gold_daily_by_bank_default_window,
+    gold_daily_by_bank_current_date,
+    gold_daily_by_two_banks,
+    gold_monthly_by_customer_last_month,
     gold_daily_upsert,
     gold_daily_upsert_literal,
     gold_daily_upsert_moved_bank,

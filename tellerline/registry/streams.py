@@ -14,16 +14,17 @@ from pyspark.sql import functions as F
 from tellerline import schemas
 from tellerline.functions.columns import key_bucket
 from tellerline.operators import conform, upsert_latest
-from tellerline.params import DayWindow, JobConfig, MonthWindow, Stamp
+from tellerline.params import DayWindow, JobConfig, MonthWindow, Stamp, TriggerMode
 from tellerline.plans import run_daily, run_daily_incremental, run_monthly
 from tellerline.registry.shapes import FIRST_FEED, SECOND_FEED, customer_deliveries, customers, locations, moved_locations, visits
 from tellerline.session import scratch_dir
 from tellerline.sources import create_layer_tables, history, read_table, recover
 from tellerline.sources.publish import prepare
 from tellerline.sources.tables import read_physical
-from tellerline.streaming import prepare_locations, run_customers, run_locations, run_stage_to_bronze, run_visits
-from tellerline.streaming.bronze import quarantine_path
-from tellerline.streaming.silver import apply_customers
+from tellerline.streaming import prepare_locations, run_customers, run_locations, run_stage_to_bronze, run_visits, supervise
+from tellerline.streaming.bronze import quarantine_path, rescued_spec
+from tellerline.streaming.metrics import COUNTS, stream_metrics
+from tellerline.streaming.silver import apply_customers, apply_visits
 
 FIRST_DAY = dt.datetime(2024, 1, 1, 12)
 SECOND_DAY = dt.datetime(2024, 2, 1, 12)
@@ -188,6 +189,73 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.unionByName(rejected.select("atm_id", F.col(schemas.CORRUPT_COLUMN).alias("line")))
 
 
+def stream_rescued_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed that has drifted: visits with an undeclared object, those reported as fraud with their amount as text."""
+    config = _config(spark, "rescued")
+    rows = visits(spark, sf_dir).withColumn("channel", F.struct((F.col("customer_id") % 3).alias("terminal")))
+    fraud = F.col("fraud_report") == "Y"
+    told = rows.where(fraud).withColumn("amount", F.concat(F.col("amount").cast("string"), F.lit(" cents")))
+    lines = [part.select(F.to_json(F.struct("*")).alias("value")) for part in (rows.where(~fraud), told)]
+    lines[0].unionByName(lines[1]).write.text(f"{config.stage_root}/atm_visits")
+    run_stage_to_bronze(spark, config, "atm_visits", rescue=True)
+    return read_physical(spark, config, rescued_spec(schemas.BRONZE_VISITS)).select(
+        "visit_id",
+        "amount",
+        "date",
+        F.try_variant_get("_rescued", "$.channel.terminal", "bigint").alias("terminal"),
+        F.try_variant_get("_rescued", "$.amount", "string").alias("told"),
+    )
+
+
+def stream_measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the bronze stream counted of visits, of which some have no id, beside a line that does not parse for each deposit."""
+    config = _config(spark, "measured")
+    rows = visits(spark, sf_dir)
+    rows = rows.withColumn("visit_id", F.when(F.col("fraud_report") == "N", F.col("visit_id")))
+    good = rows.select(F.to_json(F.struct("*")).alias("value"))
+    broken = rows.where("withdrawl_or_deposit = 'deposit'").select(F.concat(F.lit('{"atm_id": broken '), "atm_id").alias("value"))
+    good.unionByName(broken).write.text(f"{config.stage_root}/atm_visits")
+    late_before = dt.date(2024, 1, 10)
+    run_stage_to_bronze(spark, config, "atm_visits", quarantine=True, measure=True, late_before=late_before)
+    counted = stream_metrics(spark, config, schemas.BRONZE_VISITS)
+    return counted.groupBy("table_name").agg(*[F.sum(c).alias(c) for c in COUNTS])
+
+
+def stream_supervised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two feeds of visits waiting; the jobs to bronze and to silver run side by side until they have taken up both."""
+    config = replace(_config(spark, "supervised"), trigger_mode=TriggerMode.STREAMING, poll_seconds=1)
+    for factor in (FIRST_FEED, SECOND_FEED):
+        visits(spark, sf_dir, factor).write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(
+            f"{config.stage_root}/atm_visits"
+        )
+    jobs = {
+        "bronze": lambda: run_stage_to_bronze(spark, config, "atm_visits"),
+        "silver": lambda: run_visits(spark, config, SECOND_DAY),
+    }
+    # Nothing more is to come: the jobs are started, take up what there is and stop in order.
+    supervise(spark, jobs, lambda: True)
+    return _without_zone(read_table(spark, config, schemas.SILVER_VISITS)).drop("load_ts")
+
+
+def stream_customers_in_growing_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two feeds of customers into one bucket, which is split as it fills."""
+    config = replace(_config(spark, "growing"), key_buckets=1, split_rows=1000)
+    for factor, as_of in ((FIRST_FEED, FIRST_DAY), (SECOND_FEED, SECOND_DAY)):
+        _deliver(spark, config, "atm_customers", customers(spark, sf_dir, factor))
+        run_customers(spark, config, as_of)
+    return read_table(spark, config, schemas.SILVER_CUSTOMERS).drop("load_ts", "update_ts")
+
+
+def replayed_visits_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A micro-batch of visits that is merged twice, as after a failure."""
+    config = _config(spark, "replayed")
+    delivered = {"_ingest_ts": F.lit("2024-02-01 06:00:00").cast("timestamp"), "_ingest_file": F.lit("feed")}
+    batch = visits(spark, sf_dir).withColumn("transaction_ts", F.col("transaction_ts").cast("timestamp")).withColumns(delivered)
+    again = [apply_visits(spark, config, batch, Stamp.at(day)) for day in (SECOND_DAY, THIRD_DAY)][1]
+    added = F.lit(again.get("insert", 0) + again.get("update", 0)).cast("long").alias("changed_again")
+    return read_table(spark, config, schemas.SILVER_VISITS).select("visit_id", "amount", "transaction_dt", F.to_date("load_ts").alias("loaded"), added)
+
+
 def catalog_daily_by_bank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored daily summary and its sources, by their names in the catalog."""
     mark = uuid.uuid4().hex[:12]
@@ -249,6 +317,11 @@ STREAMS = (
     stream_incremental_daily,
     stream_visits_delivered_again,
     stream_quarantine,
+    stream_rescued_fields,
+    stream_measured,
+    stream_supervised,
+    stream_customers_in_growing_buckets,
+    replayed_visits_batch,
     catalog_daily_by_bank,
     stream_run_log,
     stream_end_to_end_daily,

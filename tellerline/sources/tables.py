@@ -189,9 +189,14 @@ def ensure_buckets(spark: SparkSession, config: JobConfig, spec: TableSpec) -> N
 
 
 def stream_table(spark: SparkSession, config: JobConfig, spec: TableSpec) -> DataFrame:
-    """A table as a streaming source: each new file is read once."""
+    """A table as a streaming source: each new file is read once.
+
+    A stream matches a batch's columns to its own by place, and batches have partition columns last; so must
+    the stream, also if the table has no partition yet that would tell it so.
+    """
     path = table_path(config, spec)
     files.make_dir(spark, path)
     limit = config.max_bronze_files_per_trigger
-    reader = spark.readStream.schema(spec.schema).option("maxFilesPerTrigger", limit)
+    last = sorted(spec.schema.fields, key=lambda f: f.name in spec.partition_by)
+    reader = spark.readStream.schema(StructType(last)).option("maxFilesPerTrigger", limit)
     return reader.parquet(path).select(*spec.schema.names)

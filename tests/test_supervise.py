@@ -5,7 +5,10 @@ from helpers import config, location, stage, table_rows, visit
 
 from tellerline import schemas
 from tellerline.params import TriggerMode
+from tellerline.sources import read_table
+from tellerline.sources.tables import read_physical
 from tellerline.streaming import run_locations, run_stage_to_bronze, run_visits, silver, supervise
+from tellerline.streaming.silver import INGEST_ORDER
 
 
 def _jobs(spark, cfg):
@@ -48,6 +51,10 @@ def test_failed_job_resumes_and_all_are_drained(spark, root, monkeypatch):
     counts = supervise(spark, _jobs(spark, cfg), until, poll_seconds=1)
     assert counts == {"bronze visits": 0, "bronze locations": 0, "visits": 1, "locations": 0}
     assert table_rows(spark, cfg, schemas.SILVER_VISITS, "visit_id") == {(i,): 1 for i in range(8)}
+    # The table was empty when its reader began; each visit still has the delivery it came with.
+    delivered = read_table(spark, cfg, schemas.BRONZE_VISITS).select("visit_id", *INGEST_ORDER)
+    stored = read_physical(spark, cfg, schemas.SILVER_VISITS).select("visit_id", *INGEST_ORDER)
+    assert stored.join(delivered, ["visit_id", *INGEST_ORDER], "left_semi").count() == 8
     assert table_rows(spark, cfg, schemas.SILVER_LOCATIONS, "atm_id") == {(i,): 1 for i in range(3)}
     assert {q.id for q in spark.streams.active} == active
 
