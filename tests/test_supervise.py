@@ -1,9 +1,14 @@
 """Streaming jobs that run together."""
 
+import os
+import signal
+import threading
+
 import pytest
-from helpers import config, location, stage, table_rows, visit
+from helpers import config, customer, location, stage, table_rows, visit
 
 from tellerline import schemas
+from tellerline.__main__ import stream_all
 from tellerline.params import TriggerMode
 from tellerline.sources import read_table
 from tellerline.sources.tables import read_physical
@@ -69,3 +74,16 @@ def test_job_that_fails_each_time_ends_all(spark, root, monkeypatch):
     with pytest.raises(Exception, match="no use"):
         supervise(spark, _jobs(spark, cfg), lambda: False, restarts=1, poll_seconds=1)
     assert {q.id for q in spark.streams.active} == active
+
+
+def test_all_jobs_stop_in_order_when_the_process_is_told_to_end(spark, root):
+    cfg = _staged(root)
+    stage(cfg, "atm_customers", "1", [customer(1), customer(2)])
+    handler = signal.getsignal(signal.SIGTERM)
+    threading.Timer(3, os.kill, (os.getpid(), signal.SIGTERM)).start()
+    counts = stream_all(spark, cfg, restarts=0)
+    assert len(counts) == 6 and not any(counts.values())
+    assert table_rows(spark, cfg, schemas.SILVER_VISITS, "visit_id") == {(i,): 1 for i in range(5)}
+    assert table_rows(spark, cfg, schemas.SILVER_CUSTOMERS, "customer_id") == {(1,): 1, (2,): 1}
+    assert table_rows(spark, cfg, schemas.SILVER_LOCATIONS, "atm_id") == {(i,): 1 for i in range(3)}
+    assert signal.getsignal(signal.SIGTERM) is handler
