@@ -152,7 +152,8 @@ def sharded(docs: DataFrame, shards: int = 40, overhead: int = 16) -> DataFrame:
     key = F.xxhash64("text")
     size = (F.coalesce(F.octet_length("text"), F.lit(0)) + overhead).cast("long")
     crc = F.coalesce(F.crc32("text"), F.lit(0)).cast("long")
-    own = durable(docs.select("doc_id", size.alias("size"), crc.alias("text_crc32"), key.alias("key")))
+    # Kept in files as large as these few columns need, not one for each part of the texts that were read.
+    own = durable(docs.select("doc_id", size.alias("size"), crc.alias("text_crc32"), key.alias("key")).hint("rebalance"))
     groups = durable(own.groupBy("key").agg(F.sum("size").alias("size")))
     alone = own_shards(groups, shards)
     rest = groups.where(~F.col("key").isin(alone)) if alone else groups

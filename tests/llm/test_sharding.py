@@ -89,3 +89,12 @@ def test_small_and_empty_tables(docs):
 def test_no_python_in_the_plan(docs):
     plan = sharding.sharded(docs([(1, "a"), (2, "b")])).select(F.sum("slot"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_parts_of_the_texts_do_not_each_leave_a_file(spark, docs, monkeypatch):
+    """Files are made for the few columns that are kept, however many parts the texts are read in."""
+    kept, durable = [], sharding.durable
+    monkeypatch.setattr(sharding, "durable", lambda df: kept.append(durable(df)) or kept[-1])
+    rows = [(i, f"text {i}") for i in range(200)]
+    found = sharding.sharded(docs(rows, partitions=32), 4).collect()
+    assert kept[0].rdd.getNumPartitions() < 16 and kept[0].count() == len(found) == 200
