@@ -44,22 +44,24 @@ def ancestors(bucket: int, start: int) -> Iterator[int]:
 
 def bucket_column(keys: Sequence[str], start: int, split: Iterable[int] = ()) -> Column:
     """A key's bucket: of those along its path the first that was not split. Equals ``key_bucket`` where none was."""
-    levels: dict[int, list[int]] = {}
-    for bucket in split:
-        levels.setdefault(_depth(bucket, start), []).append(bucket)
+    split = list(split)
     hashed = F.hash(*keys).cast("long")
     first = F.pmod(hashed, F.lit(start))
     rest = F.floor((hashed - first) / F.lit(start)).cast("long")
 
-    def along(depth: int) -> Column:
-        bits = [F.shiftleft(F.shiftright(rest, i).bitwiseAND(F.lit(1).cast("long")), depth - 1 - i) for i in range(depth)]
-        return first + F.lit(start) * (sum(bits, F.lit(2**depth).cast("long")) - F.lit(1))
+    def numbered(node: Column) -> Column:
+        return first + F.lit(start) * (node - F.lit(1))
 
-    column = along(max(levels) + 1 if levels else 0)
-    for depth in sorted(levels, reverse=True):
-        here = along(depth)
-        column = F.when(here.isin(levels[depth]), column).otherwise(here)
-    return F.when(has_null(keys), F.lit(NULL_KEY_BUCKET)).otherwise(column).cast("int")
+    def further(node: Column, depth: Column) -> Column:
+        """A child of a node that was split. One that was not stays, so those that were are as deep as there were steps."""
+        bit = F.call_function("shiftright", rest, depth).bitwiseAND(F.lit(1).cast("long"))
+        return F.when(numbered(node).isin(split), node * F.lit(2) + bit).otherwise(node)
+
+    node = F.lit(1).cast("long")
+    if split:
+        steps = max(_depth(bucket, start) for bucket in split) + 1
+        node = F.aggregate(F.array(*map(F.lit, range(steps))), node, further)
+    return F.when(has_null(keys), F.lit(NULL_KEY_BUCKET)).otherwise(numbered(node)).cast("int")
 
 
 def split_of(spark: SparkSession, config: JobConfig, spec: TableSpec) -> list[int]:
@@ -75,29 +77,42 @@ def bucket_of(spark: SparkSession, config: JobConfig, spec: TableSpec) -> Column
     return bucket_column(spec.keys, config.key_buckets, split_of(spark, config, spec))
 
 
-def _full(stored: DataFrame, spec: TableSpec, rows: int, start: int) -> list[int]:
+def _to_split(stored: DataFrame, spec: TableSpec, rows: int, start: int, split: Sequence[int]) -> list[int]:
+    """The buckets to split until none has more than ``rows`` open rows, parents first: of each level those that are too full are counted."""
     opened = stored.where("current") if "current" in spec.partition_by else stored
-    keyed = opened.where(F.col(BUCKET_COLUMN) != NULL_KEY_BUCKET).groupBy(BUCKET_COLUMN).count()
-    return [r[0] for r in keyed.where(F.col("count") > rows).collect() if _depth(r[0], start) < deepest(start)]
+    keyed = opened.where(F.col(BUCKET_COLUMN) != NULL_KEY_BUCKET).select(BUCKET_COLUMN, *spec.keys)
+    found: list[int] = []
+    bucket = F.col(BUCKET_COLUMN)
+    while True:
+        sizes = keyed.groupBy(bucket.alias("bucket")).count()
+        full = [r[0] for r in sizes.where(F.col("count") > rows).collect() if _depth(r[0], start) < deepest(start)]
+        if not full:
+            return found
+        if not found:
+            keyed = keyed.where(bucket.isin(full))
+        found += full
+        bucket = bucket_column(spec.keys, start, [*split, *found])
 
 
 def split_buckets(spark: SparkSession, config: JobConfig, spec: TableSpec, rows: int) -> list[int]:
     """Split buckets until none has more than ``rows`` open rows; returns those that were split.
 
-    Each step splits every full bucket once and publishes that; only their files are read (but for the counts) and
-    written. Rows of one key stay together, and rows without a key are never moved. For the table's writer: not beside its job.
+    All splits are settled from counts first, by level, and published in one step: a row is moved once however often its bucket
+    is split, and of buckets that stay only the counts are read. Rows of one key stay together, and rows without a key are
+    never moved. For the table's writer: not beside its job.
     """
     recover(spark, config, spec)
     ensure_buckets(spark, config, spec)
-    done: list[int] = []
-    while True:
-        stored = read_physical(spark, config, spec)
-        full = _full(stored, spec, rows, config.key_buckets)
-        if not full:
-            return done
-        column = bucket_column(spec.keys, config.key_buckets, [*split_of(spark, config, spec), *full])
-        moved = stored.where(F.col(BUCKET_COLUMN).isin(full)).withColumn(BUCKET_COLUMN, column)
-        values = [full if c == BUCKET_COLUMN else [True, False] for c in spec.partition_by]
-        noted = spark.createDataFrame([(b,) for b in full], splits_of(spec).schema)
-        publish(spark, config, spec, product(*values), None, moved.select(*spec.physical_schema.names), [(splits_of(spec), noted)])
-        done += full
+    start, split = config.key_buckets, split_of(spark, config, spec)
+    stored = read_physical(spark, config, spec)
+    found = _to_split(stored, spec, rows, start, split)
+    if not found:
+        return []
+    among = set(found)
+    full = [b for b in found if not among.intersection(ancestors(b, start))]
+    column = bucket_column(spec.keys, start, [*split, *found])
+    moved = stored.where(F.col(BUCKET_COLUMN).isin(full)).withColumn(BUCKET_COLUMN, column)
+    values = [full if c == BUCKET_COLUMN else [True, False] for c in spec.partition_by]
+    noted = spark.createDataFrame([(b,) for b in found], splits_of(spec).schema)
+    publish(spark, config, spec, product(*values), None, moved.select(*spec.physical_schema.names), [(splits_of(spec), noted)])
+    return found

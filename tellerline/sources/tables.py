@@ -57,10 +57,23 @@ def partition_folder(spec: TableSpec, values: Sequence) -> str:
 
 
 def partition_in(spec: TableSpec, values: Iterable[Sequence]) -> Column:
-    """Whether a row lies in one of some partitions; literals, so that partitions are pruned."""
+    """Whether a row lies in one of some partitions; literals, so that partitions are pruned.
+
+    Those that differ in the last column alone are one list: a test for each would nest too deep for thousands.
+    """
+    *outer, last = spec.partition_by
+    lists: dict[tuple, list] = {}
+    for *first, value in sorted(values, key=str):
+        lists.setdefault(tuple(first), []).append(value)
+
+    def one_of(some: list) -> Column:
+        known = [v for v in some if v is not None]
+        test = F.col(last).isNotNull() & F.col(last).isin(known)
+        return test if len(known) == len(some) else test | F.col(last).isNull()
+
     tests = [
-        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(spec.partition_by, row, strict=True)])
-        for row in sorted(values, key=str)
+        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(outer, first, strict=True)], one_of(some))
+        for first, some in lists.items()
     ]
     return reduce(lambda a, b: a | b, tests, F.lit(False))
 

@@ -11,8 +11,8 @@ from tellerline import schemas
 from tellerline.functions.columns import key_bucket
 from tellerline.sources import recover, split_buckets
 from tellerline.sources.buckets import ancestors, bucket_column, split_of
-from tellerline.sources.publish import prepare
-from tellerline.sources.tables import read_physical
+from tellerline.sources.publish import prepare, publish
+from tellerline.sources.tables import partition_in, read_physical
 from tellerline.streaming import run_customers, run_locations
 
 CUSTOMERS, LOCATIONS = schemas.SILVER_CUSTOMERS, schemas.SILVER_LOCATIONS
@@ -128,3 +128,27 @@ def test_a_split_whose_driver_is_lost_is_finished_by_the_next_run(spark, root, m
     recover(spark, cfg, LOCATIONS)
     assert split_of(spark, cfg, LOCATIONS) == [0]
     assert table_rows(spark, cfg, LOCATIONS, "atm_id") == {(i,): 1 for i in range(30)}
+
+
+def test_thousands_of_partitions_are_tested_at_once(spark):
+    values = [(flag, bucket) for bucket in range(4000) for flag in (True, False)]
+    rows = spark.range(5000).selectExpr("id % 2 = 0 AS current", "CAST(id AS INT) AS key_bucket")
+    rows = rows.unionByName(spark.createDataFrame([(True, None), (None, 1)], rows.schema))
+    inside = partition_in(CUSTOMERS, values)
+    assert rows.where(inside).count() == 4000 and rows.where(~inside).count() == 1002
+    assert rows.where(partition_in(CUSTOMERS, [(True, None), (True, 2), (None, 1)])).count() == 3
+
+
+def test_a_bucket_that_is_split_many_times_is_moved_once(spark, root, monkeypatch):
+    cfg, published = config(root, key_buckets=1), []
+    stage(cfg, "atm_locations", "1", [location(i) for i in range(200)])
+    ingest(spark, cfg, "atm_locations")
+    run_locations(spark, cfg, DAY1)
+    with monkeypatch.context() as patch:
+        patch.setattr("tellerline.sources.buckets.publish", lambda *args: published.append(publish(*args)))
+        split = split_buckets(spark, cfg, LOCATIONS, 10)
+    assert published == [200] and len(split) > 15 and sorted(split_of(spark, cfg, LOCATIONS)) == sorted(split)
+    assert table_rows(spark, cfg, LOCATIONS, "atm_id") == {(i,): 1 for i in range(200)}
+    stored = read_physical(spark, cfg, LOCATIONS)
+    assert stored.where(bucket_column(["atm_id"], 1, split) != F.col("key_bucket")).count() == 0
+    assert max(r["count"] for r in stored.groupBy("key_bucket").count().collect()) <= 10
