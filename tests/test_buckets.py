@@ -133,7 +133,7 @@ def test_a_split_whose_driver_is_lost_is_finished_by_the_next_run(spark, root, m
 def test_thousands_of_partitions_are_tested_at_once(spark):
     values = [(flag, bucket) for bucket in range(4000) for flag in (True, False)]
     rows = spark.range(5000).selectExpr("id % 2 = 0 AS current", "CAST(id AS INT) AS key_bucket")
-    rows = rows.unionByName(spark.createDataFrame([(True, None), (None, 1)], rows.schema))
+    rows = rows.unionByName(spark.createDataFrame([(True, None), (None, 1)], "current boolean, key_bucket int"))
     inside = partition_in(CUSTOMERS, values)
     assert rows.where(inside).count() == 4000 and rows.where(~inside).count() == 1002
     assert rows.where(partition_in(CUSTOMERS, [(True, None), (True, 2), (None, 1)])).count() == 3
